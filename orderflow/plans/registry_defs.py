@@ -25,3 +25,44 @@ _q("q8_monthly_billing", A.q8_monthly_billing)
 _q("q9_customer_pareto", A.q9_customer_pareto)
 _q("q10_open_order_book", A.q10_open_order_book)
 _q("q12_ld_exposure", A.q12_ld_exposure)
+
+
+# ------------------------------------------------------------- register / log
+from pyspark.sql import functions as F  # noqa: E402
+from pyspark.sql.types import DecimalType  # noqa: E402
+
+from ..operators import audit_log as L  # noqa: E402
+from ..operators import register as R  # noqa: E402
+from . import oracle_register as OR  # noqa: E402
+from .oracle_tables import with_tables  # noqa: E402
+
+
+def as_reported(df):
+    """Exact DECIMAL columns are reported as DOUBLE (same on both engines)."""
+    return df.select(*[F.col(f.name).cast("double").alias(f.name)
+                       if isinstance(f.dataType, DecimalType) else F.col(f.name)
+                       for f in df.schema.fields])
+
+
+def _clean(spark, sf_dir):
+    t = _tables(spark, sf_dir)
+    return R.clean_register(t.raw_quote_register, t.customers, DEFAULT)
+
+
+register("r26_clean_register",
+         lambda p: with_tables(OR.register_cte(p) + "\n" + OR.register_select(), p))(
+    lambda spark, sf_dir: as_reported(_clean(spark, sf_dir)))
+
+for _g, _cols in R.GROUPS.items():
+    _sel = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" if c == "value_inr" else c for c in _cols)
+    register(f"r_{_g}", (lambda s: lambda p: with_tables(
+        OR.register_cte(p) + f"\nSELECT {s} FROM v_reg", p))(_sel))(
+        (lambda cols: lambda spark, sf_dir: as_reported(_clean(spark, sf_dir).select(*cols)))(_cols))
+
+register("l_cleaning_log", lambda p: with_tables(OR.cleaning_log_sql(p), p))(
+    lambda spark, sf_dir: (lambda t: L.cleaning_log(t.raw_quote_register, t.customers, t.orders,
+                                                    DEFAULT))(_tables(spark, sf_dir)))
+register("q11_lost_business", lambda p: with_tables(OR.q11_sql(p), p))(
+    lambda spark, sf_dir: A.q11_lost_business(_clean(spark, sf_dir), DEFAULT))
+register("qa_status_mapping", lambda p: with_tables(OR.qa_sql(p), p))(
+    lambda spark, sf_dir: A.qa_status_mapping(_clean(spark, sf_dir), DEFAULT))
