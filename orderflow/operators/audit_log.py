@@ -93,10 +93,6 @@ def cleaning_log(raw: DataFrame, customers: DataFrame, orders: DataFrame,
         cnt(c("promised_date_source") == "none").alias("promised_none"),
         cnt(c("promised_date_source") == "register").alias("_from_register"),
         F.count(F.lit(1)).alias("_orders"))
-    # both sides are one-row global aggregates: the join is 1 x 1 by construction
-    one = reg.withColumn("_k", F.lit(1)).join(
-        F.broadcast(orders_agg.withColumn("_k", F.lit(1))), "_k")
-
     rows = []
     for pos, (key, step, col, issue, action, note) in enumerate(ENTRIES, start=1):
         if key == "ld_kind":
@@ -115,13 +111,21 @@ def cleaning_log(raw: DataFrame, customers: DataFrame, orders: DataFrame,
         else:
             note_col = F.lit(note)
         rows.append((pos, "", step, col, F.lit(issue), c(key), action, note_col, F.lit(False)))
-    structs = [F.struct(F.lit(pos).alias("pos"), F.lit(sub).alias("sub"),
-                        F.lit(step).alias("step"), F.lit(col).alias("column_name"),
-                        issue.alias("issue"), cnt_col.cast("long").alias("rows_found"),
-                        F.lit(action).alias("action"), note.cast("string").alias("note"),
-                        grouped.alias("grouped"))
-               for pos, sub, step, col, issue, cnt_col, action, note, grouped in rows]
-    log = one.select(F.inline(F.array(*structs)))
+
+    def entries(one_row, keys):
+        structs = [F.struct(F.lit(pos).alias("pos"), F.lit(sub).alias("sub"),
+                            F.lit(step).alias("step"), F.lit(col).alias("column_name"),
+                            issue.alias("issue"), cnt_col.cast("long").alias("rows_found"),
+                            F.lit(action).alias("action"), note.cast("string").alias("note"),
+                            grouped.alias("grouped"))
+                   for pos, sub, step, col, issue, cnt_col, action, note, grouped in rows
+                   if ENTRIES[pos - 1][0] in keys]
+        return one_row.select(F.inline(F.array(*structs)))
+
+    order_keys = {"promised_from_po", "promised_none"}
+    # two one-row aggregates, each unpivoted on its own and unioned (no join)
+    log = entries(reg, {e[0] for e in ENTRIES} - order_keys).unionByName(
+        entries(orders_agg, order_keys))
     log = log.filter(~c("grouped") | (c("rows_found") > 0))
     w = Window.partitionBy().orderBy("pos", "sub")
     return log.select(F.row_number().over(w).cast("long").alias("log_id"), "step", "column_name",

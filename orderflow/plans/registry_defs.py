@@ -66,3 +66,19 @@ register("q11_lost_business", lambda p: with_tables(OR.q11_sql(p), p))(
     lambda spark, sf_dir: A.q11_lost_business(_clean(spark, sf_dir), DEFAULT))
 register("qa_status_mapping", lambda p: with_tables(OR.qa_sql(p), p))(
     lambda spark, sf_dir: A.qa_status_mapping(_clean(spark, sf_dir), DEFAULT))
+
+
+# ------------------------------------------------------- checks / constraints
+from ..operators import checks as C  # noqa: E402
+from ..operators import constraints as K  # noqa: E402
+from . import oracle_checks as OC  # noqa: E402
+
+register("c_checks", lambda p: with_tables(OC.checks_sql(p), p))(
+    lambda spark, sf_dir: C.run_checks(_tables(spark, sf_dir), DEFAULT))
+
+for _k, _fn in (("k1", K.k1_primary_keys), ("k2", K.k2_unique), ("k3", K.k3_foreign_keys),
+                ("k4", K.k4_domains), ("k5", K.k5_ranges), ("k6", K.k6_not_null)):
+    _name = {"k1": "k1_primary_keys", "k2": "k2_unique_keys", "k3": "k3_foreign_keys",
+             "k4": "k4_domains", "k5": "k5_ranges", "k6": "k6_not_null"}[_k]
+    register(_name, (lambda k: lambda p: with_tables(OC.k_sql(k), p))(_k))(
+        (lambda fn: lambda spark, sf_dir: fn(_tables(spark, sf_dir)))(_fn))
