@@ -146,7 +146,7 @@ ob_order_base AS (
            {sql_pick(PT_CODES, 'o_orderkey % 14')} AS terms_code,
            CASE WHEN o_orderkey % 6 = 0
                 THEN {sql_pick(ldv, f'(o_orderkey // 6) % {len(ldv)}')} END AS ld_cell,
-           CASE WHEN o_orderkey % 70 = 35
+           CASE WHEN o_orderkey % 70 = 36
                 THEN {sql_pick(ldc, f'(o_orderkey // 70) % {len(ldc)}')} END AS ld_clause_cell,
            o_orderkey % 25 = 7 AS cancelled
     FROM orders

@@ -82,3 +82,25 @@ for _k, _fn in (("k1", K.k1_primary_keys), ("k2", K.k2_unique), ("k3", K.k3_fore
              "k4": "k4_domains", "k5": "k5_ranges", "k6": "k6_not_null"}[_k]
     register(_name, (lambda k: lambda p: with_tables(OC.k_sql(k), p))(_k))(
         (lambda fn: lambda spark, sf_dir: fn(_tables(spark, sf_dir)))(_fn))
+
+
+# ----------------------------------------------------------------- privacy
+from ..operators import privacy as P  # noqa: E402
+from . import oracle_privacy as OP  # noqa: E402
+
+
+def _scanned(spark, sf_dir):
+    t = _tables(spark, sf_dir)
+    return t, P.scanned_tables(t, spark, sf_dir)
+
+
+register("p1_cells", lambda p: with_tables(OP.p1_sql(), p))(
+    lambda spark, sf_dir: P.cell_counts(_scanned(spark, sf_dir)[1]))
+register("p2_allowlist", lambda p: with_tables(OP.p2_sql(), p))(
+    lambda spark, sf_dir: P.allowlist_scan(_tables(spark, sf_dir), spark, sf_dir))
+register("p3_patterns")(
+    lambda spark, sf_dir: P.pattern_scan(P.cells(_scanned(spark, sf_dir)[1])))
+register("p4_person_shapes")(
+    lambda spark, sf_dir: P.person_shapes(P.cells(_scanned(spark, sf_dir)[1])))
+register("p6_privacy_report")(
+    lambda spark, sf_dir: P.privacy_report(_tables(spark, sf_dir), spark, sf_dir))

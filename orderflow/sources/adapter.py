@@ -192,7 +192,7 @@ class OrderBook:
         promised = F.when(source != "none",
                           F.date_add(po_date, (F.lit(10) + (K * 13) % 60).cast("int")))
         ld_cell = F.when(K % 6 == 0, pick(V.LD_VALUES, idiv(K, 6) % len(V.LD_VALUES)))
-        ld_clause_cell = F.when(K % 70 == 35, pick(V.LD_CLAUSE_VALUES,
+        ld_clause_cell = F.when(K % 70 == 36, pick(V.LD_CLAUSE_VALUES,
                                                    idiv(K, 70) % len(V.LD_CLAUSE_VALUES)))
         status = F.when(cancelled, pick(V.CANCELLED_WORDS, K % 5)).otherwise(
             pick(ORDER_WORDINGS, (K * 7) % len(ORDER_WORDINGS)))
@@ -511,3 +511,30 @@ class OrderBook:
 
 def build(spark: SparkSession, sf_dir: str, params: Params = DEFAULT) -> OrderBook:
     return OrderBook(spark, sf_dir, params)
+
+
+# column order of every derived table (the schema the operators rely on)
+SCHEMA = {
+    "customers": ["customer_id", "market_type", "country", "region", "onboarded_date"],
+    "items": ["item_id", "product_line", "category", "description", "uom",
+              "vessel_diameter_mm"],
+    "payment_terms": ["terms_code", "description", "credit_days", "advance_pct"],
+    "quotations": ["quote_id", "quote_no", "revision_no", "customer_id", "inquiry_date",
+                   "quote_date", "validity_date", "incoterms", "salesperson_code", "status"],
+    "quotation_lines": ["quote_id", "line_no", "item_id", "qty", "unit_price"],
+    "orders": ["order_id", "quote_id", "po_no", "po_date", "job_no", "customer_id",
+               "promised_delivery_date", "promised_date_source", "terms_code", "ld_clause",
+               "ld_clause_source", "order_status", "cancellation_date"],
+    "order_lines": ["order_id", "line_no", "item_id", "ordered_qty", "unit_price"],
+    "dispatches": ["dispatch_id", "order_id", "line_no", "dispatch_date", "dispatched_qty",
+                   "ship_mode", "delay_reason"],
+    "invoices": ["invoice_id", "invoice_no", "dispatch_id", "order_id", "customer_id",
+                 "invoice_date", "currency", "fx_rate_to_inr", "taxable_value", "gst_amount",
+                 "due_date"],
+    "payments": ["payment_id", "invoice_id", "payment_date", "amount", "payment_type"],
+    "raw_quote_register": ["sl_no", "party", "project", "incoterms", "quote_from", "quote_no",
+                           "quote_date", "validity_date", "vertical", "category", "item",
+                           "item_qty", "inquiry", "inquiry_date", "job_no", "po_no", "po_date",
+                           "po_validity_date", "dp_date", "status", "ld", "ld_clause",
+                           "payment_terms", "po_quote_value", "concerned_person"],
+}
