@@ -104,3 +104,21 @@ register("p4_person_shapes")(
     lambda spark, sf_dir: P.person_shapes(P.cells(_scanned(spark, sf_dir)[1])))
 register("p6_privacy_report")(
     lambda spark, sf_dir: P.privacy_report(_tables(spark, sf_dir), spark, sf_dir))
+
+
+# ----------------------------------------------------------------- profile
+from ..operators import profile as PF  # noqa: E402
+from . import oracle_profile as OPF  # noqa: E402
+
+register("f1_funnel_profile", lambda p: with_tables(OPF.f1_sql(p), p))(
+    lambda spark, sf_dir: PF.f1_funnel(_clean(spark, sf_dir)))
+register("f2_lead_time_quantiles", lambda p: with_tables(OPF.f2_sql(p), p))(
+    lambda spark, sf_dir: PF.f2_lead_time_quantiles(_clean(spark, sf_dir)))
+register("f3_customer_concentration", lambda p: with_tables(OPF.f3_sql(p), p))(
+    lambda spark, sf_dir: PF.f3_concentration(_clean(spark, sf_dir)))
+register("f4_fill_rates", lambda p: with_tables(OPF.f4_sql(p), p))(
+    lambda spark, sf_dir: PF.f4_fill_rates(_tables(spark, sf_dir).raw_quote_register))
+register("f5_vocabulary", lambda p: with_tables(OPF.f5_sql(p), p))(
+    lambda spark, sf_dir: PF.f5_vocabulary(_tables(spark, sf_dir).raw_quote_register))
+register("f6_job_bands", lambda p: with_tables(OPF.f6_sql(p), p))(
+    lambda spark, sf_dir: PF.f6_job_bands(_clean(spark, sf_dir)))
