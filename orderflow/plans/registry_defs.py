@@ -122,3 +122,38 @@ register("f5_vocabulary", lambda p: with_tables(OPF.f5_sql(p), p))(
     lambda spark, sf_dir: PF.f5_vocabulary(_tables(spark, sf_dir).raw_quote_register))
 register("f6_job_bands", lambda p: with_tables(OPF.f6_sql(p), p))(
     lambda spark, sf_dir: PF.f6_job_bands(_clean(spark, sf_dir)))
+
+
+# --------------------------------------------------------------- normalise
+from ..operators import normalise as N  # noqa: E402
+from . import oracle_normalise as ON  # noqa: E402
+
+
+def _n_quotes(spark, sf_dir):
+    return N.quotations(_tables(spark, sf_dir).raw_quote_register, DEFAULT)
+
+
+def _n_orders(spark, sf_dir):
+    t = _tables(spark, sf_dir)
+    raw = t.raw_quote_register
+    return N.orders(raw, N.quotations(raw, DEFAULT), t.po_document_dates, t.payment_terms)
+
+
+register("n1_strict_dates", lambda p: with_tables(ON.n1_sql(p), p))(
+    lambda spark, sf_dir: N.strict_dates(_tables(spark, sf_dir).raw_quote_register))
+register("n3_quote_numbers", lambda p: with_tables(ON.n3_sql(p), p))(
+    lambda spark, sf_dir: N.quote_number_parts(_tables(spark, sf_dir).raw_quote_register))
+register("n4_revision_dedupe")(
+    lambda spark, sf_dir: N.dedupe_revisions(
+        N.quote_number_parts(_tables(spark, sf_dir).raw_quote_register)))
+register("n6_quotations", lambda p: with_tables(ON.n6_sql(p), p))(_n_quotes)
+register("n11_orders", lambda p: with_tables(ON.n11_sql(p), p))(_n_orders)
+register("n13_invoices", lambda p: with_tables(ON.n13_sql(p), p))(
+    lambda spark, sf_dir: as_reported((lambda t: N.derive_invoices(
+        t.dispatches, t.order_lines, t.orders, t.customers, t.payment_terms, t.fx_monthly,
+        DEFAULT))(_tables(spark, sf_dir))))
+register("n14_register_totals", lambda p: with_tables(ON.n14_sql(p), p))(
+    lambda spark, sf_dir: (lambda t: N.register_totals(t.register_links, t.order_lines,
+                                                       t.quotation_lines))(_tables(spark, sf_dir)))
+register("n15_link_summary", lambda p: with_tables(ON.n15_sql(p), p))(
+    lambda spark, sf_dir: N.link_summary(_n_orders(spark, sf_dir)))

@@ -504,6 +504,37 @@ class OrderBook:
         )
         return orders_part.unionByName(quotes_part)
 
+    # ----------------------------------------- inputs of the normalisation rules
+    @cached_property
+    def po_document_dates(self) -> DataFrame:
+        """Promised dates read off the PO documents, keyed by register row."""
+        b = self._order_base.filter(F.col("promised_date_source") == "po_document")
+        return b.select((F.col("K") * 2 + 1).alias("sl_no"),
+                        F.col("promised_delivery_date").alias("po_promised"))
+
+    @cached_property
+    def fx_monthly(self) -> DataFrame:
+        """One USD->INR rate per dispatch month (bounded by the number of months)."""
+        m = self._dispatch_rows.groupBy(
+            F.date_format("dispatch_date", "yyyy-MM").alias("month_key")).agg(
+            F.min("dispatch_date").alias("_d"))
+        ym = F.year("_d") * 12 + F.month("_d")
+        return m.select("month_key", cents_to_decimal(F.lit(8300) + (ym * 37) % 701)
+                        .alias("fx_rate"))
+
+    @cached_property
+    def register_links(self) -> DataFrame:
+        """Register row -> the order (order rows) or quotation (quote-only rows) it holds."""
+        b = self._order_base.select("K", "linked")
+        K = F.col("K")
+        rows = F.array(
+            F.struct((K * 2 + 1).alias("sl_no"), K.alias("order_id"),
+                     F.lit(None).cast("long").alias("quote_id")),
+            F.struct((K * 2 + 2).alias("sl_no"), F.lit(None).cast("long").alias("order_id"),
+                     (K * 2 + 1).alias("quote_id")))
+        quote_only = ~F.col("linked") & (K % 7 == 0)
+        return b.select(F.inline(F.when(quote_only, rows).otherwise(F.slice(rows, 1, 1))))
+
     TABLES = ("customers", "items", "payment_terms", "quotations", "quotation_lines",
               "orders", "order_lines", "dispatches", "invoices", "payments",
               "raw_quote_register")
