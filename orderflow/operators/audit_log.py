@@ -61,13 +61,15 @@ ENTRIES = [
 LD_ISSUE = "value is not a liquidated-damages clause at all: "
 
 
-def cleaning_log(raw: DataFrame, customers: DataFrame, orders: DataFrame,
-                 params: Params = DEFAULT) -> DataFrame:
-    raw = raw.withColumn("_any_date", F.col("po_date").isNotNull() | F.col("quote_date").isNotNull())
-    clean = clean_register(raw, customers, params, passthrough=("_any_date",))
-    c = F.col
-    cnt = lambda cond: F.count_if(F.coalesce(cond, F.lit(False)))
-    reg = clean.agg(
+def _cnt(cond):
+    return F.count_if(F.coalesce(cond, F.lit(False)))
+
+
+def register_aggs() -> list:
+    """Every register-side count of the log, as aggregate expressions over the
+    cleaned register (with the ``_any_date`` pass-through column)."""
+    c, cnt = F.col, _cnt
+    return [
         cnt(c("_any_date")).alias("dates_parsed"),
         cnt(c("date_impossible")).alias("date_impossible"),
         cnt(c("year_suspect")).alias("year_suspect"),
@@ -87,12 +89,31 @@ def cleaning_log(raw: DataFrame, customers: DataFrame, orders: DataFrame,
         .alias("people_initials"),
         cnt(c("salesperson_two_names")).alias("people_two"),
         cnt(c("became_order") & c("value_inr").isNull()).alias("order_no_value"),
-    )
-    orders_agg = orders.agg(
-        cnt(c("promised_date_source") == "po_document").alias("promised_from_po"),
-        cnt(c("promised_date_source") == "none").alias("promised_none"),
-        cnt(c("promised_date_source") == "register").alias("_from_register"),
-        F.count(F.lit(1)).alias("_orders"))
+    ]
+
+
+def order_aggs() -> list:
+    c, cnt = F.col, _cnt
+    return [cnt(c("promised_date_source") == "po_document").alias("promised_from_po"),
+            cnt(c("promised_date_source") == "none").alias("promised_none"),
+            cnt(c("promised_date_source") == "register").alias("_from_register"),
+            F.count(F.lit(1)).alias("_orders")]
+
+
+def with_any_date(raw: DataFrame) -> DataFrame:
+    return raw.withColumn("_any_date",
+                          F.col("po_date").isNotNull() | F.col("quote_date").isNotNull())
+
+
+def cleaning_log(raw: DataFrame, customers: DataFrame, orders: DataFrame,
+                 params: Params = DEFAULT) -> DataFrame:
+    clean = clean_register(with_any_date(raw), customers, params, passthrough=("_any_date",))
+    return log_rows(clean.agg(*register_aggs()), orders.agg(*order_aggs()))
+
+
+def log_rows(reg: DataFrame, orders_agg: DataFrame) -> DataFrame:
+    """The log from the two one-row aggregates (register side, order side)."""
+    c = F.col
     rows = []
     for pos, (key, step, col, issue, action, note) in enumerate(ENTRIES, start=1):
         if key == "ld_kind":

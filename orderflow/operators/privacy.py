@@ -63,16 +63,36 @@ def declared_strings() -> list[str]:
 def scanned_tables(tables, spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Every table whose cells are scanned: the order book plus the documents."""
     out = {name: tables[name] for name in tables.TABLES}
-    out["documents"] = tpch.read(spark, sf_dir, "documents", ["doc_id", "text"])
+    out["documents"] = spread(tpch.read(spark, sf_dir, "documents", ["doc_id", "text"]))
     return out
 
 
-def cells(tables: dict[str, DataFrame], only_text: bool = False) -> DataFrame:
-    """(table_name, column_name, value) for every non-null cell, as text."""
+def spread(df: DataFrame) -> DataFrame:
+    """Regex work on long texts is CPU-bound per row: when the scan yields fewer
+    partitions than cores (a few large files), deal the rows out round-robin so
+    every core gets a share. Inputs that are already split are left as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores * 2)
+
+
+# text of these types can never hold a match of any scanned pattern (only digits
+# and '-', ':', '.', 'E'): a date, a decimal, a double or a boolean
+NEVER_MATCHES = ("date", "timestamp", "decimal", "double", "float", "boolean")
+
+
+def cells(tables: dict[str, DataFrame], only_text: bool = False,
+          for_patterns: bool = True) -> DataFrame:
+    """(table_name, column_name, value) for every non-null cell, as text.
+
+    With ``for_patterns`` the columns whose text cannot match any pattern are
+    left out of the flattening (same findings, fewer cells)."""
     parts = []
     for name, df in tables.items():
         cols = [f.name for f in df.schema.fields
-                if not only_text or f.dataType.simpleString() == "string"]
+                if (not only_text or f.dataType.simpleString() == "string")
+                and not (for_patterns and f.dataType.simpleString().startswith(NEVER_MATCHES))]
         if not cols:
             continue
         arr = F.array(*[F.struct(F.lit(c).alias("column_name"),
@@ -146,15 +166,53 @@ def allowlist_scan(tables, spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.coalesce("sample", F.lit("")).alias("sample")))
 
 
+# cheap necessary conditions checked before a pattern's full regex runs
+GUARDS = {
+    "email address": lambda v: F.instr(v, "@") > 0,
+    "Indian mobile number": lambda v: v.rlike(UNICODE + r"[6-9]\d{9}"),
+    "GSTIN": lambda v: v.rlike("[A-Z]{5}"),
+    "PAN": lambda v: v.rlike("[A-Z]{5}"),
+    "tender ref in an actual serial range": lambda v: F.instr(v, "GEM/") > 0,
+}
+PERSON_RULE = "person-shaped text"
+
+
+def _extract(label: str, rx: str):
+    v = F.col("value")
+    found = F.regexp_extract_all(v, F.lit(UNICODE + rx), 0)
+    guard = GUARDS.get(label)
+    empty = F.array().cast("array<string>")
+    return F.when(guard(v), found).otherwise(empty) if guard else found
+
+
+def matches(cell_df: DataFrame, location_cols=("table_name", "column_name"),
+            with_person_shapes: bool = True) -> DataFrame:
+    """P3 + P4 in one pass over the cells: (rule, *location, match).
+
+    Person-shaped matches skip the exempt columns and drop allowlisted people
+    and anything contained in a declared string."""
+    rules = [F.struct(F.lit(label).alias("rule"), _extract(label, rx).alias("found"))
+             for label, rx in V.PRIVACY_PATTERNS]
+    if with_person_shapes:
+        exempt = F.lit(False)
+        for t, c in PERSON_SHAPE_EXEMPT:
+            exempt = exempt | ((F.col("table_name") == t) & (F.col("column_name") == c))
+        person = F.when(~exempt, _extract(PERSON_RULE, V.PERSON_SHAPE)).otherwise(
+            F.array().cast("array<string>"))
+        rules.append(F.struct(F.lit(PERSON_RULE).alias("rule"), person.alias("found")))
+    m = (cell_df.select(*location_cols, F.inline(F.array(*rules)))
+         .filter(F.size("found") > 0)
+         .select("rule", *location_cols, F.explode("found").alias("match")))
+    declared = F.array(*[F.lit(d) for d in declared_strings()])
+    explained = (F.col("rule") == PERSON_RULE) & (
+        F.col("match").isin(*V.PEOPLE)
+        | F.exists(declared, lambda d: F.instr(d, F.col("match")) > 0))
+    return m.filter(~explained)
+
+
 def pattern_matches(cell_df: DataFrame, location_cols=("table_name", "column_name")) -> DataFrame:
     """(rule, *location, match) for every pattern match in every cell."""
-    rules = F.array(*[F.struct(F.lit(label).alias("rule"),
-                               F.regexp_extract_all(F.col("value"), F.lit(UNICODE + rx), 0)
-                               .alias("found"))
-                      for label, rx in V.PRIVACY_PATTERNS])
-    m = cell_df.select(*location_cols, F.inline(rules))
-    return (m.filter(F.size("found") > 0)
-            .select("rule", *location_cols, F.explode("found").alias("match")))
+    return matches(cell_df, location_cols, with_person_shapes=False)
 
 
 def pattern_scan(cell_df: DataFrame) -> DataFrame:
@@ -165,16 +223,7 @@ def pattern_scan(cell_df: DataFrame) -> DataFrame:
 
 def person_shapes(cell_df: DataFrame) -> DataFrame:
     """Person-shaped matches not explained by the declared vocabulary."""
-    exempt = F.lit(False)
-    for t, c in PERSON_SHAPE_EXEMPT:
-        exempt = exempt | ((F.col("table_name") == t) & (F.col("column_name") == c))
-    m = (cell_df.filter(~exempt)
-         .select("table_name", "column_name",
-                 F.explode(F.regexp_extract_all(F.col("value"), F.lit(UNICODE + V.PERSON_SHAPE), 0))
-                 .alias("match")))
-    declared = F.array(*[F.lit(d) for d in declared_strings()])
-    m = m.filter(~F.col("match").isin(*V.PEOPLE)
-                 & ~F.exists(declared, lambda d: F.instr(d, F.col("match")) > 0))
+    m = matches(cell_df).filter(F.col("rule") == PERSON_RULE)
     return _first_values(m, ["table_name", "column_name"], "match")
 
 
@@ -193,14 +242,12 @@ def text_file_findings(spark: SparkSession, path: str) -> DataFrame:
 def privacy_report(tables, spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every finding as (rule, location, hits, sample); empty means clean."""
     scanned = scanned_tables(tables, spark, sf_dir)
-    text_cells = cells(scanned)
     allow = (allowlist_scan(tables, spark, sf_dir).filter(F.col("outside_values") > 0)
              .select(F.lit("allowlist").alias("rule"),
                      F.concat_ws(".", "table_name", "column_name").alias("location"),
                      F.col("outside_values").alias("hits"), "sample"))
-    pats = pattern_scan(text_cells).select(
-        "rule", F.concat_ws(".", "table_name", "column_name").alias("location"), "hits", "sample")
-    people = person_shapes(text_cells).select(
-        F.lit("person-shaped text").alias("rule"),
-        F.concat_ws(".", "table_name", "column_name").alias("location"), "hits", "sample")
-    return allow.unionByName(pats).unionByName(people)
+    found = _first_values(matches(cells(scanned)), ["rule", "table_name", "column_name"],
+                          "match")
+    return allow.unionByName(found.select(
+        "rule", F.concat_ws(".", "table_name", "column_name").alias("location"), "hits",
+        "sample"))

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..params import DEFAULT, Params
-from ..sources.adapter import build
+from ..sources import store
 from . import oracle_queries as OQ
 from .oracle_tables import with_tables
 
@@ -31,7 +31,9 @@ def register(name: str, oracle: Callable[[Params], str] | None = None):
 
 
 def _tables(spark: SparkSession, sf_dir: str, params: Params = DEFAULT):
-    return build(spark, sf_dir, params)
+    """The order book for ``sf_dir``: derived once per session and sources,
+    written as Parquet to the shared checkpoint folder, then read back."""
+    return store.build(spark, sf_dir, params)
 
 
 def _oq(name: str):

@@ -25,17 +25,25 @@ def apply_conf(spark: SparkSession) -> None:
         spark.conf.set(k, v)
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder the cluster names; a local one only if unset."""
+_FALLBACK_DIRS: dict[str, str] = {}
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The shared folder the cluster names in ``spark.checkpoint.dir``.
+
+    Only when none is configured (local tests) a folder of our own is made,
+    once per application; it is also registered as the checkpoint folder.
+    """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="orderflow-ckpt-", dir="/tmp")
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+    configured = sc.getConf().get("spark.checkpoint.dir", None)
+    if configured:
+        return configured.rstrip("/")
+    app = sc.applicationId
+    if app not in _FALLBACK_DIRS:
+        _FALLBACK_DIRS[app] = tempfile.mkdtemp(prefix="orderflow-ckpt-", dir="/tmp")
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(_FALLBACK_DIRS[app])
+    return _FALLBACK_DIRS[app]
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,

@@ -1,0 +1,9 @@
+"""Streaming.
+
+The order-book project this library rebuilds is a batch build: the register
+is loaded, cleaned and queried as a whole, with no event stream, watermark,
+window or stateful operator anywhere in it. No streaming operator is added.
+The cleaning operators are row-preserving projections, so a user who does
+receive register rows as files can apply ``operators.register.clean_register``
+to a ``spark.readStream`` DataFrame unchanged.
+"""
