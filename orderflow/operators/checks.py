@@ -23,6 +23,25 @@ from .delivery import otif
 from .register import clean_register
 
 
+CHECK_NAMES = [
+    "01 row counts", "02 rows per product line", "03 orphaned foreign keys",
+    "04 dispatch on or after PO date", "05 invoice date = dispatch date",
+    "06a quote <= PO (modelled tables)", "06b quote <= PO (raw register)",
+    "07 invoice value = dispatched qty x price", "08 GST by market", "09 FX rate by currency",
+    "10 job numbers unique and banded", "11 payments do not exceed the invoice",
+    "12 payment timing", "13 dispatched quantities sane", "14 cancelled orders never ship",
+    "15 OTIF in range", "16 orders without a quotation", "17 register still carries its faults",
+    "18 no invented vocabulary", "18b identity columns within allowlist",
+    "19 status mapping is complete", "20 cleaning log written",
+]
+
+
+def check_key(name: str) -> str:
+    """'06a quote <= PO (modelled tables)' -> 'c06a_quote_po_modelled_tables'."""
+    import re
+    return "c" + re.sub(r"[^a-z0-9]+", "_", name.lower()).strip("_")
+
+
 def metrics(parts: dict[str, DataFrame]) -> DataFrame:
     """Several one-row, one-column (``v``) aggregates as one row, one column each."""
     u = reduce(DataFrame.unionByName,
@@ -48,17 +67,46 @@ def _pf(cond: Column) -> Column:
     return F.when(cond, "PASS").otherwise("FAIL")
 
 
-def run_checks(tables, params: Params = DEFAULT) -> DataFrame:
-    t, p, c = tables, params, F.col
-    clean = clean_register(with_any_date(t.raw_quote_register), t.customers, p,
-                           passthrough=("_any_date",))
-    # one pass over the cleaned register feeds the log and checks 06b, 17, 19, 20
-    reg = clean.agg(*register_aggs(),
-                    F.count_if(c("quote_date") > c("po_date")).alias("_quote_after_po"),
-                    F.count_if(c("status_clean") == V.UNMAPPED).alias("_unmapped"))
-    out = []
+class _Context:
+    """Shared inputs of the checks, built only when a check asks for them."""
+
+    def __init__(self, tables, params: Params):
+        self.t, self.p = tables, params
+        self._clean = self._reg = None
+
+    @property
+    def clean(self) -> DataFrame:
+        if self._clean is None:
+            self._clean = clean_register(with_any_date(self.t.raw_quote_register),
+                                         self.t.customers, self.p, passthrough=("_any_date",))
+        return self._clean
+
+    @property
+    def reg(self) -> DataFrame:
+        """One pass over the cleaned register feeds the log and checks 06b, 17, 19, 20."""
+        if self._reg is None:
+            c = F.col
+            self._reg = self.clean.agg(
+                *register_aggs(),
+                F.count_if(c("quote_date") > c("po_date")).alias("_quote_after_po"),
+                F.count_if(c("status_clean") == V.UNMAPPED).alias("_unmapped"))
+        return self._reg
+
+
+_BUILDERS = {}
 
+
+def _builder(name):
+    def deco(fn):
+        _BUILDERS[name] = fn
+        return fn
+    return deco
+
+
+@_builder('01 row counts')
+def _c01_row_counts(x: _Context) -> DataFrame:
     # 01 row counts
+    t, p, c = x.t, x.p, F.col
     m = metrics({k: count_of(t[k]) for k in ("raw_quote_register", "customers", "items",
                                              "quotations", "orders", "dispatches", "invoices",
                                              "payments")})
@@ -67,7 +115,7 @@ def run_checks(tables, params: Params = DEFAULT) -> DataFrame:
     nonempty = reduce(lambda a, b: a & b, [c(k) > 0 for k in ("customers", "items", "quotations",
                                                               "orders", "dispatches", "invoices",
                                                               "payments")])
-    out.append(_check(m, "01 row counts", "register rows as expected, every table non-empty",
+    return (_check(m, "01 row counts", "register rows as expected, every table non-empty",
                       F.concat(F.lit("register "), _s("raw_quote_register"),
                                F.lit(", quotations "), _s("quotations"), F.lit(", orders "),
                                _s("orders"), F.lit(", dispatches "), _s("dispatches"),
@@ -75,7 +123,11 @@ def run_checks(tables, params: Params = DEFAULT) -> DataFrame:
                                _s("payments")),
                       _pf(reg_ok & nonempty)))
 
+
+@_builder('02 rows per product line')
+def _c02_rows_per_product_line(x: _Context) -> DataFrame:
     # 02 rows per product line
+    t, p, c = x.t, x.p, F.col
     per = t.raw_quote_register.groupBy("item").agg(F.count(F.lit(1)).alias("n"))
     exp = p.expected_rows_per_line
     hit = (F.lit(1) if exp is None else
@@ -87,10 +139,14 @@ def run_checks(tables, params: Params = DEFAULT) -> DataFrame:
                                  lambda s: F.concat(s["item"], F.lit(" "), s["n"].cast("string"))),
                      ", ").alias("a"),
         F.sum(F.when(line_ok, 1).otherwise(0)).alias("hits"))
-    out.append(_check(g, "02 rows per product line", "every product line present",
+    return (_check(g, "02 rows per product line", "every product line present",
                       c("a"), _pf(c("hits") == want)))
 
+
+@_builder('03 orphaned foreign keys')
+def _c03_orphaned_foreign_keys(x: _Context) -> DataFrame:
     # 03 orphaned foreign keys (the joins the queries depend on)
+    t, p, c = x.t, x.p, F.col
     fks = [("orders", ["customer_id"], "customers", ["customer_id"]),
            ("orders", ["quote_id"], "quotations", ["quote_id"]),
            ("order_lines", ["order_id"], "orders", ["order_id"]),
@@ -103,42 +159,62 @@ def run_checks(tables, params: Params = DEFAULT) -> DataFrame:
     orphans = reduce(DataFrame.unionByName,
                      [fk_orphans(t, *fk).select(F.col("violations").alias("v")) for fk in fks])
     o = orphans.agg(F.sum("v").alias("n"))
-    out.append(_check(o, "03 orphaned foreign keys", "0 across every relationship",
+    return (_check(o, "03 orphaned foreign keys", "0 across every relationship",
                       F.concat(_s("n"), F.lit(" orphans")), _pf(c("n") == 0)))
 
+
+@_builder('04 dispatch on or after PO date')
+def _c04_dispatch_on_or_after_po_date(x: _Context) -> DataFrame:
     # 04 dispatch on or after PO
+    t, p, c = x.t, x.p, F.col
     d = (t.dispatches.select("order_id", "dispatch_date")
          .join(t.orders.select("order_id", "po_date"), "order_id")
          .agg(F.count_if(c("dispatch_date") < c("po_date")).alias("n")))
-    out.append(_check(d, "04 dispatch on or after PO date", "0 violations",
+    return (_check(d, "04 dispatch on or after PO date", "0 violations",
                       F.concat(_s("n"), F.lit(" dispatches before their own PO")), _pf(c("n") == 0)))
 
+
+@_builder('05 invoice date = dispatch date')
+def _c05_invoice_date_dispatch_date(x: _Context) -> DataFrame:
     # 05 invoice date = dispatch date
+    t, p, c = x.t, x.p, F.col
     d = (t.invoices.select("dispatch_id", "invoice_date")
          .join(t.dispatches.select("dispatch_id", "dispatch_date"), "dispatch_id")
          .agg(F.count_if(c("invoice_date") != c("dispatch_date")).alias("n")))
-    out.append(_check(d, "05 invoice date = dispatch date", "0 mismatches",
+    return (_check(d, "05 invoice date = dispatch date", "0 mismatches",
                       F.concat(_s("n"), F.lit(" mismatches")), _pf(c("n") == 0)))
 
+
+@_builder('06a quote <= PO (modelled tables)')
+def _c06a_quote_po_modelled_tables(x: _Context) -> DataFrame:
     # 06a quote <= PO in the modelled tables
+    t, p, c = x.t, x.p, F.col
     quoted = t.orders.filter(c("quote_id").isNotNull()).select("quote_id", "po_date")
     m = metrics({
         "bad": quoted.join(t.quotations.select("quote_id", "quote_date"), "quote_id")
         .agg(F.count_if(c("po_date") < c("quote_date")).alias("v")),
         "quoted": count_of(quoted)})
-    out.append(_check(m, "06a quote <= PO (modelled tables)", "0 violations",
+    return (_check(m, "06a quote <= PO (modelled tables)", "0 violations",
                       F.concat(_s("bad"), F.lit(" of "), _s("quoted"),
                                F.lit(" quoted orders have a PO before the quote")),
                       _pf(c("bad") == 0)))
 
+
+@_builder('06b quote <= PO (raw register)')
+def _c06b_quote_po_raw_register(x: _Context) -> DataFrame:
     # 06b quote <= PO in the register: expected to find some
-    d = reg.select(c("_quote_after_po").alias("n"))
-    out.append(_check(d, "06b quote <= PO (raw register)",
+    t, p, c = x.t, x.p, F.col
+    d = x.reg.select(c("_quote_after_po").alias("n"))
+    return (_check(d, "06b quote <= PO (raw register)",
                       "at least one violation, modelled on purpose",
                       F.concat(_s("n"), F.lit(" register rows with a quote date after the PO")),
                       F.when(c("n") >= 1, "EXPECTED").otherwise("FAIL")))
 
+
+@_builder('07 invoice value = dispatched qty x price')
+def _c07_invoice_value_dispatched_qty_x_price(x: _Context) -> DataFrame:
     # 07 invoice value reconciles to qty x price
+    t, p, c = x.t, x.p, F.col
     inv = (t.invoices.select("dispatch_id", "taxable_value", "fx_rate_to_inr")
            .join(t.dispatches.select("dispatch_id", "order_id", "line_no", "dispatched_qty"),
                  "dispatch_id")
@@ -147,12 +223,16 @@ def run_checks(tables, params: Params = DEFAULT) -> DataFrame:
     off = F.abs(c("taxable_value") * c("fx_rate_to_inr") - c("dispatched_qty") * c("unit_price"))
     m = metrics({"bad": inv.agg(F.count_if(off > p.invoice_tolerance_inr).alias("v")),
                  "all": count_of(t.invoices)})
-    out.append(_check(m, "07 invoice value = dispatched qty x price",
+    return (_check(m, "07 invoice value = dispatched qty x price",
                       f"0 rows off by more than {p.invoice_tolerance_inr} INR",
                       F.concat(_s("bad"), F.lit(" of "), _s("all"),
                                F.lit(" invoices out of tolerance")), _pf(c("bad") == 0)))
 
+
+@_builder('08 GST by market')
+def _c08_gst_by_market(x: _Context) -> DataFrame:
     # 08 GST by market
+    t, p, c = x.t, x.p, F.col
     rate = p.gst_rate_pct
     gi = t.invoices.join(t.customers.select("customer_id", "market_type"), "customer_id")
     bad = (F.when((c("market_type") == "Export")
@@ -171,21 +251,29 @@ def run_checks(tables, params: Params = DEFAULT) -> DataFrame:
     g = grp.agg(F.array_join(F.transform(
         F.array_sort(F.collect_list(F.struct("market_type", "currency", "txt"))),
         lambda s: s["txt"]), ", ").alias("a"), F.sum("bad").alias("bad"))
-    out.append(_check(g, "08 GST by market",
+    return (_check(g, "08 GST by market",
                       f"Domestic and Deemed Export {rate}% in INR, Export 0% in USD",
                       c("a"), _pf(c("bad") == 0)))
 
+
+@_builder('09 FX rate by currency')
+def _c09_fx_rate_by_currency(x: _Context) -> DataFrame:
     # 09 FX rate by currency
+    t, p, c = x.t, x.p, F.col
     lo, hi = p.fx_usd_range
     d = t.invoices.agg(F.count_if(((c("currency") == "INR") & (c("fx_rate_to_inr") != 1))
                                   | ((c("currency") == "USD")
                                      & ~c("fx_rate_to_inr").between(lo, hi))).alias("n"))
-    out.append(_check(d, "09 FX rate by currency",
+    return (_check(d, "09 FX rate by currency",
                       f"INR invoices at 1.0, USD invoices between {lo:g} and {hi:g}",
                       F.concat(_s("n"), F.lit(" invoices with the wrong FX rate")),
                       _pf(c("n") == 0)))
 
+
+@_builder('10 job numbers unique and banded')
+def _c10_job_numbers_unique_and_banded(x: _Context) -> DataFrame:
     # 10 job numbers unique and banded
+    t, p, c = x.t, x.p, F.col
     w = p.job_band_width
     jobs = t.orders.filter(c("job_no").isNotNull()).select("job_no")
     band = idiv(c("job_no"), w)
@@ -195,7 +283,7 @@ def run_checks(tables, params: Params = DEFAULT) -> DataFrame:
         "bands": jobs.agg(F.countDistinct(band).alias("v")),
         "band1": jobs.agg(F.count_if(band == 1).alias("v"))})
     share = pct(c("band1"), c("n"), 1)
-    out.append(_check(m, "10 job numbers unique and banded",
+    return (_check(m, "10 job numbers unique and banded",
                       f"all distinct, at least {p.min_job_bands} bands, about "
                       f"{p.job_band1_share_pct:g}% in band 1",
                       F.concat(_s("n"), F.lit(" job numbers, "), _s("distinct"),
@@ -205,25 +293,37 @@ def run_checks(tables, params: Params = DEFAULT) -> DataFrame:
                           & (F.abs(share - p.job_band1_share_pct)
                              <= p.job_band1_tolerance_pct))))
 
+
+@_builder('11 payments do not exceed the invoice')
+def _c11_payments_do_not_exceed_the_invoice(x: _Context) -> DataFrame:
     # 11 payments never exceed the invoice
+    t, p, c = x.t, x.p, F.col
     paid = t.payments.groupBy("invoice_id").agg(F.sum("amount").alias("paid"))
     d = (paid.join(t.invoices.select("invoice_id", "taxable_value", "gst_amount"), "invoice_id")
          .agg(F.count_if(c("paid") > c("taxable_value") + c("gst_amount") + p.settle_tolerance)
               .alias("n")))
-    out.append(_check(d, "11 payments do not exceed the invoice", "0 overpayments",
+    return (_check(d, "11 payments do not exceed the invoice", "0 overpayments",
                       F.concat(_s("n"), F.lit(" invoices paid more than billed")),
                       _pf(c("n") == 0)))
 
+
+@_builder('12 payment timing')
+def _c12_payment_timing(x: _Context) -> DataFrame:
     # 12 payment timing
+    t, p, c = x.t, x.p, F.col
     d = (t.payments.select("invoice_id", "payment_date", "payment_type")
          .join(t.invoices.select("invoice_id", "invoice_date"), "invoice_id")
          .agg(F.count_if((c("payment_date") < c("invoice_date"))
                          & (c("payment_type") != "Advance")).alias("n")))
-    out.append(_check(d, "12 payment timing", "only Advance payments may predate the invoice",
+    return (_check(d, "12 payment timing", "only Advance payments may predate the invoice",
                       F.concat(_s("n"), F.lit(" non-advance payments before their invoice")),
                       _pf(c("n") == 0)))
 
+
+@_builder('13 dispatched quantities sane')
+def _c13_dispatched_quantities_sane(x: _Context) -> DataFrame:
     # 13 dispatched quantities sane
+    t, p, c = x.t, x.p, F.col
     shipped = t.dispatches.groupBy("order_id", "line_no").agg(
         F.sum("dispatched_qty").alias("shipped"))
     over = (shipped.join(t.order_lines.select("order_id", "line_no", "ordered_qty"),
@@ -232,44 +332,60 @@ def run_checks(tables, params: Params = DEFAULT) -> DataFrame:
                             .cast("decimal(6,3)")).alias("v")))
     m = metrics({"nonpos": t.dispatches.agg(F.count_if(c("dispatched_qty") <= 0).alias("v")),
                  "over": over})
-    out.append(_check(m, "13 dispatched quantities sane",
+    return (_check(m, "13 dispatched quantities sane",
                       "0 non-positive, 0 lines shipped more than ordered by over 1%",
                       F.concat(_s("nonpos"), F.lit(" non-positive, "), _s("over"),
                                F.lit(" over-shipped")),
                       _pf((c("nonpos") == 0) & (c("over") == 0))))
 
+
+@_builder('14 cancelled orders never ship')
+def _c14_cancelled_orders_never_ship(x: _Context) -> DataFrame:
     # 14 cancelled orders never ship
+    t, p, c = x.t, x.p, F.col
     d = count_of(t.orders.filter(c("cancellation_date").isNotNull()).select("order_id")
                  .join(t.dispatches.select("order_id"), "order_id", "left_semi"))
-    out.append(_check(d, "14 cancelled orders never ship", "0 violations",
+    return (_check(d, "14 cancelled orders never ship", "0 violations",
                       F.concat(_s("v"), F.lit(" cancelled orders with a dispatch")),
                       _pf(c("v") == 0)))
 
+
+@_builder('15 OTIF in range')
+def _c15_otif_in_range(x: _Context) -> DataFrame:
     # 15 OTIF in range
+    t, p, c = x.t, x.p, F.col
     lo, hi = p.otif_range_pct
     v = otif(t, p).agg(F.count(F.lit(1)).alias("n"), F.sum("otif").alias("o"),
                        F.sum("on_time").alias("t"), F.sum("in_full").alias("f"))
     o_pct = pct(c("o"), c("n"), 1)
-    out.append(_check(v, "15 OTIF in range", f"between {lo:g}% and {hi:g}%",
+    return (_check(v, "15 OTIF in range", f"between {lo:g}% and {hi:g}%",
                       F.concat(F.lit("OTIF "), o_pct.cast("string"), F.lit("% on "), _s("n"),
                                F.lit(" orders due (on time "), pct(c("t"), c("n"), 1).cast("string"),
                                F.lit("%, in full "), pct(c("f"), c("n"), 1).cast("string"),
                                F.lit("%)")),
                       _pf((F.lit(100.0) * c("o") / c("n")).between(lo, hi))))
 
+
+@_builder('16 orders without a quotation')
+def _c16_orders_without_a_quotation(x: _Context) -> DataFrame:
     # 16 orders without a quotation
+    t, p, c = x.t, x.p, F.col
     lo, hi = p.no_quote_range_pct
     d = t.orders.agg(F.count(F.lit(1)).alias("n"), F.count_if(c("quote_id").isNull()).alias("nq"))
-    out.append(_check(d, "16 orders without a quotation",
+    return (_check(d, "16 orders without a quotation",
                       "a clear majority - most orders are repeat POs",
                       F.concat(pct(c("nq"), c("n"), 1).cast("string"),
                                F.lit("% of orders have no quotation")),
                       _pf((F.lit(100.0) * c("nq") / c("n")).between(lo, hi))))
 
+
+@_builder('17 register still carries its faults')
+def _c17_register_still_carries_its_faults(x: _Context) -> DataFrame:
     # 17 the register still carries its faults
-    d = reg.select(c("dp_free_text").alias("a"), c("date_impossible").alias("b"),
+    t, p, c = x.t, x.p, F.col
+    d = x.reg.select(c("dp_free_text").alias("a"), c("date_impossible").alias("b"),
                    c("year_suspect").alias("y"), c("quote_no_other").alias("q"))
-    out.append(_check(d, "17 register still carries its faults",
+    return (_check(d, "17 register still carries its faults",
                       "free-text DP dates, an impossible date, a wrong year, status words in "
                       "the quote-number column",
                       F.concat(_s("a"), F.lit(" free-text DP, "), _s("b"), F.lit(" impossible date, "),
@@ -278,7 +394,11 @@ def run_checks(tables, params: Params = DEFAULT) -> DataFrame:
                       F.when((c("a") > 0) & (c("b") > 0) & (c("y") > 0) & (c("q") > 0), "EXPECTED")
                       .otherwise("FAIL")))
 
+
+@_builder('18 no invented vocabulary')
+def _c18_no_invented_vocabulary(x: _Context) -> DataFrame:
     # 18 nothing invented in the vocabulary
+    t, p, c = x.t, x.p, F.col
     frag = f"%{V.FORBIDDEN_LD_FRAGMENT}%"
     appl = (F.coalesce(c("ld"), F.lit("")).ilike(frag)
             | F.coalesce(c("ld_clause"), F.lit("")).ilike(frag))
@@ -286,7 +406,7 @@ def run_checks(tables, params: Params = DEFAULT) -> DataFrame:
         F.count_if(c("status") == V.FORBIDDEN_STATUS[0]).alias("a"),
         F.count_if(c("status") == V.FORBIDDEN_STATUS[1]).alias("b"),
         F.count_if(appl).alias("x"))
-    out.append(_check(d, "18 no invented vocabulary",
+    return (_check(d, "18 no invented vocabulary",
                       f"no {V.FORBIDDEN_STATUS[0]}, no {V.FORBIDDEN_STATUS[1]}, "
                       f"no {V.FORBIDDEN_LD_FRAGMENT}",
                       F.concat(_s("a"), F.lit(f" {V.FORBIDDEN_STATUS[0]}, "), _s("b"),
@@ -294,7 +414,11 @@ def run_checks(tables, params: Params = DEFAULT) -> DataFrame:
                                F.lit(f" {V.FORBIDDEN_LD_FRAGMENT}")),
                       _pf((c("a") + c("b") + c("x")) == 0)))
 
+
+@_builder('18b identity columns within allowlist')
+def _c18b_identity_columns_within_allowlist(x: _Context) -> DataFrame:
     # 18b identity columns within the allowlists
+    t, p, c = x.t, x.p, F.col
     r = t.raw_quote_register
 
     def outside(df, col, allowed):
@@ -309,26 +433,44 @@ def run_checks(tables, params: Params = DEFAULT) -> DataFrame:
         "cust": t.customers.filter(~c("customer_id").rlike(p.customer_id_pattern))
         .agg(F.countDistinct("customer_id").alias("v"))})
     n = c("people") + c("sales") + c("inco") + c("qfrom") + c("vert") + c("cust")
-    out.append(_check(m, "18b identity columns within allowlist",
+    return (_check(m, "18b identity columns within allowlist",
                       "every person, place and market value is one of the declared ones",
                       F.concat(n.cast("string"), F.lit(" value(s) outside the allowlist")),
                       _pf(n == 0)))
 
+
+@_builder('19 status mapping is complete')
+def _c19_status_mapping_is_complete(x: _Context) -> DataFrame:
     # 19 every status maps to something
-    d = reg.select(c("_unmapped").alias("u"), c("status_wordings").alias("w"),
+    t, p, c = x.t, x.p, F.col
+    d = x.reg.select(c("_unmapped").alias("u"), c("status_wordings").alias("w"),
                    c("_states").alias("s"))
-    out.append(_check(d, "19 status mapping is complete",
+    return (_check(d, "19 status mapping is complete",
                       "0 UNMAPPED - every wording in the data has a rule",
                       F.concat(_s("u"), F.lit(" unmapped, "), _s("w"),
                                F.lit(" wordings collapsed to "), _s("s"), F.lit(" states")),
                       _pf(c("u") == 0)))
 
+
+@_builder('20 cleaning log written')
+def _c20_cleaning_log_written(x: _Context) -> DataFrame:
     # 20 cleaning log written
-    log = log_rows(reg, t.orders.agg(*order_aggs()))
+    t, p, c = x.t, x.p, F.col
+    log = log_rows(x.reg, t.orders.agg(*order_aggs()))
     d = log.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("action").alias("a"))
-    out.append(_check(d, "20 cleaning log written",
+    return (_check(d, "20 cleaning log written",
                       "every cleaning decision recorded, with a mix of actions",
                       F.concat(_s("n"), F.lit(" entries across "), _s("a"),
                                F.lit(" action types")),
                       _pf((c("n") >= p.min_log_rows) & (c("a") >= p.min_log_actions))))
-    return reduce(DataFrame.unionByName, out)
+
+
+def run_checks(tables, params: Params = DEFAULT) -> DataFrame:
+    """All checks, one row each (a union of the per-check plans)."""
+    x = _Context(tables, params)
+    return reduce(DataFrame.unionByName, [_BUILDERS[n](x) for n in CHECK_NAMES])
+
+
+def one_check(tables, name: str, params: Params = DEFAULT) -> DataFrame:
+    """A single check: only its own plan is built."""
+    return _BUILDERS[name](_Context(tables, params))

@@ -157,3 +157,8 @@ register("n14_register_totals", lambda p: with_tables(ON.n14_sql(p), p))(
                                                        t.quotation_lines))(_tables(spark, sf_dir)))
 register("n15_link_summary", lambda p: with_tables(ON.n15_sql(p), p))(
     lambda spark, sf_dir: N.link_summary(_n_orders(spark, sf_dir)))
+
+for _name in C.CHECK_NAMES:
+    register(C.check_key(_name), (lambda n: lambda p: with_tables(
+        OC.checks_sql(p) + f" WHERE col0 = '{n}'", p))(_name))(
+        (lambda n: lambda spark, sf_dir: C.one_check(_tables(spark, sf_dir), n, DEFAULT))(_name))

@@ -59,7 +59,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.driver.memory", os.environ.get("ORDERFLOW_DRIVER_MEMORY", "8g"))
         .config("spark.local.dir", scratch)
         .config("spark.sql.warehouse.dir", os.path.join(scratch, "warehouse"))
-        .config("spark.checkpoint.dir", os.path.join(scratch, "checkpoints"))
+        .config("spark.checkpoint.dir", os.environ.get("ORDERFLOW_CHECKPOINT_DIR")
+                or os.path.join(scratch, "checkpoints"))
     )
     for k, v in RECOMMENDED_CONF.items():
         builder = builder.config(k, v)

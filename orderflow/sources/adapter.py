@@ -232,14 +232,14 @@ class OrderBook:
 
     @cached_property
     def _order_facts(self) -> DataFrame:
-        """Per order: product line of line 1, line-1 qty, order value (internal)."""
+        """Per order, one aggregate over its lines: product line and quantity of
+        line 1, order value in cents (internal)."""
         ln = self._lines
-        first = (ln.filter(F.col("line_no") == 1)
-                 .select("order_id", (F.col("partkey") % 3).alias("line_idx"),
-                         F.col("qty_int").alias("first_qty")))
-        value = (ln.groupBy("order_id")
-                 .agg(F.sum(F.col("qty_int") * F.col("unit_cents")).alias("value_cents")))
-        return first.join(value, "order_id", "full")
+        first = F.col("line_no") == 1
+        return ln.groupBy("order_id").agg(
+            F.max(F.when(first, F.col("partkey") % 3)).alias("line_idx"),
+            F.max(F.when(first, F.col("qty_int"))).alias("first_qty"),
+            F.sum(F.col("qty_int") * F.col("unit_cents")).alias("value_cents"))
 
     # ------------------------------------------------------------- dispatches
     @cached_property
@@ -407,7 +407,9 @@ class OrderBook:
     # ------------------------------------------------------- the raw register
     @cached_property
     def raw_quote_register(self) -> DataFrame:
-        """The all-text register: one row per order plus quote-only rows."""
+        """The all-text register: one row per order plus, for some orders that
+        were not quoted, a quote-only row (one pass: each order explodes into
+        its one or two register rows)."""
         b = self._order_base.join(self._order_facts, F.col("K") == F.col("order_id"), "left")
         cust = self.customers.select("customer_id", "market_type")
         b = b.join(cust, "customer_id", "left")
@@ -415,6 +417,15 @@ class OrderBook:
             "terms_code", F.col("description").alias("terms_text")))
         b = b.join(terms, "terms_code", "left")
         K = F.col("K")
+        quote_only = ~F.col("linked") & ((K % 7 == 0) | (K % 17 == 3) | (K % 19 == 5))
+        b = b.select("*", F.explode(F.when(quote_only, F.array(F.lit(0), F.lit(1)))
+                                    .otherwise(F.array(F.lit(0)))).alias("_kind"))
+        order_row = F.col("_kind") == 0
+
+        def pick_row(for_order, for_quote):
+            return F.when(order_row, for_order).otherwise(for_quote)
+
+        none = F.lit(None).cast("string")
         line_idx = F.coalesce(F.col("line_idx"), K % 3)
         value_text = cents_to_decimal(F.col("value_cents")).cast("string")
         po_date = F.col("po_date")
@@ -423,18 +434,9 @@ class OrderBook:
         rev_suffix = F.when(K % 3 > 0, F.concat(F.lit(" REV-0"), (K % 3).cast("string"))) \
             .otherwise(F.lit(""))
         real_quote = F.concat(F.lit("VQ/FG/"), K.cast("string"), rev_suffix)
-        common = [
-            F.col("customer_id").alias("party"),
-            pick(V.PROJECT_WORDS, K % len(V.PROJECT_WORDS)).alias("project"),
-            F.when(K % 2 == 0, pick(V.INCOTERMS, K % len(V.INCOTERMS))).alias("incoterms"),
-            F.when(K % 3 == 0, pick(V.QUOTE_FROM, K % len(V.QUOTE_FROM))).alias("quote_from"),
-        ]
-        tail = [
-            _vertical(K, F.col("market_type")).alias("vertical"),
-            _category(line_idx, K).alias("category"),
-            pick(V.PRODUCT_LINES, line_idx).alias("item"),
-        ]
-        # order rows -----------------------------------------------------------
+        gem = F.concat(F.lit("GEM/2001/B/"), (F.lit(7000000) + K % 1000000).cast("string"))
+        junk = pick(V.QUOTE_NO_JUNK, K % len(V.QUOTE_NO_JUNK))
+        is_quote = K % 7 == 0
         year_txt = F.year(po_date).cast("string")
         po_text = (F.when(K % 499 == 17, F.concat(F.lit("31-11-"), year_txt))
                    .when(K % 503 == 19, F.concat(F.date_format(po_date, "dd.MM."), F.lit("2205")))
@@ -444,65 +446,43 @@ class OrderBook:
         dp_text = (F.when(F.col("promised_date_source") == "register",
                           fmt_date(F.col("promised_delivery_date"), (K + 2) % 3))
                    .when(K % 47 == 3, pick(V.DP_FREE_TEXT, K % len(V.DP_FREE_TEXT))))
-        quote_no_order = (F.when(F.col("linked"), real_quote)
-                          .when(K % 17 == 3, F.concat(F.lit("GEM/2001/B/"),
-                                                      (F.lit(7000000) + K % 1000000).cast("string")))
-                          .when(K % 19 == 5, pick(V.QUOTE_NO_JUNK, K % len(V.QUOTE_NO_JUNK))))
-        orders_part = b.select(
-            (K * 2 + 1).cast("string").alias("sl_no"),
-            *common,
-            quote_no_order.alias("quote_no"),
-            F.when(F.col("linked"), fmt_date(quote_date, K % 3)).alias("quote_date"),
-            F.when(F.col("linked"), fmt_date(F.date_add(quote_date, 30), (K + 1) % 3))
-             .alias("validity_date"),
-            *tail,
-            F.when(K % 101 == 9, F.lit("n/a"))
-             .when(K % 4 == 0, F.col("first_qty").cast("string")).alias("item_qty"),
-            F.when(K % 4 == 2, F.lit("E-mail")).alias("inquiry"),
-            F.lit(None).cast("string").alias("inquiry_date"),
-            job_text.alias("job_no"),
-            F.col("po_no").alias("po_no"),
-            po_text.alias("po_date"),
-            F.lit(None).cast("string").alias("po_validity_date"),
-            dp_text.alias("dp_date"),
-            F.col("status_text").alias("status"),
-            F.col("ld_cell").alias("ld"),
-            F.col("ld_clause_cell").alias("ld_clause"),
-            F.when(K % 30 == 0, F.col("terms_text")).alias("payment_terms"),
-            F.when(K % 101 == 9, F.lit("n/a")).when(K % 3 != 0, value_text)
-             .alias("po_quote_value"),
-            _person(K).alias("concerned_person"),
-        )
-        # quote-only rows ------------------------------------------------------
-        qonly = b.filter(~F.col("linked") & ((K % 7 == 0) | (K % 17 == 3) | (K % 19 == 5)))
-        is_quote = K % 7 == 0
-        quote_no_q = (F.when(is_quote, real_quote)
-                      .when(K % 17 == 3, F.concat(F.lit("GEM/2001/B/"),
-                                                  (F.lit(7000000) + K % 1000000).cast("string")))
-                      .otherwise(pick(V.QUOTE_NO_JUNK, K % len(V.QUOTE_NO_JUNK))))
-        quotes_part = qonly.select(
-            (K * 2 + 2).cast("string").alias("sl_no"),
-            *common,
-            quote_no_q.alias("quote_no"),
-            F.when(is_quote, fmt_date(po_date, K % 3)).alias("quote_date"),
-            F.when(is_quote, fmt_date(F.date_add(po_date, 30), (K + 1) % 3)).alias("validity_date"),
-            *tail,
-            F.when(K % 4 == 0, F.col("first_qty").cast("string")).alias("item_qty"),
-            F.lit(None).cast("string").alias("inquiry"),
-            F.lit(None).cast("string").alias("inquiry_date"),
-            F.lit(None).cast("string").alias("job_no"),
-            F.lit(None).cast("string").alias("po_no"),
-            F.lit(None).cast("string").alias("po_date"),
-            F.lit(None).cast("string").alias("po_validity_date"),
-            F.lit(None).cast("string").alias("dp_date"),
-            pick(QUOTE_WORDINGS, (K * 7) % len(QUOTE_WORDINGS)).alias("status"),
-            F.lit(None).cast("string").alias("ld"),
-            F.lit(None).cast("string").alias("ld_clause"),
-            F.lit(None).cast("string").alias("payment_terms"),
-            F.when(K % 2 == 0, value_text).alias("po_quote_value"),
+        return b.select(
+            pick_row(K * 2 + 1, K * 2 + 2).cast("string").alias("sl_no"),
+            F.col("customer_id").alias("party"),
+            pick(V.PROJECT_WORDS, K % len(V.PROJECT_WORDS)).alias("project"),
+            F.when(K % 2 == 0, pick(V.INCOTERMS, K % len(V.INCOTERMS))).alias("incoterms"),
+            F.when(K % 3 == 0, pick(V.QUOTE_FROM, K % len(V.QUOTE_FROM))).alias("quote_from"),
+            pick_row(F.when(F.col("linked"), real_quote).when(K % 17 == 3, gem)
+                     .when(K % 19 == 5, junk),
+                     F.when(is_quote, real_quote).when(K % 17 == 3, gem).otherwise(junk))
+            .alias("quote_no"),
+            pick_row(F.when(F.col("linked"), fmt_date(quote_date, K % 3)),
+                     F.when(is_quote, fmt_date(po_date, K % 3))).alias("quote_date"),
+            pick_row(F.when(F.col("linked"), fmt_date(F.date_add(quote_date, 30), (K + 1) % 3)),
+                     F.when(is_quote, fmt_date(F.date_add(po_date, 30), (K + 1) % 3)))
+            .alias("validity_date"),
+            _vertical(K, F.col("market_type")).alias("vertical"),
+            _category(line_idx, K).alias("category"),
+            pick(V.PRODUCT_LINES, line_idx).alias("item"),
+            pick_row(F.when(K % 101 == 9, F.lit("n/a"))
+                     .when(K % 4 == 0, F.col("first_qty").cast("string")),
+                     F.when(K % 4 == 0, F.col("first_qty").cast("string"))).alias("item_qty"),
+            pick_row(F.when(K % 4 == 2, F.lit("E-mail")), none).alias("inquiry"),
+            none.alias("inquiry_date"),
+            pick_row(job_text, none).alias("job_no"),
+            pick_row(F.col("po_no"), none).alias("po_no"),
+            pick_row(po_text, none).alias("po_date"),
+            none.alias("po_validity_date"),
+            pick_row(dp_text, none).alias("dp_date"),
+            pick_row(F.col("status_text"), pick(QUOTE_WORDINGS, (K * 7) % len(QUOTE_WORDINGS)))
+            .alias("status"),
+            pick_row(F.col("ld_cell"), none).alias("ld"),
+            pick_row(F.col("ld_clause_cell"), none).alias("ld_clause"),
+            pick_row(F.when(K % 30 == 0, F.col("terms_text")), none).alias("payment_terms"),
+            pick_row(F.when(K % 101 == 9, F.lit("n/a")).when(K % 3 != 0, value_text),
+                     F.when(K % 2 == 0, value_text)).alias("po_quote_value"),
             _person(K).alias("concerned_person"),
         )
-        return orders_part.unionByName(quotes_part)
 
     # ----------------------------------------- inputs of the normalisation rules
     @cached_property

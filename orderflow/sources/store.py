@@ -14,6 +14,7 @@ from __future__ import annotations
 import hashlib
 import os
 import threading
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,17 +22,24 @@ from ..params import DEFAULT, Params
 from ..session import shared_dir
 from . import adapter, tpch
 
-# tables written, with the column each file is clustered by
-LAYOUT = {
-    "customers": "customer_id", "items": "item_id", "payment_terms": None,
-    "quotations": "quote_id", "quotation_lines": "quote_id", "orders": "order_id",
-    "order_lines": "order_id", "dispatches": "order_id", "invoices": "order_id",
-    "payments": "invoice_id", "raw_quote_register": None,
-    "po_document_dates": "sl_no", "fx_monthly": None, "register_links": "sl_no",
-}
+# Written once, with the column each file is clustered by, in waves: the stages
+# of one wave do not depend on each other and are written as concurrent Spark
+# jobs. They are the shared intermediates of the derivation and the tables that
+# need a join to build; every other table is a narrow projection of these and
+# is computed on read (Parquet column pruning reaches through the projection).
+WAVES = [
+    [("_lines", "order_id"), ("_order_base", "K"), ("customers", "customer_id"),
+     ("items", "item_id")],
+    [("_dispatch_rows", "order_id"), ("quotation_lines", "quote_id"),
+     ("raw_quote_register", None)],
+    [("_invoice_rows", "order_id")],
+]
+STAGES = [s for wave in WAVES for s in wave]
+# stages whose plan already ends in a shuffle on their cluster key
+PRE_CLUSTERED = {"_lines"}
 SOURCES = ["region", "nation", "customer", "part", "orders", "lineitem"]
 _LOCK = threading.Lock()
-_BUILT: dict[str, "StoredOrderBook"] = {}
+_BUILT: dict[str, adapter.OrderBook] = {}
 
 
 def fingerprint(sf_dir: str, params: Params) -> str:
@@ -49,36 +57,18 @@ def fingerprint(sf_dir: str, params: Params) -> str:
     return h.hexdigest()[:16]
 
 
-class StoredOrderBook:
-    """Same interface as ``adapter.OrderBook`` but backed by written Parquet."""
-
-    TABLES = adapter.OrderBook.TABLES
-
-    def __init__(self, spark: SparkSession, root: str, params: Params):
-        self.spark, self.root, self.params = spark, root, params
-        self._cache: dict[str, DataFrame] = {}
-
-    def __getitem__(self, name: str) -> DataFrame:
-        return getattr(self, name)
-
-    def __getattr__(self, name: str) -> DataFrame:
-        if name.startswith("_") or name not in LAYOUT:
-            raise AttributeError(name)
-        if name not in self._cache:
-            self._cache[name] = self.spark.read.parquet(os.path.join(self.root, name))
-        return self._cache[name]
-
-
-def _write(df: DataFrame, path: str, cluster: str | None) -> None:
+def _write(df: DataFrame, path: str, cluster: str | None, clustered: bool = False) -> None:
     """At least two files per core so every later scan runs in parallel (a
     small Parquet file is one task); keyed tables are hash-clustered by their
-    key and sorted inside each file, so row-group statistics prune key lookups."""
-    spark = df.sparkSession
-    files = max(2 * spark.sparkContext.defaultParallelism, df.rdd.getNumPartitions())
-    if cluster:
-        df = df.repartition(files, cluster).sortWithinPartitions(cluster)
+    key and sorted inside each file, so row-group statistics prune key lookups.
+    A stage that already comes out of a shuffle on its key is only sorted."""
+    if clustered:
+        df = df.sortWithinPartitions(cluster)
     else:
-        df = df.repartition(files)
+        files = max(2 * df.sparkSession.sparkContext.defaultParallelism,
+                    df.rdd.getNumPartitions())
+        df = (df.repartition(files, cluster).sortWithinPartitions(cluster) if cluster
+              else df.repartition(files))
     df.write.mode("overwrite").parquet(path)
 
 
@@ -90,22 +80,30 @@ def _exists(spark: SparkSession, path: str) -> bool:
         return False
 
 
-def build(spark: SparkSession, sf_dir: str, params: Params = DEFAULT) -> StoredOrderBook:
-    """Derive and write the order book once per (sources, code, params)."""
+def build(spark: SparkSession, sf_dir: str, params: Params = DEFAULT) -> adapter.OrderBook:
+    """The order book with its stages read from Parquet written once per
+    (sources, code, params) into the shared checkpoint folder."""
     key = fingerprint(sf_dir, params)
     with _LOCK:
         if key in _BUILT and _BUILT[key].spark is spark:
             return _BUILT[key]
         root = f"{shared_dir(spark)}/orderbook/{key}"
         marker = f"{root}/_built_marker"
-        if not _exists(spark, marker):
-            book = adapter.build(spark, sf_dir, params)
-            for name, cluster in LAYOUT.items():
-                _write(book[name], f"{root}/{name}", cluster)
+        book = adapter.build(spark, sf_dir, params)
+        done = _exists(spark, marker)
+        for wave in WAVES:
+            if not done:
+                plans = [(getattr(book, n), f"{root}/{n}", c, n in PRE_CLUSTERED)
+                         for n, c in wave]
+                with ThreadPoolExecutor(max_workers=len(plans)) as pool:
+                    list(pool.map(lambda a: _write(*a), plans))
+            # later waves and every projection now start from the written files
+            for name, _ in wave:
+                book.__dict__[name] = spark.read.parquet(f"{root}/{name}")
+        if not done:
             spark.createDataFrame([(key,)], "v string").write.mode("overwrite").text(marker)
-        stored = StoredOrderBook(spark, root, params)
-        _BUILT[key] = stored
-        return stored
+        _BUILT[key] = book
+        return book
 
 
 def is_built(spark: SparkSession, sf_dir: str, params: Params = DEFAULT) -> bool:

@@ -70,3 +70,15 @@ def test_constraint_audit_finds_planted_rows(book):
     found = {(r.table_name, r.kind) for r in audit_constraints(bad)
              .filter(F.col("violations") > 0).collect()}
     assert ("orders", "primary key") in found and ("orders", "unique") in found
+
+
+def test_check_names_and_keys(clean_verdicts):
+    from orderflow.operators.checks import CHECK_NAMES, check_key
+    assert set(CHECK_NAMES) == set(clean_verdicts)
+    assert check_key("06a quote <= PO (modelled tables)") == "c06a_quote_po_modelled_tables"
+
+
+def test_single_check_prunes_other_branches(book):
+    from orderflow.operators.checks import one_check
+    df = one_check(book, "09 FX rate by currency")
+    assert [r.verdict for r in df.collect()] == ["PASS"]
