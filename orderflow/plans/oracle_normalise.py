@@ -132,3 +132,19 @@ FROM n_orders"""
 
 
 _ = (cents, q)
+
+
+def n_slim_sql(kind: str) -> str:
+    """Twins of the slim N views (projections of the quotation / order rules)."""
+    if kind == "n2":
+        return (_parts() + "\nSELECT r.sl_no, r.quote_no FROM (SELECT "
+                f"{_lead_int('sl_no')} AS sl_no, quote_no FROM ob_raw_register "
+                f"WHERE regexp_matches(quote_no, '{QP}')) r")
+    if kind == "n5":
+        return _quotations() + "\nSELECT quote_id, quote_date FROM n_quotes"
+    cols = {"n7": "order_id, po_no, job_no",
+            "n8": "order_id, promised_delivery_date, promised_date_source",
+            "n9": "order_id, ld_clause, ld_clause_source",
+            "n10": ("order_id, order_status, CASE WHEN order_status IS NULL THEN NULL "
+                    "ELSE is_cancelled_ END AS is_cancelled")}[kind]
+    return _orders() + f"\nSELECT {cols} FROM n_orders"

@@ -5,6 +5,7 @@ from __future__ import annotations
 from ..operators import analysis as A
 from ..operators import delivery as D
 from ..params import DEFAULT
+from . import oracle_queries as OQ
 from .catalog import _oq, _tables, register
 
 
@@ -162,3 +163,37 @@ for _name in C.CHECK_NAMES:
     register(C.check_key(_name), (lambda n: lambda p: with_tables(
         OC.checks_sql(p) + f" WHERE col0 = '{n}'", p))(_name))(
         (lambda n: lambda spark, sf_dir: C.one_check(_tables(spark, sf_dir), n, DEFAULT))(_name))
+
+
+# ------------------------------------------------- slim N and V views
+from pyspark.sql import functions as _F  # noqa: E402
+
+
+def _n_slim(kind):
+    def run(spark, sf_dir):
+        t = _tables(spark, sf_dir)
+        raw = t.raw_quote_register
+        if kind == "n2":
+            return (raw.filter(_F.col("quote_no").rlike(N.V.QUOTE_NO_PATTERN))
+                    .select(N.leading_int(_F.col("sl_no")).alias("sl_no"), "quote_no"))
+        if kind == "n5":
+            return N.quotations(raw, DEFAULT).select("quote_id", "quote_date")
+        o = N.orders(raw, N.quotations(raw, DEFAULT), t.po_document_dates, t.payment_terms)
+        cols = {"n7": ["order_id", "po_no", "job_no"],
+                "n8": ["order_id", "promised_delivery_date", "promised_date_source"],
+                "n9": ["order_id", "ld_clause", "ld_clause_source"],
+                "n10": ["order_id", "order_status", "is_cancelled"]}[kind]
+        return o.select(*cols)
+    return run
+
+
+for _kind, _name in (("n2", "n2_quotation_rows"), ("n5", "n5_quote_dates"),
+                     ("n7", "n7_order_rows"), ("n8", "n8_promised_dates"),
+                     ("n9", "n9_ld_merge"), ("n10", "n10_cancelled")):
+    register(_name, (lambda k: lambda p: with_tables(ON.n_slim_sql(k), p))(_kind))(
+        _n_slim(_kind))
+
+register("v1_due_orders", lambda p: with_tables(OQ.v_slim_sql("v1", p), p))(
+    lambda spark, sf_dir: D.due_orders(_tables(spark, sf_dir).orders, DEFAULT))
+register("v2_line_shipments", lambda p: with_tables(OQ.v_slim_sql("v2", p), p))(
+    lambda spark, sf_dir: as_reported(D.line_shipments(_tables(spark, sf_dir).dispatches)))

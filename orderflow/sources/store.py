@@ -22,17 +22,20 @@ from ..params import DEFAULT, Params
 from ..session import shared_dir
 from . import adapter, tpch
 
-# Written once, with the column each file is clustered by, in waves: the stages
+# Written once, with the column each file is clustered by, in waves: the tables
 # of one wave do not depend on each other and are written as concurrent Spark
-# jobs. They are the shared intermediates of the derivation and the tables that
-# need a join to build; every other table is a narrow projection of these and
-# is computed on read (Parquet column pruning reaches through the projection).
+# jobs; each wave starts from the Parquet written by the waves before it. The
+# internal stages (leading underscore) are the shared intermediates of the
+# derivation, so each is computed exactly once.
 WAVES = [
     [("_lines", "order_id"), ("_order_base", "K"), ("customers", "customer_id"),
-     ("items", "item_id")],
-    [("_dispatch_rows", "order_id"), ("quotation_lines", "quote_id"),
-     ("raw_quote_register", None)],
-    [("_invoice_rows", "order_id")],
+     ("items", "item_id"), ("payment_terms", None)],
+    [("_dispatch_rows", "order_id"), ("order_lines", "order_id"), ("orders", "order_id"),
+     ("quotations", "quote_id"), ("quotation_lines", "quote_id"),
+     ("raw_quote_register", None), ("po_document_dates", "sl_no"),
+     ("register_links", "sl_no")],
+    [("_invoice_rows", "order_id"), ("dispatches", "order_id"), ("fx_monthly", None)],
+    [("invoices", "order_id"), ("payments", "invoice_id")],
 ]
 STAGES = [s for wave in WAVES for s in wave]
 # stages whose plan already ends in a shuffle on their cluster key
