@@ -246,19 +246,19 @@ def q7_payment_behaviour(tables, params: Params = DEFAULT) -> DataFrame:
                         round_ratio(F.col("_sd"), F.col("_nd"), 1).alias("avg_days_vs_due"),
                         "_out"))
     # NTILE(4) over the whole ranking needs only the population size and each
-    # reported row's rank: top-k is a distributed TakeOrderedAndProject and the
-    # size is a one-row global aggregate, so no task ever holds all customers.
+    # reported row's rank: the top-k is a distributed TakeOrderedAndProject and
+    # the size a one-row global aggregate; the size is carried to the k rows by a
+    # window over those k + 1 rows (no join, no task ever holds all customers).
     order = [F.col("avg_days_vs_due").desc_nulls_last(), F.col("customer_id").asc()]
-    top = per_cust.orderBy(*order).limit(params.top_customers_reported)
-    size = F.broadcast(per_cust.agg(F.count(F.lit(1)).alias("_pop"))
-                       .withColumn("_k", F.lit(1)))
-    top = (top.withColumn("_k", F.lit(1)).join(size, "_k")
-           .withColumn("_r", F.row_number().over(Window.partitionBy().orderBy(*order))))
-    r, pop = F.col("_r").cast("long"), F.col("_pop").cast("long")
-    q, rem = idiv(pop, 4), F.pmod(pop, F.lit(4))
-    big = rem * (q + 1)
-    quartile = F.when(r <= big, idiv(r - 1, q + 1) + 1).otherwise(
-        rem + idiv(r - 1 - big, F.greatest(q, F.lit(1))) + 1)
+    top = per_cust.orderBy(*order).limit(params.top_customers_reported) \
+        .withColumn("_pop", F.lit(None).cast("long"))
+    size = per_cust.agg(F.count(F.lit(1)).alias("_pop"))
+    both = top.unionByName(size, allowMissingColumns=True)
+    everything = Window.partitionBy()
+    top = (both.withColumn("_pop", F.max("_pop").over(everything))
+           .filter(F.col("customer_id").isNotNull())
+           .withColumn("_r", F.row_number().over(everything.orderBy(*order))))
+    quartile = B.ntile_from_rank(F.col("_r"), F.col("_pop"), 4)
     return top.select(
         "customer_id", "market_type", "region", F.col("invoices").cast("long").alias("invoices"),
         pct(F.col("_full"), F.col("invoices"), 0).alias("settled_in_full_pct"),

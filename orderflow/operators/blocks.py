@@ -83,3 +83,14 @@ def top_k_per_group(df: DataFrame, partition: Sequence[str], order: Sequence,
     window lets Spark insert a partial group limit before the shuffle."""
     w = Window.partitionBy(*partition).orderBy(*order)
     return df.withColumn(rank_col, F.row_number().over(w)).filter(F.col(rank_col) <= k)
+
+
+def ntile_from_rank(rank: Column, population: Column, buckets: int) -> Column:
+    """NTILE(buckets) of the row at 1-based ``rank`` in a ranking of ``population``
+    rows, without a window over the population: the first (population mod
+    buckets) tiles hold one row more than the others."""
+    r, n = rank.cast("long"), population.cast("long")
+    size, rem = idiv(n, buckets), F.pmod(n, F.lit(buckets))
+    big = rem * (size + 1)
+    return F.when(r <= big, idiv(r - 1, size + 1) + 1).otherwise(
+        rem + idiv(r - 1 - big, F.greatest(size, F.lit(1))) + 1)

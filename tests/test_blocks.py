@@ -15,3 +15,17 @@ def test_median_with_duplicates(spark):
     df = spark.createDataFrame([("x", v) for v in [1, 1, 1, 5, 9, 9]], "g string, v long")
     r = nearest_rank_stats(df, ["g"], "v").first()
     assert r.median_value == 3.0 and r.min_value == 1 and r.max_value == 9
+
+
+def test_ntile_from_rank_equals_ntile(spark):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from orderflow.operators.blocks import ntile_from_rank
+    rows = [(n, r) for n in range(1, 41) for r in range(1, n + 1)]
+    df = spark.createDataFrame(rows, "n long, r long")
+    w = Window.partitionBy("n").orderBy("r")
+    bad = (df.select("n", "r", F.ntile(4).over(w).alias("want"),
+                     ntile_from_rank(F.col("r"), F.col("n"), 4).alias("got"))
+           .filter(F.col("want") != F.col("got")))
+    assert bad.count() == 0
