@@ -49,3 +49,11 @@ def leading_number(text: Column) -> Column:
     """Decimal read from the leading numeric prefix ('1234.50 INR' -> 1234.50)."""
     num = F.regexp_extract(text, r"^([0-9]+(\.[0-9]+)?)", 1)
     return F.when(text.rlike("^[0-9]"), num.try_cast("decimal(18,2)"))
+
+
+def literal_table(spark, rows, schema: list[tuple[str, str]]):
+    """A small fixed table built JVM-side (an ``inline`` of literal structs), so
+    no Python worker is involved when it is scanned or joined."""
+    structs = [F.struct(*[F.lit(v).cast(t).alias(n) for v, (n, t) in zip(row, schema)])
+               for row in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))

@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import vocab as V
+from ..functions.text import literal_table
 from ..sources import tpch
 
 SAMPLE = 4
@@ -130,7 +131,7 @@ def _first_values(df: DataFrame, keys: list[str], value: str, n: int = SAMPLE) -
 def allowlists(spark: SparkSession, sf_dir: str) -> dict[tuple[str, str], DataFrame]:
     """(table, column) -> one-column DataFrame ``allowed`` of permitted values."""
     def lit_df(values):
-        return spark.createDataFrame([(v,) for v in sorted(set(values))], "allowed string")
+        return literal_table(spark, [(v,) for v in sorted(set(values))], [("allowed", "string")])
     nations = tpch.read(spark, sf_dir, "nation", ["n_name"]).select(F.col("n_name").alias("allowed"))
     regions = tpch.read(spark, sf_dir, "region", ["r_name"]).select(F.col("r_name").alias("allowed"))
     countries = nations.unionByName(lit_df([V.HOME_COUNTRY]))
@@ -158,8 +159,8 @@ def allowlist_scan(tables, spark: SparkSession, sf_dir: str) -> DataFrame:
                                     "value"))
     found = _first_values(reduce(DataFrame.unionByName, parts), ["table_name", "column_name"],
                           "value", 5)
-    checked = spark.createDataFrame([(t, c) for t, c in allowlists(spark, sf_dir)],
-                                    "table_name string, column_name string")
+    checked = literal_table(spark, list(allowlists(spark, sf_dir)),
+                            [("table_name", "string"), ("column_name", "string")])
     return (checked.join(found, ["table_name", "column_name"], "left")
             .select("table_name", "column_name",
                     F.coalesce("hits", F.lit(0)).cast("long").alias("outside_values"),

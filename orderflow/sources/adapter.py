@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from .. import vocab as V
 from ..functions.numeric import cents_to_decimal, idiv
-from ..functions.text import fmt_date, pick
+from ..functions.text import fmt_date, literal_table, pick
 from ..params import DEFAULT, Params
 from . import tpch
 
@@ -144,9 +144,10 @@ class OrderBook:
 
     @cached_property
     def payment_terms(self) -> DataFrame:
-        return self.spark.createDataFrame(
-            [(c, d, n, float(a)) for c, d, n, a in V.PAYMENT_TERMS],
-            "terms_code string, description string, credit_days int, advance_pct double")
+        return literal_table(
+            self.spark, [(c, d, n, float(a)) for c, d, n, a in V.PAYMENT_TERMS],
+            [("terms_code", "string"), ("description", "string"), ("credit_days", "int"),
+             ("advance_pct", "double")])
 
     # ------------------------------------------------------------------ lines
     @cached_property

@@ -14,6 +14,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from ..functions.text import literal_table
 from ..operators.delivery import otif
 from ..operators.register import RAW_COLUMNS, clean_register
 from ..params import DEFAULT, Params
@@ -57,7 +58,7 @@ def write_params_json(spark: SparkSession, params: Params, path: str) -> None:
     import json
     doc = json.dumps({f.name: _to_jsonable(getattr(params, f.name))
                       for f in dataclasses.fields(params)})
-    spark.createDataFrame([(doc,)], "value string").coalesce(1) \
+    literal_table(spark, [(doc,)], [("value", "string")]).coalesce(1) \
         .write.mode("overwrite").text(path)
 
 

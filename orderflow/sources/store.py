@@ -19,6 +19,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 
 from ..params import DEFAULT, Params
+from ..functions.text import literal_table
 from ..session import shared_dir
 from . import adapter, tpch
 
@@ -104,7 +105,7 @@ def build(spark: SparkSession, sf_dir: str, params: Params = DEFAULT) -> adapter
             for name, _ in wave:
                 book.__dict__[name] = spark.read.parquet(f"{root}/{name}")
         if not done:
-            spark.createDataFrame([(key,)], "v string").write.mode("overwrite").text(marker)
+            literal_table(spark, [(key,)], [("v", "string")]).write.mode("overwrite").text(marker)
         _BUILT[key] = book
         return book
 
