@@ -96,10 +96,14 @@ def cells(tables: dict[str, DataFrame], only_text: bool = False,
                 and not (for_patterns and f.dataType.simpleString().startswith(NEVER_MATCHES))]
         if not cols:
             continue
+        types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
         arr = F.array(*[F.struct(F.lit(c).alias("column_name"),
-                                 F.col(c).cast("string").alias("value")) for c in cols])
+                                 F.col(c).cast("string").alias("value"),
+                                 F.lit(types[c] != "string").alias("digits_only"))
+                        for c in cols])
         parts.append(df.select(F.inline(arr))
-                     .select(F.lit(name).alias("table_name"), "column_name", "value")
+                     .select(F.lit(name).alias("table_name"), "column_name", "value",
+                             "digits_only")
                      .filter(F.col("value").isNotNull()))
     return reduce(DataFrame.unionByName, parts)
 
@@ -167,23 +171,32 @@ def allowlist_scan(tables, spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.coalesce("sample", F.lit("")).alias("sample")))
 
 
-# cheap necessary conditions checked before a pattern's full regex runs
+# cheap necessary conditions checked before a pattern's full regex runs: the
+# shortest text each pattern can match, and a character or run it must contain
 GUARDS = {
-    "email address": lambda v: F.instr(v, "@") > 0,
-    "Indian mobile number": lambda v: v.rlike(UNICODE + r"[6-9]\d{9}"),
-    "GSTIN": lambda v: v.rlike("[A-Z]{5}"),
-    "PAN": lambda v: v.rlike("[A-Z]{5}"),
+    "email address": lambda v: (F.length(v) >= 6) & (F.instr(v, "@") > 0),
+    "Indian mobile number": lambda v: (F.length(v) >= 10) & v.rlike(UNICODE + r"[6-9]\d{9}"),
+    "GSTIN": lambda v: (F.length(v) >= 15) & v.rlike("[A-Z]{5}"),
+    "PAN": lambda v: (F.length(v) >= 10) & v.rlike("[A-Z]{5}"),
     "tender ref in an actual serial range": lambda v: F.instr(v, "GEM/") > 0,
+    "person-shaped text": lambda v: F.length(v) >= 7,
 }
 PERSON_RULE = "person-shaped text"
 
 
+# the only pattern an integer's text (digits, maybe a sign) can match
+DIGIT_PATTERNS = {"Indian mobile number"}
+
+
 def _extract(label: str, rx: str):
     v = F.col("value")
     found = F.regexp_extract_all(v, F.lit(UNICODE + rx), 0)
     guard = GUARDS.get(label)
+    if label not in DIGIT_PATTERNS:
+        text_only = ~F.col("digits_only")
+        guard = (lambda g: (lambda x: text_only & g(x)))(guard) if guard else (lambda x: text_only)
     empty = F.array().cast("array<string>")
-    return F.when(guard(v), found).otherwise(empty) if guard else found
+    return F.when(guard(v), found).otherwise(empty)
 
 
 def matches(cell_df: DataFrame, location_cols=("table_name", "column_name"),
@@ -211,20 +224,52 @@ def matches(cell_df: DataFrame, location_cols=("table_name", "column_name"),
     return m.filter(~explained)
 
 
+INTEGRAL = ("tinyint", "smallint", "int", "bigint")
+MOBILE = "Indian mobile number"
+
+
+def integer_mobile_matches(tables: dict[str, DataFrame]) -> DataFrame:
+    """P3 for integer columns without text: an integer's text (digits, perhaps a
+    minus sign) matches the mobile pattern exactly when the number has ten
+    digits and starts with 6-9, i.e. |v| in [6e9, 1e10); the match is |v|."""
+    parts = []
+    for name, df in tables.items():
+        for f in df.schema.fields:
+            if f.dataType.simpleString() not in INTEGRAL:
+                continue
+            v = F.abs(F.col(f.name).cast("long"))
+            parts.append(df.filter(v.between(6_000_000_000, 9_999_999_999))
+                         .select(F.lit(MOBILE).alias("rule"), F.lit(name).alias("table_name"),
+                                 F.lit(f.name).alias("column_name"),
+                                 v.cast("string").alias("match")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def scan(tables: dict[str, DataFrame]) -> DataFrame:
+    """P3 + P4 over every cell: regexes over the text cells, the numeric form of
+    the mobile pattern over the integer cells (same findings as scanning every
+    cell's text, far fewer string conversions)."""
+    text = {name: df.select(*[f.name for f in df.schema.fields
+                              if f.dataType.simpleString() == "string"])
+            for name, df in tables.items()}
+    text = {k: v for k, v in text.items() if v.columns}
+    return matches(cells(text)).unionByName(integer_mobile_matches(tables))
+
+
 def pattern_matches(cell_df: DataFrame, location_cols=("table_name", "column_name")) -> DataFrame:
     """(rule, *location, match) for every pattern match in every cell."""
     return matches(cell_df, location_cols, with_person_shapes=False)
 
 
-def pattern_scan(cell_df: DataFrame) -> DataFrame:
+def pattern_scan(tables: dict[str, DataFrame]) -> DataFrame:
     """P3 report: per (rule, table, column) distinct matches and a sample."""
-    return _first_values(pattern_matches(cell_df), ["rule", "table_name", "column_name"],
-                         "match")
+    m = scan(tables).filter(F.col("rule") != PERSON_RULE)
+    return _first_values(m, ["rule", "table_name", "column_name"], "match")
 
 
-def person_shapes(cell_df: DataFrame) -> DataFrame:
+def person_shapes(tables: dict[str, DataFrame]) -> DataFrame:
     """Person-shaped matches not explained by the declared vocabulary."""
-    m = matches(cell_df).filter(F.col("rule") == PERSON_RULE)
+    m = scan(tables).filter(F.col("rule") == PERSON_RULE)
     return _first_values(m, ["table_name", "column_name"], "match")
 
 
@@ -236,7 +281,8 @@ def text_file_findings(spark: SparkSession, path: str) -> DataFrame:
     files = spark.read.text(path, wholetext=True).select(
         F.input_file_name().alias("file"), F.col("value").alias("_text"))
     lines = files.select("file", F.posexplode(F.split("_text", "\n")).alias("_pos", "value"))
-    lines = lines.select("file", (F.col("_pos") + 1).alias("line_no"), "value")
+    lines = lines.select("file", (F.col("_pos") + 1).alias("line_no"), "value",
+                         F.lit(False).alias("digits_only"))
     return pattern_matches(lines, ("file", "line_no")).select("rule", "file", "line_no", "match")
 
 
@@ -247,8 +293,7 @@ def privacy_report(tables, spark: SparkSession, sf_dir: str) -> DataFrame:
              .select(F.lit("allowlist").alias("rule"),
                      F.concat_ws(".", "table_name", "column_name").alias("location"),
                      F.col("outside_values").alias("hits"), "sample"))
-    found = _first_values(matches(cells(scanned)), ["rule", "table_name", "column_name"],
-                          "match")
+    found = _first_values(scan(scanned), ["rule", "table_name", "column_name"], "match")
     return allow.unionByName(found.select(
         "rule", F.concat_ws(".", "table_name", "column_name").alias("location"), "hits",
         "sample"))

@@ -100,9 +100,9 @@ register("p1_cells", lambda p: with_tables(OP.p1_sql(), p))(
 register("p2_allowlist", lambda p: with_tables(OP.p2_sql(), p))(
     lambda spark, sf_dir: P.allowlist_scan(_tables(spark, sf_dir), spark, sf_dir))
 register("p3_patterns")(
-    lambda spark, sf_dir: P.pattern_scan(P.cells(_scanned(spark, sf_dir)[1])))
+    lambda spark, sf_dir: P.pattern_scan(_scanned(spark, sf_dir)[1]))
 register("p4_person_shapes")(
-    lambda spark, sf_dir: P.person_shapes(P.cells(_scanned(spark, sf_dir)[1])))
+    lambda spark, sf_dir: P.person_shapes(_scanned(spark, sf_dir)[1]))
 register("p6_privacy_report")(
     lambda spark, sf_dir: P.privacy_report(_tables(spark, sf_dir), spark, sf_dir))
 
