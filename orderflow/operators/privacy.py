@@ -200,13 +200,13 @@ def _extract(label: str, rx: str):
 
 
 def matches(cell_df: DataFrame, location_cols=("table_name", "column_name"),
-            with_person_shapes: bool = True) -> DataFrame:
+            with_person_shapes: bool = True, with_patterns: bool = True) -> DataFrame:
     """P3 + P4 in one pass over the cells: (rule, *location, match).
 
     Person-shaped matches skip the exempt columns and drop allowlisted people
     and anything contained in a declared string."""
-    rules = [F.struct(F.lit(label).alias("rule"), _extract(label, rx).alias("found"))
-             for label, rx in V.PRIVACY_PATTERNS]
+    rules = ([F.struct(F.lit(label).alias("rule"), _extract(label, rx).alias("found"))
+              for label, rx in V.PRIVACY_PATTERNS] if with_patterns else [])
     if with_person_shapes:
         exempt = F.lit(False)
         for t, c in PERSON_SHAPE_EXEMPT:
@@ -217,6 +217,8 @@ def matches(cell_df: DataFrame, location_cols=("table_name", "column_name"),
     m = (cell_df.select(*location_cols, F.inline(F.array(*rules)))
          .filter(F.size("found") > 0)
          .select("rule", *location_cols, F.explode("found").alias("match")))
+    if not with_person_shapes:
+        return m
     declared = F.array(*[F.lit(d) for d in declared_strings()])
     explained = (F.col("rule") == PERSON_RULE) & (
         F.col("match").isin(*V.PEOPLE)
@@ -245,7 +247,8 @@ def integer_mobile_matches(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def scan(tables: dict[str, DataFrame]) -> DataFrame:
+def scan(tables: dict[str, DataFrame], patterns: bool = True,
+         person_shapes: bool = True) -> DataFrame:
     """P3 + P4 over every cell: regexes over the text cells, the numeric form of
     the mobile pattern over the integer cells (same findings as scanning every
     cell's text, far fewer string conversions)."""
@@ -253,7 +256,8 @@ def scan(tables: dict[str, DataFrame]) -> DataFrame:
                               if f.dataType.simpleString() == "string"])
             for name, df in tables.items()}
     text = {k: v for k, v in text.items() if v.columns}
-    return matches(cells(text)).unionByName(integer_mobile_matches(tables))
+    found = matches(cells(text), with_person_shapes=person_shapes, with_patterns=patterns)
+    return found.unionByName(integer_mobile_matches(tables)) if patterns else found
 
 
 def pattern_matches(cell_df: DataFrame, location_cols=("table_name", "column_name")) -> DataFrame:
@@ -263,13 +267,13 @@ def pattern_matches(cell_df: DataFrame, location_cols=("table_name", "column_nam
 
 def pattern_scan(tables: dict[str, DataFrame]) -> DataFrame:
     """P3 report: per (rule, table, column) distinct matches and a sample."""
-    m = scan(tables).filter(F.col("rule") != PERSON_RULE)
+    m = scan(tables, person_shapes=False)
     return _first_values(m, ["rule", "table_name", "column_name"], "match")
 
 
 def person_shapes(tables: dict[str, DataFrame]) -> DataFrame:
     """Person-shaped matches not explained by the declared vocabulary."""
-    m = scan(tables).filter(F.col("rule") == PERSON_RULE)
+    m = scan(tables, patterns=False)
     return _first_values(m, ["table_name", "column_name"], "match")
 
 
