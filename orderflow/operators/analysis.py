@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import vocab as V
-from ..functions.numeric import idiv, money, pct, round_ratio, tenths
+from ..functions.numeric import money, pct, round_ratio, tenths
 from ..params import DEFAULT, Params
 from . import blocks as B
 from .delivery import otif

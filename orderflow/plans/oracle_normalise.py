@@ -11,7 +11,7 @@ from .. import vocab as V
 from ..operators.normalise import DEFAULT_QUOTE_DATE
 from ..params import DEFAULT, Params
 from .oracle_register import _lead_int
-from .oracle_tables import cents, q, sql_in
+from .oracle_tables import sql_in
 
 QP = V.QUOTE_NO_PATTERN
 RP = V.REVISION_PATTERN
@@ -131,8 +131,6 @@ SELECT CAST(COUNT(*) AS BIGINT) AS orders, {c('quote_id IS NOT NULL')} AS linked
 FROM n_orders"""
 
 
-_ = (cents, q)
-
 
 def n_slim_sql(kind: str) -> str:
     """Twins of the slim N views (projections of the quotation / order rules)."""
