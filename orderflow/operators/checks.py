@@ -115,13 +115,13 @@ def _c01_row_counts(x: _Context) -> DataFrame:
     nonempty = reduce(lambda a, b: a & b, [c(k) > 0 for k in ("customers", "items", "quotations",
                                                               "orders", "dispatches", "invoices",
                                                               "payments")])
-    return (_check(m, "01 row counts", "register rows as expected, every table non-empty",
-                      F.concat(F.lit("register "), _s("raw_quote_register"),
-                               F.lit(", quotations "), _s("quotations"), F.lit(", orders "),
-                               _s("orders"), F.lit(", dispatches "), _s("dispatches"),
-                               F.lit(", invoices "), _s("invoices"), F.lit(", payments "),
-                               _s("payments")),
-                      _pf(reg_ok & nonempty)))
+    return _check(m, "01 row counts", "register rows as expected, every table non-empty",
+                  F.concat(F.lit("register "), _s("raw_quote_register"),
+                           F.lit(", quotations "), _s("quotations"), F.lit(", orders "),
+                           _s("orders"), F.lit(", dispatches "), _s("dispatches"),
+                           F.lit(", invoices "), _s("invoices"), F.lit(", payments "),
+                           _s("payments")),
+                  _pf(reg_ok & nonempty))
 
 
 @_builder('02 rows per product line')
@@ -139,8 +139,8 @@ def _c02_rows_per_product_line(x: _Context) -> DataFrame:
                                  lambda s: F.concat(s["item"], F.lit(" "), s["n"].cast("string"))),
                      ", ").alias("a"),
         F.sum(F.when(line_ok, 1).otherwise(0)).alias("hits"))
-    return (_check(g, "02 rows per product line", "every product line present",
-                      c("a"), _pf(c("hits") == want)))
+    return _check(g, "02 rows per product line", "every product line present",
+                  c("a"), _pf(c("hits") == want))
 
 
 @_builder('03 orphaned foreign keys')
@@ -159,8 +159,8 @@ def _c03_orphaned_foreign_keys(x: _Context) -> DataFrame:
     orphans = reduce(DataFrame.unionByName,
                      [fk_orphans(t, *fk).select(F.col("violations").alias("v")) for fk in fks])
     o = orphans.agg(F.sum("v").alias("n"))
-    return (_check(o, "03 orphaned foreign keys", "0 across every relationship",
-                      F.concat(_s("n"), F.lit(" orphans")), _pf(c("n") == 0)))
+    return _check(o, "03 orphaned foreign keys", "0 across every relationship",
+                  F.concat(_s("n"), F.lit(" orphans")), _pf(c("n") == 0))
 
 
 @_builder('04 dispatch on or after PO date')
@@ -170,8 +170,8 @@ def _c04_dispatch_on_or_after_po_date(x: _Context) -> DataFrame:
     d = (t.dispatches.select("order_id", "dispatch_date")
          .join(t.orders.select("order_id", "po_date"), "order_id")
          .agg(F.count_if(c("dispatch_date") < c("po_date")).alias("n")))
-    return (_check(d, "04 dispatch on or after PO date", "0 violations",
-                      F.concat(_s("n"), F.lit(" dispatches before their own PO")), _pf(c("n") == 0)))
+    return _check(d, "04 dispatch on or after PO date", "0 violations",
+                  F.concat(_s("n"), F.lit(" dispatches before their own PO")), _pf(c("n") == 0))
 
 
 @_builder('05 invoice date = dispatch date')
@@ -181,8 +181,8 @@ def _c05_invoice_date_dispatch_date(x: _Context) -> DataFrame:
     d = (t.invoices.select("dispatch_id", "invoice_date")
          .join(t.dispatches.select("dispatch_id", "dispatch_date"), "dispatch_id")
          .agg(F.count_if(c("invoice_date") != c("dispatch_date")).alias("n")))
-    return (_check(d, "05 invoice date = dispatch date", "0 mismatches",
-                      F.concat(_s("n"), F.lit(" mismatches")), _pf(c("n") == 0)))
+    return _check(d, "05 invoice date = dispatch date", "0 mismatches",
+                  F.concat(_s("n"), F.lit(" mismatches")), _pf(c("n") == 0))
 
 
 @_builder('06a quote <= PO (modelled tables)')
@@ -194,10 +194,10 @@ def _c06a_quote_po_modelled_tables(x: _Context) -> DataFrame:
         "bad": quoted.join(t.quotations.select("quote_id", "quote_date"), "quote_id")
         .agg(F.count_if(c("po_date") < c("quote_date")).alias("v")),
         "quoted": count_of(quoted)})
-    return (_check(m, "06a quote <= PO (modelled tables)", "0 violations",
-                      F.concat(_s("bad"), F.lit(" of "), _s("quoted"),
-                               F.lit(" quoted orders have a PO before the quote")),
-                      _pf(c("bad") == 0)))
+    return _check(m, "06a quote <= PO (modelled tables)", "0 violations",
+                  F.concat(_s("bad"), F.lit(" of "), _s("quoted"),
+                           F.lit(" quoted orders have a PO before the quote")),
+                  _pf(c("bad") == 0))
 
 
 @_builder('06b quote <= PO (raw register)')
@@ -205,10 +205,10 @@ def _c06b_quote_po_raw_register(x: _Context) -> DataFrame:
     # 06b quote <= PO in the register: expected to find some
     t, p, c = x.t, x.p, F.col
     d = x.reg.select(c("_quote_after_po").alias("n"))
-    return (_check(d, "06b quote <= PO (raw register)",
-                      "at least one violation, modelled on purpose",
-                      F.concat(_s("n"), F.lit(" register rows with a quote date after the PO")),
-                      F.when(c("n") >= 1, "EXPECTED").otherwise("FAIL")))
+    return _check(d, "06b quote <= PO (raw register)",
+                  "at least one violation, modelled on purpose",
+                  F.concat(_s("n"), F.lit(" register rows with a quote date after the PO")),
+                  F.when(c("n") >= 1, "EXPECTED").otherwise("FAIL"))
 
 
 @_builder('07 invoice value = dispatched qty x price')
@@ -223,10 +223,10 @@ def _c07_invoice_value_dispatched_qty_x_price(x: _Context) -> DataFrame:
     off = F.abs(c("taxable_value") * c("fx_rate_to_inr") - c("dispatched_qty") * c("unit_price"))
     m = metrics({"bad": inv.agg(F.count_if(off > p.invoice_tolerance_inr).alias("v")),
                  "all": count_of(t.invoices)})
-    return (_check(m, "07 invoice value = dispatched qty x price",
-                      f"0 rows off by more than {p.invoice_tolerance_inr} INR",
-                      F.concat(_s("bad"), F.lit(" of "), _s("all"),
-                               F.lit(" invoices out of tolerance")), _pf(c("bad") == 0)))
+    return _check(m, "07 invoice value = dispatched qty x price",
+                  f"0 rows off by more than {p.invoice_tolerance_inr} INR",
+                  F.concat(_s("bad"), F.lit(" of "), _s("all"),
+                           F.lit(" invoices out of tolerance")), _pf(c("bad") == 0))
 
 
 @_builder('08 GST by market')
@@ -251,9 +251,9 @@ def _c08_gst_by_market(x: _Context) -> DataFrame:
     g = grp.agg(F.array_join(F.transform(
         F.array_sort(F.collect_list(F.struct("market_type", "currency", "txt"))),
         lambda s: s["txt"]), ", ").alias("a"), F.sum("bad").alias("bad"))
-    return (_check(g, "08 GST by market",
-                      f"Domestic and Deemed Export {rate}% in INR, Export 0% in USD",
-                      c("a"), _pf(c("bad") == 0)))
+    return _check(g, "08 GST by market",
+                  f"Domestic and Deemed Export {rate}% in INR, Export 0% in USD",
+                  c("a"), _pf(c("bad") == 0))
 
 
 @_builder('09 FX rate by currency')
@@ -264,10 +264,10 @@ def _c09_fx_rate_by_currency(x: _Context) -> DataFrame:
     d = t.invoices.agg(F.count_if(((c("currency") == "INR") & (c("fx_rate_to_inr") != 1))
                                   | ((c("currency") == "USD")
                                      & ~c("fx_rate_to_inr").between(lo, hi))).alias("n"))
-    return (_check(d, "09 FX rate by currency",
-                      f"INR invoices at 1.0, USD invoices between {lo:g} and {hi:g}",
-                      F.concat(_s("n"), F.lit(" invoices with the wrong FX rate")),
-                      _pf(c("n") == 0)))
+    return _check(d, "09 FX rate by currency",
+                  f"INR invoices at 1.0, USD invoices between {lo:g} and {hi:g}",
+                  F.concat(_s("n"), F.lit(" invoices with the wrong FX rate")),
+                  _pf(c("n") == 0))
 
 
 @_builder('10 job numbers unique and banded')
@@ -283,15 +283,15 @@ def _c10_job_numbers_unique_and_banded(x: _Context) -> DataFrame:
         "bands": jobs.agg(F.countDistinct(band).alias("v")),
         "band1": jobs.agg(F.count_if(band == 1).alias("v"))})
     share = pct(c("band1"), c("n"), 1)
-    return (_check(m, "10 job numbers unique and banded",
-                      f"all distinct, at least {p.min_job_bands} bands, about "
-                      f"{p.job_band1_share_pct:g}% in band 1",
-                      F.concat(_s("n"), F.lit(" job numbers, "), _s("distinct"),
-                               F.lit(" distinct, "), _s("bands"), F.lit(" bands, "),
-                               share.cast("string"), F.lit("% in band 1")),
-                      _pf((c("n") == c("distinct")) & (c("bands") >= p.min_job_bands)
-                          & (F.abs(share - p.job_band1_share_pct)
-                             <= p.job_band1_tolerance_pct))))
+    return _check(m, "10 job numbers unique and banded",
+                  f"all distinct, at least {p.min_job_bands} bands, about "
+                  f"{p.job_band1_share_pct:g}% in band 1",
+                  F.concat(_s("n"), F.lit(" job numbers, "), _s("distinct"),
+                           F.lit(" distinct, "), _s("bands"), F.lit(" bands, "),
+                           share.cast("string"), F.lit("% in band 1")),
+                  _pf((c("n") == c("distinct")) & (c("bands") >= p.min_job_bands)
+                      & (F.abs(share - p.job_band1_share_pct)
+                         <= p.job_band1_tolerance_pct)))
 
 
 @_builder('11 payments do not exceed the invoice')
@@ -302,9 +302,9 @@ def _c11_payments_do_not_exceed_the_invoice(x: _Context) -> DataFrame:
     d = (paid.join(t.invoices.select("invoice_id", "taxable_value", "gst_amount"), "invoice_id")
          .agg(F.count_if(c("paid") > c("taxable_value") + c("gst_amount") + p.settle_tolerance)
               .alias("n")))
-    return (_check(d, "11 payments do not exceed the invoice", "0 overpayments",
-                      F.concat(_s("n"), F.lit(" invoices paid more than billed")),
-                      _pf(c("n") == 0)))
+    return _check(d, "11 payments do not exceed the invoice", "0 overpayments",
+                  F.concat(_s("n"), F.lit(" invoices paid more than billed")),
+                  _pf(c("n") == 0))
 
 
 @_builder('12 payment timing')
@@ -315,9 +315,9 @@ def _c12_payment_timing(x: _Context) -> DataFrame:
          .join(t.invoices.select("invoice_id", "invoice_date"), "invoice_id")
          .agg(F.count_if((c("payment_date") < c("invoice_date"))
                          & (c("payment_type") != "Advance")).alias("n")))
-    return (_check(d, "12 payment timing", "only Advance payments may predate the invoice",
-                      F.concat(_s("n"), F.lit(" non-advance payments before their invoice")),
-                      _pf(c("n") == 0)))
+    return _check(d, "12 payment timing", "only Advance payments may predate the invoice",
+                  F.concat(_s("n"), F.lit(" non-advance payments before their invoice")),
+                  _pf(c("n") == 0))
 
 
 @_builder('13 dispatched quantities sane')
@@ -332,11 +332,11 @@ def _c13_dispatched_quantities_sane(x: _Context) -> DataFrame:
                             .cast("decimal(6,3)")).alias("v")))
     m = metrics({"nonpos": t.dispatches.agg(F.count_if(c("dispatched_qty") <= 0).alias("v")),
                  "over": over})
-    return (_check(m, "13 dispatched quantities sane",
-                      "0 non-positive, 0 lines shipped more than ordered by over 1%",
-                      F.concat(_s("nonpos"), F.lit(" non-positive, "), _s("over"),
-                               F.lit(" over-shipped")),
-                      _pf((c("nonpos") == 0) & (c("over") == 0))))
+    return _check(m, "13 dispatched quantities sane",
+                  "0 non-positive, 0 lines shipped more than ordered by over 1%",
+                  F.concat(_s("nonpos"), F.lit(" non-positive, "), _s("over"),
+                           F.lit(" over-shipped")),
+                  _pf((c("nonpos") == 0) & (c("over") == 0)))
 
 
 @_builder('14 cancelled orders never ship')
@@ -345,9 +345,9 @@ def _c14_cancelled_orders_never_ship(x: _Context) -> DataFrame:
     t, p, c = x.t, x.p, F.col
     d = count_of(t.orders.filter(c("cancellation_date").isNotNull()).select("order_id")
                  .join(t.dispatches.select("order_id"), "order_id", "left_semi"))
-    return (_check(d, "14 cancelled orders never ship", "0 violations",
-                      F.concat(_s("v"), F.lit(" cancelled orders with a dispatch")),
-                      _pf(c("v") == 0)))
+    return _check(d, "14 cancelled orders never ship", "0 violations",
+                  F.concat(_s("v"), F.lit(" cancelled orders with a dispatch")),
+                  _pf(c("v") == 0))
 
 
 @_builder('15 OTIF in range')
@@ -358,12 +358,12 @@ def _c15_otif_in_range(x: _Context) -> DataFrame:
     v = otif(t, p).agg(F.count(F.lit(1)).alias("n"), F.sum("otif").alias("o"),
                        F.sum("on_time").alias("t"), F.sum("in_full").alias("f"))
     o_pct = pct(c("o"), c("n"), 1)
-    return (_check(v, "15 OTIF in range", f"between {lo:g}% and {hi:g}%",
-                      F.concat(F.lit("OTIF "), o_pct.cast("string"), F.lit("% on "), _s("n"),
-                               F.lit(" orders due (on time "), pct(c("t"), c("n"), 1).cast("string"),
-                               F.lit("%, in full "), pct(c("f"), c("n"), 1).cast("string"),
-                               F.lit("%)")),
-                      _pf((F.lit(100.0) * c("o") / c("n")).between(lo, hi))))
+    return _check(v, "15 OTIF in range", f"between {lo:g}% and {hi:g}%",
+                  F.concat(F.lit("OTIF "), o_pct.cast("string"), F.lit("% on "), _s("n"),
+                           F.lit(" orders due (on time "), pct(c("t"), c("n"), 1).cast("string"),
+                           F.lit("%, in full "), pct(c("f"), c("n"), 1).cast("string"),
+                           F.lit("%)")),
+                  _pf((F.lit(100.0) * c("o") / c("n")).between(lo, hi)))
 
 
 @_builder('16 orders without a quotation')
@@ -372,11 +372,11 @@ def _c16_orders_without_a_quotation(x: _Context) -> DataFrame:
     t, p, c = x.t, x.p, F.col
     lo, hi = p.no_quote_range_pct
     d = t.orders.agg(F.count(F.lit(1)).alias("n"), F.count_if(c("quote_id").isNull()).alias("nq"))
-    return (_check(d, "16 orders without a quotation",
-                      "a clear majority - most orders are repeat POs",
-                      F.concat(pct(c("nq"), c("n"), 1).cast("string"),
-                               F.lit("% of orders have no quotation")),
-                      _pf((F.lit(100.0) * c("nq") / c("n")).between(lo, hi))))
+    return _check(d, "16 orders without a quotation",
+                  "a clear majority - most orders are repeat POs",
+                  F.concat(pct(c("nq"), c("n"), 1).cast("string"),
+                           F.lit("% of orders have no quotation")),
+                  _pf((F.lit(100.0) * c("nq") / c("n")).between(lo, hi)))
 
 
 @_builder('17 register still carries its faults')
@@ -385,14 +385,14 @@ def _c17_register_still_carries_its_faults(x: _Context) -> DataFrame:
     t, p, c = x.t, x.p, F.col
     d = x.reg.select(c("dp_free_text").alias("a"), c("date_impossible").alias("b"),
                    c("year_suspect").alias("y"), c("quote_no_other").alias("q"))
-    return (_check(d, "17 register still carries its faults",
-                      "free-text DP dates, an impossible date, a wrong year, status words in "
-                      "the quote-number column",
-                      F.concat(_s("a"), F.lit(" free-text DP, "), _s("b"), F.lit(" impossible date, "),
-                               _s("y"), F.lit(" wrong year, "), _s("q"),
-                               F.lit(" status words in quote_no")),
-                      F.when((c("a") > 0) & (c("b") > 0) & (c("y") > 0) & (c("q") > 0), "EXPECTED")
-                      .otherwise("FAIL")))
+    return _check(d, "17 register still carries its faults",
+                  "free-text DP dates, an impossible date, a wrong year, status words in "
+                  "the quote-number column",
+                  F.concat(_s("a"), F.lit(" free-text DP, "), _s("b"), F.lit(" impossible date, "),
+                           _s("y"), F.lit(" wrong year, "), _s("q"),
+                           F.lit(" status words in quote_no")),
+                  F.when((c("a") > 0) & (c("b") > 0) & (c("y") > 0) & (c("q") > 0), "EXPECTED")
+                  .otherwise("FAIL"))
 
 
 @_builder('18 no invented vocabulary')
@@ -406,13 +406,13 @@ def _c18_no_invented_vocabulary(x: _Context) -> DataFrame:
         F.count_if(c("status") == V.FORBIDDEN_STATUS[0]).alias("a"),
         F.count_if(c("status") == V.FORBIDDEN_STATUS[1]).alias("b"),
         F.count_if(appl).alias("x"))
-    return (_check(d, "18 no invented vocabulary",
-                      f"no {V.FORBIDDEN_STATUS[0]}, no {V.FORBIDDEN_STATUS[1]}, "
-                      f"no {V.FORBIDDEN_LD_FRAGMENT}",
-                      F.concat(_s("a"), F.lit(f" {V.FORBIDDEN_STATUS[0]}, "), _s("b"),
-                               F.lit(f" {V.FORBIDDEN_STATUS[1]}, "), _s("x"),
-                               F.lit(f" {V.FORBIDDEN_LD_FRAGMENT}")),
-                      _pf((c("a") + c("b") + c("x")) == 0)))
+    return _check(d, "18 no invented vocabulary",
+                  f"no {V.FORBIDDEN_STATUS[0]}, no {V.FORBIDDEN_STATUS[1]}, "
+                  f"no {V.FORBIDDEN_LD_FRAGMENT}",
+                  F.concat(_s("a"), F.lit(f" {V.FORBIDDEN_STATUS[0]}, "), _s("b"),
+                           F.lit(f" {V.FORBIDDEN_STATUS[1]}, "), _s("x"),
+                           F.lit(f" {V.FORBIDDEN_LD_FRAGMENT}")),
+                  _pf((c("a") + c("b") + c("x")) == 0))
 
 
 @_builder('18b identity columns within allowlist')
@@ -433,10 +433,10 @@ def _c18b_identity_columns_within_allowlist(x: _Context) -> DataFrame:
         "cust": t.customers.filter(~c("customer_id").rlike(p.customer_id_pattern))
         .agg(F.countDistinct("customer_id").alias("v"))})
     n = c("people") + c("sales") + c("inco") + c("qfrom") + c("vert") + c("cust")
-    return (_check(m, "18b identity columns within allowlist",
-                      "every person, place and market value is one of the declared ones",
-                      F.concat(n.cast("string"), F.lit(" value(s) outside the allowlist")),
-                      _pf(n == 0)))
+    return _check(m, "18b identity columns within allowlist",
+                  "every person, place and market value is one of the declared ones",
+                  F.concat(n.cast("string"), F.lit(" value(s) outside the allowlist")),
+                  _pf(n == 0))
 
 
 @_builder('19 status mapping is complete')
@@ -445,11 +445,11 @@ def _c19_status_mapping_is_complete(x: _Context) -> DataFrame:
     t, p, c = x.t, x.p, F.col
     d = x.reg.select(c("_unmapped").alias("u"), c("status_wordings").alias("w"),
                    c("_states").alias("s"))
-    return (_check(d, "19 status mapping is complete",
-                      "0 UNMAPPED - every wording in the data has a rule",
-                      F.concat(_s("u"), F.lit(" unmapped, "), _s("w"),
-                               F.lit(" wordings collapsed to "), _s("s"), F.lit(" states")),
-                      _pf(c("u") == 0)))
+    return _check(d, "19 status mapping is complete",
+                  "0 UNMAPPED - every wording in the data has a rule",
+                  F.concat(_s("u"), F.lit(" unmapped, "), _s("w"),
+                           F.lit(" wordings collapsed to "), _s("s"), F.lit(" states")),
+                  _pf(c("u") == 0))
 
 
 @_builder('20 cleaning log written')
@@ -458,11 +458,11 @@ def _c20_cleaning_log_written(x: _Context) -> DataFrame:
     t, p, c = x.t, x.p, F.col
     log = log_rows(x.reg, t.orders.agg(*order_aggs()))
     d = log.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("action").alias("a"))
-    return (_check(d, "20 cleaning log written",
-                      "every cleaning decision recorded, with a mix of actions",
-                      F.concat(_s("n"), F.lit(" entries across "), _s("a"),
-                               F.lit(" action types")),
-                      _pf((c("n") >= p.min_log_rows) & (c("a") >= p.min_log_actions))))
+    return _check(d, "20 cleaning log written",
+                  "every cleaning decision recorded, with a mix of actions",
+                  F.concat(_s("n"), F.lit(" entries across "), _s("a"),
+                           F.lit(" action types")),
+                  _pf((c("n") >= p.min_log_rows) & (c("a") >= p.min_log_actions)))
 
 
 def run_checks(tables, params: Params = DEFAULT) -> DataFrame:

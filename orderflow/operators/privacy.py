@@ -233,17 +233,19 @@ MOBILE = "Indian mobile number"
 def integer_mobile_matches(tables: dict[str, DataFrame]) -> DataFrame:
     """P3 for integer columns without text: an integer's text (digits, perhaps a
     minus sign) matches the mobile pattern exactly when the number has ten
-    digits and starts with 6-9, i.e. |v| in [6e9, 1e10); the match is |v|."""
+    digits and starts with 6-9, i.e. |v| in [6e9, 1e10); the match is |v|.
+    One pass per table over all of its integer columns."""
     parts = []
     for name, df in tables.items():
-        for f in df.schema.fields:
-            if f.dataType.simpleString() not in INTEGRAL:
-                continue
-            v = F.abs(F.col(f.name).cast("long"))
-            parts.append(df.filter(v.between(6_000_000_000, 9_999_999_999))
-                         .select(F.lit(MOBILE).alias("rule"), F.lit(name).alias("table_name"),
-                                 F.lit(f.name).alias("column_name"),
-                                 v.cast("string").alias("match")))
+        cols = [f.name for f in df.schema.fields if f.dataType.simpleString() in INTEGRAL]
+        if not cols:
+            continue
+        arr = F.array(*[F.struct(F.lit(c).alias("column_name"),
+                                 F.abs(F.col(c).cast("long")).alias("v")) for c in cols])
+        parts.append(df.select(F.inline(arr))
+                     .filter(F.col("v").between(6_000_000_000, 9_999_999_999))
+                     .select(F.lit(MOBILE).alias("rule"), F.lit(name).alias("table_name"),
+                             "column_name", F.col("v").cast("string").alias("match")))
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -101,7 +101,10 @@ def n11_sql(p: Params = DEFAULT) -> str:
 
 
 def n13_sql(p: Params = DEFAULT) -> str:
-    return "SELECT * FROM ob_invoices"
+    return ("SELECT * EXCLUDE (fx_rate_to_inr, taxable_value, gst_amount), "
+            "CAST(fx_rate_to_inr AS DOUBLE) AS fx_rate_to_inr, "
+            "CAST(taxable_value AS DOUBLE) AS taxable_value, "
+            "CAST(gst_amount AS DOUBLE) AS gst_amount FROM ob_invoices")
 
 
 def n14_sql(p: Params = DEFAULT) -> str:
