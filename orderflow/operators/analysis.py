@@ -295,8 +295,12 @@ def q9_customer_pareto(tables, params: Params = DEFAULT) -> DataFrame:
     rev = (tables.invoices.select("dispatch_id", "customer_id", amount.alias("amt"))
            .join(tables.dispatches.select("dispatch_id", "order_id", "line_no"), "dispatch_id")
            .join(lines, ["order_id", "line_no"])
-           .groupBy("product_line", "customer_id").agg(F.sum("amt").alias("revenue")))
-    totals = rev.groupBy("product_line").agg(F.sum("revenue").alias("line_total"))
+           .rollup("product_line", "customer_id")
+           .agg(F.sum("amt").alias("revenue"), F.grouping_id().alias("_level")))
+    # one pass over the fact joins gives both levels: (line, customer) and (line)
+    totals = rev.filter(F.col("_level") == 1).select(
+        "product_line", F.col("revenue").alias("line_total"))
+    rev = rev.filter(F.col("_level") == 0).drop("_level")
     order = [F.col("revenue").desc(), F.col("customer_id").asc()]
     top = B.top_k_per_group(rev, ["product_line"], order, params.pareto_top_k)
     cum = B.running(F.col("revenue"), order, ["product_line"])
