@@ -67,12 +67,24 @@ def _pf(cond: Column) -> Column:
     return F.when(cond, "PASS").otherwise("FAIL")
 
 
+def _reg_check(x, cols: list, name: str, expected: str, actual: Column,
+               verdict: Column) -> DataFrame | None:
+    """A check read off the shared register aggregate (``cols`` select from it)."""
+    if x.reg_specs is not None:
+        x.reg_specs.append((cols, name, expected, actual, verdict))
+        return None
+    return _check(x.reg.select(*cols), name, expected, actual, verdict)
+
+
 class _Context:
     """Shared inputs of the checks, built only when a check asks for them."""
 
     def __init__(self, tables, params: Params):
         self.t, self.p = tables, params
         self._clean = self._reg = None
+        # when set, checks computed from the shared register aggregate are
+        # collected here and emitted as one branch (see run_checks)
+        self.reg_specs: list | None = None
 
     @property
     def clean(self) -> DataFrame:
@@ -204,11 +216,11 @@ def _c06a_quote_po_modelled_tables(x: _Context) -> DataFrame:
 def _c06b_quote_po_raw_register(x: _Context) -> DataFrame:
     # 06b quote <= PO in the register: expected to find some
     t, p, c = x.t, x.p, F.col
-    d = x.reg.select(c("_quote_after_po").alias("n"))
-    return _check(d, "06b quote <= PO (raw register)",
-                  "at least one violation, modelled on purpose",
-                  F.concat(_s("n"), F.lit(" register rows with a quote date after the PO")),
-                  F.when(c("n") >= 1, "EXPECTED").otherwise("FAIL"))
+    return _reg_check(x, [c("_quote_after_po").alias("n")],
+                      "06b quote <= PO (raw register)",
+                      "at least one violation, modelled on purpose",
+                      F.concat(_s("n"), F.lit(" register rows with a quote date after the PO")),
+                      F.when(c("n") >= 1, "EXPECTED").otherwise("FAIL"))
 
 
 @_builder('07 invoice value = dispatched qty x price')
@@ -383,16 +395,16 @@ def _c16_orders_without_a_quotation(x: _Context) -> DataFrame:
 def _c17_register_still_carries_its_faults(x: _Context) -> DataFrame:
     # 17 the register still carries its faults
     t, p, c = x.t, x.p, F.col
-    d = x.reg.select(c("dp_free_text").alias("a"), c("date_impossible").alias("b"),
-                   c("year_suspect").alias("y"), c("quote_no_other").alias("q"))
-    return _check(d, "17 register still carries its faults",
-                  "free-text DP dates, an impossible date, a wrong year, status words in "
-                  "the quote-number column",
-                  F.concat(_s("a"), F.lit(" free-text DP, "), _s("b"), F.lit(" impossible date, "),
-                           _s("y"), F.lit(" wrong year, "), _s("q"),
-                           F.lit(" status words in quote_no")),
-                  F.when((c("a") > 0) & (c("b") > 0) & (c("y") > 0) & (c("q") > 0), "EXPECTED")
-                  .otherwise("FAIL"))
+    return _reg_check(x, [c("dp_free_text").alias("a"), c("date_impossible").alias("b"),
+                       c("year_suspect").alias("y"), c("quote_no_other").alias("q")],
+                      "17 register still carries its faults",
+                      "free-text DP dates, an impossible date, a wrong year, status words in "
+                      "the quote-number column",
+                      F.concat(_s("a"), F.lit(" free-text DP, "), _s("b"), F.lit(" impossible date, "),
+                               _s("y"), F.lit(" wrong year, "), _s("q"),
+                               F.lit(" status words in quote_no")),
+                      F.when((c("a") > 0) & (c("b") > 0) & (c("y") > 0) & (c("q") > 0), "EXPECTED")
+                      .otherwise("FAIL"))
 
 
 @_builder('18 no invented vocabulary')
@@ -443,13 +455,13 @@ def _c18b_identity_columns_within_allowlist(x: _Context) -> DataFrame:
 def _c19_status_mapping_is_complete(x: _Context) -> DataFrame:
     # 19 every status maps to something
     t, p, c = x.t, x.p, F.col
-    d = x.reg.select(c("_unmapped").alias("u"), c("status_wordings").alias("w"),
-                   c("_states").alias("s"))
-    return _check(d, "19 status mapping is complete",
-                  "0 UNMAPPED - every wording in the data has a rule",
-                  F.concat(_s("u"), F.lit(" unmapped, "), _s("w"),
-                           F.lit(" wordings collapsed to "), _s("s"), F.lit(" states")),
-                  _pf(c("u") == 0))
+    return _reg_check(x, [c("_unmapped").alias("u"), c("status_wordings").alias("w"),
+                       c("_states").alias("s")],
+                      "19 status mapping is complete",
+                      "0 UNMAPPED - every wording in the data has a rule",
+                      F.concat(_s("u"), F.lit(" unmapped, "), _s("w"),
+                               F.lit(" wordings collapsed to "), _s("s"), F.lit(" states")),
+                      _pf(c("u") == 0))
 
 
 @_builder('20 cleaning log written')
@@ -466,9 +478,19 @@ def _c20_cleaning_log_written(x: _Context) -> DataFrame:
 
 
 def run_checks(tables, params: Params = DEFAULT) -> DataFrame:
-    """All checks, one row each (a union of the per-check plans)."""
+    """All checks, one row each (a union of the per-check plans). The checks read
+    off the shared register aggregate become a single branch, so the cleaned
+    register is aggregated once for all of them."""
     x = _Context(tables, params)
-    return reduce(DataFrame.unionByName, [_BUILDERS[n](x) for n in CHECK_NAMES])
+    x.reg_specs = []
+    parts = [df for df in (_BUILDERS[n](x) for n in CHECK_NAMES) if df is not None]
+    if x.reg_specs:
+        cols = [c for spec in x.reg_specs for c in spec[0]]
+        rows = [F.struct(F.lit(name).alias("check_name"), F.lit(expected).alias("expected"),
+                         actual.alias("actual"), verdict.alias("verdict"))
+                for _, name, expected, actual, verdict in x.reg_specs]
+        parts.append(x.reg.select(*cols).select(F.inline(F.array(*rows))))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def one_check(tables, name: str, params: Params = DEFAULT) -> DataFrame:
