@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,8 +17,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package's code to the executors (once an application), so that
+    it need not be installed there."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    file = os.path.join(tempfile.mkdtemp(prefix="orderflow-code-"), "orderflow_code.zip")
+    with zipfile.ZipFile(file, "w") as z:
+        for folder, _, names in sorted(os.walk(package)):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(package)))
+    sc.addPyFile(file)
+    _SHIPPED.add(sc.applicationId)
+
+
 def bounded_batches(spark: SparkSession) -> None:
-    """Arrow batches by bytes too, so that long texts do not pile up in a task."""
+    """Ship the code, and bound Arrow batches by bytes too, so that long texts
+    do not pile up in a task."""
+    ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(32 << 20))
 
@@ -33,6 +58,3 @@ def written(df: DataFrame, what: str) -> DataFrame:
 def crc_mod(column: str, n: int):
     return F.crc32(F.col(column).cast("string")) % n
 
-
-def env_path(name: str, default: str) -> str:
-    return os.environ.get(name, default)
