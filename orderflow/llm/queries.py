@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import lm, near_dedup, packing, quality, repetition
+from . import (lm, mixing, near_dedup, neighbours, packing, passages, personal, quality,
+               repetition, secrets)
 from .common import table
 
 
@@ -12,14 +13,34 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest_of_hundredths(table(spark, sf_dir, "embeddings"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.repetition_rules(table(spark, sf_dir, "documents"))
 
 
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_findings(table(spark, sf_dir, "documents"))
+
+
+def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixture(table(spark, sf_dir, "documents"))
+
+
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal.personal_data(table(spark, sf_dir, "documents"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -29,6 +50,7 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_quality_classifier, op3_quality_rules, op7_minhash_near_dedup, op9_packing,
-    op10_lm_scoring)}
-ORACLE_SQL: dict[str, str] = {}
+    op1_quality_classifier, op2_nearest_neighbours, op3_quality_rules, op4_secret_scan,
+    op5_source_mixing, op6_substring_dedup, op7_minhash_near_dedup, op8_personal_data,
+    op9_packing, op10_lm_scoring)}
+ORACLE_SQL = {"op4_secret_scan": secrets.ORACLE, "op5_source_mixing": mixing.ORACLE}
