@@ -137,7 +137,7 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS)
     # a doc_id that several rows carry gives several examples; keep the bound by whole rows
     texts = docs.select("doc_id", "text").join(chosen, "doc_id").select("doc_id", "text", "label")
     got = (texts.mapInArrow(_vectors, "doc_id long, label int, index binary, value binary")
-           .coalesce(1).mapInArrow(_fit, "weights binary, ones long, total long").collect())
+           .repartition(1).mapInArrow(_fit, "weights binary, ones long, total long").collect())
     if not got or not got[0]["total"]:
         return np.zeros(DIM + 1, np.float32)
     w = np.frombuffer(got[0]["weights"], np.float32).copy()
