@@ -15,36 +15,41 @@ from pyspark.sql import functions as F
 
 
 def idiv(a: Column, b: Column | int) -> Column:
-    """Floor division of integers (b > 0), exact for |a| < 2**53."""
+    """Floor division of integers (b > 0), exact for every BIGINT."""
     b = b if isinstance(b, Column) else F.lit(b)
-    return ((a - F.pmod(a, b)) / b).cast("long")
+    a = a.cast("long")
+    return F.call_function("div", a - F.pmod(a, b.cast("long")), b.cast("long"))
 
 
-def round_ratio(num: Column, den: Column, digits: int = 0) -> Column:
-    """round(num / den, digits), half away from zero, NULL when den is 0/NULL.
+def _half_away(num: Column, den: Column, times: int) -> Column:
+    """round(num * times / den) as an integral DECIMAL, half away from zero, NULL when den is
+    0 / NULL. Products are DECIMAL, so sums up to 10^28 stay exact."""
+    n = num.cast("decimal(28,0)")
+    d = F.when(den.cast("decimal(28,0)") != 0, den.cast("decimal(28,0)"))
+    x = F.abs(n) * F.lit(2 * times).cast("decimal(9,0)") + F.abs(d)
+    y = F.abs(d) * F.lit(2).cast("decimal(1,0)")
+    q = ((x - x % y) / y).cast("decimal(32,0)")  # the division is exact
+    return F.when((n < 0) != (d < 0), -q).otherwise(q)
 
-    ``num`` and ``den`` must be integral (counts, day sums, whole rupees).
+
+def round_ratio(num: Column, den: Column, digits: int = 0, times: int = 1) -> Column:
+    """round(num * times / den, digits), half away from zero, NULL when den is 0/NULL.
+
+    ``num`` and ``den`` must be integral (counts, day sums, whole cents).
     Returns DOUBLE holding the exact decimal nearest to the rounded value.
     """
     scale = 10 ** digits
-    n = num.cast("long") * F.lit(scale)
-    d = F.when(den.cast("long") != 0, den.cast("long"))
-    q = idiv(F.abs(n) * 2 + d, d * 2)
-    signed = F.when(n < 0, -q).otherwise(q)
-    return signed.cast("double") / F.lit(float(scale))
+    return _half_away(num, den, times * scale).cast("double") / F.lit(float(scale))
 
 
 def pct(num: Column, den: Column, digits: int = 1) -> Column:
     """round(100 * num / den, digits) for integral num / den."""
-    return round_ratio(num.cast("long") * 100, den, digits)
+    return round_ratio(num, den, digits, 100)
 
 
 def tenths(num: Column, den: Column) -> Column:
     """round(1000 * num / den) as an integer count of tenths of a percent."""
-    n = num.cast("long") * 1000
-    d = F.when(den.cast("long") != 0, den.cast("long"))
-    q = idiv(F.abs(n) * 2 + d, d * 2)
-    return F.when(n < 0, -q).otherwise(q)
+    return _half_away(num, den, 1000).cast("long")
 
 
 def money(col: Column, digits: int = 0) -> Column:
@@ -58,6 +63,7 @@ def cents_to_decimal(cents: Column) -> Column:
         "decimal(18,2)")
 
 
-def decimal_to_cents(amount: Column) -> Column:
-    """DECIMAL(18,2) amount -> integer cents."""
-    return (amount * F.lit(100)).cast("long")
+def milli_to_decimal(thousandths: Column) -> Column:
+    """Integer thousandths -> DECIMAL(18,3) without floating point."""
+    return (thousandths.cast("decimal(20,0)") * F.lit("0.001").cast("decimal(4,3)")).cast(
+        "decimal(18,3)")

@@ -45,10 +45,21 @@ def leading_int(text: Column) -> Column:
     return F.when(text.rlike("^[0-9]"), digits.try_cast("long"))
 
 
+NUMBER_PREFIX = r"([0-9]+(\.[0-9]*)?([eE][+-]?[0-9]+)?)"
+
+
 def leading_number(text: Column) -> Column:
-    """Decimal read from the leading numeric prefix ('1234.50 INR' -> 1234.50)."""
-    num = F.regexp_extract(text, r"^([0-9]+(\.[0-9]+)?)", 1)
-    return F.when(text.rlike("^[0-9]"), num.try_cast("decimal(18,2)"))
+    """Decimal read from the leading numeric prefix, exponent included
+    ('1234.50 INR' -> 1234.50, '1.2E+07' -> 12000000), NULL from 10^22 on."""
+    num = F.regexp_extract(text, "^" + NUMBER_PREFIX, 1)
+    return F.when(text.rlike("^[0-9]"), num.try_cast("decimal(28,6)"))
+
+
+def blank_to_null(df):
+    """Every text column with empty cells as NULL."""
+    return df.select(*[F.nullif(F.col(f.name), F.lit("")).alias(f.name)
+                       if f.dataType.simpleString() == "string" else F.col(f.name)
+                       for f in df.schema.fields])
 
 
 def literal_table(spark, rows, schema: list[tuple[str, str]]):

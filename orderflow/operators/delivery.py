@@ -36,21 +36,22 @@ def due_orders(orders: DataFrame, params: Params = DEFAULT) -> DataFrame:
                     "promised_date_source"))
 
 
-def line_shipments(dispatches: DataFrame) -> DataFrame:
-    """V2 (dispatch side): shipped quantity and last dispatch per order line."""
-    return (dispatches.groupBy("order_id", "line_no")
-            .agg(F.sum("dispatched_qty").alias("shipped"),
-                 F.max("dispatch_date").alias("last_dispatch")))
+def line_shipments(tables, params: Params = DEFAULT) -> DataFrame:
+    """V2: every line of a due order, its shipped quantity (0 if none) and last dispatch."""
+    shipped = tables.dispatches.groupBy("order_id", "line_no").agg(
+        F.sum("dispatched_qty").alias("shipped"), F.max("dispatch_date").alias("last_dispatch"))
+    lines = tables.order_lines.join(due_orders(tables.orders, params).select("order_id"), "order_id",
+                                    "left_semi")
+    return (lines.select("order_id", "line_no", "item_id", "ordered_qty")
+            .join(shipped, ["order_id", "line_no"], "left")
+            .withColumn("shipped", F.coalesce("shipped", F.lit(0).cast("decimal(28,3)"))))
 
 
 def otif(tables, params: Params = DEFAULT) -> DataFrame:
     """V8: one row per due order with in_full / on_time / otif / days_late."""
     due = due_orders(tables.orders, params)
-    lines = tables.order_lines.select("order_id", "line_no", "item_id", "ordered_qty")
-    per_line = (due.join(lines, "order_id")
-                .join(line_shipments(tables.dispatches), ["order_id", "line_no"], "left"))
-    line_full = F.when(F.coalesce(F.col("shipped"), F.lit(0)) >= F.col("ordered_qty"), 1) \
-        .otherwise(0)
+    per_line = due.join(line_shipments(tables, params), "order_id")
+    line_full = F.when(F.col("shipped") >= F.col("ordered_qty"), 1).otherwise(0)
     per_order = per_line.groupBy("order_id", "customer_id", "po_date", "promised",
                                  "promised_date_source").agg(
         F.min(line_full).alias("in_full"),

@@ -9,18 +9,30 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import vocab as V
 from ..functions.dates import strict_parse
 from ..functions.numeric import cents_to_decimal, idiv
-from ..functions.text import leading_int
+from ..functions.text import blank_to_null, leading_int
 from ..params import DEFAULT, Params
 
 DEFAULT_QUOTE_DATE = dt.date(2001, 1, 1)
 
 
+def _rows(raw: DataFrame) -> DataFrame:
+    """The register with empty cells as NULL and its serial number read (``_sl``,
+    NULL where there is none). The register has no key, so every rule below works
+    on the row itself; nothing is joined back by serial number."""
+    return blank_to_null(raw).withColumn("_sl", leading_int(F.col("sl_no")))
+
+
+def _is_quote() -> Column:
+    return F.coalesce(F.col("quote_no").rlike(V.QUOTE_NO_PATTERN), F.lit(False))
+
+
 def strict_dates(raw: DataFrame) -> DataFrame:
     """Every date cell parsed strictly (whole text, one of three layouts)."""
     return raw.select(leading_int(F.col("sl_no")).alias("sl_no"),
@@ -28,92 +40,163 @@ def strict_dates(raw: DataFrame) -> DataFrame:
                         ("quote_date", "validity_date", "inquiry_date", "po_date", "dp_date")])
 
 
-def quote_number_parts(raw: DataFrame) -> DataFrame:
-    """N2 + N3: rows whose quote-number cell is a real quote number, with the
-    revision number (0 if none) and the base number without the revision."""
+def quotation_rows(raw: DataFrame) -> DataFrame:
+    """The rows whose quote-number cell is a real quote number."""
+    return _rows(raw).filter(_is_quote()).select(F.col("_sl").alias("sl_no"), "quote_no")
+
+
+def quote_number_parts(raw: DataFrame, carry: tuple = ()) -> DataFrame:
+    """Quotation rows with the base number and the revision (0 if none, NULL
+    and ``rev_unreadable`` when its digits exceed BIGINT)."""
     rev_txt = F.regexp_extract(F.col("quote_no"), V.REVISION_PATTERN, 1)
     base = F.regexp_replace(F.regexp_replace(F.col("quote_no"), V.REVISION_PATTERN, ""),
                             r"^\s+|\s+$", "")
-    return (raw.filter(F.col("quote_no").rlike(V.QUOTE_NO_PATTERN))
-            .select(leading_int(F.col("sl_no")).alias("sl_no"), base.alias("base"),
-                    F.when(rev_txt != "", rev_txt.cast("int")).otherwise(0).alias("rev")))
+    rev = F.when(rev_txt != "", rev_txt.try_cast("long")).otherwise(F.lit(0).cast("long"))
+    return (_rows(raw).filter(_is_quote())
+            .select(F.col("_sl").alias("sl_no"), base.alias("base"), rev.alias("rev"),
+                    rev.isNull().alias("rev_unreadable"), *carry))
 
 
 def dedupe_revisions(parts: DataFrame) -> DataFrame:
-    """A (base, revision) seen before is bumped to the next free revision,
-    in register order. Only bases that actually clash are folded (an ordered
-    ``aggregate`` over that base's rows); every other row passes through."""
-    clashing = (parts.groupBy("base", "rev").count().filter(F.col("count") > 1)
-                .select("base").distinct())
-    clean = parts.join(clashing, "base", "left_anti")
-    bad = parts.join(clashing, "base", "left_semi")
-    start = F.struct(F.array().cast("array<int>").alias("taken"),
-                     F.array().cast("array<struct<sl_no:bigint,rev:int>>").alias("out"))
-
-    def step(acc, x):
-        free = F.filter(F.sequence(x["rev"], x["rev"] + F.size(acc["taken"])),
-                        lambda v: ~F.array_contains(acc["taken"], v))
-        r = F.element_at(free, 1)
-        return F.struct(F.concat(acc["taken"], F.array(r)).alias("taken"),
-                        F.concat(acc["out"], F.array(F.struct(x["sl_no"].alias("sl_no"),
-                                                              r.alias("rev")))).alias("out"))
-    folded = (bad.groupBy("base")
-              .agg(F.array_sort(F.collect_list(F.struct("sl_no", "rev"))).alias("_rows"))
-              .select("base", F.inline(F.aggregate("_rows", start, step)["out"])))
-    return clean.select("sl_no", "base", "rev").unionByName(folded.select("sl_no", "base", "rev"))
+    """A (base, revision) seen before is bumped to the next free revision, in
+    register order (serial number, then the other columns; rows equal in all of
+    them are interchangeable). Unreadable revisions stay as they are.
+
+    Which revisions end up taken does not depend on the order. With the distinct
+    revisions of a base ascending, the next free one after each is
+    C + max(rev - C before), C being the running count; where a revision starts
+    at or beyond that, nothing earlier reaches it, and a new cluster begins. A
+    cluster of one revision is numbered by a window; only the rows of a cluster
+    of several revisions with a clash are folded, in time linear in its rows.
+    """
+    known = parts.filter(F.col("rev").isNotNull())
+    counts = known.groupBy("base", "rev").agg(F.count("*").alias("n"))
+    by = Window.partitionBy("base").orderBy("rev")
+    upto = by.rowsBetween(Window.unboundedPreceding, 0)
+    ahead = F.sum("n").over(upto) - F.col("n")
+    counts = counts.withColumn("ahead", ahead).withColumn(
+        "free", F.col("ahead") + F.col("n") + F.max(F.col("rev") - F.col("ahead")).over(upto))
+    starts = F.coalesce(F.col("rev") >= F.lag("free").over(by), F.lit(True))
+    counts = counts.withColumn("cluster", F.sum(F.when(starts, 1).otherwise(0)).over(upto))
+    size = counts.groupBy("base", "cluster").agg(F.count("*").alias("revs"), F.sum("n").alias("rows"))
+    counts = counts.join(size, ["base", "cluster"]).select("base", "rev", "cluster", "revs", "rows")
+    names = parts.columns
+    order = [F.col(c).asc_nulls_last() for c in
+             ["sl_no", *[c for c in names if c not in ("sl_no", "base", "rev")]]]
+    rows = known.join(counts, ["base", "rev"])
+    simple = F.col("revs") == F.lit(1)
+    nth = F.row_number().over(Window.partitionBy("base", "rev").orderBy(*order))
+    one = (rows.filter(simple).withColumn("rev", F.col("rev") + nth - 1).select(*names))
+    apart = rows.filter(~simple & (F.col("rows") == F.col("revs"))).select(*names)
+    mixed = rows.filter(~simple & (F.col("rows") > F.col("revs")))
+    others = parts.filter(F.col("rev").isNull())
+
+    def fold(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values(["_nth"], kind="stable")
+        nxt: dict[int, int] = {}
+        out = []
+        for r in group["rev"].tolist():
+            path, at = [], r
+            while at in nxt:
+                path.append(at)
+                at = nxt[at]
+            for p in [*path, at]:
+                nxt[p] = at + 1
+            out.append(at)
+        group["rev"] = out
+        return group[names]
+
+    in_order = F.row_number().over(Window.partitionBy("base", "cluster").orderBy(*order, "rev"))
+    folded = (mixed.withColumn("_nth", in_order).select(*names, "cluster", "_nth")
+              .groupBy("base", "cluster").applyInPandas(fold, parts.schema))
+    return one.unionByName(apart).unionByName(others).unionByName(folded)
+
+
+def quote_dates(raw: DataFrame) -> DataFrame:
+    """The quotation's date, else the order's, else the default."""
+    return _rows(raw).filter(_is_quote()).select(F.col("_sl").alias("quote_id"),
+                                                 _quote_date().alias("quote_date"))
+
+
+def _quote_date():
+    return F.coalesce(strict_parse(F.col("quote_date")), strict_parse(F.col("po_date")),
+                      F.lit(DEFAULT_QUOTE_DATE))
+
+
+QUOTE_COLUMNS = ("party", "quote_date", "validity_date", "inquiry_date", "po_date", "incoterms",
+                 "concerned_person", "status")
 
 
 def quotations(raw: DataFrame, params: Params = DEFAULT) -> DataFrame:
-    """N5 + N6: the quotation table (quote_id = register row)."""
-    parts = dedupe_revisions(quote_number_parts(raw))
-    r = raw.select(leading_int(F.col("sl_no")).alias("sl_no"), "party", "quote_date",
-                   "validity_date", "inquiry_date", "po_date", "incoterms",
-                   "concerned_person", "status")
-    j = parts.join(r, "sl_no")
-    qdate = F.coalesce(strict_parse(F.col("quote_date")), strict_parse(F.col("po_date")),
-                       F.lit(DEFAULT_QUOTE_DATE))
-    return j.select(
+    """The quotation table (quote_id = serial number), one row per quotation row."""
+    return dedupe_revisions(quote_number_parts(raw, QUOTE_COLUMNS)).select(
         F.col("sl_no").alias("quote_id"), F.col("base").alias("quote_no"),
         F.col("rev").alias("revision_no"), F.col("party").alias("customer_id"),
         strict_parse(F.col("inquiry_date")).alias("inquiry_date"),
-        qdate.alias("quote_date"),
+        _quote_date().alias("quote_date"),
         strict_parse(F.col("validity_date")).alias("validity_date"),
-        F.when(F.col("incoterms") != "", F.col("incoterms")).alias("incoterms"),
-        F.col("concerned_person").alias("salesperson_code"), "status")
+        "incoterms", F.col("concerned_person").alias("salesperson_code"), "status")
+
+
+def _order_rows(raw: DataFrame) -> DataFrame:
+    return _rows(raw).filter(F.col("job_no").isNotNull() | F.col("po_no").isNotNull()).withColumn(
+        "order_id", F.col("_sl"))
 
 
-def orders(raw: DataFrame, quotes: DataFrame, po_documents: DataFrame,
-           payment_terms: DataFrame) -> DataFrame:
-    """The order table from register rows with a job or PO number.
+def order_rows(raw: DataFrame) -> DataFrame:
+    """Rows with a job or PO number."""
+    return _order_rows(raw).select("order_id", "po_no", leading_int(F.col("job_no")).alias("job_no"))
+
+
+def _promised(rows: DataFrame, po_documents: DataFrame) -> DataFrame:
+    """The register's promised date, else the PO document's, and its source."""
+    dp = strict_parse(F.col("dp_date"))
+    return (rows.join(po_documents.select(F.col("sl_no").alias("_sl"), "po_promised"), "_sl", "left")
+            .withColumn("promised_delivery_date", F.coalesce(dp, F.col("po_promised")))
+            .withColumn("promised_date_source",
+                        F.when(dp.isNotNull(), "register")
+                        .when(F.col("po_promised").isNotNull(), "po_document").otherwise("none")))
+
+
+def promised_dates(raw: DataFrame, po_documents: DataFrame) -> DataFrame:
+    return _promised(_order_rows(raw), po_documents).select(
+        "order_id", "promised_delivery_date", "promised_date_source")
+
+
+def _ld():
+    """The LD clause column wins where it is filled."""
+    return [F.coalesce(F.col("ld_clause"), F.col("ld")).alias("ld_clause"),
+            F.when(F.col("ld_clause").isNotNull(), "ld_clause_column")
+            .when(F.col("ld").isNotNull(), "ld_column").alias("ld_clause_source")]
+
+
+def ld_merge(raw: DataFrame) -> DataFrame:
+    return _order_rows(raw).select("order_id", *_ld())
+
+
+def _cancelled():
+    return F.col("status").isin(*V.CANCELLED_WORDS).alias("is_cancelled")
+
+
+def cancelled(raw: DataFrame) -> DataFrame:
+    """Whether the wording is a cancellation (NULL without a wording)."""
+    return _order_rows(raw).select("order_id", F.col("status").alias("order_status"), _cancelled())
+
+
+def orders(raw: DataFrame, po_documents: DataFrame, payment_terms: DataFrame) -> DataFrame:
+    """The order table from register rows with a job or PO number. A row
+    that is a quotation too is linked to it (its own serial number).
 
     ``po_documents`` (sl_no, po_promised) carries the promised dates read off
     the PO documents; ``payment_terms`` maps a wording to its code."""
-    r = raw.filter(F.col("job_no").isNotNull() | F.col("po_no").isNotNull())
-    r = r.select(leading_int(F.col("sl_no")).alias("sl_no"), "party", "po_no", "po_date",
-                 "job_no", "dp_date", "ld", "ld_clause", "status", "payment_terms")
-    dp = strict_parse(F.col("dp_date"))
-    terms = F.broadcast(payment_terms.select(F.col("description").alias("payment_terms"),
-                                             "terms_code"))
-    j = (r.join(quotes.select(F.col("quote_id").alias("sl_no"), F.lit(True).alias("_q")),
-                "sl_no", "left")
-         .join(po_documents, "sl_no", "left")
-         .join(terms, "payment_terms", "left"))
-    source = (F.when(dp.isNotNull(), "register").when(F.col("po_promised").isNotNull(), "po_document")
-              .otherwise("none"))
-    return j.select(
-        F.col("sl_no").alias("order_id"),
-        F.when(F.col("_q"), F.col("sl_no")).alias("quote_id"),
+    terms = payment_terms.select(F.col("description").alias("payment_terms"), "terms_code")
+    rows = _order_rows(raw).withColumn("_quote", _is_quote())
+    return (_promised(rows, po_documents).join(terms, "payment_terms", "left").select(
+        "order_id", F.when(F.col("_quote"), F.col("order_id")).alias("quote_id"),
         "po_no", strict_parse(F.col("po_date")).alias("po_date"),
-        leading_int(F.col("job_no")).alias("job_no"),
-        F.col("party").alias("customer_id"),
-        F.coalesce(dp, F.col("po_promised")).alias("promised_delivery_date"),
-        source.alias("promised_date_source"),
-        "terms_code",
-        F.coalesce(F.col("ld_clause"), F.col("ld")).alias("ld_clause"),
-        F.when(F.col("ld_clause").isNotNull(), "ld_clause_column")
-        .when(F.col("ld").isNotNull(), "ld_column").alias("ld_clause_source"),
-        F.col("status").alias("order_status"),
-        F.col("status").isin(*V.CANCELLED_WORDS).alias("is_cancelled"))
+        leading_int(F.col("job_no")).alias("job_no"), F.col("party").alias("customer_id"),
+        "promised_delivery_date", "promised_date_source", "terms_code", *_ld(),
+        F.col("status").alias("order_status"), _cancelled()))
 
 
 def derive_invoices(dispatches: DataFrame, order_lines: DataFrame, orders_df: DataFrame,
@@ -128,11 +211,11 @@ def derive_invoices(dispatches: DataFrame, order_lines: DataFrame, orders_df: Da
          .join(order_lines.select("order_id", "line_no", "unit_price"), ["order_id", "line_no"])
          .join(orders_df.select("order_id", "customer_id", "terms_code"), "order_id")
          .join(customers.select("customer_id", "market_type"), "customer_id", "left")
-         .join(F.broadcast(payment_terms.select("terms_code", "credit_days")), "terms_code", "left")
-         .join(F.broadcast(fx_monthly), F.date_format("dispatch_date", "yyyy-MM")
+         .join(payment_terms.select("terms_code", "credit_days"), "terms_code", "left")
+         .join(fx_monthly, F.date_format("dispatch_date", "yyyy-MM")
                == F.col("month_key"), "left"))
     export = F.col("market_type") == "Export"
-    inr_cents = (F.col("dispatched_qty") * F.col("unit_price") * 100).cast("long")
+    inr_cents = (F.round(F.col("dispatched_qty") * F.col("unit_price"), 2) * 100).cast("long")
     fx_cents = (F.col("fx_rate") * 100).cast("long")
     taxable = F.when(export, idiv(inr_cents * 200 + fx_cents, fx_cents * 2)).otherwise(inr_cents)
     gst = F.when(export, F.lit(0).cast("long")).otherwise(
@@ -149,21 +232,25 @@ def derive_invoices(dispatches: DataFrame, order_lines: DataFrame, orders_df: Da
         F.date_add("dispatch_date", F.col("credit_days")).alias("due_date"))
 
 
-def register_totals(links: DataFrame, order_lines: DataFrame,
+def register_totals(raw: DataFrame, links: DataFrame, order_lines: DataFrame,
                     quotation_lines: DataFrame) -> DataFrame:
-    """Value (sum qty x price) and quantity per register row: the order's
-    lines if the row became an order, else the quotation's lines."""
+    """One row per register row. value (sum qty x price) and quantity of the
+    order's lines if the row became an order, else of the quotation's lines, NULL
+    where it is neither; ``value_cell`` and ``qty_cell`` are what the register's
+    own cells then hold: only filled cells are overwritten."""
     o = order_lines.groupBy("order_id").agg(
         F.sum(F.col("ordered_qty") * F.col("unit_price")).alias("_ov"),
         F.sum("ordered_qty").alias("_oq"))
     q = quotation_lines.groupBy("quote_id").agg(
         F.sum(F.col("qty") * F.col("unit_price")).alias("_qv"), F.sum("qty").alias("_qq"))
-    j = links.join(o, "order_id", "left").join(q, "quote_id", "left")
-    return j.select("sl_no",
-                    F.round(F.when(F.col("order_id").isNotNull(), F.col("_ov"))
-                            .otherwise(F.col("_qv")), 2).cast("double").alias("value_inr"),
-                    F.when(F.col("order_id").isNotNull(), F.col("_oq"))
-                    .otherwise(F.col("_qq")).cast("double").alias("qty"))
+    rows = _rows(raw).select(F.col("_sl").alias("sl_no"), "po_quote_value", "item_qty")
+    j = (rows.join(links, "sl_no", "left").join(o, "order_id", "left").join(q, "quote_id", "left"))
+    is_order = F.col("order_id").isNotNull()
+    value = F.round(F.when(is_order, F.col("_ov")).otherwise(F.col("_qv")), 2).cast("double")
+    qty = F.when(is_order, F.col("_oq")).otherwise(F.col("_qq")).cast("double")
+    return j.select("sl_no", value.alias("value_inr"), qty.alias("qty"),
+                    F.when(F.col("po_quote_value").isNotNull(), value).alias("value_cell"),
+                    F.when(F.col("item_qty").isNotNull(), qty).alias("qty_cell"))
 
 
 def link_summary(orders_df: DataFrame) -> DataFrame:

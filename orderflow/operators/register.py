@@ -64,7 +64,7 @@ def text_to_real(cell: Column) -> Column:
     """Blank -> NULL; otherwise the leading number, 0.0 when there is none
     (the source's text-to-real cast reads a numeric prefix and never fails)."""
     c = F.when(cell != "", cell)
-    num = F.regexp_extract(c, r"^\s*([+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+))", 1)
+    num = F.regexp_extract(c, r"^\s*([+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?)", 1)
     return F.when(c.isNotNull(), F.coalesce(F.when(num != "", num).try_cast("double"),
                                             F.lit(0.0)))
 

@@ -15,7 +15,7 @@ class Params:
     # a PO year outside this window is a typo, not a date
     year_window: tuple[int, int] = (1994, 2002)
     # job numbers are banded by this width; band 1 is the main series
-    job_band_width: int = 1_000_000_000
+    job_band_width: int = 10 ** 17
     # date-shaped vessel size bands (upper bounds, labels) and the base band
     size_bands: tuple[tuple[int, str], ...] = (
         (1800, "1 small (1400-1800)"),

@@ -1,8 +1,8 @@
-"""DuckDB twins of the normalisation rules.
+"""DuckDB twins of the normalisation rules.
 
-N4 (the ordered revision fold) has no SQL twin; on data without clashing
-revisions N6's twin below is exact, and the fold is tested against a
-brute-force Python fold in the tests.
+N4's twin takes the rows of a base one by one, in register order, and looks for
+the first free revision in the list of those taken: the rule as the source
+words it, and another way than the Spark operator's clusters.
 """
 
 from __future__ import annotations
@@ -40,26 +40,54 @@ def _parts() -> str:
 qparts AS (
   SELECT {_lead_int('sl_no')} AS sl_no,
          regexp_replace(regexp_replace(quote_no, '{RP}', '', 'g'), '^\\s+|\\s+$', '', 'g') AS base,
-         CASE WHEN {rev} <> '' THEN CAST({rev} AS INTEGER) ELSE 0 END AS rev
+         CASE WHEN {rev} <> '' THEN TRY_CAST({rev} AS BIGINT) ELSE 0 END AS rev,
+         CASE WHEN {rev} <> '' THEN TRY_CAST({rev} AS BIGINT) IS NULL ELSE FALSE END AS rev_unreadable,
+         party, quote_date, validity_date, inquiry_date, po_date, incoterms, concerned_person, status
   FROM ob_raw_register WHERE regexp_matches(quote_no, '{QP}')
 )"""
 
 
+def _folded(keys: str) -> str:
+    return _parts() + f""",
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY base ORDER BY sl_no NULLS LAST, {keys}) AS i
+  FROM qparts WHERE rev IS NOT NULL
+),
+walk AS (
+  SELECT base, i, rev AS got, [rev] AS taken FROM numbered WHERE i = 1
+  UNION ALL
+  SELECT base, i, free, list_append(taken, free)
+  FROM (SELECT n.base, n.i, w.taken,
+               list_min(list_filter(range(n.rev, n.rev + len(w.taken) + 1),
+                                    lambda v: NOT list_contains(w.taken, v))) AS free
+        FROM walk w JOIN numbered n ON n.base = w.base AND n.i = w.i + 1) s
+),
+folded AS (
+  SELECT n.* REPLACE (w.got AS rev) FROM numbered n JOIN walk w USING (base, i)
+  UNION ALL
+  SELECT *, NULL FROM qparts WHERE rev IS NULL
+)"""
+
+
 def n3_sql(p: Params = DEFAULT) -> str:
-    return _parts() + "\nSELECT sl_no, base, rev FROM qparts"
+    return _parts() + "\nSELECT sl_no, base, rev, rev_unreadable FROM qparts"
+
+
+def n4_sql(p: Params = DEFAULT) -> str:
+    return _folded("rev_unreadable, rev") + "\nSELECT sl_no, base, rev, rev_unreadable FROM folded"
 
 
 def _quotations() -> str:
-    return _parts() + f""",
+    return _folded("rev_unreadable, party, quote_date, validity_date, inquiry_date, po_date, "
+                   "incoterms, concerned_person, status, rev") + f""",
 n_quotes AS (
-  SELECT qp.sl_no AS quote_id, qp.base AS quote_no, qp.rev AS revision_no, r.party AS customer_id,
-         {strict('r.inquiry_date')} AS inquiry_date,
-         coalesce({strict('r.quote_date')}, {strict('r.po_date')},
+  SELECT sl_no AS quote_id, base AS quote_no, rev AS revision_no, party AS customer_id,
+         {strict('inquiry_date')} AS inquiry_date,
+         coalesce({strict('quote_date')}, {strict('po_date')},
                   DATE '{DEFAULT_QUOTE_DATE.isoformat()}') AS quote_date,
-         {strict('r.validity_date')} AS validity_date,
-         CASE WHEN r.incoterms <> '' THEN r.incoterms END AS incoterms,
-         r.concerned_person AS salesperson_code, r.status
-  FROM qparts qp JOIN ob_raw_register r ON {_lead_int('r.sl_no')} = qp.sl_no
+         {strict('validity_date')} AS validity_date, nullif(incoterms, '') AS incoterms,
+         concerned_person AS salesperson_code, status
+  FROM folded
 )"""
 
 
@@ -70,10 +98,10 @@ def n6_sql(p: Params = DEFAULT) -> str:
 def _orders() -> str:
     po_docs = ("SELECT K * 2 + 1 AS sl_no, promised_delivery_date AS po_promised "
                "FROM ob_order_base WHERE promised_date_source = 'po_document'")
-    return _quotations() + f""",
+    return f"""
 n_orders AS (
   SELECT {_lead_int('r.sl_no')} AS order_id,
-         CASE WHEN nq.quote_id IS NOT NULL THEN {_lead_int('r.sl_no')} END AS quote_id,
+         CASE WHEN regexp_matches(r.quote_no, '{QP}') THEN {_lead_int('r.sl_no')} END AS quote_id,
          r.po_no, {strict('r.po_date')} AS po_date, {_lead_int('r.job_no')} AS job_no,
          r.party AS customer_id,
          coalesce({strict('r.dp_date')}, pd.po_promised) AS promised_delivery_date,
@@ -87,7 +115,6 @@ n_orders AS (
          r.status AS order_status,
          coalesce(r.status IN {sql_in(V.CANCELLED_WORDS)}, FALSE) AS is_cancelled_
   FROM ob_raw_register r
-  LEFT JOIN n_quotes nq ON nq.quote_id = {_lead_int('r.sl_no')}
   LEFT JOIN ({po_docs}) pd ON pd.sl_no = {_lead_int('r.sl_no')}
   LEFT JOIN ob_payment_terms t ON t.description = r.payment_terms
   WHERE r.job_no IS NOT NULL OR r.po_no IS NOT NULL
@@ -118,10 +145,14 @@ ov AS (SELECT order_id, SUM(ordered_qty * unit_price) AS v, SUM(ordered_qty) AS
        FROM ob_order_lines GROUP BY order_id),
 qv AS (SELECT quote_id, SUM(qty * unit_price) AS v, SUM(qty) AS qn
        FROM ob_quotation_lines GROUP BY quote_id)
-SELECT l.sl_no,
-       CAST(round(CASE WHEN l.order_id IS NOT NULL THEN ov.v ELSE qv.v END, 2) AS DOUBLE) AS value_inr,
-       CAST(CASE WHEN l.order_id IS NOT NULL THEN ov.qn ELSE qv.qn END AS DOUBLE) AS qty
-FROM links l LEFT JOIN ov ON ov.order_id = l.order_id LEFT JOIN qv ON qv.quote_id = l.quote_id"""
+SELECT sl_no, value_inr, qty, CASE WHEN po_quote_value <> '' THEN value_inr END AS value_cell,
+       CASE WHEN item_qty <> '' THEN qty END AS qty_cell
+FROM (SELECT r.sl_no, r.po_quote_value, r.item_qty,
+             CAST(round(CASE WHEN l.order_id IS NOT NULL THEN ov.v ELSE qv.v END, 2) AS DOUBLE) AS value_inr,
+             CAST(CASE WHEN l.order_id IS NOT NULL THEN ov.qn ELSE qv.qn END AS DOUBLE) AS qty
+      FROM (SELECT {_lead_int('sl_no')} AS sl_no, po_quote_value, item_qty FROM ob_raw_register) r
+      LEFT JOIN links l ON l.sl_no = r.sl_no
+      LEFT JOIN ov ON ov.order_id = l.order_id LEFT JOIN qv ON qv.quote_id = l.quote_id)"""
 
 
 def n15_sql(p: Params = DEFAULT) -> str:
@@ -142,7 +173,8 @@ def n_slim_sql(kind: str) -> str:
                 f"{_lead_int('sl_no')} AS sl_no, quote_no FROM ob_raw_register "
                 f"WHERE regexp_matches(quote_no, '{QP}')) r")
     if kind == "n5":
-        return _quotations() + "\nSELECT quote_id, quote_date FROM n_quotes"
+        return (_parts() + f"\nSELECT sl_no AS quote_id, coalesce({strict('quote_date')}, "
+                f"{strict('po_date')}, DATE '{DEFAULT_QUOTE_DATE.isoformat()}') AS quote_date FROM qparts")
     cols = {"n7": "order_id, po_no, job_no",
             "n8": "order_id, promised_delivery_date, promised_date_source",
             "n9": "order_id, ld_clause, ld_clause_source",

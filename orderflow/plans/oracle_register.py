@@ -108,14 +108,14 @@ v_reg AS (
          trim(x.concerned_person) LIKE '%/%' AS salesperson_two_names,
          x.concerned_person AS salesperson_raw,
          CASE WHEN regexp_matches(x.po_quote_value, '^[0-9]')
-              THEN TRY_CAST(regexp_extract(x.po_quote_value, '^([0-9]+(\\.[0-9]+)?)', 1)
-                            AS DECIMAL(18,2)) END AS value_inr,
+              THEN CAST(round(TRY_CAST(regexp_extract(x.po_quote_value,
+                   '^[0-9]+[.]?[0-9]*([eE][+-]?[0-9]+)?', 0) AS DOUBLE), 6) AS DECIMAL(28,6)) END AS value_inr,
          x.incoterms,
          CASE WHEN x.incoterms IS NULL THEN NULL
               ELSE replace(upper(trim(x.incoterms)), 'EX WORKS', 'EX-WORKS') END AS incoterms_clean,
          CASE WHEN x.item_qty IS NULL OR x.item_qty = '' THEN NULL
               ELSE coalesce(TRY_CAST(nullif(regexp_extract(x.item_qty,
-                     '^\\s*([+-]?([0-9]+(\\.[0-9]*)?|\\.[0-9]+))', 1), '') AS DOUBLE), 0.0)
+                     '^\\s*([+-]?([0-9]+(\\.[0-9]*)?|\\.[0-9]+)([eE][+-]?[0-9]+)?)', 1), '') AS DOUBLE), 0.0)
          END AS item_qty,
          x.po_date IS NOT NULL OR x.quote_date IS NOT NULL AS any_date_
   FROM reg_x x

@@ -10,7 +10,8 @@ from __future__ import annotations
 
 from .. import vocab as V
 from ..params import DEFAULT, Params
-from ..sources.adapter import (CATEGORY_BY_LINE, ORDER_WORDINGS, PT_CODES, QUOTE_WORDINGS,
+from ..sources.adapter import (CATEGORY_BY_LINE, DISPATCH_BASE, EXPONENTS, IDENTITY_CELLS,
+                               LONG_REVISIONS, ORDER_WORDINGS, PT_CODES, QUOTE_WORDINGS,
                                UOM_BY_LINE)
 
 
@@ -72,8 +73,18 @@ def adapter_ctes(params: Params = DEFAULT) -> str:
     terms_rows = ", ".join(f"({q(c)}, {q(d)}, {n}, {float(a)})"
                            for c, d, n, a in V.PAYMENT_TERMS)
     ldv, ldc = V.LD_VALUES, V.LD_CLAUSE_VALUES
-    real_quote = ("'VQ/FG/' || CAST(K AS VARCHAR) || CASE WHEN K % 3 > 0 "
+    real_quote = ("'VQ/FG/' || CAST(CASE WHEN K % 60 IN (0, 1, 5, 6, 10) THEN K // 60 * 60 ELSE K END "
+                  f"AS VARCHAR) || CASE WHEN K % 240 = 11 THEN {q(LONG_REVISIONS[0])} "
+                  f"WHEN K % 480 = 16 THEN {q(LONG_REVISIONS[1])} WHEN K % 3 > 0 "
                   "THEN ' REV-0' || CAST(K % 3 AS VARCHAR) ELSE '' END")
+
+    def serial(n: str) -> str:
+        return (f"CASE WHEN K % 401 = 13 THEN NULL WHEN K % 409 = 17 THEN 'S' || ({n}) "
+                f"WHEN K % 419 = 19 THEN CAST({n} - 2 AS VARCHAR) ELSE CAST({n} AS VARCHAR) END")
+
+    identity = (f"CASE WHEN K % 313 = 7 THEN {q(IDENTITY_CELLS[0])} WHEN K % 317 = 11 "
+                f"THEN {q(IDENTITY_CELLS[1])} WHEN K % 331 = 13 THEN {q(IDENTITY_CELLS[2])} "
+                f"WHEN K % 337 = 17 THEN {q(IDENTITY_CELLS[3])} WHEN K % 4 = 2 THEN 'E-mail' END")
     gem = "'GEM/2001/B/' || CAST(7000000 + K % 1000000 AS VARCHAR)"
     return f"""
 ob_customers AS (
@@ -180,20 +191,21 @@ ob_dispatch_pre AS (
 ),
 ob_dispatch_rows AS (
   SELECT * FROM (
-    SELECT K * 1000 + line_no * 10 + part AS dispatch_id, K AS order_id, line_no, part,
+    SELECT {DISPATCH_BASE} + K * 1000000 + line_no * 10 + part AS dispatch_id, K AS order_id, line_no, part,
            CASE WHEN part = 1 THEN first_date
                 ELSE first_date + CAST(3 + K % 23 AS INTEGER) END AS dispatch_date,
-           CASE WHEN NOT split THEN ship_total WHEN part = 1 THEN ship_total // 2
-                ELSE ship_total - ship_total // 2 END AS qty_int,
+           1000 * shipped - CASE WHEN K % 37 = 4 AND shipped > 1 THEN 445 ELSE 0 END AS qty_milli,
            unit_cents, customer_id, terms_code, promised_delivery_date
-    FROM (SELECT *, unnest(CASE WHEN split THEN [1, 2] ELSE [1] END) AS part
-          FROM ob_dispatch_pre) x
+    FROM (SELECT *, CASE WHEN NOT split THEN ship_total WHEN part = 1 THEN ship_total // 2
+                         ELSE ship_total - ship_total // 2 END AS shipped
+          FROM (SELECT *, 1 AS part FROM ob_dispatch_pre
+                UNION ALL SELECT *, 2 FROM ob_dispatch_pre WHERE split) w) x
   ) y
   WHERE dispatch_date <= {as_of}
 ),
 ob_dispatches AS (
   SELECT dispatch_id, order_id, line_no, dispatch_date,
-         CAST(qty_int AS DECIMAL(18,3)) AS dispatched_qty,
+         CAST(CAST(qty_milli AS DECIMAL(20,0)) * 0.001 AS DECIMAL(18,3)) AS dispatched_qty,
          {sql_pick(V.SHIP_MODES, f'(order_id + line_no) % {len(V.SHIP_MODES)}')} AS ship_mode,
          CASE WHEN promised_delivery_date IS NOT NULL AND dispatch_date > promised_delivery_date
               THEN {sql_pick(V.DELAY_REASONS, f'order_id % {len(V.DELAY_REASONS)}')}
@@ -208,14 +220,15 @@ ob_invoice_rows AS (
          CASE WHEN c.market_type = 'Export' THEN {cents('fx_cents')}
               ELSE CAST(1 AS DECIMAL(18,2)) END AS fx_rate_to_inr,
          CASE WHEN c.market_type = 'Export'
-              THEN (d.qty_int * d.unit_cents * 200 + fx_cents) // (fx_cents * 2)
-              ELSE d.qty_int * d.unit_cents END AS taxable_cents,
+              THEN (d.inr_cents * 200 + fx_cents) // (fx_cents * 2)
+              ELSE d.inr_cents END AS taxable_cents,
          CASE WHEN c.market_type = 'Export' THEN CAST(0 AS BIGINT)
-              ELSE (d.qty_int * d.unit_cents * {gst2} + 100) // 200 END AS gst_cents,
+              ELSE (d.inr_cents * {gst2} + 100) // 200 END AS gst_cents,
          d.dispatch_date + CAST(t.credit_days AS INTEGER) AS due_date,
          CAST(t.advance_pct AS BIGINT) AS advance_pct
   FROM (SELECT *, 8300 + ((year(dispatch_date) * 12 + month(dispatch_date)) * 37) % 701
-                  AS fx_cents FROM ob_dispatch_rows) d
+                  AS fx_cents, (qty_milli * unit_cents + 500) // 1000 AS inr_cents
+        FROM ob_dispatch_rows) d
   LEFT JOIN ob_customers c ON d.customer_id = c.customer_id
   LEFT JOIN ob_payment_terms t ON d.terms_code = t.terms_code
 ),
@@ -287,7 +300,7 @@ ob_register_base AS (
   LEFT JOIN ob_payment_terms t ON b.terms_code = t.terms_code
 ),
 ob_raw_register AS (
-  SELECT CAST(K * 2 + 1 AS VARCHAR) AS sl_no,
+  SELECT {serial('K * 2 + 1')} AS sl_no,
          customer_id AS party,
          {sql_pick(V.PROJECT_WORDS, f'K % {len(V.PROJECT_WORDS)}')} AS project,
          CASE WHEN K % 2 = 0 THEN {sql_pick(V.INCOTERMS, f'K % {len(V.INCOTERMS)}')} END AS incoterms,
@@ -301,9 +314,9 @@ ob_raw_register AS (
          {vertical('K', 'market_type')} AS vertical,
          {category('li', 'K')} AS category,
          {sql_pick(V.PRODUCT_LINES, 'li')} AS item,
-         CASE WHEN K % 101 = 9 THEN 'n/a'
+         CASE WHEN K % 101 = 9 THEN 'n/a' WHEN K % 107 = 3 THEN '1.5E+02'
               WHEN K % 4 = 0 THEN CAST(first_qty AS VARCHAR) END AS item_qty,
-         CASE WHEN K % 4 = 2 THEN 'E-mail' END AS inquiry,
+         {identity} AS inquiry,
          CAST(NULL AS VARCHAR) AS inquiry_date,
          CASE WHEN K % 211 = 5 THEN CAST(job_no AS VARCHAR) || 'A'
               ELSE CAST(job_no AS VARCHAR) END AS job_no,
@@ -321,11 +334,12 @@ ob_raw_register AS (
          ld_clause_cell AS ld_clause,
          CASE WHEN K % 30 = 0 THEN terms_text END AS payment_terms,
          CASE WHEN K % 101 = 9 THEN 'n/a'
+              WHEN K % 103 = 11 THEN {sql_pick(EXPONENTS, f'K % {len(EXPONENTS)}')}
               WHEN K % 3 <> 0 THEN CAST(value_dec AS VARCHAR) END AS po_quote_value,
          {person('K')} AS concerned_person
   FROM ob_register_base
   UNION ALL
-  SELECT CAST(K * 2 + 2 AS VARCHAR),
+  SELECT {serial('K * 2 + 2')},
          customer_id,
          {sql_pick(V.PROJECT_WORDS, f'K % {len(V.PROJECT_WORDS)}')},
          CASE WHEN K % 2 = 0 THEN {sql_pick(V.INCOTERMS, f'K % {len(V.INCOTERMS)}')} END,
@@ -367,4 +381,4 @@ def with_tables(body: str, params: Params = DEFAULT) -> str:
     body = body.strip()
     if body.upper().startswith("SELECT"):
         return f"WITH {adapter_ctes(params)}\n{body}"
-    return f"WITH {adapter_ctes(params)},\n{body}"
+    return f"WITH RECURSIVE {adapter_ctes(params)},\n{body}"

@@ -137,14 +137,14 @@ def _n_quotes(spark, sf_dir):
 def _n_orders(spark, sf_dir):
     t = _tables(spark, sf_dir)
     raw = t.raw_quote_register
-    return N.orders(raw, N.quotations(raw, DEFAULT), t.po_document_dates, t.payment_terms)
+    return N.orders(raw, t.po_document_dates, t.payment_terms)
 
 
 register("n1_strict_dates", lambda p: with_tables(ON.n1_sql(p), p))(
     lambda spark, sf_dir: N.strict_dates(_tables(spark, sf_dir).raw_quote_register))
 register("n3_quote_numbers", lambda p: with_tables(ON.n3_sql(p), p))(
     lambda spark, sf_dir: N.quote_number_parts(_tables(spark, sf_dir).raw_quote_register))
-register("n4_revision_dedupe")(
+register("n4_revision_dedupe", lambda p: with_tables(ON.n4_sql(p), p))(
     lambda spark, sf_dir: N.dedupe_revisions(
         N.quote_number_parts(_tables(spark, sf_dir).raw_quote_register)))
 register("n6_quotations", lambda p: with_tables(ON.n6_sql(p), p))(_n_quotes)
@@ -154,36 +154,26 @@ register("n13_invoices", lambda p: with_tables(ON.n13_sql(p), p))(
         t.dispatches, t.order_lines, t.orders, t.customers, t.payment_terms, t.fx_monthly,
         DEFAULT))(_tables(spark, sf_dir))))
 register("n14_register_totals", lambda p: with_tables(ON.n14_sql(p), p))(
-    lambda spark, sf_dir: (lambda t: N.register_totals(t.register_links, t.order_lines,
-                                                       t.quotation_lines))(_tables(spark, sf_dir)))
+    lambda spark, sf_dir: (lambda t: N.register_totals(
+        t.raw_quote_register, t.register_links, t.order_lines, t.quotation_lines))(_tables(spark, sf_dir)))
 register("n15_link_summary", lambda p: with_tables(ON.n15_sql(p), p))(
     lambda spark, sf_dir: N.link_summary(_n_orders(spark, sf_dir)))
 
 for _name in C.CHECK_NAMES:
     register(C.check_key(_name), (lambda n: lambda p: with_tables(
-        OC.checks_sql(p) + f" WHERE col0 = '{n}'", p))(_name))(
+        OC.checks_sql(p) + f" WHERE check_name = '{n}'", p))(_name))(
         (lambda n: lambda spark, sf_dir: C.one_check(_tables(spark, sf_dir), n, DEFAULT))(_name))
 
 
 # ------------------------------------------------- slim N and V views
-from pyspark.sql import functions as _F  # noqa: E402
-
-
 def _n_slim(kind):
     def run(spark, sf_dir):
         t = _tables(spark, sf_dir)
         raw = t.raw_quote_register
-        if kind == "n2":
-            return (raw.filter(_F.col("quote_no").rlike(N.V.QUOTE_NO_PATTERN))
-                    .select(N.leading_int(_F.col("sl_no")).alias("sl_no"), "quote_no"))
-        if kind == "n5":
-            return N.quotations(raw, DEFAULT).select("quote_id", "quote_date")
-        o = N.orders(raw, N.quotations(raw, DEFAULT), t.po_document_dates, t.payment_terms)
-        cols = {"n7": ["order_id", "po_no", "job_no"],
-                "n8": ["order_id", "promised_delivery_date", "promised_date_source"],
-                "n9": ["order_id", "ld_clause", "ld_clause_source"],
-                "n10": ["order_id", "order_status", "is_cancelled"]}[kind]
-        return o.select(*cols)
+        if kind == "n8":
+            return N.promised_dates(raw, t.po_document_dates)
+        return {"n2": N.quotation_rows, "n5": N.quote_dates, "n7": N.order_rows,
+                "n9": N.ld_merge, "n10": N.cancelled}[kind](raw)
     return run
 
 
@@ -196,4 +186,5 @@ for _kind, _name in (("n2", "n2_quotation_rows"), ("n5", "n5_quote_dates"),
 register("v1_due_orders", lambda p: with_tables(OQ.v_slim_sql("v1", p), p))(
     lambda spark, sf_dir: D.due_orders(_tables(spark, sf_dir).orders, DEFAULT))
 register("v2_line_shipments", lambda p: with_tables(OQ.v_slim_sql("v2", p), p))(
-    lambda spark, sf_dir: as_reported(D.line_shipments(_tables(spark, sf_dir).dispatches)))
+    lambda spark, sf_dir: as_reported(
+        D.line_shipments(_tables(spark, sf_dir), DEFAULT).drop("item_id")))

@@ -25,13 +25,21 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import vocab as V
-from ..functions.numeric import cents_to_decimal, idiv
+from ..functions.numeric import cents_to_decimal, idiv, milli_to_decimal
 from ..functions.text import fmt_date, literal_table, pick
 from ..params import DEFAULT, Params
 from . import tpch
 
 # --- fixture rules ---------------------------------------------------------------
 ONBOARD_EPOCH = dt.date(1994, 1, 1)
+# ids have 16 digits or more, so that none has the shape of a phone number, and
+# leave room for 10^5 lines in an order
+DISPATCH_BASE = 10 ** 15
+# cells that the cleaning and privacy rules have to cope with
+EXPONENTS = ["1.2E+07", "3.5e5", "7E2"]
+LONG_REVISIONS = [" REV-99999999999", " REV 123456789012345678901234567890"]
+IDENTITY_CELLS = ["GST 27ABCDE1234F1Z5", "PAN ABCDE1234F", "see GEM/2024/B/4800123",
+                  "call 9876543210"]
 ORDER_STATES = {"Delivered", "Order in progress", "Closed", "On hold"}
 QUOTE_STATES = {"Quote live", "Lost", "Retender", "Not received", "Closed", "UNUSABLE"}
 
@@ -267,10 +275,12 @@ class OrderBook:
         d_date = F.when(part == 1, F.col("first_date")).otherwise(
             F.date_add(F.col("first_date"), (F.lit(3) + K % 23).cast("int")))
         out = j.select(
-            (K * 1000 + line_no * 10 + part).alias("dispatch_id"),
+            (F.lit(DISPATCH_BASE) + K * 1_000_000 + line_no * 10 + part).alias("dispatch_id"),
             K.alias("order_id"), line_no.alias("line_no"), part.alias("part"),
             d_date.alias("dispatch_date"),
-            d_qty.alias("qty_int"),
+            # thousandths: some dispatches ship a fraction of a unit
+            (d_qty * 1000 - F.when((K % 37 == 4) & (d_qty > 1), 445).otherwise(0))
+            .alias("qty_milli"),
             "unit_cents", "customer_id", "terms_code", "promised_delivery_date",
         )
         return out.filter(F.col("dispatch_date") <= F.lit(self.params.as_of))
@@ -282,7 +292,7 @@ class OrderBook:
                 & (F.col("dispatch_date") > F.col("promised_delivery_date")))
         return d.select(
             "dispatch_id", "order_id", "line_no", "dispatch_date",
-            F.col("qty_int").cast("decimal(18,3)").alias("dispatched_qty"),
+            milli_to_decimal(F.col("qty_milli")).alias("dispatched_qty"),
             pick(V.SHIP_MODES, (F.col("order_id") + F.col("line_no")) % len(V.SHIP_MODES))
              .alias("ship_mode"),
             F.when(late, pick(V.DELAY_REASONS, F.col("order_id") % len(V.DELAY_REASONS)))
@@ -298,7 +308,7 @@ class OrderBook:
                                                       "advance_pct"))
         j = d.join(cust, "customer_id", "left").join(terms, "terms_code", "left")
         export = F.col("market_type") == "Export"
-        inr_cents = F.col("qty_int") * F.col("unit_cents")
+        inr_cents = idiv(F.col("qty_milli") * F.col("unit_cents") + 500, 1000)
         ym = F.year("dispatch_date") * 12 + F.month("dispatch_date")
         fx_cents = F.lit(8300) + (ym * 37) % 701
         taxable = F.when(export, idiv(inr_cents * 200 + fx_cents, fx_cents * 2)).otherwise(inr_cents)
@@ -432,9 +442,20 @@ class OrderBook:
         po_date = F.col("po_date")
         quote_date = F.when(K % 97 == 5, F.date_add(po_date, 3)).otherwise(
             F.date_sub(po_date, (F.lit(1) + K % 40).cast("int")))
-        rev_suffix = F.when(K % 3 > 0, F.concat(F.lit(" REV-0"), (K % 3).cast("string"))) \
-            .otherwise(F.lit(""))
-        real_quote = F.concat(F.lit("VQ/FG/"), K.cast("string"), rev_suffix)
+        rev_suffix = (F.when(K % 240 == 11, LONG_REVISIONS[0]).when(K % 480 == 16, LONG_REVISIONS[1])
+                      .when(K % 3 > 0, F.concat(F.lit(" REV-0"), (K % 3).cast("string")))
+                      .otherwise(F.lit("")))
+        # five rows of every sixty share a quote number, and their revisions clash
+        quote_key = F.when((K % 60).isin(0, 1, 5, 6, 10), K - K % 60).otherwise(K)
+        real_quote = F.concat(F.lit("VQ/FG/"), quote_key.cast("string"), rev_suffix)
+        # serial numbers: missing, not a number, or the same as two rows before
+        serial = pick_row(K * 2 + 1, K * 2 + 2)
+        serial_text = (F.when(K % 401 == 13, F.lit(None).cast("string"))
+                       .when(K % 409 == 17, F.concat(F.lit("S"), serial.cast("string")))
+                       .when(K % 419 == 19, (serial - 2).cast("string"))
+                       .otherwise(serial.cast("string")))
+        identity = (F.when(K % 313 == 7, IDENTITY_CELLS[0]).when(K % 317 == 11, IDENTITY_CELLS[1])
+                    .when(K % 331 == 13, IDENTITY_CELLS[2]).when(K % 337 == 17, IDENTITY_CELLS[3]))
         gem = F.concat(F.lit("GEM/2001/B/"), (F.lit(7000000) + K % 1000000).cast("string"))
         junk = pick(V.QUOTE_NO_JUNK, K % len(V.QUOTE_NO_JUNK))
         is_quote = K % 7 == 0
@@ -448,7 +469,7 @@ class OrderBook:
                           fmt_date(F.col("promised_delivery_date"), (K + 2) % 3))
                    .when(K % 47 == 3, pick(V.DP_FREE_TEXT, K % len(V.DP_FREE_TEXT))))
         return b.select(
-            pick_row(K * 2 + 1, K * 2 + 2).cast("string").alias("sl_no"),
+            serial_text.alias("sl_no"),
             F.col("customer_id").alias("party"),
             pick(V.PROJECT_WORDS, K % len(V.PROJECT_WORDS)).alias("project"),
             F.when(K % 2 == 0, pick(V.INCOTERMS, K % len(V.INCOTERMS))).alias("incoterms"),
@@ -465,10 +486,10 @@ class OrderBook:
             _vertical(K, F.col("market_type")).alias("vertical"),
             _category(line_idx, K).alias("category"),
             pick(V.PRODUCT_LINES, line_idx).alias("item"),
-            pick_row(F.when(K % 101 == 9, F.lit("n/a"))
+            pick_row(F.when(K % 101 == 9, F.lit("n/a")).when(K % 107 == 3, F.lit("1.5E+02"))
                      .when(K % 4 == 0, F.col("first_qty").cast("string")),
                      F.when(K % 4 == 0, F.col("first_qty").cast("string"))).alias("item_qty"),
-            pick_row(F.when(K % 4 == 2, F.lit("E-mail")), none).alias("inquiry"),
+            pick_row(F.coalesce(identity, F.when(K % 4 == 2, F.lit("E-mail"))), none).alias("inquiry"),
             none.alias("inquiry_date"),
             pick_row(job_text, none).alias("job_no"),
             pick_row(F.col("po_no"), none).alias("po_no"),
@@ -480,7 +501,9 @@ class OrderBook:
             pick_row(F.col("ld_cell"), none).alias("ld"),
             pick_row(F.col("ld_clause_cell"), none).alias("ld_clause"),
             pick_row(F.when(K % 30 == 0, F.col("terms_text")), none).alias("payment_terms"),
-            pick_row(F.when(K % 101 == 9, F.lit("n/a")).when(K % 3 != 0, value_text),
+            pick_row(F.when(K % 101 == 9, F.lit("n/a"))
+                     .when(K % 103 == 11, pick(EXPONENTS, K % len(EXPONENTS)))
+                     .when(K % 3 != 0, value_text),
                      F.when(K % 2 == 0, value_text)).alias("po_quote_value"),
             _person(K).alias("concerned_person"),
         )

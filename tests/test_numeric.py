@@ -6,7 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from orderflow.functions.numeric import idiv, round_ratio
+from orderflow.functions.numeric import idiv, pct, round_ratio, tenths
 
 
 def expected(n, d, k):
@@ -36,3 +36,17 @@ def test_zero_denominator_is_null(spark):
 def test_idiv_floors(spark):
     r = spark.range(1).select(idiv(F.lit(-7), 2).alias("a"), idiv(F.lit(7), 2).alias("b")).first()
     assert (r.a, r.b) == (-4, 3)
+
+
+def test_exact_beyond_double(spark):
+    r = spark.range(1).select(
+        idiv(F.lit(90071992547409931), 10).alias("a"), idiv(F.lit(-90071992547409931), 7).alias("b"),
+        pct(F.lit(int(1.8e16)), F.lit(int(1e17))).alias("c"),
+        round_ratio(F.lit(9 * 10**18), F.lit(7), 2).alias("d"), tenths(F.lit(-5), F.lit(10)).alias("e")).first()
+    assert (r.a, r.b) == (9007199254740993, -90071992547409931 // 7)
+    assert (r.c, r.e) == (18.0, -500) and r.d == expected(9 * 10**18, 7, 2)
+
+
+def test_floor_division_near_ten_to_the_seventeen(spark):
+    df = spark.range(10**17, 10**17 + 2000).select("id", idiv(F.col("id"), 7).alias("q"))
+    assert all(r.q == r.id // 7 for r in df.collect())
