@@ -65,9 +65,10 @@ def _cnt(cond):
     return F.count_if(F.coalesce(cond, F.lit(False)))
 
 
-def register_aggs() -> list:
+def register_aggs(market: bool = True) -> list:
     """Every register-side count of the log, as aggregate expressions over the
-    cleaned register (with the ``_any_date`` pass-through column)."""
+    cleaned register (with the ``_any_date`` pass-through column); without
+    ``market`` those that need no customer's market."""
     c, cnt = F.col, _cnt
     return [
         cnt(c("_any_date")).alias("dates_parsed"),
@@ -84,7 +85,7 @@ def register_aggs() -> list:
         cnt(c("ld_both_populated")).alias("ld_both"),
         *[cnt(c("ld_kind") == k).alias(f"_ld_{i}") for i, k in enumerate(V.LD_NOT_A_CLAUSE)],
         cnt(c("vertical_clean") == "NOT A MARKET").alias("vertical_other"),
-        cnt(c("export_mislabelled")).alias("export_mislabelled"),
+        *([cnt(c("export_mislabelled")).alias("export_mislabelled")] if market else []),
         (F.countDistinct("salesperson_raw") - F.countDistinct("salesperson"))
         .alias("people_initials"),
         cnt(c("salesperson_two_names")).alias("people_two"),

@@ -20,7 +20,7 @@ from ..params import DEFAULT, Params
 from .audit_log import log_rows, order_aggs, register_aggs, with_any_date
 from .constraints import fk_orphans
 from .delivery import otif
-from .register import clean_register
+from .register import clean_register, clean_rows
 
 
 CHECK_NAMES = [
@@ -79,8 +79,8 @@ def _reg_check(x, cols: list, name: str, expected: str, actual: Column,
 class _Context:
     """Shared inputs of the checks, built only when a check asks for them."""
 
-    def __init__(self, tables, params: Params):
-        self.t, self.p = tables, params
+    def __init__(self, tables, params: Params, market: bool = True):
+        self.t, self.p, self.market = tables, params, market
         self._clean = self._reg = None
         # when set, checks computed from the shared register aggregate are
         # collected here and emitted as one branch (see run_checks)
@@ -89,8 +89,9 @@ class _Context:
     @property
     def clean(self) -> DataFrame:
         if self._clean is None:
-            self._clean = clean_register(with_any_date(self.t.raw_quote_register),
-                                         self.t.customers, self.p, passthrough=("_any_date",))
+            raw, extra = with_any_date(self.t.raw_quote_register), ("_any_date",)
+            self._clean = (clean_register(raw, self.t.customers, self.p, extra) if self.market
+                           else clean_rows(raw, self.p, extra))
         return self._clean
 
     @property
@@ -99,7 +100,7 @@ class _Context:
         if self._reg is None:
             c = F.col
             self._reg = self.clean.agg(
-                *register_aggs(),
+                *register_aggs(self.market),
                 F.count_if(c("quote_date") > c("po_date")).alias("_quote_after_po"),
                 F.count_if(c("status_clean") == V.UNMAPPED).alias("_unmapped"))
         return self._reg
@@ -499,4 +500,4 @@ def run_checks(tables, params: Params = DEFAULT) -> DataFrame:
 
 def one_check(tables, name: str, params: Params = DEFAULT) -> DataFrame:
     """A single check: only its own plan is built."""
-    return _BUILDERS[name](_Context(tables, params))
+    return _BUILDERS[name](_Context(tables, params, market=name.startswith("20")))

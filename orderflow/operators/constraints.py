@@ -20,6 +20,7 @@ PRIMARY_KEYS = [
     ("quotations", ["quote_id"]), ("quotation_lines", ["quote_id", "line_no"]),
     ("orders", ["order_id"]), ("order_lines", ["order_id", "line_no"]),
     ("dispatches", ["dispatch_id"]), ("invoices", ["invoice_id"]), ("payments", ["payment_id"]),
+    ("cleaning_log", ["log_id"]),
 ]
 UNIQUE_KEYS = [
     ("quotations", ["quote_no", "revision_no"]), ("orders", ["job_no"]),
@@ -47,6 +48,7 @@ DOMAINS = [
     ("orders", "promised_date_source", V.PROMISED_DATE_SOURCES),
     ("invoices", "currency", V.CURRENCIES),
     ("payments", "payment_type", V.PAYMENT_TYPES),
+    ("cleaning_log", "action", V.LOG_ACTIONS),
 ]
 RANGES = [
     ("quotation_lines", "qty > 0", "qty", "gt0"), ("quotation_lines", "unit_price >= 0",
@@ -72,6 +74,7 @@ NOT_NULL = {
     "invoices": ["invoice_no", "dispatch_id", "order_id", "customer_id", "invoice_date",
                  "currency", "fx_rate_to_inr", "taxable_value", "gst_amount", "due_date"],
     "payments": ["invoice_id", "payment_date", "amount", "payment_type"],
+    "cleaning_log": ["step", "issue", "rows_found", "action"],
 }
 
 
@@ -128,11 +131,18 @@ def k4_domains(tables) -> DataFrame:
 
 
 def k5_ranges(tables) -> DataFrame:
+    """All range rules of a table in one pass."""
     def bad(col, op):
         return F.col(col) <= 0 if op == "gt0" else F.col(col) < 0
-    return _union([_row(tables[t].agg(F.count_if(bad(c, op)).alias("violations")), t, rule,
-                        "range")
-                   for t, rule, c, op in RANGES])
+    parts = []
+    for t in dict.fromkeys(t for t, *_ in RANGES):
+        rules = [(rule, c, op) for name, rule, c, op in RANGES if name == t]
+        one = tables[t].agg(*[F.count_if(bad(c, op)).alias(f"_{k}") for k, (_, c, op) in enumerate(rules)])
+        rows = F.array(*[F.struct(F.lit(rule).alias("rule"), F.col(f"_{k}").cast("long").alias("violations"))
+                         for k, (rule, _, _) in enumerate(rules)])
+        parts.append(one.select(F.inline(rows)).select(
+            F.lit(t).alias("table_name"), "rule", F.lit("range").alias("kind"), "violations"))
+    return _union(parts)
 
 
 def k6_not_null(tables) -> DataFrame:

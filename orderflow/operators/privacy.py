@@ -31,21 +31,13 @@ from .. import vocab as V
 from ..functions.text import literal_table
 from ..sources import tpch
 
-SAMPLE = 4
+SAMPLE, PERSON_SAMPLE = 4, 6
 UNICODE = "(?U)"
 
 PERSON_SHAPE_EXEMPT = {("raw_quote_register", "concerned_person"),
                        ("quotations", "salesperson_code"),
                        ("raw_quote_register", "vertical")}
 
-ITEM_DESCRIPTIONS = ["FRP pressure vessel", "Pultruded handrail section",
-                     "Pultruded angle profile", "Pultruded channel profile",
-                     "Pultruded tube 50x50", "Pultruded ladder stringer",
-                     "Moulded grating 38 mm, 1x4 m panel", "Moulded grating 25 mm, 1x4 m panel",
-                     "Pultruded grating 40 mm panel", "Grating with anti-skid grit top",
-                     "Stair tread with nosing"]
-
-
 def declared_strings() -> list[str]:
     """Vocabulary the project itself declares; a person-shaped match inside one
     of these is not a finding."""
@@ -54,7 +46,7 @@ def declared_strings() -> list[str]:
                 V.INCOTERMS, V.QUOTE_FROM, V.QUOTE_NO_JUNK, V.LD_VALUES, V.LD_CLAUSE_VALUES,
                 V.STATUS_AS_TYPED, V.PLACES, V.VERTICALS, V.PEOPLE, V.MARKET_TYPES,
                 V.DOMESTIC_REGIONS, V.DEEMED_EXPORT_REGIONS, [V.HOME_COUNTRY],
-                ITEM_DESCRIPTIONS, V.SHIP_MODES, V.DELAY_REASONS):
+                V.ITEM_DESCRIPTIONS, V.SHIP_MODES, V.DELAY_REASONS):
         out |= {str(x) for x in lst}
     for v in V.CATEGORY_TEXT.values():
         out |= set(v)
@@ -62,22 +54,13 @@ def declared_strings() -> list[str]:
 
 
 def scanned_tables(tables, spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Every table whose cells are scanned: the order book plus the documents."""
-    out = {name: tables[name] for name in tables.TABLES}
-    out["documents"] = spread(tpch.read(spark, sf_dir, "documents", ["doc_id", "text"]))
+    """Every table whose cells are scanned: the order book, its cleaning log and
+    all columns of the documents."""
+    out = {name: tables[name] for name in (*tables.TABLES, "cleaning_log")}
+    out["documents"] = spark.read.parquet(tpch.path(sf_dir, "documents"))
     return out
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Regex work on long texts is CPU-bound per row: when the scan yields fewer
-    partitions than cores (a few large files), deal the rows out round-robin so
-    every core gets a share. Inputs that are already split are left as they are."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores * 2)
-
-
 # text of these types can never hold a match of any scanned pattern (only digits
 # and '-', ':', '.', 'E'): a date, a decimal, a double or a boolean
 NEVER_MATCHES = ("date", "timestamp", "decimal", "double", "float", "boolean")
@@ -217,8 +200,12 @@ def matches(cell_df: DataFrame, location_cols=("table_name", "column_name"),
     m = (cell_df.select(*location_cols, F.inline(F.array(*rules)))
          .filter(F.size("found") > 0)
          .select("rule", *location_cols, F.explode("found").alias("match")))
-    if not with_person_shapes:
-        return m
+    return unexplained(m.distinct()) if with_person_shapes else m
+
+
+def unexplained(m: DataFrame) -> DataFrame:
+    """Without person-shaped matches that are allowlisted people or lie inside a
+    declared string; asked once for every distinct match."""
     declared = F.array(*[F.lit(d) for d in declared_strings()])
     explained = (F.col("rule") == PERSON_RULE) & (
         F.col("match").isin(*V.PEOPLE)
@@ -276,30 +263,47 @@ def pattern_scan(tables: dict[str, DataFrame]) -> DataFrame:
 def person_shapes(tables: dict[str, DataFrame]) -> DataFrame:
     """Person-shaped matches not explained by the declared vocabulary."""
     m = scan(tables, patterns=False)
-    return _first_values(m, ["table_name", "column_name"], "match")
+    return _first_values(m, ["table_name", "column_name"], "match", PERSON_SAMPLE)
 
 
 def text_file_findings(spark: SparkSession, path: str) -> DataFrame:
     """P5: pattern hits in text files, with file and line number.
 
-    Each file is read whole and split into numbered lines inside its own task.
-    """
-    files = spark.read.text(path, wholetext=True).select(
-        F.input_file_name().alias("file"), F.col("value").alias("_text"))
-    lines = files.select("file", F.posexplode(F.split("_text", "\n")).alias("_pos", "value"))
-    lines = lines.select("file", (F.col("_pos") + 1).alias("line_no"), "value",
-                         F.lit(False).alias("digits_only"))
-    return pattern_matches(lines, ("file", "line_no")).select("rule", "file", "line_no", "match")
-
-
-def privacy_report(tables, spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every finding as (rule, location, hits, sample); empty means clean."""
+    Files are read line by line, a large one as several blocks. Line ids run on
+    within a block, so a line's number is its place in the block plus the lines
+    of the blocks before it (one row per block); a line end other than LF or CRLF
+    is not counted."""
+    lines = spark.read.option("lineSep", "\n").text(path).select(
+        F.input_file_name().alias("file"), F.input_file_block_start().alias("block"),
+        F.monotonically_increasing_id().alias("id"), F.rtrim(F.col("value"), F.lit("\r")).alias("value"))
+    blocks = lines.groupBy("file", "block").agg(F.min("id").alias("first"), F.count("*").alias("n"))
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("ahead", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    hits = pattern_matches(lines.withColumn("digits_only", F.lit(False)), ("file", "block", "id"))
+    return hits.join(blocks, ["file", "block"]).select(
+        "rule", "file", (F.col("ahead") + F.col("id") - F.col("first") + 1).cast("int").alias("line_no"),
+        "match")
+
+
+def privacy_report(tables, spark: SparkSession, sf_dir: str, text_path: str | None = None) -> DataFrame:
+    """Every finding as (rule, location, hits, sample), those of text files
+    under ``text_path`` too, and one outcome row."""
     scanned = scanned_tables(tables, spark, sf_dir)
     allow = (allowlist_scan(tables, spark, sf_dir).filter(F.col("outside_values") > 0)
              .select(F.lit("allowlist").alias("rule"),
                      F.concat_ws(".", "table_name", "column_name").alias("location"),
                      F.col("outside_values").alias("hits"), "sample"))
-    found = _first_values(scan(scanned), ["rule", "table_name", "column_name"], "match")
-    return allow.unionByName(found.select(
-        "rule", F.concat_ws(".", "table_name", "column_name").alias("location"), "hits",
-        "sample"))
+    every = scan(scanned)
+    keys = ["rule", "table_name", "column_name"]
+    is_person = F.col("rule") == PERSON_RULE
+    found = _first_values(every.filter(~is_person), keys, "match").unionByName(
+        _first_values(every.filter(is_person), keys, "match", PERSON_SAMPLE))
+    report = allow.unionByName(found.select(
+        "rule", F.concat_ws(".", "table_name", "column_name").alias("location"), "hits", "sample"))
+    if text_path:
+        files = text_file_findings(spark, text_path).select("rule", F.col("file").alias("location"), "match")
+        report = report.unionByName(_first_values(files, ["rule", "location"], "match"))
+    outcome = report.agg(F.sum("hits").alias("n")).select(
+        F.lit("outcome").alias("rule"), F.when(F.coalesce("n", F.lit(0)) == 0, "clean").otherwise("not clean")
+        .alias("location"), F.coalesce("n", F.lit(0)).cast("long").alias("hits"), F.lit("").alias("sample"))
+    return report.unionByName(outcome)

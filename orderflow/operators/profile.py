@@ -58,36 +58,82 @@ def quantiles(df: DataFrame, group: list[str], value: str, qs=QUANTILES) -> Data
                                     .alias("negatives"))
 
 
+def wide_quantiles(df: DataFrame, group: list[str], value: str, qs=QUANTILES) -> DataFrame:
+    """The same ranks for values that are nearly all distinct (amounts): a coarse
+    histogram of value ranges finds the range each rank falls into; only those
+    ranges' rows are then ranked exactly."""
+    d = df.filter(F.col(value).isNotNull()).select(*group, value)
+    # ranges by the amount's power of 2 ^ (1/8): a few hundred, whatever the rows
+    fold = F.floor(F.log2(F.greatest(F.abs(F.col(value).cast("double")), F.lit(1e-3))) * 8).cast("int")
+    d = d.withColumn("_range", F.when(F.col(value) < 0, -fold - 1_000_000).otherwise(fold + 1_000_000))
+    by = Window.partitionBy(*group)
+    upto = by.orderBy("_range").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranges = (d.groupBy(*group, "_range").agg(F.count(F.lit(1)).alias("_c"), F.max(value).alias("_max"),
+                                              F.count_if(F.col(value) < 0).alias("_neg"))
+              .withColumn("_cum", F.sum("_c").over(upto)).withColumn("_n", F.sum("_c").over(by)))
+    ranks = F.array(*[F.struct(F.lit(q).alias("q"),
+                               F.greatest(idiv(F.col("_n") * q + 50, 100), F.lit(1)).alias("rank")) for q in qs])
+    asked = ranges.select("*", F.explode(ranks).alias("a")).where(
+        (F.col("_cum") - F.col("_c") < F.col("a.rank")) & (F.col("a.rank") <= F.col("_cum")))
+    asked = asked.select(*group, "_range", F.col("a.q").alias("q"),
+                         (F.col("a.rank") - F.col("_cum") + F.col("_c")).alias("_nth"))
+    inside = d.join(asked.select(*group, "_range").distinct(), [*group, "_range"], "left_semi")
+    steps = inside.groupBy(*group, "_range", value).agg(F.count(F.lit(1)).alias("_c"))
+    run = Window.partitionBy(*group, "_range").orderBy(value).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    steps = steps.withColumn("_cum", F.sum("_c").over(run))
+    hit = steps.join(asked, [*group, "_range"]).where(
+        (F.col("_cum") - F.col("_c") < F.col("_nth")) & (F.col("_nth") <= F.col("_cum")))
+    found = hit.groupBy(*group).agg(*[F.max(F.when(F.col("q") == q, F.col(value))).alias(f"p{q}") for q in qs])
+    whole = ranges.groupBy(*group).agg(F.max("_n").alias("n"), F.max("_max").alias("max"),
+                                       F.sum("_neg").alias("negatives"))
+    return whole.join(found, group).select(*group, "n", *[f"p{q}" for q in qs], "max", "negatives")
+
+
 def f2_lead_time_quantiles(clean: DataFrame) -> DataFrame:
-    """Quote-to-PO days per product line: n, p10..p99, max, negatives."""
-    d = clean.select("product_line",
-                     F.datediff("po_date", "quote_date").cast("long").alias("days"))
-    qd = quantiles(d, ["product_line"], "days")
-    return qd.select("product_line", F.col("n").cast("long").alias("n"),
-                     *[F.col(f"p{q}").cast("long").alias(f"p{q}") for q in QUANTILES],
-                     F.col("max").cast("long").alias("max"),
-                     F.col("negatives").cast("long").alias("negatives"))
+    """Quantiles per product line of four measures: days from quote to PO, days
+    from PO to the promised date, order values and item quantities."""
+    days = [("quote_to_po_days", F.datediff("po_date", "quote_date").cast("long"), F.lit(True)),
+            ("po_to_dp_days", F.datediff("dp_date", "po_date").cast("long"), F.lit(True))]
+    amounts = [("order_value_inr", F.col("value_inr"), F.col("became_order")),
+               ("item_qty", F.col("item_qty"), F.lit(True))]
+    parts = []
+    for measures, how in ((days, quantiles), (amounts, wide_quantiles)):
+        for name, value, cond in measures:
+            d = clean.filter(cond).select("product_line", value.alias("value"))
+            r = how(d, ["product_line"], "value")
+            parts.append(r.select(F.lit(name).alias("measure"), "product_line", F.col("n").cast("long").alias("n"),
+                                  *[F.col(f"p{q}").cast("double").alias(f"p{q}") for q in QUANTILES],
+                                  F.col("max").cast("double").alias("max"),
+                                  F.col("negatives").cast("long").alias("negatives")))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def f3_concentration(clean: DataFrame) -> DataFrame:
-    """Share of a line's register rows held by its top 1 / 5 / 10 customers."""
-    per = clean.groupBy("product_line", "customer_id").agg(F.count(F.lit(1)).alias("n"))
+    """Share of a line's register value held by its top 1 / 5 / 10 customers."""
+    per = (clean.filter(F.col("value_inr").isNotNull()).groupBy("product_line", "customer_id")
+           .agg(F.sum("value_inr").alias("v")))
     kmax = max(TOP_K)
-    w = Window.partitionBy("product_line").orderBy(F.col("n").desc(), F.col("customer_id"))
+    w = Window.partitionBy("product_line").orderBy(F.col("v").desc(), F.col("customer_id"))
     top = per.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= kmax)
     tops = top.groupBy("product_line").agg(
-        *[F.sum(F.when(F.col("_r") <= k, F.col("n")).otherwise(0)).alias(f"_t{k}")
+        *[F.sum(F.when(F.col("_r") <= k, F.col("v")).otherwise(0)).alias(f"_t{k}")
           for k in TOP_K])
-    total = per.groupBy("product_line").agg(F.sum("n").alias("_all"),
+    total = per.groupBy("product_line").agg(F.sum("v").alias("_all"),
                                             F.count(F.lit(1)).alias("customers"))
+
+    def whole(c):  # cents, so that the share is an exact ratio
+        return F.round(F.col(c) * 100).cast("decimal(28,0)")
     return tops.join(total, "product_line").select(
         "product_line", F.col("customers").cast("long"),
-        *[pct(F.col(f"_t{k}"), F.col("_all"), 1).alias(f"top{k}_pct") for k in TOP_K])
+        *[pct(whole(f"_t{k}"), whole("_all"), 1).alias(f"top{k}_value_pct") for k in TOP_K])
 
 
 def f4_fill_rates(raw: DataFrame) -> DataFrame:
-    """Filled share of every register column, one pass, unpivoted."""
-    one = raw.agg(F.count(F.lit(1)).alias("_rows"),
+    """Filled share of every register column among the rows that became orders
+    (a job or PO number), one pass, unpivoted."""
+    won = raw.filter((F.col("job_no") != "") | (F.col("po_no") != ""))
+    one = won.agg(F.count(F.lit(1)).alias("_rows"),
                   *[F.count(F.when(F.col(c) != "", F.col(c))).alias(c) for c in RAW_COLUMNS])
     arr = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("filled"))
                     for c in RAW_COLUMNS])

@@ -75,7 +75,19 @@ def clean_register(raw: DataFrame, customers: DataFrame, params: Params = DEFAUL
     r = raw.select(*RAW_COLUMNS, *passthrough)
     cust = customers.select(F.col("customer_id").alias("_cid"),
                             F.col("market_type").alias("customer_market"))
-    x = r.join(cust, r.party == cust._cid, "left")
+    return _cleaned(r.join(cust, r.party == cust._cid, "left"), params, passthrough)
+
+
+def clean_rows(raw: DataFrame, params: Params = DEFAULT,
+               passthrough: tuple[str, ...] = ()) -> DataFrame:
+    """The cleaned register without the two columns that need the customer's
+    market: one narrow projection of one scan, no join."""
+    market = F.lit(None).cast("string").alias("customer_market")
+    return _cleaned(raw.select(*RAW_COLUMNS, *passthrough, market), params, passthrough).drop(
+        "customer_market", "export_mislabelled")
+
+
+def _cleaned(x: DataFrame, params: Params, passthrough: tuple[str, ...]) -> DataFrame:
     c = F.col
     q_iso, po_iso = D.iso_text(c("quote_date")), D.iso_text(c("po_date"))
     dp_iso, val_iso = D.iso_text(c("dp_date")), D.iso_text(c("validity_date"))

@@ -26,39 +26,36 @@ FROM v_reg GROUP BY product_line"""
 
 
 def f2_sql(p: Params = DEFAULT) -> str:
-    qs = ",\n       ".join(
-        f"CAST(MAX(CASE WHEN rn = greatest((n * {k} + 50) // 100, 1) THEN days END) AS BIGINT) AS p{k}"
-        for k in QUANTILES)
+    measures = {"quote_to_po_days": ("CAST(po_date - quote_date AS DOUBLE)", "TRUE"),
+                "po_to_dp_days": ("CAST(dp_date - po_date AS DOUBLE)", "TRUE"),
+                "order_value_inr": ("CAST(value_inr AS DOUBLE)", "became_order"),
+                "item_qty": ("item_qty", "TRUE")}
+    values = " UNION ALL ".join(f"SELECT '{m}' AS measure, product_line, {v} AS x FROM v_reg WHERE {c}"
+                                for m, (v, c) in measures.items())
+    at = ", ".join(f"xs[greatest((len(xs) * {k} + 50) // 100, 1)] AS p{k}" for k in QUANTILES)
     return register_cte(p) + f""",
-d AS (SELECT product_line, CAST(po_date - quote_date AS BIGINT) AS days FROM v_reg
-      WHERE po_date IS NOT NULL AND quote_date IS NOT NULL),
-r AS (SELECT product_line, days, ROW_NUMBER() OVER (PARTITION BY product_line ORDER BY days) AS rn,
-             COUNT(*) OVER (PARTITION BY product_line) AS n FROM d)
-SELECT product_line, CAST(n AS BIGINT) AS n,
-       {qs},
-       CAST(MAX(days) AS BIGINT) AS max,
-       CAST(SUM(CASE WHEN days < 0 THEN 1 ELSE 0 END) AS BIGINT) AS negatives
-FROM r GROUP BY product_line, n"""
+lists AS (SELECT measure, product_line, list_sort(list(x)) AS xs FROM ({values}) v WHERE x IS NOT NULL
+          GROUP BY measure, product_line)
+SELECT measure, product_line, CAST(len(xs) AS BIGINT) AS n, {at}, xs[-1] AS max,
+       CAST(len(list_filter(xs, lambda x: x < 0)) AS BIGINT) AS negatives FROM lists"""
 
 
 def f3_sql(p: Params = DEFAULT) -> str:
-    tops = ",\n       ".join(
-        f"{pct(f'SUM(CASE WHEN rk <= {k} THEN n ELSE 0 END)', 'SUM(n)')} AS top{k}_pct"
-        for k in TOP_K)
+    tops = ", ".join(
+        f"CAST((2000 * CAST(round(list_sum(vs[:{k}]) * 100) AS HUGEINT) + CAST(round(list_sum(vs) * 100) AS HUGEINT))"
+        f" // (2 * CAST(round(list_sum(vs) * 100) AS HUGEINT)) AS DOUBLE) / 10 AS top{k}_value_pct" for k in TOP_K)
     return register_cte(p) + f""",
-per AS (SELECT product_line, customer_id, COUNT(*) AS n FROM v_reg
+per AS (SELECT product_line, customer_id, sum(value_inr) AS v FROM v_reg WHERE value_inr IS NOT NULL
         GROUP BY product_line, customer_id),
-rk AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY product_line ORDER BY n DESC, customer_id) AS rk
-       FROM per)
-SELECT product_line, CAST(COUNT(*) AS BIGINT) AS customers,
-       {tops}
-FROM rk GROUP BY product_line"""
+lists AS (SELECT product_line, list(v ORDER BY v DESC, customer_id) AS vs FROM per GROUP BY product_line)
+SELECT product_line, CAST(len(vs) AS BIGINT) AS customers, {tops} FROM lists"""
 
 
 def f4_sql(p: Params = DEFAULT) -> str:
-    parts = [f"SELECT {q(c)} AS column_name, CAST(COUNT(NULLIF({c}, '')) AS BIGINT) AS filled, "
-             f"{pct(f'COUNT(NULLIF({c}, {q(chr(39) * 0)}))', 'COUNT(*)')} AS fill_pct "
-             f"FROM ob_raw_register" for c in RAW_COLUMNS]
+    won = "(SELECT * FROM ob_raw_register WHERE coalesce(job_no, '') <> '' OR coalesce(po_no, '') <> '') won"
+    parts = [f"SELECT {q(c)} AS column_name, CAST(count(nullif({c}, '')) AS BIGINT) AS filled, "
+             f"{pct(f'count(nullif({c}, {q(chr(39) * 0)}))', 'count(*)')} AS fill_pct "
+             f"FROM {won}" for c in RAW_COLUMNS]
     return "\nUNION ALL\n".join(parts)
 
 

@@ -50,6 +50,11 @@ def _clean(spark, sf_dir):
     return R.clean_register(t.raw_quote_register, t.customers, DEFAULT)
 
 
+def _rows(spark, sf_dir):
+    """The cleaned register without the customer's market (no join)."""
+    return R.clean_rows(_tables(spark, sf_dir).raw_quote_register, DEFAULT)
+
+
 register("r26_clean_register",
          lambda p: with_tables(OR.register_cte(p) + "\n" + OR.register_select(), p))(
     lambda spark, sf_dir: as_reported(_clean(spark, sf_dir)))
@@ -58,15 +63,16 @@ for _g, _cols in R.GROUPS.items():
     _sel = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" if c == "value_inr" else c for c in _cols)
     register(f"r_{_g}", (lambda s: lambda p: with_tables(
         OR.register_cte(p) + f"\nSELECT {s} FROM v_reg", p))(_sel))(
-        (lambda cols: lambda spark, sf_dir: as_reported(_clean(spark, sf_dir).select(*cols)))(_cols))
+        (lambda g, cols: lambda spark, sf_dir: as_reported(
+            (_clean if g == "market" else _rows)(spark, sf_dir).select(*cols)))(_g, _cols))
 
 register("l_cleaning_log", lambda p: with_tables(OR.cleaning_log_sql(p), p))(
     lambda spark, sf_dir: (lambda t: L.cleaning_log(t.raw_quote_register, t.customers, t.orders,
                                                     DEFAULT))(_tables(spark, sf_dir)))
 register("q11_lost_business", lambda p: with_tables(OR.q11_sql(p), p))(
-    lambda spark, sf_dir: A.q11_lost_business(_clean(spark, sf_dir), DEFAULT))
+    lambda spark, sf_dir: A.q11_lost_business(_rows(spark, sf_dir), DEFAULT))
 register("qa_status_mapping", lambda p: with_tables(OR.qa_sql(p), p))(
-    lambda spark, sf_dir: A.qa_status_mapping(_clean(spark, sf_dir), DEFAULT))
+    lambda spark, sf_dir: A.qa_status_mapping(_rows(spark, sf_dir), DEFAULT))
 
 
 # ------------------------------------------------------- checks / constraints
@@ -99,11 +105,11 @@ register("p1_cells", lambda p: with_tables(OP.p1_sql(), p))(
     lambda spark, sf_dir: P.cell_counts(_scanned(spark, sf_dir)[1]))
 register("p2_allowlist", lambda p: with_tables(OP.p2_sql(), p))(
     lambda spark, sf_dir: P.allowlist_scan(_tables(spark, sf_dir), spark, sf_dir))
-register("p3_patterns")(
+register("p3_patterns", lambda p: with_tables(OP.p3_sql(), p))(
     lambda spark, sf_dir: P.pattern_scan(_scanned(spark, sf_dir)[1]))
-register("p4_person_shapes")(
+register("p4_person_shapes", lambda p: with_tables(OP.p4_sql(), p))(
     lambda spark, sf_dir: P.person_shapes(_scanned(spark, sf_dir)[1]))
-register("p6_privacy_report")(
+register("p6_privacy_report", lambda p: with_tables(OP.p6_sql(), p))(
     lambda spark, sf_dir: P.privacy_report(_tables(spark, sf_dir), spark, sf_dir))
 
 
@@ -112,17 +118,17 @@ from ..operators import profile as PF  # noqa: E402
 from . import oracle_profile as OPF  # noqa: E402
 
 register("f1_funnel_profile", lambda p: with_tables(OPF.f1_sql(p), p))(
-    lambda spark, sf_dir: PF.f1_funnel(_clean(spark, sf_dir)))
+    lambda spark, sf_dir: PF.f1_funnel(_rows(spark, sf_dir)))
 register("f2_lead_time_quantiles", lambda p: with_tables(OPF.f2_sql(p), p))(
-    lambda spark, sf_dir: PF.f2_lead_time_quantiles(_clean(spark, sf_dir)))
+    lambda spark, sf_dir: PF.f2_lead_time_quantiles(_rows(spark, sf_dir)))
 register("f3_customer_concentration", lambda p: with_tables(OPF.f3_sql(p), p))(
-    lambda spark, sf_dir: PF.f3_concentration(_clean(spark, sf_dir)))
+    lambda spark, sf_dir: PF.f3_concentration(_rows(spark, sf_dir)))
 register("f4_fill_rates", lambda p: with_tables(OPF.f4_sql(p), p))(
     lambda spark, sf_dir: PF.f4_fill_rates(_tables(spark, sf_dir).raw_quote_register))
 register("f5_vocabulary", lambda p: with_tables(OPF.f5_sql(p), p))(
     lambda spark, sf_dir: PF.f5_vocabulary(_tables(spark, sf_dir).raw_quote_register))
 register("f6_job_bands", lambda p: with_tables(OPF.f6_sql(p), p))(
-    lambda spark, sf_dir: PF.f6_job_bands(_clean(spark, sf_dir)))
+    lambda spark, sf_dir: PF.f6_job_bands(_rows(spark, sf_dir)))
 
 
 # --------------------------------------------------------------- normalise

@@ -31,13 +31,17 @@ _FALLBACK_DIRS: dict[str, str] = {}
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when none is configured (local tests) a folder of our own is made,
-    once per application; it is also registered as the checkpoint folder.
+    Only with a local master, and none configured (tests, the bench), a folder
+    of our own is made, once per application; it is also registered as the
+    checkpoint folder. On a cluster that would be one machine's disk, so there
+    the setting is required.
     """
     sc = spark.sparkContext
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     app = sc.applicationId
     if app not in _FALLBACK_DIRS:
         _FALLBACK_DIRS[app] = tempfile.mkdtemp(prefix="orderflow-ckpt-", dir="/tmp")
@@ -48,7 +52,8 @@ def shared_dir(spark: SparkSession) -> str:
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "orderflow") -> SparkSession:
-    """A local session for tests and the bench (UI off, no extra servers)."""
+    """A local session for tests and the bench (UI off, no extra servers); its
+    scratch, warehouse and checkpoint folders are this machine's own."""
     scratch = tempfile.mkdtemp(prefix="orderflow-", dir="/tmp")
     builder = (
         SparkSession.builder.master(f"local[{cores}]")

@@ -539,6 +539,12 @@ class OrderBook:
         quote_only = ~F.col("linked") & (K % 7 == 0)
         return b.select(F.inline(F.when(quote_only, rows).otherwise(F.slice(rows, 1, 1))))
 
+    @cached_property
+    def cleaning_log(self) -> DataFrame:
+        """The cleaning log, audited and scanned like any other table."""
+        from ..operators.audit_log import cleaning_log
+        return cleaning_log(self.raw_quote_register, self.customers, self.orders, self.params)
+
     TABLES = ("customers", "items", "payment_terms", "quotations", "quotation_lines",
               "orders", "order_lines", "dispatches", "invoices", "payments",
               "raw_quote_register")

@@ -1,12 +1,14 @@
 """Materialised order book: derive once, write Parquet, read many times.
 
 The derived tables are written to the shared folder the cluster names in
-``spark.checkpoint.dir`` (a local folder is set only when none is configured,
-as in tests), keyed by a fingerprint of the source files and of the rule code.
-Reading them back cuts the derivation lineage: every query then starts from
-a plain Parquet scan with pushed filters and pruned columns, and a lost
-executor only recomputes from those files. Fact tables are clustered by
-order key within each file so row-group statistics prune order-key lookups.
+``spark.checkpoint.dir``, keyed by a fingerprint of the source files (path,
+length and modification time of every file, as the file system lists them) and
+of the rule code. A build writes into a folder of its own and is published by a
+marker written last, so applications that build at the same time do not touch
+each other's files and a reader sees whole builds only. Reading the tables back
+cuts the derivation lineage; a lost executor only recomputes from those files.
+Fact tables are clustered by order key and sorted within each file, so row-group
+statistics prune order-key lookups.
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ from __future__ import annotations
 import hashlib
 import os
 import threading
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,19 +42,33 @@ WAVES = [
     [("invoices", "order_id"), ("payments", "invoice_id")],
 ]
 STAGES = [s for wave in WAVES for s in wave]
-# stages whose plan already ends in a shuffle on their cluster key
-PRE_CLUSTERED = {"_lines"}
 SOURCES = ["region", "nation", "customer", "part", "orders", "lineitem"]
 _LOCK = threading.Lock()
 _BUILT: dict[str, adapter.OrderBook] = {}
 
 
-def fingerprint(sf_dir: str, params: Params) -> str:
+def _file_system(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def source_files(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """(path, length, modification time) of every data file under ``path``, on any
+    file system Spark reads; partition subfolders included."""
+    fs, p = _file_system(spark, path)
+    found = fs.listFiles(p, True)
+    out = []
+    while found.hasNext():
+        f = found.next()
+        if not f.getPath().getName().startswith(("_", ".")):
+            out.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return sorted(out)
+
+
+def fingerprint(spark: SparkSession, sf_dir: str, params: Params) -> str:
     h = hashlib.sha256()
     for name in SOURCES:
-        p = tpch.path(sf_dir, name)
-        st = os.stat(p)
-        h.update(f"{os.path.abspath(p)}:{st.st_size}:{int(st.st_mtime)}".encode())
+        h.update(repr(source_files(spark, tpch.path(sf_dir, name))).encode())
     here = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     for rel in ("sources/adapter.py", "vocab.py", "functions/numeric.py", "functions/text.py",
                 "sources/store.py"):
@@ -61,56 +78,43 @@ def fingerprint(sf_dir: str, params: Params) -> str:
     return h.hexdigest()[:16]
 
 
-def _write(df: DataFrame, path: str, cluster: str | None, clustered: bool = False) -> None:
-    """At least two files per core so every later scan runs in parallel (a
-    small Parquet file is one task); keyed tables are hash-clustered by their
-    key and sorted inside each file, so row-group statistics prune key lookups.
-    A stage that already comes out of a shuffle on its key is only sorted."""
-    if clustered:
-        df = df.sortWithinPartitions(cluster)
-    else:
-        files = max(2 * df.sparkSession.sparkContext.defaultParallelism,
-                    df.rdd.getNumPartitions())
-        df = (df.repartition(files, cluster).sortWithinPartitions(cluster) if cluster
-              else df.repartition(files))
-    df.write.mode("overwrite").parquet(path)
+def _write(df: DataFrame, path: str, cluster: str | None) -> None:
+    """Keyed tables are hash-clustered by their key (AQE sizes the partitions)
+    and sorted inside each file, so row-group statistics prune key lookups."""
+    if cluster:
+        df = df.repartition(cluster).sortWithinPartitions(cluster)
+    df.write.parquet(path)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.text(path).limit(1).collect()
-        return True
-    except Exception:  # path not found (any file system)
-        return False
+def published(spark: SparkSession, root: str) -> str | None:
+    """The first published build below ``root``, by name."""
+    fs, p = _file_system(spark, f"{root}/run-*/_published/_SUCCESS")
+    found = fs.globStatus(p) or []
+    runs = sorted(f.getPath().getParent().getParent().toString() for f in found)
+    return runs[0] if runs else None
 
 
 def build(spark: SparkSession, sf_dir: str, params: Params = DEFAULT) -> adapter.OrderBook:
     """The order book with its stages read from Parquet written once per
     (sources, code, params) into the shared checkpoint folder."""
-    key = fingerprint(sf_dir, params)
+    key = fingerprint(spark, sf_dir, params)
     with _LOCK:
         if key in _BUILT and _BUILT[key].spark is spark:
             return _BUILT[key]
         root = f"{shared_dir(spark)}/orderbook/{key}"
-        marker = f"{root}/_built_marker"
         book = adapter.build(spark, sf_dir, params)
-        done = _exists(spark, marker)
+        run = published(spark, root)
+        done = run is not None
+        run = run or f"{root}/run-{uuid.uuid4().hex}"
         for wave in WAVES:
             if not done:
-                plans = [(getattr(book, n), f"{root}/{n}", c, n in PRE_CLUSTERED)
-                         for n, c in wave]
+                plans = [(getattr(book, n), f"{run}/{n}", c) for n, c in wave]
                 with ThreadPoolExecutor(max_workers=len(plans)) as pool:
                     list(pool.map(lambda a: _write(*a), plans))
             # later waves and every projection now start from the written files
             for name, _ in wave:
-                book.__dict__[name] = spark.read.parquet(f"{root}/{name}")
+                book.__dict__[name] = spark.read.parquet(f"{run}/{name}")
         if not done:
-            literal_table(spark, [(key,)], [("v", "string")]).write.mode("overwrite").text(marker)
+            literal_table(spark, [(key,)], [("v", "string")]).write.text(f"{run}/_published")
         _BUILT[key] = book
         return book
-
-
-def is_built(spark: SparkSession, sf_dir: str, params: Params = DEFAULT) -> bool:
-    key = fingerprint(sf_dir, params)
-    return key in _BUILT and _BUILT[key].spark is spark
-

@@ -201,6 +201,14 @@ DELAY_REASONS = ["Customer hold on drawing approval", "Raw material not received
 FORBIDDEN_STATUS = ["Verbally Confirmed", "Closed/Not Received"]
 FORBIDDEN_LD_FRAGMENT = "Appl:Y"
 
+# --- FIXED VALUES: item descriptions of the price list ---------------------------
+ITEM_DESCRIPTIONS = ["FRP pressure vessel", "Pultruded handrail section",
+                     "Pultruded angle profile", "Pultruded channel profile",
+                     "Pultruded tube 50x50", "Pultruded ladder stringer",
+                     "Moulded grating 38 mm, 1x4 m panel", "Moulded grating 25 mm, 1x4 m panel",
+                     "Pultruded grating 40 mm panel", "Grating with anti-skid grit top",
+                     "Stair tread with nosing"]
+
 # --- FIXED VALUES: privacy scan patterns (Java regex) ----------------------------
 PRIVACY_PATTERNS = [
     ("email address", r"[\w\.\-]+@[\w\.\-]+\.\w{2,}"),

@@ -1,7 +1,9 @@
 """The order book is built once per session into the session's checkpoint folder."""
 
 import os
+import shutil
 
+from orderflow.params import DEFAULT
 from orderflow.session import shared_dir
 from orderflow.sources import store
 
@@ -14,9 +16,27 @@ def test_shared_dir_is_the_configured_checkpoint_dir(spark):
 def test_build_once_and_reuse(spark, sf_dir):
     first = store.build(spark, sf_dir)
     assert store.build(spark, sf_dir) is first
-    root = os.path.join(shared_dir(spark), "orderbook", store.fingerprint(sf_dir, first.params))
-    assert os.path.isdir(os.path.join(root, "_built_marker"))
+    root = os.path.join(shared_dir(spark), "orderbook", store.fingerprint(spark, sf_dir, first.params))
+    run = store.published(spark, root).removeprefix("file:")
     for name, _ in store.STAGES:
-        assert os.path.isdir(os.path.join(root, name)), name
+        assert os.path.isdir(os.path.join(run, name)), name
     # every public table is read back from its written files
     assert "orderbook" in first.invoices.inputFiles()[0]
+
+
+def test_a_changed_file_in_a_subfolder_changes_the_fingerprint(spark, sf_dir, tmp_path):
+    for name in store.SOURCES:
+        part = tmp_path / f"{name}.parquet" / "day=1"
+        part.mkdir(parents=True)
+        shutil.copy(f"{sf_dir}/{name}.parquet", part / "a.parquet")
+    before = store.fingerprint(spark, str(tmp_path), DEFAULT)
+    assert store.fingerprint(spark, str(tmp_path), DEFAULT) == before
+    shutil.copy(f"{sf_dir}/orders.parquet", tmp_path / "orders.parquet" / "day=1" / "b.parquet")
+    assert store.fingerprint(spark, str(tmp_path), DEFAULT) != before
+
+
+def test_an_unpublished_build_is_not_read(spark, tmp_path):
+    (tmp_path / "run-a").mkdir()
+    assert store.published(spark, str(tmp_path)) is None
+    spark.range(1).selectExpr("cast(id as string) v").write.text(str(tmp_path / "run-b" / "_published"))
+    assert store.published(spark, str(tmp_path)).endswith("run-b")
