@@ -10,6 +10,8 @@ the result does not depend on the engine or on the order of partial sums.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -38,8 +40,8 @@ def round_ratio(num: Column, den: Column, digits: int = 0, times: int = 1) -> Co
     ``num`` and ``den`` must be integral (counts, day sums, whole cents).
     Returns DOUBLE holding the exact decimal nearest to the rounded value.
     """
-    scale = 10 ** digits
-    return _half_away(num, den, times * scale).cast("double") / F.lit(float(scale))
+    unit = F.lit(Decimal(1).scaleb(-digits))
+    return (_half_away(num, den, times * 10 ** digits) * unit).cast("double")
 
 
 def pct(num: Column, den: Column, digits: int = 1) -> Column:
