@@ -8,11 +8,16 @@ Darts are thrown up to the rank at which K (ln K + 2) are expected, twice as far
 for texts with an empty coordinate, so a signature costs one hash per shingle.
 
 ``BANDS`` bands of ``K / BANDS`` coordinates are joined. Equal texts are one
-node. In a band's bucket every member is compared with one leader, exactly
-(weighted Jaccard of the whole texts). Then, while a bucket's remaining members
-lie in several classes, one of them becomes the next leader and is compared
-with all those outside its class; so no pair of a bucket that could join two
-classes is left out, and no bucket is expanded into all its pairs.
+node. First, in each band's bucket, every text is compared with one leader (the
+one that meets most others), exactly: weighted Jaccard of the whole texts. Texts that
+are left in buckets of several classes (they share a common passage, say) are then
+put into buckets by their rarest units: two texts at least 0.8 alike share one of
+the rarest 20 % (plus one) of each, while a passage that many texts share is not
+among the rarest; where it stands in both says how much they can share. While such a bucket's members lie in several classes,
+``LEADERS`` of them lead and are compared with all those outside their own class.
+So every pair that shares a band ends in one class or is compared or cannot be 0.8
+alike; a round's pairs stay in proportion to the rows, and large groups of copies,
+being one class, are not expanded into their pairs.
 
 Defined results: null text counts as empty; texts without words have no
 shingles and are duplicates of equal texts only; repeated rows are copies, and
@@ -28,7 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import textops as T
@@ -37,6 +42,8 @@ from .graph import components
 
 SHINGLE, SIMILARITY = 5, 0.8
 K, BANDS = 100, 20
+#: leaders of a bucket in one round
+LEADERS = 256
 _DARTS = K * (np.log(K) + 2)
 
 
@@ -152,6 +159,26 @@ def text_key(column: str = "text"):
     return F.unhex(F.md5(F.coalesce(F.col(column), F.lit("")).cast("binary")))
 
 
+def rare_units(texts: DataFrame) -> DataFrame:
+    """(band, key, nth, n): the units among the n - ceil(0.8 n) + 1 rarest of a text
+    of n, by the number of these texts they are in, that more than one text has."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows, data, off in T.pieces(batch, "text"):
+                unit, begin = units(data, off)
+                yield pa.RecordBatch.from_arrays(
+                    [rows.column("key").take(pa.array(T.owner(begin))), pa.array(unit.view(np.int64))],
+                    ["key", "band"])
+
+    unit = written(texts.select("key", "text").mapInArrow(run, "key binary, band long"), "units")
+    common = unit.groupBy("band").agg(F.count("*").alias("df"))
+    size = unit.groupBy("key").agg(F.count("*").alias("n"))
+    nth = F.row_number().over(Window.partitionBy("key").orderBy("df", "band"))
+    return (unit.join(common, "band").withColumn("nth", nth).join(size, "key")
+            .where((F.col("nth") <= F.col("n") - F.ceil(F.col("n") * 4 / 5) + 1) & (F.col("df") > 1))
+            .select("band", "key", "nth", "n"))
+
+
 def near_duplicate_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rows, classes): the signed rows, and (key, root) of texts in a class of
     more than one text."""
@@ -160,10 +187,16 @@ def near_duplicate_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
                                              F.first("bands").alias("bands")), "texts")
     # buckets with one text alone can give no pair: leave them out from the start
     member = texts.select(F.explode("bands").alias("band"), "key")
-    shared = member.groupBy("band").agg(F.min("key").alias("lead"), F.max("key").alias("top")
-                                        ).where("lead <> top")
-    member = written(member.join(shared, "band").select("band", "key", "lead"), "members")
-    pairs = written(member.where("key <> lead").select(F.col("lead").alias("a"), F.col("key").alias("b"))
+    shared = member.groupBy("band").agg(F.min("key").alias("x"), F.max("key").alias("y"),
+                                        F.count("*").alias("n")).where("x <> y").select("band", "n")
+    member = written(member.join(shared, "band"), "members")
+    # the text that meets most others leads its buckets: a group's middle, not its edge
+    met = member.groupBy("key").agg(F.sum("n").alias("met"))
+    lead = (member.join(met, "key").groupBy("band").agg(F.max(F.struct("met", "key")).alias("s"))
+            .select("band", F.col("s.key").alias("lead")))
+    member = written(member.join(lead, "band").select("band", "key", "lead"), "members")
+    pairs = written(member.where("key <> lead").select(F.least("key", "lead").alias("a"),
+                                                       F.greatest("key", "lead").alias("b"))
                     .distinct(), "pairs")
     # the texts that any pair needs, once each, from the row the group was found by
     needed = member.select("key").distinct().join(texts.select("key", "one.doc_id"), "key")
@@ -175,29 +208,47 @@ def near_duplicate_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         side = [wanted.select(F.col("key").alias(c), F.col("text").alias("t" + c)) for c in "ab"]
         return _similar(p.join(side[0], "a").join(side[1], "b").select("a", "b", "ta", "tb"))
 
-    edges = written(compare(pairs), "links")
-    tried, done = pairs, member.select("band", F.col("lead").alias("key")).distinct()
-    while True:
-        classes = components(edges)
-        left = (member.select("band", "key").join(done, ["band", "key"], "left_anti")
-                .join(classes.withColumnRenamed("node", "key"), "key", "left")
-                .select("band", "key", F.coalesce("root", "key").alias("root")))
-        several = left.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y")
+    def unresolved(rows: DataFrame, classes: DataFrame) -> DataFrame:
+        """The rows, with their class, of the buckets that hold several classes."""
+        rows = (rows.join(classes.withColumnRenamed("node", "key"), "key", "left")
+                .withColumn("root", F.coalesce("root", "key")))
+        several = rows.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y")
                                            ).where("x <> y").select("band")
-        left = written(left.join(several, "band"), "left")
+        return rows.join(several, "band")
+
+    edges, tried, done = written(compare(pairs), "links"), pairs, None
+    classes = components(edges)
+    # what a bucket still leaves apart is asked again by rare units
+    open_ = written(unresolved(member, classes).select("key").distinct(), "open")
+    member = written(rare_units(wanted.join(open_, "key")), "members")
+    while True:
+        left = member if done is None else member.join(done, ["band", "key"], "left_anti")
+        left = written(unresolved(left, classes), "left")
         if left.isEmpty():
             return signs, classes.withColumnRenamed("node", "key")
-        # the smallest class of a bucket gives the next leader: fewest rounds
-        share = left.groupBy("band", "root").agg(F.count("*").alias("n"), F.min("key").alias("k"))
-        lead = share.groupBy("band").agg(F.min(F.struct("n", "k", "root")).alias("s")).select(
-            "band", F.col("s.k").alias("lead"), F.col("s.root").alias("lead_root"))
-        pairs = (left.join(lead, "band").where("root <> lead_root")
+        # members of a bucket's smallest classes lead next: fewest rounds
+        share = left.groupBy("band", "root").agg(F.count("*").alias("members"))
+        order = Window.partitionBy("band").orderBy("members", "root", "key")
+        lead = written(left.join(share, ["band", "root"]).withColumn("place", F.row_number().over(order))
+                       .where(F.col("place") <= LEADERS)
+                       .select("band", F.col("key").alias("lead"), F.col("root").alias("lead_root"),
+                               F.col("n").alias("lead_n"), F.col("nth").alias("lead_nth")), "lead")
+        # by their first common unit, two texts of n and m units that are 0.8 alike
+        # have 4/9 (n + m) units or more in common from there on
+        rest = F.least(F.col("n") - F.col("nth"), F.col("lead_n") - F.col("lead_nth")) + 1
+        meets = ((left["band"] == lead["band"]) & (F.col("root") != F.col("lead_root"))
+                 & (rest * 9 >= (F.col("n") + F.col("lead_n")) * 4))
+        pairs = (left.join(lead, meets)
                  .select(F.least("key", "lead").alias("a"), F.greatest("key", "lead").alias("b"))
                  .distinct().join(tried, ["a", "b"], "left_anti"))
         pairs = written(pairs, "pairs")
-        edges = written(edges.unionByName(compare(pairs)), "links")
-        tried = tried.unionByName(pairs)
-        done = written(done.unionByName(lead.select("band", F.col("lead").alias("key"))), "leaders")
+        # the classes so far stand for all earlier links
+        edges = written(classes.select(F.col("node").alias("a"), F.col("root").alias("b"))
+                        .where("a <> b").unionByName(compare(pairs)), "links")
+        tried = written(tried.unionByName(pairs), "tried")
+        now = lead.select("band", F.col("lead").alias("key"))
+        done = written(now if done is None else done.unionByName(now), "leaders")
+        classes = components(edges)
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
