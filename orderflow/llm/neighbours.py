@@ -31,7 +31,8 @@ from .common import bounded_batches, written
 
 PROJECTIONS, GROWTH, THRESHOLD = 64, 1.5, 0.66
 WIDTH = float(np.sqrt(8 * GROWTH ** 2 * np.log(GROWTH) / (GROWTH ** 2 - 1)))
-BLOCK_ROWS, QUERY_ROWS, K = 2048, 1024, 10
+BLOCK_ROWS, QUERY_ROWS, K = 8192, 1024, 10
+FIRST_RADIUS = 0.4  # in standard deviations of the projections
 
 
 class SortedProjections:
@@ -42,8 +43,8 @@ class SortedProjections:
         n, dim = vectors.shape
         self.lines = np.random.default_rng(dim).normal(size=(dim, PROJECTIONS))
         value = vectors @ self.lines
-        self.order = np.argsort(value, axis=0, kind="stable").T.copy()
-        self.value = np.take_along_axis(value.T, self.order, 1)
+        self.order = np.argsort(value, axis=0, kind="stable").T.astype(np.int32, order="C")
+        self.value = np.take_along_axis(value.T.copy(), self.order, 1)
         self.spread = float(np.sqrt(np.mean(np.var(value, axis=0))))
 
     def search(self, own_id: int, query: np.ndarray, k: int) -> list[tuple[int, float]]:
@@ -57,16 +58,14 @@ class SortedProjections:
         own = self.ids == own_id
         seen |= own
         distance = np.full(n, np.inf)
-        radius = max(self.spread, 1e-9) * 0.1
+        radius = max(self.spread, 1e-9) * FIRST_RADIUS
         while True:
             half = WIDTH * radius / 2 + slack
             new = []
-            for p in range(PROJECTIONS):
-                v = self.value[p]
-                a, b = np.searchsorted(v, at[p] - half[p]), np.searchsorted(v, at[p] + half[p], "right")
+            for p, (v, o) in enumerate(zip(self.value, self.order)):
+                a, b = v.searchsorted(at[p] - half[p]), v.searchsorted(at[p] + half[p], "right")
                 a, b = min(a, low[p]), max(b, high[p])
-                new.append(self.order[p, a:low[p]])
-                new.append(self.order[p, high[p]:b])
+                new += (o[a:low[p]], o[high[p]:b])
                 low[p], high[p] = a, b
             hits += np.bincount(np.concatenate(new), minlength=n).astype(np.int32)
             take = np.flatnonzero((hits >= need) & ~seen)
