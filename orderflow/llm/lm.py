@@ -26,7 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import textops as T
@@ -231,6 +231,15 @@ class Scorer:
                 - self.norm[one, two]) / np.log(10.0)
 
 
+def commonest(counts: DataFrame, most: int) -> DataFrame:
+    """The words of at least the smallest count that at most ``most`` words reach."""
+    by_count = counts.groupBy("c").agg(F.count("*").alias("n"))  # one row per count
+    over = Window.orderBy(F.desc("c")).rowsBetween(Window.unboundedPreceding, 0)
+    least = (by_count.withColumn("upto", F.sum("n").over(over)).where(F.col("upto") <= most)
+             .agg(F.min("c").alias("c")).collect()[0]["c"])
+    return counts.where(F.col("c") >= F.lit(least)) if least is not None else counts.limit(0)
+
+
 def score_texts(docs: DataFrame, training: DataFrame) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score, score of every row of ``docs``."""
     spark = docs.sparkSession
@@ -240,7 +249,7 @@ def score_texts(docs: DataFrame, training: DataFrame) -> DataFrame:
     total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v"),
                        F.coalesce(F.max(F.when(F.col("h") == end, F.col("c"))), F.lit(0)).alias("e")
                        ).collect()[0]
-    top = counts.orderBy(F.desc("c"), "h").limit(KNOWN_WORDS).toPandas()  # KNOWN_WORDS rows
+    top = commonest(counts, KNOWN_WORDS).toPandas().sort_values(["c", "h"], ascending=[False, True])
     vocab = Vocabulary(list(zip(top["h"].tolist(), top["c"].tolist())), total["n"], total["v"], total["e"])
     params = train(training, vocab)
     shared = spark.sparkContext.broadcast((vocab, params))
