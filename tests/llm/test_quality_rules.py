@@ -45,6 +45,21 @@ def test_repetition_verdict(spark):
     assert got == {1: True, 2: False, 3: False, 4: True}
 
 
+def test_coverage_decides_past_the_base(spark):
+    """Texts that pass the base rule fail by n-grams or lines; clean ones are kept."""
+    from .conftest import prose
+    clean, block = prose(21, 200), prose(22, 24)
+    lines = "\n".join(prose(30 + k, 4).replace("\n", " ") for k in range(50))
+    again = "\n".join([prose(90, 4)] * 18)
+    rows = [(1, clean), (2, f"{clean} {block} {prose(23, 9)} {block}"), (3, f"{lines}\n{again}"),
+            (4, f"{clean}\n{prose(24, 7)}\n{prose(25, 9)}\n{prose(24, 7)}")]
+    got = {r.doc_id: r for r in repetition.repetition_rules(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert not any(r.base_failed for r in got.values())
+    assert 0.1 < got[2].dup_10gram_share < 0.4 and 0.2 < got[3].dup_line_share < 0.4
+    assert {k: r.kept for k, r in got.items()} == {1: True, 2: False, 3: False, 4: True}
+
+
 def test_repetition_empty(nothing):
     assert repetition.repetition_rules(nothing).count() == 0
 
