@@ -51,17 +51,24 @@ def source_targets(sizes: DataFrame) -> DataFrame:
         left.cast("double") * F.col("w") / share).alias("target"))
 
 
+def with_size_columns():
+    return [F.coalesce(F.concat(F.lit("="), "source"), F.lit("")).alias("s"),
+            F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
+            F.monotonically_increasing_id().alias("row")]
+
+
 def with_size(docs: DataFrame) -> DataFrame:
-    return docs.select(
-        "doc_id", F.coalesce(F.concat(F.lit("="), "source"), F.lit("")).alias("s"),
-        F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-        F.monotonically_increasing_id().alias("row"))
+    return docs.select("doc_id", *with_size_columns())
 
 
 def takes(docs: DataFrame) -> DataFrame:
     """(row, doc_id, size, source_size, target, taken) of every row."""
     ship(docs.sparkSession)
-    sizes = written(with_size(docs), "sizes")
+    return _takes(written(with_size(docs), "sizes"))
+
+
+def _takes(sizes: DataFrame) -> DataFrame:
+    """The takes of a written table (doc_id, s, size, row)."""
     target = written(source_targets(sizes), "targets")
     key = F.conv(F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")),
                              1, 15), 16, 10).cast("long")
@@ -88,12 +95,15 @@ def mixture(docs: DataFrame) -> DataFrame:
 
 
 def mixed(docs: DataFrame) -> DataFrame:
-    """The mix itself: rows of ``docs`` (a table scan) as often as they are taken
-    whole, and once more with their first words where they are taken in part.
+    """The mix itself: rows of ``docs`` as often as they are taken whole, and once
+    more with their first words where they are taken in part. Ids, sizes and texts
+    are written together once, so a row keeps its id whatever executors come or go.
     A column n_chars, where there is one, follows the text."""
-    take = takes(docs).where("taken > 0").select("row", F.col("size").alias("__size"),
-                                                F.col("taken").alias("__taken"))
-    rows = docs.withColumn("row", F.monotonically_increasing_id()).join(take, "row")
+    ship(docs.sparkSession)
+    rows = written(docs.select(F.struct(*docs.columns).alias("doc"), *with_size_columns()), "rows")
+    take = (_takes(rows.select(F.col("doc.doc_id").alias("doc_id"), "s", "size", "row")).where("taken > 0")
+            .select("row", F.col("size").alias("__size"), F.col("taken").alias("__taken")))
+    rows = rows.select("row", "doc").join(take, "row").select("doc.*", "__size", "__taken")
     rows = rows.withColumn("__words", F.explode(F.concat(
         F.array_repeat(F.col("__size"), F.expr("cast(__taken div __size as int)")),
         F.when(F.col("__taken") % F.col("__size") > 0, F.array(F.col("__taken") % F.col("__size")))

@@ -67,6 +67,33 @@ def test_mixed_rows_hold_the_words_taken(documents):
     assert got == {d: n for d, n in take.items() if n}
 
 
+def test_mixed_reads_rows_once(spark, documents, tmp_path, monkeypatch):
+    """The second scan may be split in another way than the first: ids must not
+    be given twice."""
+    path = str(tmp_path / "docs")
+    documents.where("doc_id < 300").repartition(6).write.parquet(path)
+    docs = spark.read.parquet(path)
+    take = {r.doc_id: r.taken for r in mixing.takes(docs).collect()}
+    write, before = mixing.written, spark.conf.get("spark.sql.files.maxPartitionBytes")
+
+    def splits_change(df, what):
+        out = write(df, what)
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+        return out
+
+    cost = spark.conf.get("spark.sql.files.openCostInBytes")
+    monkeypatch.setattr(mixing, "written", splits_change)
+    got = defaultdict(int)
+    try:
+        for r in mixing.mixed(docs).collect():
+            got[r.doc_id] += len(re.findall(WORD, r.text))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.set("spark.sql.files.openCostInBytes", cost)
+    assert got == {d: n for d, n in take.items() if n}
+
+
 def test_mixing_empty(nothing, awkward):
     assert mixing.takes(nothing).count() == 0 and mixing.mixed(nothing).count() == 0
     assert mixing.mixed(awkward).columns == awkward.columns
