@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (lm, mixing, near_dedup, neighbours, packing, passages, personal, quality,
+from . import (decontam, lm, mixing, near_dedup, neighbours, packing, passages, personal, quality,
                repetition, secrets)
 from .common import table
 
@@ -49,8 +49,13 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality_classifier, op2_nearest_neighbours, op3_quality_rules, op4_secret_scan,
     op5_source_mixing, op6_substring_dedup, op7_minhash_near_dedup, op8_personal_data,
-    op9_packing, op10_lm_scoring)}
-ORACLE_SQL = {"op4_secret_scan": secrets.ORACLE, "op5_source_mixing": mixing.ORACLE}
+    op9_packing, op10_lm_scoring, op11_decontamination)}
+ORACLE_SQL = {"op4_secret_scan": secrets.ORACLE, "op5_source_mixing": mixing.ORACLE,
+              "op11_decontamination": decontam.ORACLE}
