@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (decontam, lm, mixing, near_dedup, neighbours, packing, passages, personal, quality,
-               repetition, secrets)
+from . import (decontam, lm, mixing, near_dedup, neighbours, packing, passages, personal, phrases,
+               quality, repetition, secrets, trie)
 from .common import table
 
 
@@ -53,9 +53,20 @@ def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality_classifier, op2_nearest_neighbours, op3_quality_rules, op4_secret_scan,
     op5_source_mixing, op6_substring_dedup, op7_minhash_near_dedup, op8_personal_data,
-    op9_packing, op10_lm_scoring, op11_decontamination)}
+    op9_packing, op10_lm_scoring, op11_decontamination,
+    op12_phrase_collocations, op13_conversation_trie)}
 ORACLE_SQL = {"op4_secret_scan": secrets.ORACLE, "op5_source_mixing": mixing.ORACLE,
-              "op11_decontamination": decontam.ORACLE}
+              "op11_decontamination": decontam.ORACLE,
+              "op12_phrase_collocations": phrases.ORACLE,
+              "op13_conversation_trie": trie.ORACLE}
