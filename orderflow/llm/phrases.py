@@ -92,9 +92,9 @@ def _tokens(batches: Iterator[pa.RecordBatch], seed: int):
                 [data[a:b].tobytes() for a, b in zip(starts[k], ends[k])])
 
 
-def _vocabulary(seed: int):
+def _vocabulary(seed: int, flush: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Distinct words with counts, of ``FLUSH`` words at most or a task's."""
+        """Distinct words with counts, of a task or of so many of its words."""
         held: list[tuple] = []
         size = 0
 
@@ -116,7 +116,7 @@ def _vocabulary(seed: int):
             distinct, at, n = np.unique(ids, return_index=True, return_counts=True)
             held.append((distinct, n, *named(at)))
             size += len(distinct)
-            if size >= FLUSH // 4:
+            if size >= flush // 4:
                 yield out()
                 held, size = [], 0
         if held:
@@ -183,23 +183,23 @@ def _distinct(w: np.ndarray, n: np.ndarray, first: np.ndarray | None = None):
     return known, rank[:, order[at]], np.add.reduceat(n[order], at) if len(at) else n[:0], order[at]
 
 
-def _held(batches: Iterator[pa.RecordBatch], seed: int) -> Iterator[np.ndarray]:
-    """Suffixes of ``FLUSH`` words at most (or of one text beyond it)."""
+def _held(batches: Iterator[pa.RecordBatch], seed: int, flush: int) -> Iterator[np.ndarray]:
+    """Suffixes of about ``flush`` words (more only for a longer text)."""
     held, size = [], 0
     for ids, piece, _ in _tokens(batches, seed):
         held.append(_suffixes(ids, piece))
         size += len(ids)
-        if size >= FLUSH:
+        if size >= flush:
             yield np.concatenate(held, axis=1)
             held, size = [], 0
     if held:
         yield np.concatenate(held, axis=1)
 
 
-def _longer(heavy: Heavy, depth: int, seed: int):
+def _longer(heavy: Heavy, depth: int, seed: int, flush: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Counts of prefixes of ``depth`` words that lengthen a heavy one."""
-        for w in _held(batches, seed):
+        for w in _held(batches, seed, flush):
             w = w[:depth, heavy.holds(w, depth - 1) & (w[depth - 1] != 0)]
             known, rank, n, _ = _distinct(w, np.ones(w.shape[1], np.int64))
             yield pa.RecordBatch.from_arrays(
@@ -208,10 +208,10 @@ def _longer(heavy: Heavy, depth: int, seed: int):
     return run
 
 
-def _routed(heavy: Heavy, groups: int, seed: int):
+def _routed(heavy: Heavy, groups: int, seed: int, flush: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """For each group, a block of distinct suffixes with counts."""
-        for w in _held(batches, seed):
+        for w in _held(batches, seed, flush):
             w = w[:, w[1] != 0]
             key = _folded(w[:1])
             for depth in range(2, LONGEST + 1):
@@ -288,10 +288,11 @@ def _subtree(heavy: Heavy, least: int):
     return run
 
 
-def _counted(texts: DataFrame, seed: int, least: int, light: int, group: int) -> tuple[DataFrame, ...] | None:
+def _counted(texts: DataFrame, seed: int, least: int, light: int, group: int,
+             flush: int) -> tuple[DataFrame, ...] | None:
     """(vocabulary, words, phrases): words with digests per task, counts of words and
     of phrases (2 words or more) seen ``least`` times; None if two words share a digest."""
-    vocabulary = written(texts.mapInArrow(_vocabulary(seed), _VOCABULARY), "vocabulary")
+    vocabulary = written(texts.mapInArrow(_vocabulary(seed, flush), _VOCABULARY), "vocabulary")
     words = written(vocabulary.groupBy("id").agg(
         F.sum("n").alias("n"), F.min("lang_digest").alias("lang_digest"),
         (F.min("check") != F.max("check")).alias("clash")), "words")
@@ -312,11 +313,11 @@ def _counted(texts: DataFrame, seed: int, least: int, light: int, group: int) ->
         if not heavy.rows[-1].size:
             break
         if depth + 1 < LONGEST:
-            longer = texts.mapInArrow(_longer(heavy, depth + 1, seed),
+            longer = texts.mapInArrow(_longer(heavy, depth + 1, seed, flush),
                                       ", ".join(f"{i} long" for i in [*IDS[:depth + 1], "n"]))
             prefixes = written(longer.groupBy(*IDS[:depth + 1]).agg(F.sum("n").alias("n"))
                                .where(F.col("n") > light), "prefixes")
-    blocks = texts.mapInArrow(_routed(heavy, groups, seed), "g int, block binary")
+    blocks = texts.mapInArrow(_routed(heavy, groups, seed, flush), "g int, block binary")
     nodes = blocks.groupBy("g").applyInArrow(_subtree(heavy, least), _NODE)
     for one in found:
         nodes = nodes.unionByName(one)
@@ -370,7 +371,7 @@ def _not_inside(scored: DataFrame) -> DataFrame:
 
 
 def collocations(docs: DataFrame, least: int = MIN_COUNT, top: int = TOP, light: int = LIGHT,
-                 group: int = GROUP) -> DataFrame:
+                 group: int = GROUP, flush: int = FLUSH) -> DataFrame:
     """Each lang's first ``top`` phrases of ``docs`` (text, lang): lang, rank, phrase,
     a, l, r, n, score."""
     spark: SparkSession = docs.sparkSession
@@ -379,7 +380,7 @@ def collocations(docs: DataFrame, least: int = MIN_COUNT, top: int = TOP, light:
                         F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"))
     seed, counted = 0, None
     while counted is None:
-        counted = _counted(texts, seed, least, light, group)
+        counted = _counted(texts, seed, least, light, group, flush)
         seed += 1
     vocabulary, words, phrases = counted
     kept = _not_inside(written(_scored(words, phrases), "scored"))

@@ -170,24 +170,26 @@ def _nodes(blocks: DataFrame, convs: DataFrame) -> DataFrame:
     return refined.unionByName(marked.where("not apart").drop("apart")).unionByName(root)
 
 
-def _id_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Join the ids of sorted (key, c) rows, ``IDS`` at most at once."""
-    for b in batches:
-        cols = [b.column(k).to_numpy() for k in (*KEY, "c")]
-        if not len(cols[0]):
-            continue
-        new = np.zeros(len(cols[0]), bool)
-        for k in cols[:3]:
-            new[1:] |= k[1:] != k[:-1]
-        new[0] = True
-        starts = np.flatnonzero(new)
-        bounds = [(s, min(s + IDS, e)) for a, e in zip(starts, np.append(starts[1:], len(new)))
-                  for s in range(a, e, IDS)]
-        at = np.array([a for a, _ in bounds])
-        ids = cols[3].astype(str)
-        yield pa.RecordBatch.from_arrays(
-            [*[pa.array(k[at]) for k in cols], pa.array([",".join(ids[a:e]) for a, e in bounds], pa.string())],
-            names=[*KEY, "c", "ids"])
+def _id_lists(most: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Join the ids of sorted (key, c) rows, ``most`` at once."""
+        for b in batches:
+            cols = [b.column(k).to_numpy() for k in (*KEY, "c")]
+            if not len(cols[0]):
+                continue
+            new = np.zeros(len(cols[0]), bool)
+            for k in cols[:3]:
+                new[1:] |= k[1:] != k[:-1]
+            new[0] = True
+            starts = np.flatnonzero(new)
+            bounds = [(s, min(s + most, e)) for a, e in zip(starts, np.append(starts[1:], len(new)))
+                      for s in range(a, e, most)]
+            at = np.array([a for a, _ in bounds])
+            ids = cols[3].astype(str)
+            yield pa.RecordBatch.from_arrays(
+                [*[pa.array(k[at]) for k in cols],
+                 pa.array([",".join(ids[a:e]) for a, e in bounds], pa.string())], names=[*KEY, "c", "ids"])
+    return run
 
 
 def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -214,7 +216,7 @@ def _digests(rows: list[tuple]) -> pa.RecordBatch:
                                       names=[*KEY, "ends_sha256"])
 
 
-def _ends(blocks: DataFrame, convs: DataFrame, block: int) -> DataFrame:
+def _ends(blocks: DataFrame, convs: DataFrame, block: int, ids: int) -> DataFrame:
     """(depth, x, y, ends_sha256) of the nodes at which conversations end."""
     zero = F.lit(0).cast("long")
     at = (blocks.where(F.col("b") == F.floor((F.col("length") - 1) / block))
@@ -222,12 +224,12 @@ def _ends(blocks: DataFrame, convs: DataFrame, block: int) -> DataFrame:
                   F.col("py").bitwiseXOR(F.col("by")).alias("y"), "c")
           .unionByName(convs.where("length = 0").select(zero.alias("depth"), zero.alias("x"), zero.alias("y"), "c")))
     lists = at.repartitionByRange(*KEY, "c").sortWithinPartitions(*KEY, "c").mapInArrow(
-        _id_lists, "depth long, x long, y long, c long, ids string")
+        _id_lists(ids), "depth long, x long, y long, c long, ids string")
     return lists.repartition(*KEY).sortWithinPartitions(*KEY, "c").mapInArrow(
         _hashed, "depth long, x long, y long, ends_sha256 string")
 
 
-def prefix_trie(conversations: DataFrame, block: int = BLOCK, chunk: int = CHUNK) -> DataFrame:
+def prefix_trie(conversations: DataFrame, block: int = BLOCK, chunk: int = CHUNK, ids: int = IDS) -> DataFrame:
     """One row per node of the trie of rebuilt ``conversations`` (conv_id, turn,
     role, text); see the module's text."""
     bounded_batches(conversations.sparkSession)
@@ -258,7 +260,7 @@ def prefix_trie(conversations: DataFrame, block: int = BLOCK, chunk: int = CHUNK
     parents = nodes.select(*[F.col(k).alias(f"u{k}") for k in KEY], F.col("conv_id").alias("parent_conv_id"))
     up = [(F.col("depth") - 1 == F.col("udepth")), F.col("ux") == F.col("px"), F.col("uy") == F.col("py")]
     parents = parents.withColumnRenamed("ux", "px").withColumnRenamed("uy", "py")
-    rest = (along.join(above, KEY, "left").join(_ends(blocks, convs, block), KEY, "left"))
+    rest = (along.join(above, KEY, "left").join(_ends(blocks, convs, block, ids), KEY, "left"))
     # the root's children may be most of all nodes: its one row goes to every task
     placed = (rest.where("depth > 1").join(parents.where("udepth > 0"), up, "left")
               .unionByName(rest.where("depth <= 1").join(F.broadcast(parents.where("udepth = 0")), up, "left")))
