@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import idiv, round_ratio
+from ..sources.staged import staged
 
 
 def nearest_rank_stats(df: DataFrame, group: Sequence[str], value: str) -> DataFrame:
@@ -94,3 +95,21 @@ def ntile_from_rank(rank: Column, population: Column, buckets: int) -> Column:
     big = rem * (size + 1)
     return F.when(r <= big, idiv(r - 1, size + 1) + 1).otherwise(
         rem + idiv(r - 1 - big, F.greatest(size, F.lit(1))) + 1)
+
+
+def numbered(df: DataFrame, keys: Sequence[str], order: Sequence, into: str) -> DataFrame:
+    """``into``: 1, 2, ... over the rows of equal (non-null) keys in the given order,
+    rows equal in it in any order. A key's rows need not be in one task: the table is
+    sorted by ranges of (keys, order), so a hot key lies in several neighbouring
+    partitions, and a row's number is its place in its partition plus the key's rows
+    in the partitions before (one row per partition and key)."""
+    by = [*[F.col(k) for k in keys], *order, F.col("_tie")]
+    placed = staged(df.withColumn("_tie", F.monotonically_increasing_id())
+                    .repartitionByRange(*by).sortWithinPartitions(*by).drop("_tie")
+                    .withColumns({"_part": F.spark_partition_id(), "_at": F.monotonically_increasing_id()}),
+                    "numbered")
+    before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    first = (placed.groupBy("_part", *keys).agg(F.min("_at").alias("_first"), F.count("*").alias("_n"))
+             .select("_part", *keys, "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_ahead")))
+    number = F.col("_at") - F.col("_first") + F.col("_ahead") + 1
+    return placed.join(first, ["_part", *keys]).select(*df.columns, number.alias(into))

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import datetime as dt
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,6 +17,8 @@ from ..functions.dates import strict_parse
 from ..functions.numeric import cents_to_decimal, idiv
 from ..functions.text import blank_to_null, leading_int
 from ..params import DEFAULT, Params
+from ..sources.staged import staged
+from .blocks import numbered
 
 DEFAULT_QUOTE_DATE = dt.date(2001, 1, 1)
 
@@ -57,6 +58,48 @@ def quote_number_parts(raw: DataFrame, carry: tuple = ()) -> DataFrame:
                     rev.isNull().alias("rev_unreadable"), *carry))
 
 
+#: Revisions a cluster may span for its first rows to be taken by a partial limit.
+USUAL_SPAN = 1000
+
+
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _early_places(clashing: DataFrame) -> DataFrame:
+    """(base, low, early): per cluster of several revisions, the places (``_nth`` in
+    register order) served before its highest revision, with the revision each gets.
+
+    At each revision the waiting row first in register order is served. Before the
+    highest revision there are ``span`` services at most, so no more than the first
+    ``span`` rows of each revision matter, however many rows the cluster holds."""
+    waiting = clashing.where((F.col("low") < F.col("high")) & (F.col("rev") < F.col("high"))).select(
+        "base", "low", "high", "rev", "_nth", (F.col("high") - F.col("low")).alias("span"))
+    rank = F.row_number().over(Window.partitionBy("base", "low", "rev").orderBy("_nth"))
+    first = (waiting.where(F.col("span") <= USUAL_SPAN).withColumn("_k", rank)
+             .where((F.col("_k") <= USUAL_SPAN) & (F.col("_k") <= F.col("span")))
+             .unionByName(waiting.where(F.col("span") > USUAL_SPAN).withColumn("_k", rank)
+                          .where(F.col("_k") <= F.col("span"))))
+    steps = (first.groupBy("base", "low", "high", "rev").agg(F.sort_array(F.collect_list("_nth")).alias("rows"))
+             .groupBy("base", "low", "high").agg(F.sort_array(F.collect_list(F.struct("rev", "rows"))).alias("steps")))
+    state = "struct<wait:array<bigint>,out:array<struct<nth:bigint,rev:bigint>>>"
+
+    def serve(acc: Column, k: Column) -> Column:
+        step = F.col("steps")[k]
+        until = F.when(k + 1 < F.size("steps"), F.col("steps")[F.least(k + 1, F.size("steps") - 1)]["rev"]
+                       ).otherwise(F.col("high"))
+        n = (until - step["rev"]).cast("int")
+        return _let(F.array_sort(F.concat(acc["wait"], step["rows"])), lambda w: F.struct(
+            F.slice(w, n + 1, F.size(w)).alias("wait"),
+            F.concat(acc["out"], F.transform(F.slice(w, F.lit(1), n), lambda q, i: F.struct(
+                q.alias("nth"), (step["rev"] + i).alias("rev")))).alias("out")))
+
+    served = F.aggregate(F.sequence(F.lit(0), F.size("steps") - 1),
+                         F.struct(F.array().alias("wait"), F.array().alias("out")).cast(state), serve)
+    return steps.select("base", "low", F.array_sort(served["out"]).alias("early"))
+
+
 def dedupe_revisions(parts: DataFrame) -> DataFrame:
     """A (base, revision) seen before is bumped to the next free revision, in
     register order (serial number, then the other columns; rows equal in all of
@@ -66,9 +109,15 @@ def dedupe_revisions(parts: DataFrame) -> DataFrame:
     revisions of a base ascending, the next free one after each is
     C + max(rev - C before), C being the running count; where a revision starts
     at or beyond that, nothing earlier reaches it, and a new cluster begins. A
-    cluster of one revision is numbered by a window; only the rows of a cluster
-    of several revisions with a clash are folded, in time linear in its rows.
+    cluster without a clash stays as it is. In one with a clash, each revision goes
+    to the row first in register order among those that wait for it (the same
+    numbers as bumping row by row: both are the only stable assignment of rows that
+    prefer low revisions to revisions that prefer early rows). So the rows left at
+    the highest revision follow it in register order, which is a numbering spread
+    over all tasks; only the few that are served earlier are gone through in turn.
     """
+    names = parts.columns
+    parts = staged(parts, "quote-parts")
     known = parts.filter(F.col("rev").isNotNull())
     counts = known.groupBy("base", "rev").agg(F.count("*").alias("n"))
     by = Window.partitionBy("base").orderBy("rev")
@@ -77,39 +126,26 @@ def dedupe_revisions(parts: DataFrame) -> DataFrame:
     counts = counts.withColumn("ahead", ahead).withColumn(
         "free", F.col("ahead") + F.col("n") + F.max(F.col("rev") - F.col("ahead")).over(upto))
     starts = F.coalesce(F.col("rev") >= F.lag("free").over(by), F.lit(True))
-    counts = counts.withColumn("cluster", F.sum(F.when(starts, 1).otherwise(0)).over(upto))
-    size = counts.groupBy("base", "cluster").agg(F.count("*").alias("revs"), F.sum("n").alias("rows"))
-    counts = counts.join(size, ["base", "cluster"]).select("base", "rev", "cluster", "revs", "rows")
-    names = parts.columns
+    counts = counts.withColumn("low", F.last(F.when(starts, F.col("rev")), ignorenulls=True).over(upto))
+    whole = Window.partitionBy("base", "low")
+    asked = staged(counts.withColumns({"high": F.max("rev").over(whole), "rows": F.sum("n").over(whole),
+                                       "revs": F.count("*").over(whole)})
+                   .where("rows > revs").select("base", "rev", "low", "high"), "clusters")
     order = [F.col(c).asc_nulls_last() for c in
-             ["sl_no", *[c for c in names if c not in ("sl_no", "base", "rev")]]]
-    rows = known.join(counts, ["base", "rev"])
-    simple = F.col("revs") == F.lit(1)
-    nth = F.row_number().over(Window.partitionBy("base", "rev").orderBy(*order))
-    one = (rows.filter(simple).withColumn("rev", F.col("rev") + nth - 1).select(*names))
-    apart = rows.filter(~simple & (F.col("rows") == F.col("revs"))).select(*names)
-    mixed = rows.filter(~simple & (F.col("rows") > F.col("revs")))
-    others = parts.filter(F.col("rev").isNull())
-
-    def fold(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["_nth"], kind="stable")
-        nxt: dict[int, int] = {}
-        out = []
-        for r in group["rev"].tolist():
-            path, at = [], r
-            while at in nxt:
-                path.append(at)
-                at = nxt[at]
-            for p in [*path, at]:
-                nxt[p] = at + 1
-            out.append(at)
-        group["rev"] = out
-        return group[names]
-
-    in_order = F.row_number().over(Window.partitionBy("base", "cluster").orderBy(*order, "rev"))
-    folded = (mixed.withColumn("_nth", in_order).select(*names, "cluster", "_nth")
-              .groupBy("base", "cluster").applyInPandas(fold, parts.schema))
-    return one.unionByName(apart).unionByName(others).unionByName(folded)
+             ["sl_no", *[c for c in names if c not in ("sl_no", "base", "rev")], "rev"]]
+    clashing = numbered(known.join(asked, ["base", "rev"]), ["base", "low"], order, "_nth")
+    done = clashing.join(_early_places(clashing), ["base", "low"], "left")
+    # places already served, up to this row; mostly all of them lie before it
+    early, nth = F.col("early"), F.col("_nth")
+    last = F.get(early, F.size(early) - 1)["nth"]
+    before = F.when(nth > last, F.size(early)).otherwise(F.size(F.filter(early, lambda e: e["nth"] < nth)))
+    at = F.array_position(F.transform(early, lambda e: e["nth"]), nth).cast("int")
+    rev = (F.when(early.isNull(), F.col("high") + nth - 1)
+           .when((nth <= last) & (at > 0), F.get(early, at - 1)["rev"])
+           .otherwise(F.col("high") + nth - before - 1))
+    moved = done.withColumn("rev", rev).select(*names)
+    still = known.join(asked.select("base", "rev"), ["base", "rev"], "left_anti").select(*names)
+    return still.unionByName(moved).unionByName(parts.filter(F.col("rev").isNull()))
 
 
 def quote_dates(raw: DataFrame) -> DataFrame:

@@ -1,8 +1,13 @@
 """Normalisation rules: strict dates, quote-number parts, the revision fold."""
 
 import datetime as dt
+import random
+
+import pytest
+from pyspark.sql import functions as F
 
 from orderflow.operators import normalise as N
+from orderflow.operators.blocks import numbered
 from orderflow.operators.register import RAW_COLUMNS
 
 
@@ -31,7 +36,6 @@ def test_revision_fold_matches_python(spark):
 
 
 def test_revision_fold_matches_python_on_many_clashes(spark):
-    import random
     rng = random.Random(5)
     rows = [(i, rng.choice("ABCD"), rng.choice([0, 0, 0, 1, 2, 9, 10, 40])) for i in range(400)]
     df = spark.createDataFrame(rows, "sl_no long, base string, rev long").repartition(5)
@@ -108,3 +112,32 @@ def test_quote_number_parts(spark):
                         dict(sl_no="4", quote_no="Open")])
     got = {r.sl_no: (r.base, r.rev) for r in N.quote_number_parts(df).collect()}
     assert got == {1: ("VQ/FG/012/24-25", 3), 2: ("vq - fg / 7", 0)}
+
+
+@pytest.mark.parametrize("span", [3, 1000])
+def test_revision_fold_with_hot_and_long_clusters(spark, monkeypatch, span):
+    """One base with most rows, long runs of revisions with a clash below them, late
+    rows with early revisions, gaps, and rows equal in everything."""
+    monkeypatch.setattr(N, "USUAL_SPAN", span)
+    rng = random.Random(9)
+    rows = [(i, "HOT", rng.choice([0] * 30 + [1, 2, 3, 900])) for i in range(1200)]
+    rows += [(2000 + i, "RUN", i) for i in range(60)] + [(3000 + i, "RUN", rng.choice([0, 5, 59])) for i in range(9)]
+    rows += [(4000 + i, "LATE", 40 - i) for i in range(40)] + [(4100, "LATE", 1), (3990, "LATE", 2)]
+    rows += [(5000 + i, f"B{i % 7}", rng.randrange(6)) for i in range(100)]
+    df = spark.createDataFrame(rows, "sl_no long, base string, rev long").repartition(7)
+    assert {r.sl_no: r.rev for r in N.dedupe_revisions(df).collect()} == py_fold(rows)
+    same = spark.createDataFrame([(1, "A", 4)] * 50 + [(1, "A", 6)] * 3, df.schema)
+    assert sorted(r.rev for r in N.dedupe_revisions(same).collect()) == list(range(4, 57))
+
+
+def test_numbering_goes_on_over_partitions(spark):
+    rows = [(k, i) for k in "abc" for i in range(400 if k == "b" else 3)]
+    random.Random(1).shuffle(rows)
+    was = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.createDataFrame(rows, "k string, i long").repartition(5)
+        got = numbered(df, ["k"], [F.col("i")], "n").collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", was)
+    assert len(got) == len(rows) and all(r.n == r.i + 1 for r in got)
