@@ -42,13 +42,13 @@ MIN_COUNT = 30
 INSIDE_PERCENT = 80
 TOP = 2000
 #: Suffixes that a group's subtree is meant to hold at most.
-GROUP = 4_000_000
+GROUP = 2_000_000
 #: A prefix with more suffixes is lengthened.
 LIGHT = GROUP // 4
 #: Heavy prefixes of one length that may be sent to the tasks.
 HEAVY_ROWS = 1 << 20
 #: Words that a task holds before it writes them out.
-FLUSH = 3_000_000
+FLUSH = 2_000_000
 IDS = ["i1", "i2", "i3", "i4"]
 
 # A-Z lower-cased; the marks that end a piece become line feeds, which end one too.
@@ -68,10 +68,17 @@ def _bytes_order(seed: int) -> np.ndarray:
     return (np.random.default_rng(seed).permutation(256) if seed else np.arange(256)).astype(np.uint8)
 
 
-def _tokens(batches: Iterator[pa.RecordBatch], seed: int):
-    """(ids, piece numbers, spans) for about 2 MB of text at a time: a word's digest,
-    the piece it stands in, and a function from positions to (lang digest, lang, word)."""
+def _held(batches: Iterator[pa.RecordBatch], seed: int, flush: int):
+    """About ``flush`` words at a time (more only for a longer text): their digests,
+    the pieces they stand in, lang numbers, and (bytes, starts, ends, langs)."""
     order = _bytes_order(seed)
+    known: dict[str, int] = {}
+    held, size, at = [], 0, 0
+
+    def out():
+        ids, piece, lang, data, starts, ends = (np.concatenate(x) for x in zip(*held))
+        return ids, piece, lang, (data, starts, ends, list(known))
+
     for batch in batches:
         for rows, data, off in textops.pieces(batch, "text"):
             data = _PLAIN[data]
@@ -80,61 +87,57 @@ def _tokens(batches: Iterator[pa.RecordBatch], seed: int):
                 continue
             doc = textops.owner(first)
             codes = pc.dictionary_encode(rows.column("lang"))
-            langs = codes.dictionary.to_pylist()
-            digests = _lang_digests(langs)
-            at = codes.indices.to_numpy()[doc]
-            ids = textops.mix(textops.hash_spans(order[data], starts, ends) ^ digests[at])
+            numbers = np.array([known.setdefault(x, len(known)) for x in codes.dictionary.to_pylist()])
+            lang = numbers[codes.indices.to_numpy()][doc]
+            ids = textops.mix(textops.hash_spans(order[data], starts, ends) ^ _lang_digests(list(known))[lang])
             ids[ids == 0] = 1  # 0 stands for no word
             cuts = np.concatenate([[0], np.cumsum(_ENDS_PIECE[data])])
-            # a place further for every text, too
-            yield ids, cuts[starts] + doc, lambda k: (
-                digests[at[k]], [langs[j] for j in at[k]],
-                [data[a:b].tobytes() for a, b in zip(starts[k], ends[k])])
+            # bytes and texts before make places differ from those held so far
+            held.append((ids, cuts[starts] + doc + 2 * at, lang, data, starts + at, ends + at))
+            size += len(ids)
+            at += len(data) + 1 + len(off)
+            held[-1] = (*held[-1][:3], np.concatenate([data, np.zeros(1 + len(off), np.uint8)]), *held[-1][4:])
+            if size >= flush:
+                yield out()
+                held, size, at = [], 0, 0
+    if held:
+        yield out()
 
 
 def _vocabulary(seed: int, flush: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Distinct words with counts, of a task or of so many of its words."""
-        held: list[tuple] = []
-        size = 0
-
-        def out():
-            ids = np.concatenate([h[0] for h in held])
-            at, inverse = np.unique(ids, return_index=True, return_inverse=True)[1:]
-            counts = np.bincount(inverse, np.concatenate([h[1] for h in held])).astype(np.int64)
-            digest = np.concatenate([h[2] for h in held])[at]
-            langs, words = ([x for h in held for x in h[k]] for k in (3, 4))
-            langs, words = [langs[k] for k in at], [words[k] for k in at]
-            check = np.array([int.from_bytes(hashlib.blake2b(
-                a.encode() + b"\0" + b, digest_size=8).digest(), "little") for a, b in zip(langs, words)], np.uint64)
-            return pa.RecordBatch.from_arrays(
+        """Distinct words with counts, of so many words at most."""
+        for ids, _, lang, (data, starts, ends, langs) in _held(batches, seed, flush):
+            _, at, n = np.unique(ids, return_index=True, return_counts=True)
+            order = np.argsort(at)
+            at, n = at[order], n[order]
+            a, e, lang = starts[at], ends[at], lang[at]
+            digest = _lang_digests(langs)[lang]
+            check = textops.mix(textops.hash_spans(_bytes_order(seed + 1000)[data], a, e) + digest)
+            size = e - a
+            off = np.concatenate([[0], np.cumsum(size)])
+            spelled = data[np.arange(off[-1]) + np.repeat(a - off[:-1], size)]
+            words = pa.LargeStringArray.from_buffers(len(at), pa.py_buffer(off), pa.py_buffer(spelled))
+            yield pa.RecordBatch.from_arrays(
                 [pa.array(x.view(np.int64)) for x in (ids[at], check, digest)] +
-                [pa.array(langs, pa.string()), pa.array(words, pa.binary()).cast(pa.string()), pa.array(counts)],
+                [pa.array(langs, pa.string()).take(pa.array(lang)), words.cast(pa.string()), pa.array(n.astype(np.int64))],
                 names=["id", "check", "lang_digest", "lang", "word", "n"])
-
-        for ids, _, named in _tokens(batches, seed):
-            distinct, at, n = np.unique(ids, return_index=True, return_counts=True)
-            held.append((distinct, n, *named(at)))
-            size += len(distinct)
-            if size >= flush // 4:
-                yield out()
-                held, size = [], 0
-        if held:
-            yield out()
     return run
 
 
 _VOCABULARY = "id long, check long, lang_digest long, lang string, word string, n long"
 
 
-def _suffixes(ids: np.ndarray, piece: np.ndarray) -> np.ndarray:
-    """(4, n) digests of the words from every position on within its piece; 0: none."""
-    out = np.zeros((LONGEST, len(ids)), np.uint64)
-    out[0] = ids
+def _suffixes(ids: np.ndarray, piece: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(digests, places in them): distinct words, 0 (no word) first, and a (4, n) array
+    of the words from every position on within its piece."""
+    known, rank = np.unique(ids, return_inverse=True)
+    rank = (rank + 1).astype(np.uint32)
+    out = np.zeros((LONGEST, len(ids)), np.uint32)
+    out[0] = rank
     for k in range(1, LONGEST):
-        same = piece[k:] == piece[:-k]
-        out[k, :-k][same] = ids[k:][same]
-    return out
+        out[k, :-k] = np.where(piece[k:] == piece[:-k], rank[k:], 0)
+    return np.concatenate([np.zeros(1, np.uint64), known]), out
 
 
 def _folded(w: np.ndarray) -> np.ndarray:
@@ -166,72 +169,71 @@ class Heavy:
         at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
         return (known[:, at] == w[:depth]).all(axis=0)
 
-
-def _distinct(w: np.ndarray, n: np.ndarray, first: np.ndarray | None = None):
-    """Distinct columns of w in order (of ``first``, then the words), and their totals."""
-    known, rank = np.unique(w, return_inverse=True)
-    rank = rank.reshape(w.shape).astype(np.uint64)
-    keys = [(rank[k] << np.uint64(32)) | (rank[k + 1] if k + 1 < len(w) else np.uint64(0))
-            for k in range(0, len(w), 2)]
-    order = np.lexsort((*keys[::-1], *([first] if first is not None else [])))
-    new = np.zeros(len(order), bool)
-    new[:1] = True
-    for k in [*keys, *([first] if first is not None else [])]:
+    def heavy_at(self, known: np.ndarray, rank: np.ndarray, depth: int) -> np.ndarray:
+        """Columns of rank (places in ``known``) whose first ``depth`` words are heavy."""
+        at = np.flatnonzero(self.holds(known[None], 1)[rank[0]])
+        for d in range(2, depth + 1):
+            at = at[self.holds(known[rank[:d, at]], d)]
+        return at
+
+
+def _packed(rank: np.ndarray) -> list[np.ndarray]:
+    """Columns of 32-bit places as one or two 64-bit keys."""
+    wide = rank.astype(np.uint64)
+    return [(wide[k] << np.uint64(32)) | (wide[k + 1] if k + 1 < len(wide) else np.uint64(0))
+            for k in range(0, len(wide), 2)]
+
+
+def _combined(rank: np.ndarray, group: np.ndarray, groups: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(columns, counts, groups) of the distinct columns, by group. Columns are sorted
+    by a digest; two that share one may stay apart, which the counts do not mind."""
+    keys = _packed(rank)
+    bits = np.uint64(groups.bit_length())
+    mixed = textops.mix(keys[0] * np.uint64(0x9E3779B97F4A7C15) + (keys[1] if len(keys) > 1 else np.uint64(0)))
+    order = np.argsort((group.astype(np.uint64) << (np.uint64(64) - bits)) | (mixed >> bits))
+    new = np.ones(len(order), bool)
+    new[1:] = False
+    for k in keys:
         s = k[order]
         new[1:] |= s[1:] != s[:-1]
     at = np.flatnonzero(new)
-    return known, rank[:, order[at]], np.add.reduceat(n[order], at) if len(at) else n[:0], order[at]
-
-
-def _held(batches: Iterator[pa.RecordBatch], seed: int, flush: int) -> Iterator[np.ndarray]:
-    """Suffixes of about ``flush`` words (more only for a longer text)."""
-    held, size = [], 0
-    for ids, piece, _ in _tokens(batches, seed):
-        held.append(_suffixes(ids, piece))
-        size += len(ids)
-        if size >= flush:
-            yield np.concatenate(held, axis=1)
-            held, size = [], 0
-    if held:
-        yield np.concatenate(held, axis=1)
+    return rank[:, order[at]], np.diff(np.append(at, len(order))), group[order[at]]
 
 
 def _longer(heavy: Heavy, depth: int, seed: int, flush: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Counts of prefixes of ``depth`` words that lengthen a heavy one."""
-        for w in _held(batches, seed, flush):
-            w = w[:depth, heavy.holds(w, depth - 1) & (w[depth - 1] != 0)]
-            known, rank, n, _ = _distinct(w, np.ones(w.shape[1], np.int64))
+        for ids, piece, *_ in _held(batches, seed, flush):
+            known, rank = _suffixes(ids, piece)
+            rank = rank[:depth, heavy.heavy_at(known, rank, depth - 1)]
+            rank = rank[:, rank[depth - 1] != 0]
+            rank, n, _ = _combined(rank, np.zeros(rank.shape[1], np.uint32), 1)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(known[r].view(np.int64)) for r in rank.astype(np.int64)] + [pa.array(n)],
-                names=[*IDS[:depth], "n"])
+                [pa.array(known[r].view(np.int64)) for r in rank] + [pa.array(n)], names=[*IDS[:depth], "n"])
     return run
 
 
 def _routed(heavy: Heavy, groups: int, seed: int, flush: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """For each group, a block of distinct suffixes with counts."""
-        for w in _held(batches, seed, flush):
-            w = w[:, w[1] != 0]
-            key = _folded(w[:1])
+        for ids, piece, *_ in _held(batches, seed, flush):
+            known, rank = _suffixes(ids, piece)
+            rank = rank[:, rank[1] != 0]
+            group = (_folded(known[None]) % np.uint64(groups)).astype(np.uint32)[rank[0]]
+            kept = np.ones(len(group), bool)
             for depth in range(2, LONGEST + 1):
-                beyond = heavy.holds(w, depth - 1)
-                if not beyond.any():
-                    break
+                beyond = heavy.heavy_at(known, rank, depth - 1)
+                group[beyond] = (_folded(known[rank[:depth, beyond]]) % np.uint64(groups)).astype(np.uint32)
                 # a suffix that ends at a heavy prefix is counted with the prefix
-                stay = ~(beyond & (w[depth - 1] == 0))
-                w, key, beyond = w[:, stay], key[stay], beyond[stay]
-                key[beyond] = _folded(w[:depth, beyond])
-            group = (key % np.uint64(groups)).astype(np.int32)
-            known, rank, n, at = _distinct(w, np.ones(w.shape[1], np.int64), group)
-            group = group[at]
-            rank = rank.astype(np.uint32)
-            cut = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]])) if len(group) else group
+                kept[beyond[rank[depth - 1, beyond] == 0]] = False
+            rank, n, group = _combined(rank[:, kept], group[kept], groups)
+            cut = np.flatnonzero(np.append(True, group[1:] != group[:-1])) if len(group) else np.zeros(0, np.int64)
             for a, b in zip(cut, np.append(cut[1:], len(group))):
                 used, local = np.unique(rank[:, a:b], return_inverse=True)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([group[a]], pa.int32()), pa.array([_block(known[used], local.reshape(4, -1), n[a:b])],
-                                                                pa.binary())], names=["g", "block"])
+                    [pa.array([int(group[a])], pa.int32()),
+                     pa.array([_block(known[used], local.reshape(LONGEST, -1), n[a:b])], pa.binary())],
+                    names=["g", "block"])
     return run
 
 
@@ -244,15 +246,14 @@ def _block(known: np.ndarray, rank: np.ndarray, n: np.ndarray) -> bytes:
     return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
 
 
-def _opened(block: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """(4, n) digests and their counts."""
+def _opened(block: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Digests, (4, n) places in them, and counts."""
     raw = pa.decompress(block[8:], int.from_bytes(block[:8], "little"), codec="zstd", asbytes=True)
     known, n, wide, deep = np.frombuffer(raw, np.int64, 4)
     at = 32 + 8 * known
-    words = np.frombuffer(raw, np.uint64, known, 32)
     rank = np.frombuffer(raw, {2: np.uint16, 4: np.uint32}[int(wide)], 4 * n, at)
     counts = np.frombuffer(raw, {1: np.uint8, 8: np.int64}[int(deep)], n, at + 4 * n * wide)
-    return words[rank].reshape(4, n), counts.astype(np.int64)
+    return np.frombuffer(raw, np.uint64, known, 32), rank.reshape(LONGEST, n), counts.astype(np.int64)
 
 
 _NODE = ", ".join(f"{i} long" for i in IDS) + ", a long"
@@ -262,11 +263,12 @@ def _subtree(heavy: Heavy, least: int):
     def run(blocks: pa.Table) -> pa.Table:
         """Nodes of the group's subtree counted ``least`` times or more, deeper than one word."""
         opened = [_opened(b) for b in blocks.column("block").to_pylist()]
-        w = np.concatenate([x[0] for x in opened], axis=1)
-        n = np.concatenate([x[1] for x in opened])
+        known = np.unique(np.concatenate([np.zeros(1, np.uint64), *[x[0] for x in opened]]))
+        leaf = np.concatenate([np.searchsorted(known, x[0]).astype(np.uint32)[x[1]] for x in opened], axis=1)
+        n = np.concatenate([x[2] for x in opened])
         del opened
-        known, leaf, n, _ = _distinct(w, n)
-        leaf = leaf.astype(np.int64)
+        order = np.lexsort(_packed(leaf)[::-1])
+        leaf, n = leaf[:, order], n[order]
         out = []
         new = np.zeros(len(n), bool)
         new[:1] = True
@@ -275,11 +277,12 @@ def _subtree(heavy: Heavy, least: int):
             new[1:] |= leaf[depth - 1, 1:] != leaf[depth - 1, :-1]
             at = np.flatnonzero(new)
             total = np.add.reduceat(n, at)
+            # a leaf that ends before this depth is no node of it
+            kept = (total >= least) & (leaf[depth - 1, at] != 0)
+            at, total = at[kept], total[kept]
             node = np.zeros((LONGEST, len(at)), np.uint64)
             node[:depth] = known[leaf[:depth, at]]
-            # no word: 0. A heavy prefix has suffixes in other groups: it is counted already
-            kept = (total >= least) & (node[depth - 1] != 0)
-            node, total = node[:, kept], total[kept]
+            # a heavy prefix has suffixes in other groups: it is counted already
             kept = ~heavy.holds(node, depth) if depth < LONGEST else np.ones(len(total), bool)
             out.append((node[:, kept], total[kept]))
         node = np.concatenate([x[0] for x in out], axis=1)
