@@ -2,15 +2,15 @@
 
 Output rows: (table_name, rule, kind, violations). Every rule is one
 distributed aggregate (``groupBy(keys).count()`` for keys, ``left_anti`` for
-foreign keys, conditional counts for domains / ranges / NOT NULL, all NOT NULL
-columns of a table in a single pass), so the audit scales with the tables.
+foreign keys, conditional counts for domains / ranges / NOT NULL, all of a table
+in a single pass), so the audit scales with the tables.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import vocab as V
@@ -123,40 +123,48 @@ def k3_foreign_keys(tables) -> DataFrame:
                    for ch, ck, pa, pk in FOREIGN_KEYS])
 
 
-def k4_domains(tables) -> DataFrame:
-    return _union([_row(tables[t].agg(F.count_if(F.col(c).isNotNull() & ~F.col(c).isin(*vals))
-                                      .alias("violations")),
-                        t, f"{c} IN ({', '.join(vals)})", "domain")
-                   for t, c, vals in DOMAINS])
+COLUMN_KINDS = ("domain", "range", "not null")
 
 
-def k5_ranges(tables) -> DataFrame:
-    """All range rules of a table in one pass."""
+def column_rules(kinds=COLUMN_KINDS) -> dict[str, list[tuple[str, str, Column]]]:
+    """Table -> (rule, kind, condition of a violating row) of the asked kinds."""
     def bad(col, op):
         return F.col(col) <= 0 if op == "gt0" else F.col(col) < 0
+    rules = [(t, f"{c} IN ({', '.join(vals)})", "domain", F.col(c).isNotNull() & ~F.col(c).isin(*vals))
+             for t, c, vals in DOMAINS]
+    rules += [(t, rule, "range", bad(c, op)) for t, rule, c, op in RANGES]
+    rules += [(t, f"{c} NOT NULL", "not null", F.col(c).isNull()) for t, cols in NOT_NULL.items() for c in cols]
+    out: dict[str, list] = {}
+    for t, rule, kind, cond in rules:
+        if kind in kinds:
+            out.setdefault(t, []).append((rule, kind, cond))
+    return out
+
+
+def column_violations(tables, kinds=COLUMN_KINDS) -> DataFrame:
+    """K4-K6: all rules of a table that look at one row, as one aggregate over it."""
     parts = []
-    for t in dict.fromkeys(t for t, *_ in RANGES):
-        rules = [(rule, c, op) for name, rule, c, op in RANGES if name == t]
-        one = tables[t].agg(*[F.count_if(bad(c, op)).alias(f"_{k}") for k, (_, c, op) in enumerate(rules)])
-        rows = F.array(*[F.struct(F.lit(rule).alias("rule"), F.col(f"_{k}").cast("long").alias("violations"))
-                         for k, (rule, _, _) in enumerate(rules)])
-        parts.append(one.select(F.inline(rows)).select(
-            F.lit(t).alias("table_name"), "rule", F.lit("range").alias("kind"), "violations"))
+    for t, rules in column_rules(kinds).items():
+        one = tables[t].agg(*[F.count_if(cond).alias(f"_{k}") for k, (_, _, cond) in enumerate(rules)])
+        rows = F.array(*[F.struct(F.lit(rule).alias("rule"), F.lit(kind).alias("kind"),
+                                  F.col(f"_{k}").cast("long").alias("violations"))
+                         for k, (rule, kind, _) in enumerate(rules)])
+        parts.append(one.select(F.inline(rows)).select(F.lit(t).alias("table_name"), "rule", "kind", "violations"))
     return _union(parts)
 
 
+def k4_domains(tables) -> DataFrame:
+    return column_violations(tables, ["domain"])
+
+
+def k5_ranges(tables) -> DataFrame:
+    return column_violations(tables, ["range"])
+
+
 def k6_not_null(tables) -> DataFrame:
-    parts = []
-    for t, cols in NOT_NULL.items():
-        one = tables[t].agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
-        pairs = F.array(*[F.struct(F.lit(f"{c} NOT NULL").alias("rule"),
-                                   F.col(c).cast("long").alias("violations")) for c in cols])
-        parts.append(one.select(F.inline(pairs))
-                     .select(F.lit(t).alias("table_name"), "rule", F.lit("not null").alias("kind"),
-                             "violations"))
-    return _union(parts)
+    return column_violations(tables, ["not null"])
 
 
 def audit_constraints(tables) -> DataFrame:
     return _union([k1_primary_keys(tables), k2_unique(tables), k3_foreign_keys(tables),
-                   k4_domains(tables), k5_ranges(tables), k6_not_null(tables)])
+                   column_violations(tables)])

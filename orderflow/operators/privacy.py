@@ -8,13 +8,16 @@ harmless neighbouring values cannot form a false match.
   P2 allowlist: distinct values of identity columns outside their declared
      vocabulary (``left_anti`` against a small allowlist; the country / region
      lists are the nation / region dimensions, fixed size at any scale);
-  P3 pattern scan: ``regexp_extract_all`` per cell for every pattern;
+  P3 pattern scan: a cell is walked once for the literal parts of all patterns;
+     only cells that hold one go on to ``regexp_extract_all`` per pattern;
   P4 person-shaped text outside the exempt columns, minus allowlisted people
-     and minus matches contained in a declared string (a higher-order
-     ``exists`` over a literal array - no non-equi join);
+     and minus what lies inside a declared string (the fixed set of such texts);
   P5 the same patterns over text files, line by line;
   P6 one findings report.
 
+P2, P3 and P4 come out of one pass over each table (``scan``), whose distinct
+matches are written once; hits, samples and the outcome are read off that table.
+
 Patterns are Java regexes with ``(?U)`` so \\w, \\d, \\s and \\b follow Unicode
 like the source's Python patterns. Samples are the first values in sort order
 per finding, taken with a rank-limited window, so no group is collected whole.
@@ -22,6 +25,7 @@ per finding, taken with a rank-limited window, so no group is collected whole.
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -30,6 +34,7 @@ from pyspark.sql import functions as F
 from .. import vocab as V
 from ..functions.text import literal_table
 from ..sources import tpch
+from ..sources.staged import staged
 
 SAMPLE, PERSON_SAMPLE = 4, 6
 UNICODE = "(?U)"
@@ -104,9 +109,9 @@ def cell_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def _first_values(df: DataFrame, keys: list[str], value: str, n: int = SAMPLE) -> DataFrame:
-    """Per key: number of distinct values and the first ``n`` in sort order."""
-    d = df.select(*keys, value).distinct()
+def _first_values(d: DataFrame, keys: list[str], value: str, n: int = SAMPLE) -> DataFrame:
+    """Per key of distinct (keys, value) rows, read twice: their number and the first
+    ``n`` values in sort order."""
     counts = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("hits"))
     w = Window.partitionBy(*keys).orderBy(value)
     top = (d.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= n)
@@ -115,6 +120,14 @@ def _first_values(df: DataFrame, keys: list[str], value: str, n: int = SAMPLE) -
     return counts.join(top, keys).select(*keys, F.col("hits").cast("long"), "sample")
 
 
+#: Columns whose values are checked against an allowlist.
+CHECKED = [("raw_quote_register", "concerned_person"), ("customers", "country"), ("customers", "region"),
+           ("raw_quote_register", "incoterms"), ("raw_quote_register", "quote_from"),
+           ("raw_quote_register", "vertical"), ("quotations", "salesperson_code"),
+           ("quotations", "incoterms"), ("customers", "market_type")]
+LISTED = "allowlist"
+
+
 def allowlists(spark: SparkSession, sf_dir: str) -> dict[tuple[str, str], DataFrame]:
     """(table, column) -> one-column DataFrame ``allowed`` of permitted values."""
     def lit_df(values):
@@ -138,19 +151,21 @@ def allowlists(spark: SparkSession, sf_dir: str) -> dict[tuple[str, str], DataFr
 
 def allowlist_scan(tables, spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per checked column, distinct values outside the allowlist (+ sample)."""
-    parts = []
-    for (t, c), allowed in allowlists(spark, sf_dir).items():
-        vals = tables[t].select(F.col(c).alias("value")).filter(F.col("value").isNotNull())
-        outside = vals.join(F.broadcast(allowed), vals.value == allowed.allowed, "left_anti")
-        parts.append(outside.select(F.lit(t).alias("table_name"), F.lit(c).alias("column_name"),
-                                    "value"))
-    found = _first_values(reduce(DataFrame.unionByName, parts), ["table_name", "column_name"],
-                          "value", 5)
-    checked = literal_table(spark, list(allowlists(spark, sf_dir)),
-                            [("table_name", "string"), ("column_name", "string")])
-    return (checked.join(found, ["table_name", "column_name"], "left")
-            .select("table_name", "column_name",
-                    F.coalesce("hits", F.lit(0)).cast("long").alias("outside_values"),
+    listed = {t: tables[t].select(*[c for u, c in CHECKED if u == t]) for t, _ in CHECKED}
+    return _outside(staged(scan(listed, False, False, CHECKED), "listed-values"), spark, sf_dir)
+
+
+def _outside(matches: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per checked column, the number of its values (rule ``allowlist``) outside its
+    allowlist, and the first of them."""
+    keys = ["table_name", "column_name"]
+    allowed = reduce(DataFrame.unionByName, [
+        one.select(F.lit(t).alias("table_name"), F.lit(c).alias("column_name"), F.col("allowed").alias("match"))
+        for (t, c), one in allowlists(spark, sf_dir).items()])
+    outside = matches.where(F.col("rule") == LISTED).join(F.broadcast(allowed), [*keys, "match"], "left_anti")
+    checked = literal_table(spark, CHECKED, [(k, "string") for k in keys])
+    return (checked.join(_first_values(outside, keys, "match", 5), keys, "left")
+            .select(*keys, F.coalesce("hits", F.lit(0)).cast("long").alias("outside_values"),
                     F.coalesce("sample", F.lit("")).alias("sample")))
 
 
@@ -203,50 +218,86 @@ def matches(cell_df: DataFrame, location_cols=("table_name", "column_name"),
     return unexplained(m.distinct()) if with_person_shapes else m
 
 
+def explained_texts() -> list[str]:
+    """Every text of a person's shape that is an allowlisted person or lies inside a
+    declared string, from any capital on and cut anywhere."""
+    shape = re.compile(r"[A-Z][a-z]{2,}\s+[A-Z][a-z]{2}")
+    out = set(V.PEOPLE)
+    for d in declared_strings():
+        for k in range(len(d)):
+            m = shape.match(d, k)
+            if m:
+                end = m.end()
+                out.add(d[k:end])
+                while end < len(d) and "a" <= d[end] <= "z":
+                    end += 1
+                    out.add(d[k:end])
+    return sorted(out)
+
+
 def unexplained(m: DataFrame) -> DataFrame:
     """Without person-shaped matches that are allowlisted people or lie inside a
-    declared string; asked once for every distinct match."""
-    declared = F.array(*[F.lit(d) for d in declared_strings()])
-    explained = (F.col("rule") == PERSON_RULE) & (
-        F.col("match").isin(*V.PEOPLE)
-        | F.exists(declared, lambda d: F.instr(d, F.col("match")) > 0))
-    return m.filter(~explained)
+    declared string."""
+    return m.filter(~((F.col("rule") == PERSON_RULE) & F.col("match").isin(*explained_texts())))
 
 
 INTEGRAL = ("tinyint", "smallint", "int", "bigint")
 MOBILE = "Indian mobile number"
-
-
-def integer_mobile_matches(tables: dict[str, DataFrame]) -> DataFrame:
-    """P3 for integer columns without text: an integer's text (digits, perhaps a
-    minus sign) matches the mobile pattern exactly when the number has ten
-    digits and starts with 6-9, i.e. |v| in [6e9, 1e10); the match is |v|.
-    One pass per table over all of its integer columns."""
-    parts = []
-    for name, df in tables.items():
-        cols = [f.name for f in df.schema.fields if f.dataType.simpleString() in INTEGRAL]
-        if not cols:
-            continue
-        arr = F.array(*[F.struct(F.lit(c).alias("column_name"),
-                                 F.abs(F.col(c).cast("long")).alias("v")) for c in cols])
-        parts.append(df.select(F.inline(arr))
-                     .filter(F.col("v").between(6_000_000_000, 9_999_999_999))
-                     .select(F.lit(MOBILE).alias("rule"), F.lit(name).alias("table_name"),
-                             "column_name", F.col("v").cast("string").alias("match")))
-    return reduce(DataFrame.unionByName, parts)
-
-
-def scan(tables: dict[str, DataFrame], patterns: bool = True,
-         person_shapes: bool = True) -> DataFrame:
-    """P3 + P4 over every cell: regexes over the text cells, the numeric form of
-    the mobile pattern over the integer cells (same findings as scanning every
-    cell's text, far fewer string conversions)."""
-    text = {name: df.select(*[f.name for f in df.schema.fields
-                              if f.dataType.simpleString() == "string"])
-            for name, df in tables.items()}
-    text = {k: v for k, v in text.items() if v.columns}
-    found = matches(cells(text), with_person_shapes=person_shapes, with_patterns=patterns)
-    return found.unionByName(integer_mobile_matches(tables)) if patterns else found
+# the literal parts of the patterns: a text that matches one holds one of these
+PATTERN_PARTS = r"@|[6-9]\p{Nd}{9}|[A-Z]{5}\p{Nd}{4}|GEM/"
+PERSON_PARTS = r"[A-Z][a-z]{2,}[\s\x0b\x85\p{Z}]+[A-Z][a-z]{2}"
+
+
+def _suspects(name: str, df: DataFrame, patterns: bool, person_shapes: bool, checked) -> DataFrame | None:
+    """(table_name, column_name, value, shapes, digits_only, listed): the cells of a
+    table that hold a part of a pattern, one walk a cell, and all of its checked columns.
+
+    An integer's text matches no pattern but the mobile one, and that exactly when the
+    number has ten digits and starts with 6-9; it is compared as a number."""
+    def cell(column, value, shapes=False, digits_only=False, listed=False):
+        return F.struct(F.lit(column).alias("column_name"), value.alias("value"), F.lit(shapes).alias("shapes"),
+                        F.lit(digits_only).alias("digits_only"), F.lit(listed).alias("listed"))
+    found = []
+    for f in df.schema.fields:
+        c, kind = F.col(f.name), f.dataType.simpleString()
+        if kind == "string":
+            shapes = person_shapes and (name, f.name) not in PERSON_SHAPE_EXEMPT
+            parts = "|".join([PATTERN_PARTS] * patterns + [PERSON_PARTS] * shapes)
+            if parts:
+                found.append(cell(f.name, F.when((F.length(c) >= 6) & c.rlike(parts), c), shapes))
+        elif kind in INTEGRAL and patterns:
+            v = F.abs(c.cast("long"))
+            found.append(cell(f.name, F.when(v.between(6_000_000_000, 9_999_999_999), v.cast("string")),
+                              digits_only=True))
+        if (name, f.name) in checked:
+            found.append(cell(f.name, c, listed=True))
+    if not found:
+        return None
+    return (df.select(F.inline(F.array(*found))).where(F.col("value").isNotNull())
+            .select(F.lit(name).alias("table_name"), "*"))
+
+
+def scan(tables: dict[str, DataFrame], patterns: bool = True, person_shapes: bool = True,
+         checked=()) -> DataFrame:
+    """P3 + P4 (+ P2's values) over every cell: distinct (rule, table_name,
+    column_name, match), each table read once (same findings as running every regex
+    over every cell's text)."""
+    parts = [_suspects(name, df, patterns, person_shapes, set(checked)) for name, df in tables.items()]
+    suspects = reduce(DataFrame.unionByName, [p for p in parts if p is not None])
+    none, text = F.array().cast("array<string>"), ~F.col("listed") & ~F.col("digits_only")
+    rules = [F.struct(F.lit(LISTED).alias("rule"), F.when(F.col("listed"), F.array("value")).otherwise(none).alias("found"))]
+    if patterns:
+        rules += [F.struct(F.lit(label).alias("rule"), F.when(
+            F.col("digits_only") & F.lit(label == MOBILE), F.array("value")).when(
+            text & GUARDS[label](F.col("value")), F.regexp_extract_all("value", F.lit(UNICODE + rx), 0))
+            .otherwise(none).alias("found")) for label, rx in V.PRIVACY_PATTERNS]
+    if person_shapes:
+        rules.append(F.struct(F.lit(PERSON_RULE).alias("rule"), F.when(
+            F.col("shapes"), F.regexp_extract_all("value", F.lit(UNICODE + V.PERSON_SHAPE), 0))
+            .otherwise(none).alias("found")))
+    found = (suspects.select("table_name", "column_name", F.inline(F.array(*rules)))
+             .select("rule", "table_name", "column_name", F.explode("found").alias("match")).distinct())
+    return unexplained(found) if person_shapes else found
 
 
 def pattern_matches(cell_df: DataFrame, location_cols=("table_name", "column_name")) -> DataFrame:
@@ -256,13 +307,13 @@ def pattern_matches(cell_df: DataFrame, location_cols=("table_name", "column_nam
 
 def pattern_scan(tables: dict[str, DataFrame]) -> DataFrame:
     """P3 report: per (rule, table, column) distinct matches and a sample."""
-    m = scan(tables, person_shapes=False)
+    m = staged(scan(tables, person_shapes=False), "pattern-matches")
     return _first_values(m, ["rule", "table_name", "column_name"], "match")
 
 
 def person_shapes(tables: dict[str, DataFrame]) -> DataFrame:
     """Person-shaped matches not explained by the declared vocabulary."""
-    m = scan(tables, patterns=False)
+    m = staged(scan(tables, patterns=False), "person-shapes")
     return _first_values(m, ["table_name", "column_name"], "match", PERSON_SAMPLE)
 
 
@@ -288,21 +339,22 @@ def text_file_findings(spark: SparkSession, path: str) -> DataFrame:
 def privacy_report(tables, spark: SparkSession, sf_dir: str, text_path: str | None = None) -> DataFrame:
     """Every finding as (rule, location, hits, sample), those of text files
     under ``text_path`` too, and one outcome row."""
-    scanned = scanned_tables(tables, spark, sf_dir)
-    allow = (allowlist_scan(tables, spark, sf_dir).filter(F.col("outside_values") > 0)
-             .select(F.lit("allowlist").alias("rule"),
+    every = staged(scan(scanned_tables(tables, spark, sf_dir), checked=CHECKED), "matches")
+    allow = (_outside(every, spark, sf_dir).filter(F.col("outside_values") > 0)
+             .select(F.lit(LISTED).alias("rule"),
                      F.concat_ws(".", "table_name", "column_name").alias("location"),
                      F.col("outside_values").alias("hits"), "sample"))
-    every = scan(scanned)
     keys = ["rule", "table_name", "column_name"]
     is_person = F.col("rule") == PERSON_RULE
-    found = _first_values(every.filter(~is_person), keys, "match").unionByName(
+    found = _first_values(every.filter(~is_person & (F.col("rule") != LISTED)), keys, "match").unionByName(
         _first_values(every.filter(is_person), keys, "match", PERSON_SAMPLE))
     report = allow.unionByName(found.select(
         "rule", F.concat_ws(".", "table_name", "column_name").alias("location"), "hits", "sample"))
     if text_path:
-        files = text_file_findings(spark, text_path).select("rule", F.col("file").alias("location"), "match")
+        files = staged(text_file_findings(spark, text_path).select(
+            "rule", F.col("file").alias("location"), "match").distinct(), "file-matches")
         report = report.unionByName(_first_values(files, ["rule", "location"], "match"))
+    report = staged(report, "findings")
     outcome = report.agg(F.sum("hits").alias("n")).select(
         F.lit("outcome").alias("rule"), F.when(F.coalesce("n", F.lit(0)) == 0, "clean").otherwise("not clean")
         .alias("location"), F.coalesce("n", F.lit(0)).cast("long").alias("hits"), F.lit("").alias("sample"))
