@@ -36,8 +36,6 @@ WORDS = 10
 PART_BYTES = 64 << 20
 #: Bytes a window takes beside its own text in a broadcast hash set.
 ROW_BYTES = 120
-#: Classes and item lists are joined by broadcast up to this many rows.
-SMALL_ROWS = 100_000
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _OTHER = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]"
 _OTHER_ANY_CASE = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
@@ -71,16 +69,16 @@ def benchmark_windows(benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
         return F.when(n > 0, _grams(w, n, lambda _, g: F.struct(
             n.alias("n"), F.xxhash64(g).alias("hash"), F.array_join(g, " ").alias("gram"))))
 
-    pairs = written(benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"),
-                                     F.explode(_let(words("text"), of_item)).alias("x"))
-                    .select("item", "x.*").distinct(), "item-windows")
+    pairs = (benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"),
+                              F.explode(_let(words("text"), of_item)).alias("x"))
+             .select("item", "x.*").distinct())
     # order-free digests of a window's items: no window's items are ever collected
     windows = written(pairs.groupBy("n", "hash", "gram").agg(
         F.count("*").alias("c"), F.bit_xor(F.xxhash64("item")).alias("a"),
         F.bit_xor(F.xxhash64(F.lit("second"), "item")).alias("b"))
         .select("n", "hash", "gram", F.concat_ws(":", "c", "a", "b").alias("class")), "windows")
     one = windows.groupBy("class").agg(F.min(F.struct("gram", "n", "hash")).alias("w")).select("class", "w.*")
-    return windows, written(pairs.join(one, ["n", "hash", "gram"]).select("class", "item"), "classes")
+    return windows, pairs.join(one, ["n", "hash", "gram"]).select("class", "item")
 
 
 def _parts(windows: DataFrame) -> tuple[int, list[int]]:
@@ -145,11 +143,6 @@ def _marked(rows: DataFrame, windows: DataFrame, spans: bool = False) -> DataFra
         F.coalesce(F.sum("new"), F.lit(0)).alias("n_hit"), F.sort_array(F.collect_set("class")).alias("classes"))
 
 
-def _small(df: DataFrame) -> DataFrame:
-    """A written table, broadcast where its counted size allows."""
-    return F.broadcast(df) if df.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS else df
-
-
 def _numbered(docs: DataFrame) -> DataFrame:
     return docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").alias("id"), "text")
 
@@ -163,15 +156,14 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         "set", F.when(F.size("classes") > 0, F.sha2(F.array_join("classes", ",").cast("binary"), 256))), "marked")
     hit = marked.where("set is not null")
     sets = hit.groupBy("set").agg(F.any_value("classes").alias("classes"))
-    items = written(sets.select("set", F.explode("classes").alias("class"))
-                    .join(_small(classes), "class").groupBy("set")
-                    .agg(F.sort_array(F.collect_set("item")).alias("items"))
-                    .select("set", F.size("items").cast("long").alias("n_items"),
-                            F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256")), "item-lists")
+    items = (sets.select("set", F.explode("classes").alias("class")).join(classes, "class").groupBy("set")
+             .agg(F.sort_array(F.collect_set("item")).alias("items"))
+             .select("set", F.size("items").cast("long").alias("n_items"),
+                     F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256")))
     head = [F.col("id").alias("doc_id"), "n_words", "n_hit"]
     clean = marked.where("set is null").select(
         *head, F.lit(0).cast("long").alias("n_items"), F.sha2(F.lit("").cast("binary"), 256).alias("items_sha256"))
-    return (hit.join(_small(items), "set").select(*head, "n_items", "items_sha256").unionByName(clean)
+    return (hit.join(items, "set").select(*head, "n_items", "items_sha256").unionByName(clean)
             .withColumn("contaminated", F.col("n_hit") > 0))
 
 

@@ -48,7 +48,7 @@ LIGHT = GROUP // 4
 #: Heavy prefixes of one length that may be sent to the tasks.
 HEAVY_ROWS = 1 << 20
 #: Words that a task holds before it writes them out.
-FLUSH = 2_000_000
+FLUSH = 1_000_000
 IDS = ["i1", "i2", "i3", "i4"]
 
 # A-Z lower-cased; the marks that end a piece become line feeds, which end one too.
@@ -306,24 +306,23 @@ def _counted(texts: DataFrame, seed: int, least: int, light: int, group: int,
     heavy, found = Heavy(), []
     prefixes = words.select(F.col("id").alias("i1"), "n")
     for depth in range(1, LONGEST):
-        while prefixes.where(F.col("n") > light).limit(HEAVY_ROWS + 1).count() > HEAVY_ROWS:
+        rows = prefixes.where(F.col("n") > light).limit(HEAVY_ROWS + 1).collect()
+        while len(rows) > HEAVY_ROWS:
             light *= 2
-        prefixes = prefixes.where(F.col("n") > light)
-        heavy.add([tuple(r)[:depth] for r in prefixes.collect()])
-        if depth > 1:
-            found.append(prefixes.where(F.col("n") >= least).select(
-                *IDS[:depth], *[F.lit(0).cast("long").alias(i) for i in IDS[depth:]], F.col("n").alias("a")))
-        if not heavy.rows[-1].size:
+            rows = prefixes.where(F.col("n") > light).limit(HEAVY_ROWS + 1).collect()
+        heavy.add([tuple(r)[:depth] for r in rows])
+        if not rows:
             break
+        if depth > 1:
+            found += [(*tuple(r)[:depth], *[0] * (LONGEST - depth), r["n"]) for r in rows if r["n"] >= least]
         if depth + 1 < LONGEST:
             longer = texts.mapInArrow(_longer(heavy, depth + 1, seed, flush),
                                       ", ".join(f"{i} long" for i in [*IDS[:depth + 1], "n"]))
-            prefixes = written(longer.groupBy(*IDS[:depth + 1]).agg(F.sum("n").alias("n"))
-                               .where(F.col("n") > light), "prefixes")
+            prefixes = longer.groupBy(*IDS[:depth + 1]).agg(F.sum("n").alias("n"))
     blocks = texts.mapInArrow(_routed(heavy, groups, seed, flush), "g int, block binary")
     nodes = blocks.groupBy("g").applyInArrow(_subtree(heavy, least), _NODE)
-    for one in found:
-        nodes = nodes.unionByName(one)
+    if found:
+        nodes = nodes.unionByName(texts.sparkSession.createDataFrame(found, _NODE))
     return vocabulary, words.where(F.col("n") >= least), written(nodes, "phrases")
 
 
@@ -352,25 +351,24 @@ def _scored(words: DataFrame, phrases: DataFrame) -> DataFrame:
             .select(*IDS, "a", "lang_digest", "cut.score", "cut.l", "cut.r"))
 
 
-def _not_inside(scored: DataFrame) -> DataFrame:
-    """Phrases that no longer candidate replaces."""
-    longer = scored.where("i3 != 0")
+def _not_inside(scored: DataFrame, phrases: DataFrame) -> DataFrame:
+    """Scored phrases that no longer one of ``phrases`` replaces."""
     spans = [(s, n) for n in (2, 3) for s in range(LONGEST - n + 1)]
 
     def sub(s: int, n: int):
-        ids = [F.col(IDS[s + k]) for k in range(n)] + [F.lit(0).cast("long")] * (3 - n)
+        ids = [F.col(IDS[s + k]) for k in range(n)] + [F.lit(0).cast("long")] * (LONGEST - n)
         whole = F.col(IDS[s + n - 1]) != 0
         return F.when(whole if n == 2 else whole & (F.col("i4") != 0),
                       F.struct(*[x.alias(i) for x, i in zip(ids, IDS)]))
 
-    inside = (longer.select("a", F.explode(F.array(*[sub(*x) for x in spans])).alias("s")).where("s is not null")
-              .groupBy("s.i1", "s.i2", "s.i3").agg(F.max("a").alias("most")))
+    inside = (phrases.where("i3 != 0").select("a", F.explode(F.array(*[sub(*x) for x in spans])).alias("s"))
+              .where("s is not null").groupBy(*[F.col(f"s.{i}").alias(i) for i in IDS])
+              .agg(F.max("a").alias("most")))
     wide = "decimal(22,0)"
     replaced = (F.lit(100).cast(wide) * F.col("most").cast("decimal(20,0)")
                 >= F.lit(INSIDE_PERCENT).cast(wide) * F.col("a").cast("decimal(20,0)"))
-    short = scored.where("i4 = 0").join(inside, ["i1", "i2", "i3"], "left").where(
-        F.col("most").isNull() | ~replaced).select(scored.columns)
-    return short.unionByName(scored.where("i4 != 0"))
+    return (scored.join(inside, IDS, "left").where(F.col("most").isNull() | ~replaced)
+            .select(scored.columns))
 
 
 def collocations(docs: DataFrame, least: int = MIN_COUNT, top: int = TOP, light: int = LIGHT,
@@ -386,7 +384,7 @@ def collocations(docs: DataFrame, least: int = MIN_COUNT, top: int = TOP, light:
         counted = _counted(texts, seed, least, light, group, flush)
         seed += 1
     vocabulary, words, phrases = counted
-    kept = _not_inside(written(_scored(words, phrases), "scored"))
+    kept = _not_inside(_scored(words, phrases), phrases)
     best = Window.partitionBy("lang_digest").orderBy(F.desc("score"), F.desc("a"))
     first = written(kept.withColumn("place", F.rank().over(best)).where(F.col("place") <= top)
                     .drop("place"), "first")  # with all ties at the end

@@ -56,7 +56,6 @@ def text_of(doc_id):
 @pytest.mark.parametrize("part_bytes", [64 << 20, 3000])
 def test_equals_brute_force(leaked, bench, monkeypatch, part_bytes):
     monkeypatch.setattr(decontam, "PART_BYTES", part_bytes)  # small: several passes
-    monkeypatch.setattr(decontam, "SMALL_ROWS", 5 if part_bytes < 9999 else 100_000)
     got = decontam.contamination(leaked, bench).collect()
     assert len(got) == leaked.count()
     for r in got:
