@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from .. import vocab as V
 from ..functions.numeric import money, pct, round_ratio, tenths
 from ..params import DEFAULT, Params
+from ..sources.staged import staged
 from . import blocks as B
 from .delivery import otif
 
@@ -292,15 +293,12 @@ def q9_customer_pareto(tables, params: Params = DEFAULT) -> DataFrame:
     amount = (F.col("taxable_value") + F.col("gst_amount")) * F.col("fx_rate_to_inr")
     lines = (tables.order_lines.select("order_id", "line_no", "item_id")
              .join(tables.items.select("item_id", "product_line"), "item_id"))
-    rev = (tables.invoices.select("dispatch_id", "customer_id", amount.alias("amt"))
-           .join(tables.dispatches.select("dispatch_id", "order_id", "line_no"), "dispatch_id")
-           .join(lines, ["order_id", "line_no"])
-           .rollup("product_line", "customer_id")
-           .agg(F.sum("amt").alias("revenue"), F.grouping_id().alias("_level")))
-    # one pass over the fact joins gives both levels: (line, customer) and (line)
-    totals = rev.filter(F.col("_level") == 1).select(
-        "product_line", F.col("revenue").alias("line_total"))
-    rev = rev.filter(F.col("_level") == 0).drop("_level")
+    # one row per (line, customer), written once: the totals and the top read that
+    rev = staged(tables.invoices.select("dispatch_id", "customer_id", amount.alias("amt"))
+                 .join(tables.dispatches.select("dispatch_id", "order_id", "line_no"), "dispatch_id")
+                 .join(lines, ["order_id", "line_no"])
+                 .groupBy("product_line", "customer_id").agg(F.sum("amt").alias("revenue")), "line-revenue")
+    totals = rev.groupBy("product_line").agg(F.sum("revenue").alias("line_total"))
     order = [F.col("revenue").desc(), F.col("customer_id").asc()]
     top = B.top_k_per_group(rev, ["product_line"], order, params.pareto_top_k)
     cum = B.running(F.col("revenue"), order, ["product_line"])
@@ -376,10 +374,18 @@ def q12_ld_exposure(tables, params: Params = DEFAULT, view: DataFrame | None = N
 
 # --------------------------------------------------------------------------- QA
 def qa_status_mapping(clean: DataFrame, params: Params = DEFAULT) -> DataFrame:
-    g = clean.groupBy(F.col("status_clean").alias("mapped_to")).agg(
-        F.count(F.lit(1)).alias("rows_n"),
-        F.countDistinct("status_raw").alias("wordings"),
-        F.array_join(F.array_sort(F.collect_set("status_raw")), ",")
+    """Wordings of a state are sorted over all tasks and joined range by range; only
+    the last step holds a state's whole list, as one text."""
+    g = staged(clean.groupBy(F.col("status_clean").alias("mapped_to"), "status_raw").agg(
+        F.count(F.lit(1)).alias("n")), "wordings")
+    counts = g.groupBy("mapped_to").agg(F.sum("n").alias("rows_n"), F.count("status_raw").alias("wordings"))
+    by = ["mapped_to", "status_raw"]
+    runs = (g.where(F.col("status_raw").isNotNull()).select(*by).repartitionByRange(*by)
+            .groupBy("mapped_to", F.spark_partition_id().alias("part"))
+            .agg(F.array_join(F.array_sort(F.collect_list("status_raw")), ",").alias("run")))
+    lists = runs.groupBy(F.col("mapped_to").alias("state")).agg(F.array_join(F.transform(
+        F.array_sort(F.collect_list(F.struct("part", "run"))), lambda r: r["run"]), ",")
         .alias("as_typed_in_the_source"))
-    return g.select("mapped_to", F.col("rows_n").cast("long").alias("rows_n"),
-                    F.col("wordings").cast("long").alias("wordings"), "as_typed_in_the_source")
+    return counts.join(lists, F.col("mapped_to").eqNullSafe(F.col("state")), "left").select(
+        "mapped_to", F.col("rows_n").cast("long").alias("rows_n"),
+        F.col("wordings").cast("long").alias("wordings"), "as_typed_in_the_source")

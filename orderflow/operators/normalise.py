@@ -235,6 +235,17 @@ def orders(raw: DataFrame, po_documents: DataFrame, payment_terms: DataFrame) ->
         F.col("status").alias("order_status"), _cancelled()))
 
 
+def payment_terms_use(raw: DataFrame, orders_df: DataFrame, payment_terms: DataFrame) -> DataFrame:
+    """The payment-terms dimension (wording -> credit days and advance share),
+    with the register rows that carry the wording and the orders that carry the code."""
+    worded = raw.groupBy(F.col("payment_terms").alias("description")).agg(F.count("*").alias("register_rows"))
+    coded = orders_df.groupBy("terms_code").agg(F.count("*").alias("orders"))
+    return (payment_terms.join(worded, "description", "left").join(coded, "terms_code", "left")
+            .select("terms_code", "description", F.col("credit_days").cast("long").alias("credit_days"),
+                    "advance_pct", *[F.coalesce(c, F.lit(0)).cast("long").alias(c)
+                                     for c in ("register_rows", "orders")]))
+
+
 def derive_invoices(dispatches: DataFrame, order_lines: DataFrame, orders_df: DataFrame,
                     customers: DataFrame, payment_terms: DataFrame, fx_monthly: DataFrame,
                     params: Params = DEFAULT) -> DataFrame:

@@ -12,7 +12,8 @@ harmless neighbouring values cannot form a false match.
      only cells that hold one go on to ``regexp_extract_all`` per pattern;
   P4 person-shaped text outside the exempt columns, minus allowlisted people
      and minus what lies inside a declared string (the fixed set of such texts);
-  P5 the same patterns over text files, line by line;
+  P5 the same patterns over text files, line by line (``document_files`` exports
+     the documents' texts as such);
   P6 one findings report.
 
 P2, P3 and P4 come out of one pass over each table (``scan``), whose distinct
@@ -34,7 +35,7 @@ from pyspark.sql import functions as F
 from .. import vocab as V
 from ..functions.text import literal_table
 from ..sources import tpch
-from ..sources.staged import staged
+from ..sources.staged import staged, staged_path
 
 SAMPLE, PERSON_SAMPLE = 4, 6
 UNICODE = "(?U)"
@@ -300,11 +301,6 @@ def scan(tables: dict[str, DataFrame], patterns: bool = True, person_shapes: boo
     return unexplained(found) if person_shapes else found
 
 
-def pattern_matches(cell_df: DataFrame, location_cols=("table_name", "column_name")) -> DataFrame:
-    """(rule, *location, match) for every pattern match in every cell."""
-    return matches(cell_df, location_cols, with_person_shapes=False)
-
-
 def pattern_scan(tables: dict[str, DataFrame]) -> DataFrame:
     """P3 report: per (rule, table, column) distinct matches and a sample."""
     m = staged(scan(tables, person_shapes=False), "pattern-matches")
@@ -322,18 +318,53 @@ def text_file_findings(spark: SparkSession, path: str) -> DataFrame:
 
     Files are read line by line, a large one as several blocks. Line ids run on
     within a block, so a line's number is its place in the block plus the lines
-    of the blocks before it (one row per block); a line end other than LF or CRLF
+    of the blocks before it; both come from one pass, in which a block keeps its
+    first id, its number of lines and its hits. A line end other than LF or CRLF
     is not counted."""
     lines = spark.read.option("lineSep", "\n").text(path).select(
         F.input_file_name().alias("file"), F.input_file_block_start().alias("block"),
         F.monotonically_increasing_id().alias("id"), F.rtrim(F.col("value"), F.lit("\r")).alias("value"))
-    blocks = lines.groupBy("file", "block").agg(F.min("id").alias("first"), F.count("*").alias("n"))
+    v = F.col("value")
+
+    def found(label: str, rx: str):
+        every = F.transform(F.regexp_extract_all(v, F.lit(UNICODE + rx), 0),
+                            lambda m: F.struct(F.lit(label).alias("rule"), m.alias("match")))
+        return F.when(GUARDS[label](v), every).otherwise(F.array().cast("array<struct<rule:string,match:string>>"))
+
+    hits = F.when(v.rlike(PATTERN_PARTS), F.concat(*[found(*p) for p in V.PRIVACY_PATTERNS]))
+    blocks = (lines.select("file", "block", "id", hits.alias("hits"))
+              .groupBy("file", "block").agg(
+                  F.min("id").alias("first"), F.count("*").alias("n"),
+                  F.collect_list(F.when(F.size("hits") > 0, F.struct("id", "hits"))).alias("found")))
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.withColumn("ahead", F.coalesce(F.sum("n").over(before), F.lit(0)))
-    hits = pattern_matches(lines.withColumn("digits_only", F.lit(False)), ("file", "block", "id"))
-    return hits.join(blocks, ["file", "block"]).select(
-        "rule", "file", (F.col("ahead") + F.col("id") - F.col("first") + 1).cast("int").alias("line_no"),
-        "match")
+    return (blocks.withColumn("ahead", F.coalesce(F.sum("n").over(before), F.lit(0)))
+            .select("file", "first", "ahead", F.explode("found").alias("line"))
+            .select("file", (F.col("ahead") + F.col("line.id") - F.col("first") + 1).alias("line_no"),
+                    F.explode("line.hits").alias("h"))
+            .select("h.rule", "file", "line_no", "h.match"))
+
+
+#: Documents a text file of ``document_files`` holds.
+PER_FILE = 4096
+
+
+def document_files(docs: DataFrame, path: str) -> None:
+    """The documents' texts as text files below ``path``, in folders ``volume=k`` of
+    ``PER_FILE`` consecutive ids (-1: no id), one after another by id."""
+    volume = F.coalesce(F.floor(F.col("doc_id") / PER_FILE), F.lit(-1)).alias("volume")
+    (docs.select(volume, "doc_id", F.coalesce("text", F.lit("")).alias("text"))
+     .repartition("volume").sortWithinPartitions("volume", "doc_id").select("volume", "text")
+     .write.partitionBy("volume").option("lineSep", "\n").text(path))
+
+
+def document_file_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P5 over the texts of ``documents``, exported as text files: distinct (rule,
+    volume, line_no, match)."""
+    path = staged_path(spark, "document-files")
+    document_files(tpch.read(spark, sf_dir, "documents", ["doc_id", "text"]), path)
+    volume = F.regexp_extract("file", r"volume=(-?[0-9]+)", 1).cast("long")
+    return (text_file_findings(spark, f"{path}/*").select("rule", volume.alias("volume"), "line_no", "match")
+            .distinct())
 
 
 def privacy_report(tables, spark: SparkSession, sf_dir: str, text_path: str | None = None) -> DataFrame:

@@ -1,7 +1,7 @@
 """Statistics of a register (the profile its parameters describe).
 
-All are grouped aggregates over the cleaned register; quantiles use the value
-histogram (one row per distinct value per line), concentration uses a
+All are grouped aggregates over the cleaned register; quantiles use a histogram of
+value ranges and count only inside the ranges asked for, concentration uses a
 rank-limited top-k plus a separate total, so no group is sorted whole.
 """
 
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import iso_text
 from ..functions.numeric import idiv, pct
+from ..sources.staged import staged
 from .register import RAW_COLUMNS
 
 QUANTILES = [10, 25, 50, 75, 90, 95, 99]
@@ -40,73 +41,52 @@ def f1_funnel(clean: DataFrame) -> DataFrame:
 
 
 def quantiles(df: DataFrame, group: list[str], value: str, qs=QUANTILES) -> DataFrame:
-    """Value at nearest rank max(1, round(q% of n)) per group, from a histogram."""
-    hist = (df.filter(F.col(value).isNotNull()).groupBy(*group, value)
-            .agg(F.count(F.lit(1)).alias("_c")))
-    upto = (Window.partitionBy(*group).orderBy(value)
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    hist = (hist.withColumn("_cum", F.sum("_c").over(upto))
-            .withColumn("_n", F.sum("_c").over(Window.partitionBy(*group))))
-    aggs = []
-    for q in qs:
-        rank = F.greatest(idiv(F.col("_n") * q + 50, 100), F.lit(1))
-        inside = (F.col("_cum") - F.col("_c") < rank) & (rank <= F.col("_cum"))
-        aggs.append(F.max(F.when(inside, F.col(value))).alias(f"p{q}"))
-    return hist.groupBy(*group).agg(F.max("_n").alias("n"), *aggs,
-                                    F.max(value).alias("max"),
-                                    F.sum(F.when(F.col(value) < 0, F.col("_c")).otherwise(0))
-                                    .alias("negatives"))
-
-
-def wide_quantiles(df: DataFrame, group: list[str], value: str, qs=QUANTILES) -> DataFrame:
-    """The same ranks for values that are nearly all distinct (amounts): a coarse
-    histogram of value ranges finds the range each rank falls into; only those
-    ranges' rows are then ranked exactly."""
-    d = df.filter(F.col(value).isNotNull()).select(*group, value)
-    # ranges by the amount's power of 2 ^ (1/8): a few hundred, whatever the rows
-    fold = F.floor(F.log2(F.greatest(F.abs(F.col(value).cast("double")), F.lit(1e-3))) * 8).cast("int")
+    """Value at nearest rank max(1, round(q% of n)) per group, with n, max and the
+    count of negatives. A histogram of value ranges (a few thousand, whatever the
+    rows) brackets every rank; a second pass counts the values inside the brackets,
+    so no group is sorted whole."""
+    d = df.filter(F.col(value).isNotNull()).select(*group, F.col(value).cast("double").alias(value))
+    # ranges by the amount's power of 2 ^ (1/64)
+    fold = F.floor(F.log2(F.greatest(F.abs(F.col(value)), F.lit(1e-3))) * 64).cast("int")
     d = d.withColumn("_range", F.when(F.col(value) < 0, -fold - 1_000_000).otherwise(fold + 1_000_000))
     by = Window.partitionBy(*group)
     upto = by.orderBy("_range").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranges = (d.groupBy(*group, "_range").agg(F.count(F.lit(1)).alias("_c"), F.max(value).alias("_max"),
-                                              F.count_if(F.col(value) < 0).alias("_neg"))
-              .withColumn("_cum", F.sum("_c").over(upto)).withColumn("_n", F.sum("_c").over(by)))
+    ranges = staged(d.groupBy(*group, "_range").agg(
+        F.count(F.lit(1)).alias("_c"), F.max(value).alias("_max"),
+        F.count_if(F.col(value) < 0).alias("_neg")), "value-ranges")
+    counted = ranges.withColumn("_cum", F.sum("_c").over(upto)).withColumn("_n", F.sum("_c").over(by))
     ranks = F.array(*[F.struct(F.lit(q).alias("q"),
                                F.greatest(idiv(F.col("_n") * q + 50, 100), F.lit(1)).alias("rank")) for q in qs])
-    asked = ranges.select("*", F.explode(ranks).alias("a")).where(
+    asked = counted.select("*", F.explode(ranks).alias("a")).where(
         (F.col("_cum") - F.col("_c") < F.col("a.rank")) & (F.col("a.rank") <= F.col("_cum")))
-    asked = asked.select(*group, "_range", F.col("a.q").alias("q"),
-                         (F.col("a.rank") - F.col("_cum") + F.col("_c")).alias("_nth"))
-    inside = d.join(asked.select(*group, "_range").distinct(), [*group, "_range"], "left_semi")
-    steps = inside.groupBy(*group, "_range", value).agg(F.count(F.lit(1)).alias("_c"))
+    nth = [F.max(F.when(F.col("a.q") == q, F.col("a.rank") - F.col("_cum") + F.col("_c"))).alias(f"_p{q}") for q in qs]
+    asked = asked.groupBy(*group, "_range").agg(*nth)  # one row a bracket: counts are not multiplied
+    steps = d.join(asked, [*group, "_range"]).groupBy(*group, "_range", value).agg(
+        F.count(F.lit(1)).alias("_c"), *[F.first(f"_p{q}").alias(f"_p{q}") for q in qs])
     run = Window.partitionBy(*group, "_range").orderBy(value).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     steps = steps.withColumn("_cum", F.sum("_c").over(run))
-    hit = steps.join(asked, [*group, "_range"]).where(
-        (F.col("_cum") - F.col("_c") < F.col("_nth")) & (F.col("_nth") <= F.col("_cum")))
-    found = hit.groupBy(*group).agg(*[F.max(F.when(F.col("q") == q, F.col(value))).alias(f"p{q}") for q in qs])
-    whole = ranges.groupBy(*group).agg(F.max("_n").alias("n"), F.max("_max").alias("max"),
+    at = [F.max(F.when((F.col("_cum") - F.col("_c") < F.col(f"_p{q}")) & (F.col(f"_p{q}") <= F.col("_cum")),
+                       F.col(value))).alias(f"p{q}") for q in qs]
+    whole = ranges.groupBy(*group).agg(F.sum("_c").alias("n"), F.max("_max").alias("max"),
                                        F.sum("_neg").alias("negatives"))
-    return whole.join(found, group).select(*group, "n", *[f"p{q}" for q in qs], "max", "negatives")
+    return whole.join(steps.groupBy(*group).agg(*at), group).select(
+        *group, "n", *[f"p{q}" for q in qs], "max", "negatives")
 
 
 def f2_lead_time_quantiles(clean: DataFrame) -> DataFrame:
     """Quantiles per product line of four measures: days from quote to PO, days
-    from PO to the promised date, order values and item quantities."""
-    days = [("quote_to_po_days", F.datediff("po_date", "quote_date").cast("long"), F.lit(True)),
-            ("po_to_dp_days", F.datediff("dp_date", "po_date").cast("long"), F.lit(True))]
-    amounts = [("order_value_inr", F.col("value_inr"), F.col("became_order")),
-               ("item_qty", F.col("item_qty"), F.lit(True))]
-    parts = []
-    for measures, how in ((days, quantiles), (amounts, wide_quantiles)):
-        for name, value, cond in measures:
-            d = clean.filter(cond).select("product_line", value.alias("value"))
-            r = how(d, ["product_line"], "value")
-            parts.append(r.select(F.lit(name).alias("measure"), "product_line", F.col("n").cast("long").alias("n"),
-                                  *[F.col(f"p{q}").cast("double").alias(f"p{q}") for q in QUANTILES],
-                                  F.col("max").cast("double").alias("max"),
-                                  F.col("negatives").cast("long").alias("negatives")))
-    return reduce(DataFrame.unionByName, parts)
+    from PO to the promised date, order values and item quantities; two reads of
+    the register in all."""
+    measures = [("quote_to_po_days", F.datediff("po_date", "quote_date")),
+                ("po_to_dp_days", F.datediff("dp_date", "po_date")),
+                ("order_value_inr", F.when(F.col("became_order"), F.col("value_inr"))),
+                ("item_qty", F.col("item_qty"))]
+    long = clean.select("product_line", F.inline(F.array(*[
+        F.struct(F.lit(name).alias("measure"), value.cast("double").alias("value")) for name, value in measures])))
+    r = quantiles(long, ["measure", "product_line"], "value")
+    return r.select("measure", "product_line", F.col("n").cast("long").alias("n"),
+                    *[f"p{q}" for q in QUANTILES], "max", F.col("negatives").cast("long").alias("negatives"))
 
 
 def f3_concentration(clean: DataFrame) -> DataFrame:

@@ -181,3 +181,11 @@ def n_slim_sql(kind: str) -> str:
             "n10": ("order_id, order_status, CASE WHEN order_status IS NULL THEN NULL "
                     "ELSE is_cancelled_ END AS is_cancelled")}[kind]
     return _orders() + f"\nSELECT {cols} FROM n_orders"
+
+
+def n12_sql(p: Params = DEFAULT) -> str:
+    return """
+SELECT t.terms_code, t.description, CAST(t.credit_days AS BIGINT) AS credit_days, t.advance_pct,
+       (SELECT count(*) FROM ob_raw_register r WHERE r.payment_terms = t.description) AS register_rows,
+       (SELECT count(*) FROM ob_orders o WHERE o.terms_code = t.terms_code) AS orders
+FROM ob_payment_terms t"""

@@ -9,7 +9,7 @@ neighbouring matches still have one each. A match is halved again afterwards.
 from __future__ import annotations
 
 from .. import vocab as V
-from ..operators.privacy import (PERSON_RULE, PERSON_SAMPLE, PERSON_SHAPE_EXEMPT, SAMPLE,
+from ..operators.privacy import (PER_FILE, PERSON_RULE, PERSON_SAMPLE, PERSON_SHAPE_EXEMPT, SAMPLE,
                                  declared_strings)
 from ..sources.adapter import SCHEMA
 from .oracle_checks import log_cte
@@ -70,6 +70,22 @@ def _sampled(keys: str, where: str, n: int) -> str:
             f"FROM findings WHERE {where} GROUP BY {keys}")
 
 
+def p5_sql() -> str:
+    """Line numbers over the texts of each volume one after another, by id."""
+    rules = " UNION ALL ".join(
+        f"SELECT {q(rule)} AS rule, volume, line_no, unnest(regexp_extract_all(wide, '{rx}', 1)) AS found FROM doubled"
+        for rule, rx in DOUBLED.items() if rule != PERSON_RULE)
+    return f"""
+WITH lines AS (SELECT coalesce(CAST(floor(doc_id / {PER_FILE}) AS BIGINT), -1) AS volume, doc_id,
+                      unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+                      unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS i FROM documents),
+numbered AS (SELECT volume, rtrim(line, chr(13)) AS line,
+                    row_number() OVER (PARTITION BY volume ORDER BY doc_id, i) AS line_no FROM lines),
+doubled AS (SELECT volume, line_no, regexp_replace(line, '([^{W}])', '\\1\\1', 'g') AS wide FROM numbered)
+SELECT DISTINCT rule, volume, line_no, regexp_replace(found, '([^{W}])[^{W}]', '\\1', 'g') AS match
+FROM ({rules}) r"""
+
+
 PERSON, PATTERN = f"rule = {q(PERSON_RULE)}", f"rule <> {q(PERSON_RULE)}"
 
 

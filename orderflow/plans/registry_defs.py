@@ -109,6 +109,7 @@ register("p3_patterns", lambda p: with_tables(OP.p3_sql(), p))(
     lambda spark, sf_dir: P.pattern_scan(_scanned(spark, sf_dir)[1]))
 register("p4_person_shapes", lambda p: with_tables(OP.p4_sql(), p))(
     lambda spark, sf_dir: P.person_shapes(_scanned(spark, sf_dir)[1]))
+register("p5_text_files", lambda p: OP.p5_sql())(P.document_file_findings)
 register("p6_privacy_report", lambda p: with_tables(OP.p6_sql(), p))(
     lambda spark, sf_dir: P.privacy_report(_tables(spark, sf_dir), spark, sf_dir))
 
@@ -155,6 +156,9 @@ register("n4_revision_dedupe", lambda p: with_tables(ON.n4_sql(p), p))(
         N.quote_number_parts(_tables(spark, sf_dir).raw_quote_register)))
 register("n6_quotations", lambda p: with_tables(ON.n6_sql(p), p))(_n_quotes)
 register("n11_orders", lambda p: with_tables(ON.n11_sql(p), p))(_n_orders)
+register("n12_payment_terms", lambda p: with_tables(ON.n12_sql(p), p))(
+    lambda spark, sf_dir: (lambda t: N.payment_terms_use(t.raw_quote_register, t.orders, t.payment_terms))(
+        _tables(spark, sf_dir)))
 register("n13_invoices", lambda p: with_tables(ON.n13_sql(p), p))(
     lambda spark, sf_dir: as_reported((lambda t: N.derive_invoices(
         t.dispatches, t.order_lines, t.orders, t.customers, t.payment_terms, t.fx_monthly,
