@@ -65,40 +65,43 @@ def _cnt(cond):
     return F.count_if(F.coalesce(cond, F.lit(False)))
 
 
-def register_aggs(market: bool = True) -> list:
+def register_metrics(market: bool = True) -> dict:
     """Every register-side count of the log, as aggregate expressions over the
     cleaned register (with the ``_any_date`` pass-through column); without
     ``market`` those that need no customer's market."""
     c, cnt = F.col, _cnt
-    return [
-        cnt(c("_any_date")).alias("dates_parsed"),
-        cnt(c("date_impossible")).alias("date_impossible"),
-        cnt(c("year_suspect")).alias("year_suspect"),
-        cnt(c("dp_is_free_text")).alias("dp_free_text"),
-        F.countDistinct("status_raw").alias("status_wordings"),
-        F.countDistinct("status_clean").alias("_states"),
-        cnt(F.upper(F.trim(c("status_raw"))) == V.OPEN_WORDING).alias("status_open"),
-        cnt(c("status_clean").isin("UNUSABLE", V.UNMAPPED)).alias("status_unusable"),
-        cnt(c("quote_no_holds_other")).alias("quote_no_other"),
-        cnt(c("quote_no_is_tender")).alias("quote_no_tender"),
-        cnt(c("ld_merged").isNotNull()).alias("ld_merged"),
-        cnt(c("ld_both_populated")).alias("ld_both"),
-        *[cnt(c("ld_kind") == k).alias(f"_ld_{i}") for i, k in enumerate(V.LD_NOT_A_CLAUSE)],
-        cnt(c("vertical_clean") == "NOT A MARKET").alias("vertical_other"),
-        *([cnt(c("export_mislabelled")).alias("export_mislabelled")] if market else []),
-        (F.countDistinct("salesperson_raw") - F.countDistinct("salesperson"))
-        .alias("people_initials"),
-        cnt(c("salesperson_two_names")).alias("people_two"),
-        cnt(c("became_order") & c("value_inr").isNull()).alias("order_no_value"),
-    ]
-
-
-def order_aggs() -> list:
+    return {
+        "dates_parsed": cnt(c("_any_date")),
+        "date_impossible": cnt(c("date_impossible")),
+        "year_suspect": cnt(c("year_suspect")),
+        "dp_free_text": cnt(c("dp_is_free_text")),
+        "status_wordings": F.countDistinct("status_raw"),
+        "_states": F.countDistinct("status_clean"),
+        "status_open": cnt(F.upper(F.trim(c("status_raw"))) == V.OPEN_WORDING),
+        "status_unusable": cnt(c("status_clean").isin("UNUSABLE", V.UNMAPPED)),
+        "quote_no_other": cnt(c("quote_no_holds_other")),
+        "quote_no_tender": cnt(c("quote_no_is_tender")),
+        "ld_merged": cnt(c("ld_merged").isNotNull()),
+        "ld_both": cnt(c("ld_both_populated")),
+        **{f"_ld_{i}": cnt(c("ld_kind") == k) for i, k in enumerate(V.LD_NOT_A_CLAUSE)},
+        "vertical_other": cnt(c("vertical_clean") == "NOT A MARKET"),
+        **({"export_mislabelled": cnt(c("export_mislabelled"))} if market else {}),
+        "people_initials": F.countDistinct("salesperson_raw") - F.countDistinct("salesperson"),
+        "people_two": cnt(c("salesperson_two_names")),
+        "order_no_value": cnt(c("became_order") & c("value_inr").isNull()),
+    }
+
+
+def order_metrics() -> dict:
     c, cnt = F.col, _cnt
-    return [cnt(c("promised_date_source") == "po_document").alias("promised_from_po"),
-            cnt(c("promised_date_source") == "none").alias("promised_none"),
-            cnt(c("promised_date_source") == "register").alias("_from_register"),
-            F.count(F.lit(1)).alias("_orders")]
+    return {"promised_from_po": cnt(c("promised_date_source") == "po_document"),
+            "promised_none": cnt(c("promised_date_source") == "none"),
+            "_from_register": cnt(c("promised_date_source") == "register"),
+            "_orders": F.count(F.lit(1))}
+
+
+def _named(metrics: dict) -> list:
+    return [v.alias(k) for k, v in metrics.items()]
 
 
 def with_any_date(raw: DataFrame) -> DataFrame:
@@ -109,7 +112,7 @@ def with_any_date(raw: DataFrame) -> DataFrame:
 def cleaning_log(raw: DataFrame, customers: DataFrame, orders: DataFrame,
                  params: Params = DEFAULT) -> DataFrame:
     clean = clean_register(with_any_date(raw), customers, params, passthrough=("_any_date",))
-    return log_rows(clean.agg(*register_aggs()), orders.agg(*order_aggs()))
+    return log_rows(clean.agg(*_named(register_metrics())), orders.agg(*_named(order_metrics())))
 
 
 def log_rows(reg: DataFrame, orders_agg: DataFrame) -> DataFrame:

@@ -1,10 +1,11 @@
 """Validation checks, one row each: (check_name, expected, actual, verdict).
 
 verdict is PASS, FAIL or EXPECTED (a planted data fault was found, as it
-should be). Every check is a distributed aggregate reduced to one row; the
-scalars a check needs from several tables are brought together with a
-single-row pivot (``groupBy().pivot(metric)``), never a join of data-sized
-inputs. Thresholds are ``Params`` because they are facts about the dataset.
+should be). A check is a formula over metrics, and a metric belongs to a source:
+one distributed aggregate over a table or a join, that gives all of its metrics in
+one pass. The sources that the asked checks need, with the metrics they need, are
+run as one job; their metrics are written as a single row, and all checks are read
+off that row. Thresholds are ``Params`` because they are facts about the dataset.
 """
 
 from __future__ import annotations
@@ -17,8 +18,9 @@ from pyspark.sql import functions as F
 from .. import vocab as V
 from ..functions.numeric import idiv, pct
 from ..params import DEFAULT, Params
-from .audit_log import log_rows, order_aggs, register_aggs, with_any_date
-from .constraints import fk_orphans
+from ..sources.staged import staged
+from .audit_log import log_rows, order_metrics, register_metrics, with_any_date
+from .constraints import orphaned, with_parents
 from .delivery import otif
 from .register import clean_register, clean_rows
 
@@ -42,462 +44,389 @@ def check_key(name: str) -> str:
     return "c" + re.sub(r"[^a-z0-9]+", "_", name.lower()).strip("_")
 
 
-def metrics(parts: dict[str, DataFrame]) -> DataFrame:
-    """Several one-row, one-column (``v``) aggregates as one row, one column each."""
-    u = reduce(DataFrame.unionByName,
-               [df.select(F.lit(k).alias("_m"), F.col("v").cast("long").alias("_v"))
-                for k, df in parts.items()])
-    return u.groupBy().pivot("_m", list(parts)).agg(F.first("_v"))
+class Inputs:
+    """What a source is built from."""
 
+    def __init__(self, tables, params: Params, asked: set[str]):
+        self.t, self.p, self.asked = tables, params, asked
 
-def count_of(df: DataFrame) -> DataFrame:
-    return df.agg(F.count(F.lit(1)).alias("v"))
+    def wants(self, *metrics: str) -> bool:
+        return bool(self.asked & set(metrics))
 
 
-def _s(c: Column | str) -> Column:
-    return (F.col(c) if isinstance(c, str) else c).cast("string")
+_SOURCES = []
+
+
+def _source(fn):
+    """A function Inputs -> (base, {metric: aggregate}); the base may look at which
+    metrics are asked for. Metrics are numbers, or texts where the name ends in _txt."""
+    _SOURCES.append(fn)
+    return fn
+
+
+@_source
+def _register(x: Inputs):
+    """The cleaned register: faults, wordings, and the cleaning log's counts."""
+    c, cells = F.col, x.t.raw_quote_register
+    frag = f"%{V.FORBIDDEN_LD_FRAGMENT}%"
+    ld = (F.coalesce(c("ld"), F.lit("")).ilike(frag) | F.coalesce(c("ld_clause"), F.lit("")).ilike(frag))
+    raw, extra = with_any_date(cells).withColumn("_ld_forbidden", ld), ("_any_date", "_ld_forbidden")
+    market = x.wants("export_mislabelled")
+    clean = clean_register(raw, x.t.customers, x.p, extra) if market else clean_rows(raw, x.p, extra)
+    lines = sorted(x.p.expected_rows_per_line or V.PRODUCT_LINES)
+    return clean, {
+        **register_metrics(market), "rows_register": F.count(F.lit(1)),
+        "quote_after_po": F.count_if(c("quote_date") > c("po_date")),
+        "unmapped": F.count_if(c("status_clean") == V.UNMAPPED),
+        **{f"rows_line_{k}": F.count_if(c("product_line") == v) for k, v in enumerate(lines)},
+        "rows_other_line": F.count_if(~F.coalesce(c("product_line").isin(*lines), F.lit(False))),
+        "forbidden_0": F.count_if(c("status_raw") == V.FORBIDDEN_STATUS[0]),
+        "forbidden_1": F.count_if(c("status_raw") == V.FORBIDDEN_STATUS[1]),
+        "forbidden_ld": F.count_if(c("_ld_forbidden"))}
+
+
+@_source
+def _orders(x: Inputs):
+    c = F.col
+    fks = [(["customer_id"], "customers", ["customer_id"]), (["quote_id"], "quotations", ["quote_id"]),
+           (["terms_code"], "payment_terms", ["terms_code"]), (["order_id"], "dispatches", ["order_id"])]
+    asked = [k for k, m in enumerate(("orphan_customer", "orphan_quote", "orphan_terms", "cancelled_shipped"))
+             if x.wants(m)]
+    base = with_parents(x.t, x.t.orders, [fks[k] for k in asked])
+    flag = {k: at for at, k in enumerate(asked)}
+    out = {"rows_orders": F.count(F.lit(1)), "no_quote": F.count_if(c("quote_id").isNull()),
+           "quoted": F.count("quote_id"),
+           **order_metrics()}
+    for k, m in enumerate(("orphan_customer", "orphan_quote", "orphan_terms")):
+        if k in flag:
+            out[m] = F.count_if(orphaned(fks[k][0], flag[k]))
+    if 3 in flag:
+        out["cancelled_shipped"] = F.count_if(c("cancellation_date").isNotNull() & c(f"_fk{flag[3]}"))
+    return base, out
+
+
+@_source
+def _order_lines(x: Inputs):
+    fks = [(["order_id"], "orders", ["order_id"]), (["item_id"], "items", ["item_id"])]
+    return (with_parents(x.t, x.t.order_lines.select("order_id", "item_id"), fks),
+            {"orphan_line_order": F.count_if(orphaned(["order_id"], 0)),
+             "orphan_line_item": F.count_if(orphaned(["item_id"], 1))})
+
+
+@_source
+def _dispatches(x: Inputs):
+    base, out = x.t.dispatches, {"rows_dispatches": F.count(F.lit(1)),
+                                 "dispatched_nonpos": F.count_if(F.col("dispatched_qty") <= 0)}
+    if x.wants("orphan_dispatch"):
+        keys = ["order_id", "line_no"]
+        base = with_parents(x.t, base, [(keys, "order_lines", keys)])
+        out["orphan_dispatch"] = F.count_if(orphaned(keys, 0))
+    return base, out
+
+
+@_source
+def _invoices(x: Inputs):
+    c, (lo, hi) = F.col, x.p.fx_usd_range
+    base, out = x.t.invoices, {
+        "rows_invoices": F.count(F.lit(1)),
+        "wrong_fx": F.count_if(((c("currency") == "INR") & (c("fx_rate_to_inr") != 1))
+                               | ((c("currency") == "USD") & ~c("fx_rate_to_inr").between(lo, hi)))}
+    if x.wants("orphan_invoice"):
+        base = with_parents(x.t, base, [(["dispatch_id"], "dispatches", ["dispatch_id"])])
+        out["orphan_invoice"] = F.count_if(orphaned(["dispatch_id"], 0))
+    return base, out
+
+
+@_source
+def _payments(x: Inputs):
+    base, out = x.t.payments, {"rows_payments": F.count(F.lit(1))}
+    if x.wants("orphan_payment"):
+        base = with_parents(x.t, base, [(["invoice_id"], "invoices", ["invoice_id"])])
+        out["orphan_payment"] = F.count_if(orphaned(["invoice_id"], 0))
+    return base, out
+
+
+@_source
+def _quotation_lines(x: Inputs):
+    return (with_parents(x.t, x.t.quotation_lines.select("quote_id"), [(["quote_id"], "quotations", ["quote_id"])]),
+            {"orphan_quotation_line": F.count_if(orphaned(["quote_id"], 0))})
+
+
+@_source
+def _counts(x: Inputs):
+    return x.t.quotations, {"rows_quotations": F.count(F.lit(1))}
+
+
+@_source
+def _customer_counts(x: Inputs):
+    return x.t.customers, {"rows_customers": F.count(F.lit(1))}
+
+
+@_source
+def _item_counts(x: Inputs):
+    return x.t["items"], {"rows_items": F.count(F.lit(1))}
+
+
+@_source
+def _dispatch_order(x: Inputs):
+    both = x.t.dispatches.select("order_id", "dispatch_date").join(x.t.orders.select("order_id", "po_date"), "order_id")
+    return both, {"dispatched_before_po": F.count_if(F.col("dispatch_date") < F.col("po_date"))}
+
+
+@_source
+def _invoice_dispatch(x: Inputs):
+    c = F.col
+    base = (x.t.invoices.select("dispatch_id", "invoice_date", "taxable_value", "fx_rate_to_inr")
+            .join(x.t.dispatches.select("dispatch_id", "dispatch_date", "order_id", "line_no", "dispatched_qty"),
+                  "dispatch_id"))
+    out = {"invoice_other_day": F.count_if(c("invoice_date") != c("dispatch_date"))}
+    if x.wants("invoice_off"):
+        base = base.join(x.t.order_lines.select("order_id", "line_no", "unit_price"), ["order_id", "line_no"], "left")
+        off = F.abs(c("taxable_value") * c("fx_rate_to_inr") - c("dispatched_qty") * c("unit_price"))
+        out["invoice_off"] = F.count_if(off > x.p.invoice_tolerance_inr)
+    return base, out
+
+
+@_source
+def _order_quotation(x: Inputs):
+    both = (x.t.orders.select("quote_id", "po_date").where("quote_id is not null")
+            .join(x.t.quotations.select("quote_id", "quote_date"), "quote_id"))
+    return both, {"po_before_quote": F.count_if(F.col("po_date") < F.col("quote_date"))}
+
+
+@_source
+def _gst(x: Inputs):
+    """One row per market and currency (a few), then one text of them."""
+    c, rate = F.col, x.p.gst_rate_pct
+    bad = (F.when((c("market_type") == "Export") & ((c("currency") != "USD") | (c("gst_amount") != 0)), 1)
+           .when(c("market_type").isin("Domestic", "Deemed Export")
+                 & ((c("currency") != "INR") | (F.abs(c("gst_amount") * 100 - c("taxable_value") * rate) > 100)), 1)
+           .otherwise(0))
+    by = ["market_type", "currency"]
+    groups = (x.t.invoices.join(x.t.customers.select("customer_id", "market_type"), "customer_id").groupBy(*by)
+              .agg(F.sum((c("gst_amount") * 100).cast("long")).alias("g"),
+                   F.sum((c("taxable_value") * 100).cast("long")).alias("tx"), F.sum(bad).alias("bad"))
+              .select(*by, "bad", F.concat(c("market_type"), F.lit(" "), c("currency"), F.lit(" "),
+                                           pct(c("g"), c("tx"), 1).cast("string"), F.lit("%")).alias("txt")))
+    return groups, {"gst_txt": F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(*by, "txt"))),
+                                                        lambda s: s["txt"]), ", "), "gst_bad": F.sum("bad")}
+
+
+@_source
+def _jobs(x: Inputs):
+    """One row per job number."""
+    band = idiv(F.col("job_no"), x.p.job_band_width)
+    per = (x.t.orders.where("job_no is not null").groupBy("job_no").agg(F.count(F.lit(1)).alias("n"))
+           .withColumn("band", band))
+    return per, {"jobs": F.coalesce(F.sum("n"), F.lit(0)), "jobs_distinct": F.count(F.lit(1)),
+                 "job_bands": F.countDistinct("band"),
+                 "jobs_band1": F.coalesce(F.sum(F.when(F.col("band") == 1, F.col("n"))), F.lit(0))}
+
+
+@_source
+def _paid(x: Inputs):
+    c = F.col
+    paid = x.t.payments.groupBy("invoice_id").agg(F.sum("amount").alias("paid"))
+    return (paid.join(x.t.invoices.select("invoice_id", "taxable_value", "gst_amount"), "invoice_id"),
+            {"overpaid": F.count_if(c("paid") > c("taxable_value") + c("gst_amount") + x.p.settle_tolerance)})
+
+
+@_source
+def _payment_invoice(x: Inputs):
+    c = F.col
+    both = (x.t.payments.select("invoice_id", "payment_date", "payment_type")
+            .join(x.t.invoices.select("invoice_id", "invoice_date"), "invoice_id"))
+    return both, {"paid_early": F.count_if((c("payment_date") < c("invoice_date")) & (c("payment_type") != "Advance"))}
+
+
+@_source
+def _shipped(x: Inputs):
+    keys = ["order_id", "line_no"]
+    shipped = x.t.dispatches.groupBy(*keys).agg(F.sum("dispatched_qty").alias("shipped"))
+    return (shipped.join(x.t.order_lines.select(*keys, "ordered_qty"), keys),
+            {"over_shipped": F.count_if(F.col("shipped") > F.col("ordered_qty")
+                                        * F.lit(x.p.overship_factor).cast("decimal(6,3)"))})
+
+
+@_source
+def _otif(x: Inputs):
+    return otif(x.t, x.p), {"due": F.count(F.lit(1)), "otif": F.sum("otif"), "on_time": F.sum("on_time"),
+                            "in_full": F.sum("in_full")}
+
+
+@_source
+def _identities(x: Inputs):
+    """Distinct values outside the allowlists; cells inside them are dropped at the scan."""
+    def outside(df, **allowed):
+        return df.select(F.inline(F.array(*[
+            F.struct(F.lit(k).alias("col"), F.when(~F.col(k).isin(*v), F.col(k)).alias("value"))
+            for k, v in allowed.items()]))).where("value is not null")
+    strange = (x.t.customers.where(~F.col("customer_id").rlike(x.p.customer_id_pattern))
+               .select(F.lit("customer_id").alias("col"), F.col("customer_id").alias("value")))
+    cells = (outside(x.t.raw_quote_register, concerned_person=V.PEOPLE, incoterms=V.INCOTERMS,
+                     quote_from=V.QUOTE_FROM, vertical=V.VERTICALS)
+             .unionByName(outside(x.t.quotations, salesperson_code=V.PEOPLE)).unionByName(strange))
+    return cells.distinct(), {"outside_allowlist": F.count(F.lit(1))}
+
+
+class Check:
+    """expected, the metrics it reads, and the actual text and verdict over them."""
+
+    def __init__(self, expected: str, metrics, actual: Column | None, verdict: Column | None):
+        self.expected, self.metrics, self.actual, self.verdict = expected, list(metrics), actual, verdict
 
 
-def _check(df: DataFrame, name: str, expected: str, actual: Column, verdict: Column) -> DataFrame:
-    return df.select(F.lit(name).alias("check_name"), F.lit(expected).alias("expected"),
-                     actual.alias("actual"), verdict.alias("verdict"))
+def _s(c: Column | str) -> Column:
+    return (F.col(c) if isinstance(c, str) else c).cast("string")
 
 
 def _pf(cond: Column) -> Column:
     return F.when(cond, "PASS").otherwise("FAIL")
 
 
-def _reg_check(x, cols: list, name: str, expected: str, actual: Column,
-               verdict: Column) -> DataFrame | None:
-    """A check read off the shared register aggregate (``cols`` select from it)."""
-    if x.reg_specs is not None:
-        x.reg_specs.append((cols, name, expected, actual, verdict))
-        return None
-    return _check(x.reg.select(*cols), name, expected, actual, verdict)
-
-
-class _Context:
-    """Shared inputs of the checks, built only when a check asks for them."""
-
-    def __init__(self, tables, params: Params, market: bool = True):
-        self.t, self.p, self.market = tables, params, market
-        self._clean = self._reg = None
-        # when set, checks computed from the shared register aggregate are
-        # collected here and emitted as one branch (see run_checks)
-        self.reg_specs: list | None = None
-
-    @property
-    def clean(self) -> DataFrame:
-        if self._clean is None:
-            raw, extra = with_any_date(self.t.raw_quote_register), ("_any_date",)
-            self._clean = (clean_register(raw, self.t.customers, self.p, extra) if self.market
-                           else clean_rows(raw, self.p, extra))
-        return self._clean
-
-    @property
-    def reg(self) -> DataFrame:
-        """One pass over the cleaned register feeds the log and checks 06b, 17, 19, 20."""
-        if self._reg is None:
-            c = F.col
-            self._reg = self.clean.agg(
-                *register_aggs(self.market),
-                F.count_if(c("quote_date") > c("po_date")).alias("_quote_after_po"),
-                F.count_if(c("status_clean") == V.UNMAPPED).alias("_unmapped"))
-        return self._reg
-
-
-_BUILDERS = {}
-
-
-def _builder(name):
-    def deco(fn):
-        _BUILDERS[name] = fn
-        return fn
-    return deco
-
-
-@_builder('01 row counts')
-def _c01_row_counts(x: _Context) -> DataFrame:
-    # 01 row counts
-    t, p, c = x.t, x.p, F.col
-    m = metrics({k: count_of(t[k]) for k in ("raw_quote_register", "customers", "items",
-                                             "quotations", "orders", "dispatches", "invoices",
-                                             "payments")})
-    reg_ok = (F.lit(True) if p.expected_register_rows is None
-              else c("raw_quote_register") == p.expected_register_rows)
-    nonempty = reduce(lambda a, b: a & b, [c(k) > 0 for k in ("customers", "items", "quotations",
-                                                              "orders", "dispatches", "invoices",
-                                                              "payments")])
-    return _check(m, "01 row counts", "register rows as expected, every table non-empty",
-                  F.concat(F.lit("register "), _s("raw_quote_register"),
-                           F.lit(", quotations "), _s("quotations"), F.lit(", orders "),
-                           _s("orders"), F.lit(", dispatches "), _s("dispatches"),
-                           F.lit(", invoices "), _s("invoices"), F.lit(", payments "),
-                           _s("payments")),
-                  _pf(reg_ok & nonempty))
-
-
-@_builder('02 rows per product line')
-def _c02_rows_per_product_line(x: _Context) -> DataFrame:
-    # 02 rows per product line
-    t, p, c = x.t, x.p, F.col
-    per = t.raw_quote_register.groupBy("item").agg(F.count(F.lit(1)).alias("n"))
-    exp = p.expected_rows_per_line
-    hit = (F.lit(1) if exp is None else
-           reduce(lambda a, b: a | b, [(c("item") == k) & (c("n") == v) for k, v in exp.items()]))
-    want = len(V.PRODUCT_LINES) if exp is None else len(exp)
-    line_ok = c("item").isin(*V.PRODUCT_LINES) if exp is None else hit
+def _said(*parts) -> Column:
+    """Texts and, in one-element lists, metrics, as one text."""
+    return F.concat(*[_s(p[0]) if isinstance(p, list) else p if isinstance(p, Column) else F.lit(p) for p in parts])
+
+
+def checks(p: Params) -> dict[str, Check]:
+    """Every check as a formula over metrics."""
+    c = F.col
+    total = lambda names: reduce(lambda a, b: a + b, [c(n) for n in names])
+    out: dict[str, Check] = {}
+
+    def add(name, expected, metrics, actual, verdict):
+        out[name] = Check(expected, metrics, actual, verdict)
+
+    tables = ["customers", "items", "quotations", "orders", "dispatches", "invoices", "payments"]
+    rows = ["rows_register", *[f"rows_{t}" for t in tables]]
+    as_expected = F.lit(True) if p.expected_register_rows is None else c("rows_register") == p.expected_register_rows
+    add("01 row counts", "register rows as expected, every table non-empty", rows,
+        _said("register ", ["rows_register"], ", quotations ", ["rows_quotations"], ", orders ", ["rows_orders"],
+              ", dispatches ", ["rows_dispatches"], ", invoices ", ["rows_invoices"], ", payments ", ["rows_payments"]),
+        _pf(reduce(lambda a, b: a & b, [c(f"rows_{t}") > 0 for t in tables], as_expected)))
+
     # only the declared lines are listed (a few); any other text is just counted
-    declared = F.coalesce(c("item").isin(*(exp or V.PRODUCT_LINES)), F.lit(False))
-    g = per.agg(
-        F.array_join(F.transform(
-            F.array_sort(F.collect_list(F.when(declared, F.struct("item", "n")))),
-            lambda s: F.concat(s["item"], F.lit(" "), s["n"].cast("string"))), ", ").alias("a"),
-        F.count_if(~declared).alias("other"),
-        F.sum(F.when(line_ok, 1).otherwise(0)).alias("hits"))
-    other = F.when(c("other") > 0, F.concat(F.lit(", other lines "), _s("other"))).otherwise("")
-    return _check(g, "02 rows per product line", "every product line present",
-                  F.concat(c("a"), other), _pf(c("hits") == want))
-
-
-@_builder('03 orphaned foreign keys')
-def _c03_orphaned_foreign_keys(x: _Context) -> DataFrame:
-    # 03 orphaned foreign keys (the joins the queries depend on)
-    t, p, c = x.t, x.p, F.col
-    fks = [("orders", ["customer_id"], "customers", ["customer_id"]),
-           ("orders", ["quote_id"], "quotations", ["quote_id"]),
-           ("order_lines", ["order_id"], "orders", ["order_id"]),
-           ("order_lines", ["item_id"], "items", ["item_id"]),
-           ("dispatches", ["order_id", "line_no"], "order_lines", ["order_id", "line_no"]),
-           ("invoices", ["dispatch_id"], "dispatches", ["dispatch_id"]),
-           ("payments", ["invoice_id"], "invoices", ["invoice_id"]),
-           ("quotation_lines", ["quote_id"], "quotations", ["quote_id"]),
-           ("orders", ["terms_code"], "payment_terms", ["terms_code"])]
-    orphans = reduce(DataFrame.unionByName,
-                     [fk_orphans(t, *fk).select(F.col("violations").alias("v")) for fk in fks])
-    o = orphans.agg(F.sum("v").alias("n"))
-    return _check(o, "03 orphaned foreign keys", "0 across every relationship",
-                  F.concat(_s("n"), F.lit(" orphans")), _pf(c("n") == 0))
-
-
-@_builder('04 dispatch on or after PO date')
-def _c04_dispatch_on_or_after_po_date(x: _Context) -> DataFrame:
-    # 04 dispatch on or after PO
-    t, p, c = x.t, x.p, F.col
-    d = (t.dispatches.select("order_id", "dispatch_date")
-         .join(t.orders.select("order_id", "po_date"), "order_id")
-         .agg(F.count_if(c("dispatch_date") < c("po_date")).alias("n")))
-    return _check(d, "04 dispatch on or after PO date", "0 violations",
-                  F.concat(_s("n"), F.lit(" dispatches before their own PO")), _pf(c("n") == 0))
-
-
-@_builder('05 invoice date = dispatch date')
-def _c05_invoice_date_dispatch_date(x: _Context) -> DataFrame:
-    # 05 invoice date = dispatch date
-    t, p, c = x.t, x.p, F.col
-    d = (t.invoices.select("dispatch_id", "invoice_date")
-         .join(t.dispatches.select("dispatch_id", "dispatch_date"), "dispatch_id")
-         .agg(F.count_if(c("invoice_date") != c("dispatch_date")).alias("n")))
-    return _check(d, "05 invoice date = dispatch date", "0 mismatches",
-                  F.concat(_s("n"), F.lit(" mismatches")), _pf(c("n") == 0))
-
-
-@_builder('06a quote <= PO (modelled tables)')
-def _c06a_quote_po_modelled_tables(x: _Context) -> DataFrame:
-    # 06a quote <= PO in the modelled tables
-    t, p, c = x.t, x.p, F.col
-    quoted = t.orders.filter(c("quote_id").isNotNull()).select("quote_id", "po_date")
-    m = metrics({
-        "bad": quoted.join(t.quotations.select("quote_id", "quote_date"), "quote_id")
-        .agg(F.count_if(c("po_date") < c("quote_date")).alias("v")),
-        "quoted": count_of(quoted)})
-    return _check(m, "06a quote <= PO (modelled tables)", "0 violations",
-                  F.concat(_s("bad"), F.lit(" of "), _s("quoted"),
-                           F.lit(" quoted orders have a PO before the quote")),
-                  _pf(c("bad") == 0))
-
-
-@_builder('06b quote <= PO (raw register)')
-def _c06b_quote_po_raw_register(x: _Context) -> DataFrame:
-    # 06b quote <= PO in the register: expected to find some
-    t, p, c = x.t, x.p, F.col
-    return _reg_check(x, [c("_quote_after_po").alias("n")],
-                      "06b quote <= PO (raw register)",
-                      "at least one violation, modelled on purpose",
-                      F.concat(_s("n"), F.lit(" register rows with a quote date after the PO")),
-                      F.when(c("n") >= 1, "EXPECTED").otherwise("FAIL"))
-
-
-@_builder('07 invoice value = dispatched qty x price')
-def _c07_invoice_value_dispatched_qty_x_price(x: _Context) -> DataFrame:
-    # 07 invoice value reconciles to qty x price
-    t, p, c = x.t, x.p, F.col
-    inv = (t.invoices.select("dispatch_id", "taxable_value", "fx_rate_to_inr")
-           .join(t.dispatches.select("dispatch_id", "order_id", "line_no", "dispatched_qty"),
-                 "dispatch_id")
-           .join(t.order_lines.select("order_id", "line_no", "unit_price"),
-                 ["order_id", "line_no"]))
-    off = F.abs(c("taxable_value") * c("fx_rate_to_inr") - c("dispatched_qty") * c("unit_price"))
-    m = metrics({"bad": inv.agg(F.count_if(off > p.invoice_tolerance_inr).alias("v")),
-                 "all": count_of(t.invoices)})
-    return _check(m, "07 invoice value = dispatched qty x price",
-                  f"0 rows off by more than {p.invoice_tolerance_inr} INR",
-                  F.concat(_s("bad"), F.lit(" of "), _s("all"),
-                           F.lit(" invoices out of tolerance")), _pf(c("bad") == 0))
-
-
-@_builder('08 GST by market')
-def _c08_gst_by_market(x: _Context) -> DataFrame:
-    # 08 GST by market
-    t, p, c = x.t, x.p, F.col
-    rate = p.gst_rate_pct
-    gi = t.invoices.join(t.customers.select("customer_id", "market_type"), "customer_id")
-    bad = (F.when((c("market_type") == "Export")
-                  & ((c("currency") != "USD") | (c("gst_amount") != 0)), 1)
-           .when(c("market_type").isin("Domestic", "Deemed Export")
-                 & ((c("currency") != "INR")
-                    | (F.abs(c("gst_amount") * 100 - c("taxable_value") * rate) > 100)), 1)
-           .otherwise(0))
-    grp = gi.groupBy("market_type", "currency").agg(
-        F.sum((c("gst_amount") * 100).cast("long")).alias("g"),
-        F.sum((c("taxable_value") * 100).cast("long")).alias("tx"),
-        F.sum(bad).alias("bad"))
-    grp = grp.select("market_type", "currency", "bad",
-                     F.concat(c("market_type"), F.lit(" "), c("currency"), F.lit(" "),
-                              pct(c("g"), c("tx"), 1).cast("string"), F.lit("%")).alias("txt"))
-    g = grp.agg(F.array_join(F.transform(
-        F.array_sort(F.collect_list(F.struct("market_type", "currency", "txt"))),
-        lambda s: s["txt"]), ", ").alias("a"), F.sum("bad").alias("bad"))
-    return _check(g, "08 GST by market",
-                  f"Domestic and Deemed Export {rate}% in INR, Export 0% in USD",
-                  c("a"), _pf(c("bad") == 0))
-
-
-@_builder('09 FX rate by currency')
-def _c09_fx_rate_by_currency(x: _Context) -> DataFrame:
-    # 09 FX rate by currency
-    t, p, c = x.t, x.p, F.col
+    exp = p.expected_rows_per_line
+    lines = sorted(exp or V.PRODUCT_LINES)
+    per = [f"rows_line_{k}" for k in range(len(lines))]
+    listed = F.concat_ws(", ", *[F.when(c(m) > 0, F.concat(F.lit(f"{v} "), _s(m))) for m, v in zip(per, lines)])
+    other = F.when(c("rows_other_line") > 0, F.concat(F.lit(", other lines "), _s("rows_other_line"))).otherwise("")
+    hits = reduce(lambda a, b: a & b, [c(m) > 0 if exp is None else c(m) == exp[v] for m, v in zip(per, lines)])
+    add("02 rows per product line", "every product line present", [*per, "rows_other_line"],
+        F.concat(listed, other), _pf(hits))
+
+    orphans = ["orphan_customer", "orphan_quote", "orphan_terms", "orphan_line_order", "orphan_line_item",
+               "orphan_dispatch", "orphan_invoice", "orphan_payment", "orphan_quotation_line"]
+    add("03 orphaned foreign keys", "0 across every relationship", orphans,
+        _said(total(orphans).cast("string"), " orphans"), _pf(total(orphans) == 0))
+    add("04 dispatch on or after PO date", "0 violations", ["dispatched_before_po"],
+        _said(["dispatched_before_po"], " dispatches before their own PO"), _pf(c("dispatched_before_po") == 0))
+    add("05 invoice date = dispatch date", "0 mismatches", ["invoice_other_day"],
+        _said(["invoice_other_day"], " mismatches"), _pf(c("invoice_other_day") == 0))
+    add("06a quote <= PO (modelled tables)", "0 violations", ["po_before_quote", "quoted"],
+        _said(["po_before_quote"], " of ", ["quoted"], " quoted orders have a PO before the quote"),
+        _pf(c("po_before_quote") == 0))
+    add("06b quote <= PO (raw register)", "at least one violation, modelled on purpose", ["quote_after_po"],
+        _said(["quote_after_po"], " register rows with a quote date after the PO"),
+        F.when(c("quote_after_po") >= 1, "EXPECTED").otherwise("FAIL"))
+    add("07 invoice value = dispatched qty x price", f"0 rows off by more than {p.invoice_tolerance_inr} INR",
+        ["invoice_off", "rows_invoices"],
+        _said(["invoice_off"], " of ", ["rows_invoices"], " invoices out of tolerance"), _pf(c("invoice_off") == 0))
+    add("08 GST by market", f"Domestic and Deemed Export {p.gst_rate_pct}% in INR, Export 0% in USD",
+        ["gst_txt", "gst_bad"], c("gst_txt"), _pf(c("gst_bad") == 0))
     lo, hi = p.fx_usd_range
-    d = t.invoices.agg(F.count_if(((c("currency") == "INR") & (c("fx_rate_to_inr") != 1))
-                                  | ((c("currency") == "USD")
-                                     & ~c("fx_rate_to_inr").between(lo, hi))).alias("n"))
-    return _check(d, "09 FX rate by currency",
-                  f"INR invoices at 1.0, USD invoices between {lo:g} and {hi:g}",
-                  F.concat(_s("n"), F.lit(" invoices with the wrong FX rate")),
-                  _pf(c("n") == 0))
-
-
-@_builder('10 job numbers unique and banded')
-def _c10_job_numbers_unique_and_banded(x: _Context) -> DataFrame:
-    # 10 job numbers unique and banded
-    t, p, c = x.t, x.p, F.col
-    w = p.job_band_width
-    jobs = t.orders.filter(c("job_no").isNotNull()).select("job_no")
-    band = idiv(c("job_no"), w)
-    m = metrics({
-        "n": count_of(jobs),
-        "distinct": jobs.agg(F.countDistinct("job_no").alias("v")),
-        "bands": jobs.agg(F.countDistinct(band).alias("v")),
-        "band1": jobs.agg(F.count_if(band == 1).alias("v"))})
-    share = pct(c("band1"), c("n"), 1)
-    return _check(m, "10 job numbers unique and banded",
-                  f"all distinct, at least {p.min_job_bands} bands, about "
-                  f"{p.job_band1_share_pct:g}% in band 1",
-                  F.concat(_s("n"), F.lit(" job numbers, "), _s("distinct"),
-                           F.lit(" distinct, "), _s("bands"), F.lit(" bands, "),
-                           share.cast("string"), F.lit("% in band 1")),
-                  _pf((c("n") == c("distinct")) & (c("bands") >= p.min_job_bands)
-                      & (F.abs(share - p.job_band1_share_pct)
-                         <= p.job_band1_tolerance_pct)))
-
-
-@_builder('11 payments do not exceed the invoice')
-def _c11_payments_do_not_exceed_the_invoice(x: _Context) -> DataFrame:
-    # 11 payments never exceed the invoice
-    t, p, c = x.t, x.p, F.col
-    paid = t.payments.groupBy("invoice_id").agg(F.sum("amount").alias("paid"))
-    d = (paid.join(t.invoices.select("invoice_id", "taxable_value", "gst_amount"), "invoice_id")
-         .agg(F.count_if(c("paid") > c("taxable_value") + c("gst_amount") + p.settle_tolerance)
-              .alias("n")))
-    return _check(d, "11 payments do not exceed the invoice", "0 overpayments",
-                  F.concat(_s("n"), F.lit(" invoices paid more than billed")),
-                  _pf(c("n") == 0))
-
-
-@_builder('12 payment timing')
-def _c12_payment_timing(x: _Context) -> DataFrame:
-    # 12 payment timing
-    t, p, c = x.t, x.p, F.col
-    d = (t.payments.select("invoice_id", "payment_date", "payment_type")
-         .join(t.invoices.select("invoice_id", "invoice_date"), "invoice_id")
-         .agg(F.count_if((c("payment_date") < c("invoice_date"))
-                         & (c("payment_type") != "Advance")).alias("n")))
-    return _check(d, "12 payment timing", "only Advance payments may predate the invoice",
-                  F.concat(_s("n"), F.lit(" non-advance payments before their invoice")),
-                  _pf(c("n") == 0))
-
-
-@_builder('13 dispatched quantities sane')
-def _c13_dispatched_quantities_sane(x: _Context) -> DataFrame:
-    # 13 dispatched quantities sane
-    t, p, c = x.t, x.p, F.col
-    shipped = t.dispatches.groupBy("order_id", "line_no").agg(
-        F.sum("dispatched_qty").alias("shipped"))
-    over = (shipped.join(t.order_lines.select("order_id", "line_no", "ordered_qty"),
-                         ["order_id", "line_no"])
-            .agg(F.count_if(c("shipped") > c("ordered_qty") * F.lit(p.overship_factor)
-                            .cast("decimal(6,3)")).alias("v")))
-    m = metrics({"nonpos": t.dispatches.agg(F.count_if(c("dispatched_qty") <= 0).alias("v")),
-                 "over": over})
-    return _check(m, "13 dispatched quantities sane",
-                  "0 non-positive, 0 lines shipped more than ordered by over 1%",
-                  F.concat(_s("nonpos"), F.lit(" non-positive, "), _s("over"),
-                           F.lit(" over-shipped")),
-                  _pf((c("nonpos") == 0) & (c("over") == 0)))
-
-
-@_builder('14 cancelled orders never ship')
-def _c14_cancelled_orders_never_ship(x: _Context) -> DataFrame:
-    # 14 cancelled orders never ship
-    t, p, c = x.t, x.p, F.col
-    d = count_of(t.orders.filter(c("cancellation_date").isNotNull()).select("order_id")
-                 .join(t.dispatches.select("order_id"), "order_id", "left_semi"))
-    return _check(d, "14 cancelled orders never ship", "0 violations",
-                  F.concat(_s("v"), F.lit(" cancelled orders with a dispatch")),
-                  _pf(c("v") == 0))
-
-
-@_builder('15 OTIF in range')
-def _c15_otif_in_range(x: _Context) -> DataFrame:
-    # 15 OTIF in range
-    t, p, c = x.t, x.p, F.col
+    add("09 FX rate by currency", f"INR invoices at 1.0, USD invoices between {lo:g} and {hi:g}", ["wrong_fx"],
+        _said(["wrong_fx"], " invoices with the wrong FX rate"), _pf(c("wrong_fx") == 0))
+    share = pct(c("jobs_band1"), c("jobs"), 1)
+    add("10 job numbers unique and banded",
+        f"all distinct, at least {p.min_job_bands} bands, about {p.job_band1_share_pct:g}% in band 1",
+        ["jobs", "jobs_distinct", "job_bands", "jobs_band1"],
+        _said(["jobs"], " job numbers, ", ["jobs_distinct"], " distinct, ", ["job_bands"], " bands, ",
+              share.cast("string"), "% in band 1"),
+        _pf((c("jobs") == c("jobs_distinct")) & (c("job_bands") >= p.min_job_bands)
+            & (F.abs(share - p.job_band1_share_pct) <= p.job_band1_tolerance_pct)))
+    add("11 payments do not exceed the invoice", "0 overpayments", ["overpaid"],
+        _said(["overpaid"], " invoices paid more than billed"), _pf(c("overpaid") == 0))
+    add("12 payment timing", "only Advance payments may predate the invoice", ["paid_early"],
+        _said(["paid_early"], " non-advance payments before their invoice"), _pf(c("paid_early") == 0))
+    add("13 dispatched quantities sane", "0 non-positive, 0 lines shipped more than ordered by over 1%",
+        ["dispatched_nonpos", "over_shipped"],
+        _said(["dispatched_nonpos"], " non-positive, ", ["over_shipped"], " over-shipped"),
+        _pf((c("dispatched_nonpos") == 0) & (c("over_shipped") == 0)))
+    add("14 cancelled orders never ship", "0 violations", ["cancelled_shipped"],
+        _said(["cancelled_shipped"], " cancelled orders with a dispatch"), _pf(c("cancelled_shipped") == 0))
     lo, hi = p.otif_range_pct
-    v = otif(t, p).agg(F.count(F.lit(1)).alias("n"), F.sum("otif").alias("o"),
-                       F.sum("on_time").alias("t"), F.sum("in_full").alias("f"))
-    o_pct = pct(c("o"), c("n"), 1)
-    return _check(v, "15 OTIF in range", f"between {lo:g}% and {hi:g}%",
-                  F.concat(F.lit("OTIF "), o_pct.cast("string"), F.lit("% on "), _s("n"),
-                           F.lit(" orders due (on time "), pct(c("t"), c("n"), 1).cast("string"),
-                           F.lit("%, in full "), pct(c("f"), c("n"), 1).cast("string"),
-                           F.lit("%)")),
-                  _pf((F.lit(100.0) * c("o") / c("n")).between(lo, hi)))
-
-
-@_builder('16 orders without a quotation')
-def _c16_orders_without_a_quotation(x: _Context) -> DataFrame:
-    # 16 orders without a quotation
-    t, p, c = x.t, x.p, F.col
+    of_due = {m: pct(c(m), c("due"), 1).cast("string") for m in ("otif", "on_time", "in_full")}
+    add("15 OTIF in range", f"between {lo:g}% and {hi:g}%", ["due", "otif", "on_time", "in_full"],
+        _said("OTIF ", of_due["otif"], "% on ", ["due"], " orders due (on time ", of_due["on_time"], "%, in full ",
+              of_due["in_full"], "%)"), _pf((F.lit(100.0) * c("otif") / c("due")).between(lo, hi)))
     lo, hi = p.no_quote_range_pct
-    d = t.orders.agg(F.count(F.lit(1)).alias("n"), F.count_if(c("quote_id").isNull()).alias("nq"))
-    return _check(d, "16 orders without a quotation",
-                  "a clear majority - most orders are repeat POs",
-                  F.concat(pct(c("nq"), c("n"), 1).cast("string"),
-                           F.lit("% of orders have no quotation")),
-                  _pf((F.lit(100.0) * c("nq") / c("n")).between(lo, hi)))
-
-
-@_builder('17 register still carries its faults')
-def _c17_register_still_carries_its_faults(x: _Context) -> DataFrame:
-    # 17 the register still carries its faults
-    t, p, c = x.t, x.p, F.col
-    return _reg_check(x, [c("dp_free_text").alias("a"), c("date_impossible").alias("b"),
-                       c("year_suspect").alias("y"), c("quote_no_other").alias("q")],
-                      "17 register still carries its faults",
-                      "free-text DP dates, an impossible date, a wrong year, status words in "
-                      "the quote-number column",
-                      F.concat(_s("a"), F.lit(" free-text DP, "), _s("b"), F.lit(" impossible date, "),
-                               _s("y"), F.lit(" wrong year, "), _s("q"),
-                               F.lit(" status words in quote_no")),
-                      F.when((c("a") > 0) & (c("b") > 0) & (c("y") > 0) & (c("q") > 0), "EXPECTED")
-                      .otherwise("FAIL"))
-
-
-@_builder('18 no invented vocabulary')
-def _c18_no_invented_vocabulary(x: _Context) -> DataFrame:
-    # 18 nothing invented in the vocabulary
-    t, p, c = x.t, x.p, F.col
-    frag = f"%{V.FORBIDDEN_LD_FRAGMENT}%"
-    appl = (F.coalesce(c("ld"), F.lit("")).ilike(frag)
-            | F.coalesce(c("ld_clause"), F.lit("")).ilike(frag))
-    d = t.raw_quote_register.agg(
-        F.count_if(c("status") == V.FORBIDDEN_STATUS[0]).alias("a"),
-        F.count_if(c("status") == V.FORBIDDEN_STATUS[1]).alias("b"),
-        F.count_if(appl).alias("x"))
-    return _check(d, "18 no invented vocabulary",
-                  f"no {V.FORBIDDEN_STATUS[0]}, no {V.FORBIDDEN_STATUS[1]}, "
-                  f"no {V.FORBIDDEN_LD_FRAGMENT}",
-                  F.concat(_s("a"), F.lit(f" {V.FORBIDDEN_STATUS[0]}, "), _s("b"),
-                           F.lit(f" {V.FORBIDDEN_STATUS[1]}, "), _s("x"),
-                           F.lit(f" {V.FORBIDDEN_LD_FRAGMENT}")),
-                  _pf((c("a") + c("b") + c("x")) == 0))
-
-
-@_builder('18b identity columns within allowlist')
-def _c18b_identity_columns_within_allowlist(x: _Context) -> DataFrame:
-    # 18b identity columns within the allowlists
-    t, p, c = x.t, x.p, F.col
-    r = t.raw_quote_register
-
-    def outside(df, col, allowed):
-        return (df.filter(c(col).isNotNull() & ~c(col).isin(*allowed))
-                .agg(F.countDistinct(col).alias("v")))
-    m = metrics({
-        "people": outside(r, "concerned_person", V.PEOPLE),
-        "sales": outside(t.quotations, "salesperson_code", V.PEOPLE),
-        "inco": outside(r, "incoterms", V.INCOTERMS),
-        "qfrom": outside(r, "quote_from", V.QUOTE_FROM),
-        "vert": outside(r, "vertical", V.VERTICALS),
-        "cust": t.customers.filter(~c("customer_id").rlike(p.customer_id_pattern))
-        .agg(F.countDistinct("customer_id").alias("v"))})
-    n = c("people") + c("sales") + c("inco") + c("qfrom") + c("vert") + c("cust")
-    return _check(m, "18b identity columns within allowlist",
-                  "every person, place and market value is one of the declared ones",
-                  F.concat(n.cast("string"), F.lit(" value(s) outside the allowlist")),
-                  _pf(n == 0))
-
-
-@_builder('19 status mapping is complete')
-def _c19_status_mapping_is_complete(x: _Context) -> DataFrame:
-    # 19 every status maps to something
-    t, p, c = x.t, x.p, F.col
-    return _reg_check(x, [c("_unmapped").alias("u"), c("status_wordings").alias("w"),
-                       c("_states").alias("s")],
-                      "19 status mapping is complete",
-                      "0 UNMAPPED - every wording in the data has a rule",
-                      F.concat(_s("u"), F.lit(" unmapped, "), _s("w"),
-                               F.lit(" wordings collapsed to "), _s("s"), F.lit(" states")),
-                      _pf(c("u") == 0))
-
-
-@_builder('20 cleaning log written')
-def _c20_cleaning_log_written(x: _Context) -> DataFrame:
-    # 20 cleaning log written
-    t, p, c = x.t, x.p, F.col
-    log = log_rows(x.reg, t.orders.agg(*order_aggs()))
-    d = log.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("action").alias("a"))
-    return _check(d, "20 cleaning log written",
-                  "every cleaning decision recorded, with a mix of actions",
-                  F.concat(_s("n"), F.lit(" entries across "), _s("a"),
-                           F.lit(" action types")),
-                  _pf((c("n") >= p.min_log_rows) & (c("a") >= p.min_log_actions)))
+    add("16 orders without a quotation", "a clear majority - most orders are repeat POs", ["rows_orders", "no_quote"],
+        _said(pct(c("no_quote"), c("rows_orders"), 1).cast("string"), "% of orders have no quotation"),
+        _pf((F.lit(100.0) * c("no_quote") / c("rows_orders")).between(lo, hi)))
+    faults = ["dp_free_text", "date_impossible", "year_suspect", "quote_no_other"]
+    add("17 register still carries its faults",
+        "free-text DP dates, an impossible date, a wrong year, status words in the quote-number column", faults,
+        _said(["dp_free_text"], " free-text DP, ", ["date_impossible"], " impossible date, ", ["year_suspect"],
+              " wrong year, ", ["quote_no_other"], " status words in quote_no"),
+        F.when(reduce(lambda a, b: a & b, [c(m) > 0 for m in faults]), "EXPECTED").otherwise("FAIL"))
+    words = [*V.FORBIDDEN_STATUS[:2], V.FORBIDDEN_LD_FRAGMENT]
+    found = ["forbidden_0", "forbidden_1", "forbidden_ld"]
+    add("18 no invented vocabulary", ", ".join(f"no {w}" for w in words), found,
+        F.concat_ws(", ", *[F.concat(_s(m), F.lit(f" {w}")) for m, w in zip(found, words)]), _pf(total(found) == 0))
+    add("18b identity columns within allowlist", "every person, place and market value is one of the declared ones",
+        ["outside_allowlist"], _said(["outside_allowlist"], " value(s) outside the allowlist"),
+        _pf(c("outside_allowlist") == 0))
+    add("19 status mapping is complete", "0 UNMAPPED - every wording in the data has a rule",
+        ["unmapped", "status_wordings", "_states"],
+        _said(["unmapped"], " unmapped, ", ["status_wordings"], " wordings collapsed to ", ["_states"], " states"),
+        _pf(c("unmapped") == 0))
+    # the log's own rows are counted
+    add("20 cleaning log written", "every cleaning decision recorded, with a mix of actions",
+        [*register_metrics(), *order_metrics()], None, None)
+    return out
+
+
+def _metric_row(tables, params: Params, asked: set[str]) -> DataFrame:
+    """All asked metrics as one written row; each source is run once."""
+    x, parts, kinds = Inputs(tables, params, asked), [], {}
+    for source in _SOURCES:
+        base, metrics = source(x)
+        named = {k: v for k, v in metrics.items() if k in asked}
+        if not named:
+            continue
+        one = base.agg(*[v.alias(k) for k, v in named.items()])
+        parts.append(one.select(F.inline(F.array(*[F.struct(
+            F.lit(k).alias("k"), (F.lit(None) if k.endswith("_txt") else F.col(k)).cast("long").alias("n"),
+            (F.col(k) if k.endswith("_txt") else F.lit(None)).cast("string").alias("t")) for k in named]))))
+        kinds.update({k: "t" if k.endswith("_txt") else "n" for k in named})
+    both = reduce(DataFrame.unionByName, parts)
+    return staged(both.agg(*[F.max(F.when(F.col("k") == k, F.col(v))).alias(k) for k, v in kinds.items()]),
+                  "check-metrics")
+
+
+def _rows_of(tables, names: list[str], params: Params) -> DataFrame:
+    asked = {n: k for n, k in checks(params).items() if n in names}
+    m = _metric_row(tables, params, {x for k in asked.values() for x in k.metrics})
+    rows = [F.struct(F.lit(n).alias("check_name"), F.lit(k.expected).alias("expected"), k.actual.alias("actual"),
+                     k.verdict.alias("verdict")) for n, k in asked.items() if k.actual is not None]
+    parts = [m.select(F.inline(F.array(*rows)))] if rows else []
+    for n, k in asked.items():
+        if k.actual is None:
+            log = log_rows(m, m).agg(F.count(F.lit(1)).alias("n"), F.countDistinct("action").alias("a"))
+            parts.append(log.select(
+                F.lit(n).alias("check_name"), F.lit(k.expected).alias("expected"),
+                _said(["n"], " entries across ", ["a"], " action types").alias("actual"),
+                _pf((F.col("n") >= params.min_log_rows) & (F.col("a") >= params.min_log_actions)).alias("verdict")))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def run_checks(tables, params: Params = DEFAULT) -> DataFrame:
-    """All checks, one row each (a union of the per-check plans). The checks read
-    off the shared register aggregate become a single branch, so the cleaned
-    register is aggregated once for all of them."""
-    x = _Context(tables, params)
-    x.reg_specs = []
-    parts = [df for df in (_BUILDERS[n](x) for n in CHECK_NAMES) if df is not None]
-    if x.reg_specs:
-        cols = [c for spec in x.reg_specs for c in spec[0]]
-        rows = [F.struct(F.lit(name).alias("check_name"), F.lit(expected).alias("expected"),
-                         actual.alias("actual"), verdict.alias("verdict"))
-                for _, name, expected, actual, verdict in x.reg_specs]
-        parts.append(x.reg.select(*cols).select(F.inline(F.array(*rows))))
-    return reduce(DataFrame.unionByName, parts)
+    """All checks, one row each."""
+    return _rows_of(tables, CHECK_NAMES, params)
 
 
 def one_check(tables, name: str, params: Params = DEFAULT) -> DataFrame:
-    """A single check: only its own plan is built."""
-    return _BUILDERS[name](_Context(tables, params, market=name.startswith("20")))
+    """A single check: only the sources and metrics it needs are run."""
+    return _rows_of(tables, [name], params)

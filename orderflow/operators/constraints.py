@@ -1,8 +1,8 @@
 """K1-K6: the declared schema constraints, audited instead of enforced.
 
 Output rows: (table_name, rule, kind, violations). Every rule is one
-distributed aggregate (``groupBy(keys).count()`` for keys, ``left_anti`` for
-foreign keys, conditional counts for domains / ranges / NOT NULL, all of a table
+distributed aggregate (``groupBy(keys).count()`` for keys, one pass over a table for
+all of its foreign keys, conditional counts for domains / ranges / NOT NULL, all of a table
 in a single pass), so the audit scales with the tables.
 """
 
@@ -110,17 +110,38 @@ def k2_unique(tables) -> DataFrame:
                    for t, keys in UNIQUE_KEYS])
 
 
-def fk_orphans(tables, child: str, ckeys, parent: str, pkeys) -> DataFrame:
-    c = tables[child].select(*ckeys)
-    c = c.filter(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in ckeys]))
-    p = tables[parent].select(*[F.col(pk).alias(ck) for ck, pk in zip(ckeys, pkeys)])
-    return c.join(p, list(ckeys), "left_anti").agg(F.count(F.lit(1)).alias("violations"))
+def with_parents(tables, child: DataFrame, fks) -> DataFrame:
+    """``child`` with a column ``_fk0``, ``_fk1`` ... for each (ckeys, parent, pkeys):
+    TRUE where the parent has the row's key, else NULL. A parent is asked by its
+    distinct keys, so a doubled key there does not multiply the child's rows."""
+    for k, (ckeys, parent, pkeys) in enumerate(fks):
+        keys = [f"_fk{k}_{i}" for i in range(len(pkeys))]
+        known = tables[parent].select(*[F.col(pk).alias(n) for pk, n in zip(pkeys, keys)]).distinct()
+        same = reduce(lambda a, b: a & b, [child[c] == known[n] for c, n in zip(ckeys, keys)])
+        child = child.join(known.withColumn(f"_fk{k}", F.lit(True)), same, "left").drop(*keys)
+    return child
+
+
+def orphaned(ckeys, k: int) -> Column:
+    """Whether a row of ``with_parents`` has a whole key k that its parent lacks."""
+    whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in ckeys])
+    return whole & F.col(f"_fk{k}").isNull()
 
 
 def k3_foreign_keys(tables) -> DataFrame:
-    return _union([_row(fk_orphans(tables, ch, ck, pa, pk), ch,
-                        f"({', '.join(ck)}) REFERENCES {pa} ({', '.join(pk)})", "foreign key")
-                   for ch, ck, pa, pk in FOREIGN_KEYS])
+    """All foreign keys of a table in one pass over it."""
+    parts = []
+    for child in dict.fromkeys(f[0] for f in FOREIGN_KEYS):
+        fks = [f[1:] for f in FOREIGN_KEYS if f[0] == child]
+        columns = list(dict.fromkeys(c for ck, _, _ in fks for c in ck))
+        one = with_parents(tables, tables[child].select(*columns), fks).agg(
+            *[F.count_if(orphaned(ck, k)).alias(f"_{k}") for k, (ck, _, _) in enumerate(fks)])
+        rows = F.array(*[F.struct(F.lit(f"({', '.join(ck)}) REFERENCES {pa} ({', '.join(pk)})").alias("rule"),
+                                  F.col(f"_{k}").cast("long").alias("violations"))
+                         for k, (ck, pa, pk) in enumerate(fks)])
+        parts.append(one.select(F.inline(rows)).select(
+            F.lit(child).alias("table_name"), "rule", F.lit("foreign key").alias("kind"), "violations"))
+    return _union(parts)
 
 
 COLUMN_KINDS = ("domain", "range", "not null")
