@@ -200,16 +200,39 @@ def _combined(rank: np.ndarray, group: np.ndarray, groups: int) -> tuple[np.ndar
     return rank[:, order[at]], np.diff(np.append(at, len(order))), group[order[at]]
 
 
-def _longer(heavy: Heavy, depth: int, seed: int, flush: int):
+def _blocks(known: np.ndarray, rank: np.ndarray, n: np.ndarray, group: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """One row for each group of columns that are sorted by group."""
+    cut = np.flatnonzero(np.append(True, group[1:] != group[:-1])) if len(group) else np.zeros(0, np.int64)
+    for a, b in zip(cut, np.append(cut[1:], len(group))):
+        used, local = np.unique(rank[:, a:b], return_inverse=True)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([int(group[a])], pa.int32()),
+             pa.array([_block(known[used], local.reshape(len(rank), -1), n[a:b])], pa.binary())], names=["g", "block"])
+
+
+def _longer(heavy: Heavy, depth: int, groups: int, seed: int, flush: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Counts of prefixes of ``depth`` words that lengthen a heavy one."""
+        """For each group, a block of prefixes of ``depth`` words that lengthen a heavy one."""
         for ids, piece, *_ in _held(batches, seed, flush):
             known, rank = _suffixes(ids, piece)
             rank = rank[:depth, heavy.heavy_at(known, rank, depth - 1)]
             rank = rank[:, rank[depth - 1] != 0]
-            rank, n, _ = _combined(rank, np.zeros(rank.shape[1], np.uint32), 1)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(known[r].view(np.int64)) for r in rank] + [pa.array(n)], names=[*IDS[:depth], "n"])
+            group = (_folded(known[rank]) % np.uint64(groups)).astype(np.uint32)
+            yield from _blocks(known, *_combined(rank, group, groups))
+    return run
+
+
+def _heavier(light: int):
+    def run(blocks: pa.Table) -> pa.Table:
+        """Prefixes of a group counted more than ``light`` times."""
+        known, leaf, n = _sorted_leaves(blocks)
+        new = np.ones(len(n), bool)
+        new[1:] = (leaf[:, 1:] != leaf[:, :-1]).any(axis=0)
+        at = np.flatnonzero(new)
+        total = np.add.reduceat(n, at)
+        at, total = at[total > light], total[total > light]
+        return pa.Table.from_arrays([pa.array(known[r].view(np.int64)) for r in leaf[:, at]] + [pa.array(total)],
+                                    names=[*IDS[:len(leaf)], "n"])
     return run
 
 
@@ -226,14 +249,7 @@ def _routed(heavy: Heavy, groups: int, seed: int, flush: int):
                 group[beyond] = (_folded(known[rank[:depth, beyond]]) % np.uint64(groups)).astype(np.uint32)
                 # a suffix that ends at a heavy prefix is counted with the prefix
                 kept[beyond[rank[depth - 1, beyond] == 0]] = False
-            rank, n, group = _combined(rank[:, kept], group[kept], groups)
-            cut = np.flatnonzero(np.append(True, group[1:] != group[:-1])) if len(group) else np.zeros(0, np.int64)
-            for a, b in zip(cut, np.append(cut[1:], len(group))):
-                used, local = np.unique(rank[:, a:b], return_inverse=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([int(group[a])], pa.int32()),
-                     pa.array([_block(known[used], local.reshape(LONGEST, -1), n[a:b])], pa.binary())],
-                    names=["g", "block"])
+            yield from _blocks(known, *_combined(rank[:, kept], group[kept], groups))
     return run
 
 
@@ -241,19 +257,30 @@ def _block(known: np.ndarray, rank: np.ndarray, n: np.ndarray) -> bytes:
     """A block of suffixes: sizes, digests of its words, places in them, counts."""
     small = np.uint16 if len(known) < 1 << 16 else np.uint32
     counts = n.astype(np.uint8 if n.max() < 256 else np.int64)
-    raw = b"".join([np.array([len(known), len(n), small().itemsize, counts.itemsize], np.int64).tobytes(),
+    raw = b"".join([np.array([len(known), *rank.shape, small().itemsize, counts.itemsize], np.int64).tobytes(),
                     known.tobytes(), rank.astype(small).tobytes(), counts.tobytes()])
     return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
 
 
 def _opened(block: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Digests, (4, n) places in them, and counts."""
+    """Digests, (words, n) places in them, and counts."""
     raw = pa.decompress(block[8:], int.from_bytes(block[:8], "little"), codec="zstd", asbytes=True)
-    known, n, wide, deep = np.frombuffer(raw, np.int64, 4)
-    at = 32 + 8 * known
-    rank = np.frombuffer(raw, {2: np.uint16, 4: np.uint32}[int(wide)], 4 * n, at)
-    counts = np.frombuffer(raw, {1: np.uint8, 8: np.int64}[int(deep)], n, at + 4 * n * wide)
-    return np.frombuffer(raw, np.uint64, known, 32), rank.reshape(LONGEST, n), counts.astype(np.int64)
+    known, words, n, wide, deep = np.frombuffer(raw, np.int64, 5)
+    at = 40 + 8 * known
+    rank = np.frombuffer(raw, {2: np.uint16, 4: np.uint32}[int(wide)], words * n, at)
+    counts = np.frombuffer(raw, {1: np.uint8, 8: np.int64}[int(deep)], n, at + words * n * wide)
+    return np.frombuffer(raw, np.uint64, known, 40), rank.reshape(words, n), counts.astype(np.int64)
+
+
+def _sorted_leaves(blocks: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Digests, and the columns of all blocks in order (0, no word, first) with counts."""
+    opened = [_opened(b) for b in blocks.column("block").to_pylist()]
+    known = np.unique(np.concatenate([np.zeros(1, np.uint64), *[x[0] for x in opened]]))
+    leaf = np.concatenate([np.searchsorted(known, x[0]).astype(np.uint32)[x[1]] for x in opened], axis=1)
+    n = np.concatenate([x[2] for x in opened])
+    del opened
+    order = np.lexsort(_packed(leaf)[::-1])
+    return known, leaf[:, order], n[order]
 
 
 _NODE = ", ".join(f"{i} long" for i in IDS) + ", a long"
@@ -262,13 +289,7 @@ _NODE = ", ".join(f"{i} long" for i in IDS) + ", a long"
 def _subtree(heavy: Heavy, least: int):
     def run(blocks: pa.Table) -> pa.Table:
         """Nodes of the group's subtree counted ``least`` times or more, deeper than one word."""
-        opened = [_opened(b) for b in blocks.column("block").to_pylist()]
-        known = np.unique(np.concatenate([np.zeros(1, np.uint64), *[x[0] for x in opened]]))
-        leaf = np.concatenate([np.searchsorted(known, x[0]).astype(np.uint32)[x[1]] for x in opened], axis=1)
-        n = np.concatenate([x[2] for x in opened])
-        del opened
-        order = np.lexsort(_packed(leaf)[::-1])
-        leaf, n = leaf[:, order], n[order]
+        known, leaf, n = _sorted_leaves(blocks)
         out = []
         new = np.zeros(len(n), bool)
         new[:1] = True
@@ -304,21 +325,22 @@ def _counted(texts: DataFrame, seed: int, least: int, light: int, group: int,
         return None
     groups = max(1, -(-2 * (total["n"] or 0) // group))
     heavy, found = Heavy(), []
-    prefixes = words.select(F.col("id").alias("i1"), "n")
+    def above(depth: int) -> DataFrame:
+        if depth == 1:
+            return words.where(F.col("n") > light).select(F.col("id").alias("i1"), "n")
+        return (texts.mapInArrow(_longer(heavy, depth, groups, seed, flush), "g int, block binary").groupBy("g")
+                .applyInArrow(_heavier(light), ", ".join(f"{i} long" for i in [*IDS[:depth], "n"])))
+
     for depth in range(1, LONGEST):
-        rows = prefixes.where(F.col("n") > light).limit(HEAVY_ROWS + 1).collect()
+        rows = above(depth).limit(HEAVY_ROWS + 1).collect()
         while len(rows) > HEAVY_ROWS:
             light *= 2
-            rows = prefixes.where(F.col("n") > light).limit(HEAVY_ROWS + 1).collect()
+            rows = above(depth).limit(HEAVY_ROWS + 1).collect()
         heavy.add([tuple(r)[:depth] for r in rows])
         if not rows:
             break
         if depth > 1:
             found += [(*tuple(r)[:depth], *[0] * (LONGEST - depth), r["n"]) for r in rows if r["n"] >= least]
-        if depth + 1 < LONGEST:
-            longer = texts.mapInArrow(_longer(heavy, depth + 1, seed, flush),
-                                      ", ".join(f"{i} long" for i in [*IDS[:depth + 1], "n"]))
-            prefixes = longer.groupBy(*IDS[:depth + 1]).agg(F.sum("n").alias("n"))
     blocks = texts.mapInArrow(_routed(heavy, groups, seed, flush), "g int, block binary")
     nodes = blocks.groupBy("g").applyInArrow(_subtree(heavy, least), _NODE)
     if found:
