@@ -55,6 +55,13 @@ def written(df: DataFrame, what: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def written_small(df: DataFrame, what: str) -> DataFrame:
+    """``written`` for a table far smaller than what it was made from: in an eighth
+    of the shuffle's partitions, so that many partitions do not leave many small files."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return written(df.coalesce(max(8, n // 8)), what)
+
+
 def crc_mod(column: str, n: int):
     return F.crc32(F.col(column).cast("string")) % n
 

@@ -29,13 +29,15 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ship, written
+from .common import ship, written, written_small
 
 WORDS = 10
 #: Bytes of windows that one broadcast may hold.
 PART_BYTES = 64 << 20
 #: Bytes a window takes beside its own text in a broadcast hash set.
 ROW_BYTES = 120
+#: Item lists are joined by broadcast up to this many (100 bytes each).
+SMALL_ROWS = 100_000
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _OTHER = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]"
 _OTHER_ANY_CASE = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
@@ -81,7 +83,7 @@ def benchmark_windows(benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
                               F.explode(_let(words("text"), of_item)).alias("x"))
              .select("item", "x.*").distinct())
     # order-free digests of a window's items: no window's items are ever collected
-    windows = written(pairs.groupBy("n", "hash", "gram").agg(
+    windows = written_small(pairs.groupBy("n", "hash", "gram").agg(
         F.count("*").alias("c"), F.bit_xor(F.xxhash64("item")).alias("a"),
         F.bit_xor(F.xxhash64(F.lit("second"), "item")).alias("b"))
         .select("n", "hash", "gram", F.concat_ws(":", "c", "a", "b").alias("class")), "windows")
@@ -160,7 +162,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     contaminated."""
     ship(docs.sparkSession)
     windows, classes = benchmark_windows(benchmark)
-    marked = written(_marked(_numbered(docs), windows).withColumn(
+    marked = written_small(_marked(_numbered(docs), windows).withColumn(
         "set", F.when(F.size("classes") > 0, F.sha2(F.array_join("classes", ",").cast("binary"), 256))), "marked")
     hit = marked.where("set is not null")
     sets = hit.groupBy("set").agg(F.any_value("classes").alias("classes"))
@@ -171,6 +173,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     head = [F.col("id").alias("doc_id"), "n_words", "n_hit"]
     clean = marked.where("set is null").select(
         *head, F.lit(0).cast("long").alias("n_items"), F.sha2(F.lit("").cast("binary"), 256).alias("items_sha256"))
+    if items.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS:
+        items = F.broadcast(items)
     return (hit.join(items, "set").select(*head, "n_items", "items_sha256").unionByName(clean)
             .withColumn("contaminated", F.col("n_hit") > 0))
 
