@@ -7,15 +7,20 @@ sum(min(MOST * size, L * weight)) is the whole size: sources sorted by
 size / weight reach their stop in that order, so one pass over the (one row per
 source) totals gives it.
 
-Every row has a hash-random key. Within a source, keys are cut into equal
-ranges of about ``RANGE_ROWS`` rows (hash keys are even, so ranges need no
-sample and a hot source is many ranges); prefix sums are taken inside a range,
-and over the ranges' totals. Whole repeats of a source are taken first, then
-rows in key order up to the source's exact budget, the last row in part.
-
-Defined results: null text has size 0; a null source is a source of its own;
-rows with equal doc_id and size are interchangeable, each keeps its own take; a
-table without words takes nothing; an empty table gives an empty result.
+Every row has a hash-random key. Rows of a source with equal doc_id and size are one
+group (mostly of one row). Within a source, keys are cut into equal ranges of about
+``RANGE_ROWS`` rows (hash keys are even, so ranges need no sample and a hot source is
+many ranges); prefix sums are taken over the groups of a range, and over the ranges'
+totals. Whole repeats of a source are taken first, then groups in key order up to the
+source's exact budget, the last row in part; only in the group that this cut goes
+through are rows numbered, by the tasks that wrote them, so that one doc_id on a
+third of all rows fills no task.
+
+Defined results: null text has size 0, an empty or very long one its whole number of
+words; a null source is a source of its own; rows with equal doc_id and size are
+interchangeable, each keeps its own take (so do repeated rows, and ties of the key);
+a table without words takes nothing; an empty table gives an empty result; other
+columns are not read, and ``mixed`` carries them along, whatever their names.
 """
 
 from __future__ import annotations
@@ -70,24 +75,62 @@ def takes(docs: DataFrame) -> DataFrame:
 def _takes(sizes: DataFrame) -> DataFrame:
     """The takes of a written table (doc_id, s, size, row)."""
     target = written(source_targets(sizes), "targets")
+    # rows with equal (source, doc_id, size) are one group: ranges hold groups, so
+    # one doc_id on very many rows fills no range
+    same = ["s", "doc_id", "size"]
+    groups = sizes.groupBy(*same).agg(F.count("*").alias("c")).join(target, "s")
     key = F.conv(F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")),
                              1, 15), 16, 10).cast("long")
-    rows = (sizes.join(target, "s").withColumn("key", key)
-            .withColumn("range", F.floor(F.col("key") / float(1 << 60)
-                                         * F.ceil(F.col("n") / RANGE_ROWS)).cast("long")))
-    inside = Window.partitionBy("s", "range").orderBy("key", "doc_id", "size", "row").rowsBetween(
-        Window.unboundedPreceding, 0)
-    ranges = rows.groupBy("s", "range").agg(F.sum("size").alias("z"))
-    over = Window.partitionBy("s").orderBy("range").rowsBetween(Window.unboundedPreceding, 0)
-    ranges = ranges.select("s", "range", (F.sum("z").over(over) - F.col("z")).alias("ahead"))
-    rows = (rows.withColumn("upto", F.sum("size").over(inside)).join(ranges, ["s", "range"])
-            .withColumn("budget", F.floor("target").cast("long")))
-    whole = F.when(F.col("source_size") > 0, F.expr("budget div source_size")).otherwise(0)
-    rest = F.col("budget") - whole * F.col("source_size")
-    part = F.greatest(F.lit(0), F.least(F.col("size"), rest - (F.col("ahead") + F.col("upto")
-                                                               - F.col("size"))))
+    groups = (groups.withColumn("key", key)
+              .withColumn("range", F.floor(F.col("key") / float(1 << 60)
+                                           * F.ceil(F.col("n") / RANGE_ROWS)).cast("long")))
+    inside = Window.partitionBy("s", "range").orderBy("key", "doc_id", "size").rowsBetween(
+        Window.unboundedPreceding, -1)
+    words = F.col("size") * F.col("c")
+    ranges = groups.groupBy("s", "range").agg(F.sum(words).alias("z"))
+    over = Window.partitionBy("s").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranges.select("s", "range", F.coalesce(F.sum("z").over(over), F.lit(0)).alias("ahead"))
+    whole = F.when(F.col("source_size") > 0, F.expr("floor(target) div source_size")).otherwise(0)
+    rest = F.floor("target").cast("long") - F.col("whole") * F.col("source_size")
+    left = F.greatest(F.lit(0), F.col("rest") - F.col("ahead") - F.col("before"))
+    groups = (groups.withColumn("before", F.coalesce(F.sum(words).over(inside), F.lit(0)))
+              .join(ranges, ["s", "range"]).withColumn("whole", whole.cast("long"))
+              .withColumn("rest", rest).withColumn("left", left)
+              .withColumn("full", F.when(F.col("size") > 0, F.least(F.col("c"), F.expr("left div size")))
+                          .otherwise(F.col("c"))))
+    groups = groups.select(*same, "c", "source_size", "target", "whole", "full",
+                           (F.col("left") - F.col("full") * F.col("size")).alias("part"))
+    # rows are told apart only in a group that the cut goes through (one a source)
+    cut = groups.where("c > 1 and full < c and full + part > 0").select(*same)
+    rows = _same_join(sizes, groups, "inner")
+    nth = _numbers(_same_join(sizes, cut, "leftsemi"), same)
+    rows = rows.join(nth, "row", "left").withColumn("nth", F.coalesce("nth", F.lit(1)))
+    taken = (F.when(F.col("nth") <= F.col("full"), F.col("size"))
+             .when(F.col("nth") == F.col("full") + 1, F.least(F.col("size"), F.col("part"))).otherwise(0))
+    taken = F.when(F.col("full") == F.col("c"), F.col("size")).otherwise(taken)
     return rows.select("row", "doc_id", "size", "source_size", "target",
-                       (whole * F.col("size") + part).cast("long").alias("taken"))
+                       (F.col("whole") * F.col("size") + taken).cast("long").alias("taken"))
+
+
+def _same_join(rows: DataFrame, groups: DataFrame, how: str) -> DataFrame:
+    """rows with the group of equal (s, doc_id, size), a null doc_id too."""
+    g = groups.withColumnsRenamed({k: f"__{k}" for k in ("s", "doc_id", "size")})
+    same = (F.col("s") == F.col("__s")) & F.col("doc_id").eqNullSafe(F.col("__doc_id")) & (
+        F.col("size") == F.col("__size"))
+    return rows.join(g, same, how).drop("__s", "__doc_id", "__size")
+
+
+def _numbers(rows: DataFrame, same: list[str]) -> DataFrame:
+    """(row, nth): 1, 2, ... over the rows of each group, by the task that wrote a row
+    (the row number's high bits) and within it."""
+    rows = rows.withColumn("task", F.shiftright("row", 33))
+    inside = Window.partitionBy(*same, "task").orderBy("row")
+    before = Window.partitionBy(*same).orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    ahead = (rows.groupBy(*same, "task").agg(F.count("*").alias("z"))
+             .withColumn("ahead", F.coalesce(F.sum("z").over(before), F.lit(0))).drop("z"))
+    placed = rows.withColumn("i", F.row_number().over(inside)).withColumnRenamed("task", "own")
+    both = _same_join(placed, ahead, "inner").where("own = task")
+    return both.select("row", (F.col("ahead") + F.col("i")).alias("nth"))
 
 
 def mixture(docs: DataFrame) -> DataFrame:
@@ -102,20 +145,19 @@ def mixed(docs: DataFrame) -> DataFrame:
     ship(docs.sparkSession)
     rows = written(docs.select(F.struct(*docs.columns).alias("doc"), *with_size_columns()), "rows")
     take = (_takes(rows.select(F.col("doc.doc_id").alias("doc_id"), "s", "size", "row")).where("taken > 0")
-            .select("row", F.col("size").alias("__size"), F.col("taken").alias("__taken")))
-    rows = rows.select("row", "doc").join(take, "row").select("doc.*", "__size", "__taken")
-    rows = rows.withColumn("__words", F.explode(F.concat(
-        F.array_repeat(F.col("__size"), F.expr("cast(__taken div __size as int)")),
-        F.when(F.col("__taken") % F.col("__size") > 0, F.array(F.col("__taken") % F.col("__size")))
-        .otherwise(F.array().cast("array<long>")))))
-    cut = F.col("__words") < F.col("__size")
-    text = F.when(cut, F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WORD), 0), 1,
-                                            F.col("__words").cast("int")), " ")).otherwise(F.col("text"))
-    rows = rows.withColumn("text", text)
+            .select("row", "size", "taken"))
+    times = F.concat(F.array_repeat(F.col("size"), F.expr("cast(taken div size as int)")),
+                     F.when(F.col("taken") % F.col("size") > 0, F.array(F.col("taken") % F.col("size")))
+                     .otherwise(F.array().cast("array<long>")))
+    rows = rows.select("row", "doc").join(take, "row").withColumn("words", F.explode(times))
+    cut, text = F.col("words") < F.col("size"), F.col("doc.text")
+    text = F.when(cut, F.array_join(F.slice(F.regexp_extract_all(text, F.lit(WORD), 0), 1,
+                                            F.col("words").cast("int")), " ")).otherwise(text)
+    new = {"text": text}
     if "n_chars" in docs.columns:
-        rows = rows.withColumn("n_chars", F.when(cut, F.char_length("text").cast(
-            docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return rows.select(*docs.columns)
+        new["n_chars"] = F.when(cut, F.char_length(text).cast(docs.schema["n_chars"].dataType)).otherwise(
+            F.col("doc.n_chars"))
+    return rows.select(*[new.get(c, F.col("doc")[c]).alias(c) for c in docs.columns])
 
 
 ORACLE = r"""

@@ -31,8 +31,9 @@ def resharing(sizes):
 
 
 @pytest.mark.parametrize("name", ["awkward", "documents"])
-def test_mixture(request, name):
-    docs = request.getfixturevalue(name)
+def test_mixture(request, spark, tmp_path, name):
+    request.getfixturevalue(name).write.parquet(str(tmp_path / "docs"))  # one table, one split: rows keep their numbers
+    docs = spark.read.parquet(str(tmp_path / "docs")).coalesce(1)
     rows = mixing.takes(docs).collect()
     assert len(rows) == docs.count()
     size, source_of = defaultdict(int), {}
@@ -51,6 +52,28 @@ def test_mixture(request, name):
     assert Counter(map(tuple, rows)) == Counter(map(tuple, again))
 
 
+def test_one_doc_id_on_most_rows(spark):
+    """One doc_id, or none, on most rows of a source; equal sizes and others; the cut
+    goes through such groups."""
+    rows = [(None if k % 4 == 0 else 7 if k % 4 == 1 else k, "w " * (k % 3 + 2 * (k % 11 == 0)), "abc"[k % 7 % 3])
+            for k in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(7)
+    got = mixing.takes(docs).collect()
+    size, taken, n = defaultdict(int), defaultdict(int), Counter()
+    for d, t, s in rows:
+        size[s] += len(t.split())
+    target = resharing(dict(size))
+    by_target = {round(t, 6): s for s, t in target.items()}
+    for r in got:
+        s = by_target[round(r.target, 6)]
+        n[r.doc_id, r.size, s] += 1
+        assert 0 <= r.taken <= 3 * r.size and r.source_size == size[s]
+        taken[s] += r.taken
+    assert n == Counter((d, len(t.split()), s) for d, t, s in rows)
+    assert {s: int(t) for s, t in target.items()} == dict(taken)
+    assert sum(len(r.text.split()) for r in mixing.mixed(docs).collect()) == sum(taken.values())
+
+
 def test_mixture_equals_sql(spark, sf_dir, con):
     r = compare(queries.QUERIES["op5_source_mixing"](spark, sf_dir), con, mixing.ORACLE)
     assert r["columns_match"] and r["values_match"], r
