@@ -41,7 +41,7 @@ from . import textops as T
 from .common import bounded_batches, crc_mod, written
 
 MODEL_WORDS, SHAPES, KNOWN_WORDS, DIM = 1024, 1024, 1 << 18, 16
-NOISE, NOISE_DRAWN, ROUNDS, RATE, BATCH = 8, 96, 40, 0.15, 1 << 16
+NOISE, NOISE_DRAWN, ROUNDS, RATE, BATCH = 8, 96, 40, 0.15, 1 << 13
 END_HASH = 0x1F3D5B79A2C4E680
 #: Model indices: groups of words by shape, the end of a text, model words.
 END = SHAPES
@@ -159,7 +159,7 @@ def initial(vocab: Vocabulary) -> dict[str, np.ndarray]:
 
 
 def _scatter(to: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
-    order = np.argsort(at, kind="stable")
+    order = np.argsort(at.astype(np.uint16), kind="stable")
     key = at[order]
     cut = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
     to[key[cut]] += np.add.reduceat(rows[order], cut)
