@@ -5,8 +5,8 @@ of (value, vector). A query opens a window around its own projection in every
 array; a vector inside is a collision. Virtual rehashing widens all windows by
 the factor ``GROWTH`` at a time; vectors that collide in ``THRESHOLD`` of the
 arrays are verified by their distance on the original vectors, in double
-precision. A query ends when its k-th verified distance is within the current
-radius, or when 10 k vectors and the share ``VERIFIED`` of the index are verified (the
+precision. A query ends when its k-th verified distance is well within the current
+radius (``SURE``), or when 10 k vectors and the share ``VERIFIED`` of the index are verified (the
 method's stop; widening goes on until then, whatever the number of candidates).
 ``THRESHOLD`` is where a window tells distances apart best: a share of collisions of
 0.85 is a window of 1.44 standard deviations of a neighbour's projections.
@@ -41,6 +41,8 @@ from .common import bounded_batches, written
 PROJECTIONS, GROWTH, THRESHOLD, VERIFIED = 128, 1.05, 0.85, 0.08
 #: Half a window of collision share THRESHOLD, in standard deviations of a projected distance.
 WINDOW = 1.44
+#: A radius beyond the k-th distance at which nearly all nearer vectors are over the threshold.
+SURE = 1.15
 BLOCK_ROWS, QUERY_PART, K = 16384, 60_000, 10
 FIRST_RADIUS = 0.6  # in standard deviations of the projections
 
@@ -82,7 +84,7 @@ class SortedProjections:
                 seen[take] = True
                 verified += len(take)
                 distance[take] = np.sqrt(((self.vectors[take] - query) ** 2).sum(1))
-            if verified >= 10 * k + VERIFIED * n or np.count_nonzero(distance <= radius) >= k:
+            if verified >= 10 * k + VERIFIED * n or np.count_nonzero(distance <= radius / SURE) >= k:
                 break
             radius *= GROWTH
         found = np.flatnonzero(np.isfinite(distance))
