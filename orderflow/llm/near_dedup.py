@@ -21,7 +21,8 @@ being one class, are not expanded into their pairs.
 
 Defined results: null text counts as empty; texts without words have no
 shingles and are duplicates of equal texts only; repeated rows are copies, and
-one of them is kept; an empty table gives an empty result; other columns are not
+one of them is kept; ties of a rank go to the smaller key; texts of any length are
+read whole; an empty table gives an empty result; other columns are not
 read by ``near_duplicates`` and are kept as they are by ``keep_one``.
 """
 

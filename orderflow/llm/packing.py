@@ -12,8 +12,9 @@ kept by hash (at most ``CACHE_WORDS``), which equals tokenizing whole texts as
 the tokenizer never joins across white space.
 
 Defined results: null and empty texts are the end token alone; every input row
-is packed (repeated rows and equal doc_ids each on their own); an empty table
-gives an empty result; other columns are not read.
+is packed (repeated rows and equal doc_ids each on their own); a text of any length
+is cut into full windows; of windows that fit equally the first opened is taken; an
+empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations

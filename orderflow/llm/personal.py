@@ -1,7 +1,7 @@
 """Personal data by weak supervision (operator 8).
 
-Candidate spans are the base patterns' matches, kept or not, and looser number
-and address shapes. Labelers (pattern, gazetteer and context rules) vote for,
+Candidate spans are the base patterns' matches that pass their rule, and looser
+number and address shapes that touch none of them. Labelers (pattern, gazetteer and context rules) vote for,
 against or not at all on each. Votes of all documents are counted by pattern;
 expectation-maximisation on those counts (their number is fixed by the number of
 labelers) estimates every labeler's reliability and every vote pattern's
@@ -12,9 +12,12 @@ accepts them and they touch no base span.
 
 Texts are scanned once; counting and classifying read the written candidates.
 
-Defined results: null text is empty; every input row gives one output row;
-without candidates nothing is trained and nothing is found; other columns are
-not read by ``personal_data`` and kept by ``masked``.
+Defined results: null text is empty; every input row gives one output row (repeated
+rows too, and each counts as evidence); texts of any length are scanned whole, in
+time linear in them; a vote pattern or span that comes out even is not personal
+data; without candidates nothing is trained and nothing is found; an empty table
+gives an empty result; other columns are not read by ``personal_data`` and kept by
+``masked``.
 """
 
 from __future__ import annotations
@@ -38,12 +41,20 @@ EXTRA = ("address", "number")
 KINDS = BASE + EXTRA
 LABELERS = ("pattern", "gazetteer", "context_for", "context_against", "grouping")
 
-# Gazetteers and context words.
-TOP_LEVEL = {"com", "org", "net", "edu", "gov", "info", "io", "de", "fr", "es", "it", "uk", "eu",
-             "us", "ch", "at", "nl", "be", "ca", "mx", "ar"}
-DIAL_CODES = ("1", "7", "20", "27", "30", "31", "32", "33", "34", "39", "41", "43", "44", "49",
-              "52", "54", "55", "61", "81", "86", "91")
+# Gazetteers and context words. Common top-level domains, country
+# calling codes, first digits of payment cards, prefixes of book numbers.
+TOP_LEVEL = {"com", "org", "net", "edu", "gov", "mil", "int", "info", "biz", "io", "dev", "app", "co", "me",
+             "ai", "de", "fr", "es", "it", "uk", "eu", "us", "ch", "at", "nl", "be", "lu", "ie", "pt", "gr",
+             "se", "no", "dk", "fi", "is", "pl", "cz", "sk", "hu", "ro", "bg", "si", "hr", "rs", "ua", "ru",
+             "tr", "il", "in", "cn", "jp", "kr", "tw", "hk", "sg", "au", "nz", "za", "ca", "mx", "ar", "br",
+             "cl", "pe", "uy", "ve"}
+DIAL_CODES = ("1", "7", "20", "27", "30", "31", "32", "33", "34", "36", "39", "40", "41", "43", "44", "45",
+              "46", "47", "48", "49", "51", "52", "53", "54", "55", "56", "57", "58", "60", "61", "62", "63",
+              "64", "65", "66", "81", "82", "84", "86", "90", "91", "92", "93", "94", "95", "98", "212", "213",
+              "216", "351", "352", "353", "354", "356", "357", "358", "359", "370", "371", "372", "375", "380",
+              "381", "385", "386", "387", "420", "421", "852", "886", "966", "971", "972")
 CARD_STARTS = ("34", "35", "36", "37", "38", "4", "51", "52", "53", "54", "55", "6")
+BOOK_STARTS = ("978", "979")
 FOR_WORDS = {
     "email": "mail email e-mail contact write kontakt courriel correo",
     "ip": "ip address host server login adresse",
@@ -66,6 +77,7 @@ _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _ADDRESS = re.compile(r"(?<![A-Za-z0-9._-])[A-Za-z0-9._-]{1,64}+ ?[(\[]at[)\]] ?[A-Za-z0-9-]{1,63}+"
                       r"(?: ?(?:\.|[(\[]dot[)\]]) ?[A-Za-z0-9-]{1,63}+)++", re.ASCII)
 _NUMBER = re.compile(r"(?<![A-Za-z0-9.])[0-9(](?:[ ()./-]{0,2}+[0-9])++(?![A-Za-z0-9])")
+_DATE = re.compile(r"(?:[12][0-9]{3}[-./][01]?[0-9][-./][0-3]?[0-9]|[0-3]?[0-9][-./][01]?[0-9][-./][12][0-9]{3})")
 _WORD = re.compile(r"[^\W\d_]+(?:-[^\W\d_]+)?")
 
 
@@ -99,6 +111,20 @@ def base_matches(text: str) -> Iterator[tuple[str, int, int, bool]]:
         yield "phone", m.start(), m.end(), 9 <= len(_digits(m.group())) <= 15
 
 
+def _gazetteer(kind: str, span: str, digits: str) -> int:
+    """1: of a known range; -1: of none, or of another kind of number; 0: no list says."""
+    if kind in ("email", "address"):
+        return 1 if re.split(r"[^A-Za-z0-9-]+", span)[-1].lower() in TOP_LEVEL else -1
+    if kind == "card":
+        return 1 if digits.startswith(CARD_STARTS) else -1
+    if kind == "phone":
+        return 1 if digits.startswith(DIAL_CODES) else -1
+    if kind == "ip":
+        return -1 if digits.startswith("0") else 0
+    book = len(digits) == 13 and digits.startswith(BOOK_STARTS)
+    return -1 if book or _DATE.fullmatch(span) else 0
+
+
 def _votes(text: str, kind: str, start: int, end: int, passes: bool) -> tuple[int, ...]:
     span = text[start:end]
     digits = _digits(span)
@@ -108,15 +134,7 @@ def _votes(text: str, kind: str, start: int, end: int, passes: bool) -> tuple[in
         pattern = 1
     else:
         pattern = 1 if 9 <= len(digits) <= 15 or (13 <= len(digits) <= 19 and luhn(digits)) else -1
-    gazetteer = 0
-    if kind in ("email", "address"):
-        gazetteer = 1 if re.split(r"[^A-Za-z0-9-]+", span)[-1].lower() in TOP_LEVEL else -1
-    elif kind == "card":
-        gazetteer = 1 if digits.startswith(CARD_STARTS) else -1
-    elif kind == "phone":
-        gazetteer = 1 if digits.startswith(DIAL_CODES) else -1
-    elif kind == "ip":
-        gazetteer = -1 if digits.startswith("0") else 0
+    gazetteer = _gazetteer(kind, span, digits)
     near = {w.lower() for w in _WORD.findall(text[max(0, start - 48):start])}
     near |= {w.lower() for w in _WORD.findall(text[end:end + 16])}
     groups = re.split(r"[^0-9]+", span)
@@ -130,21 +148,22 @@ def _votes(text: str, kind: str, start: int, end: int, passes: bool) -> tuple[in
 def _features(text: str, kind: str, start: int, end: int) -> tuple[int, ...]:
     """Small fixed ranges, so that the number of patterns is fixed too."""
     span = text[start:end]
-    n = len(_digits(span))
+    digits = _digits(span)
+    n = len(digits)
 
     def side(c):
         return 0 if c == "" else 1 if c.isspace() else 2 if c.isalpha() else 3
     return (KINDS.index(kind), min((end - start) // 6, 4),
             0 if n == 0 else 1 if n < 7 else 2 if n < 9 else 3 if n < 13 else 4 if n < 20 else 5,
             int(" " in span) + 2 * int("-" in span or "(" in span),
-            side(text[start - 1:start]), side(text[end:end + 1]))
+            side(text[start - 1:start]), side(text[end:end + 1]), _gazetteer(kind, span, digits) + 1)
 
 
-FEATURE_SIZES = (len(KINDS), 5, 6, 4, 4, 4)
+FEATURE_SIZES = (len(KINDS), 5, 6, 4, 4, 4, 3)
 
 
 def candidates(text: str) -> list[tuple[str, int, int, bool]]:
-    """Base matches, and looser shapes that touch no passing base match."""
+    """Passing base matches, and looser shapes that touch none."""
     found = list(base_matches(text))
     solid = sorted((s, e) for _, s, e, ok in found if ok)
     starts = np.array([s for s, _ in solid], np.int64)
@@ -154,11 +173,11 @@ def candidates(text: str) -> list[tuple[str, int, int, bool]]:
         k = int(np.searchsorted(starts, e))
         return k == 0 or reach[k - 1] <= s
 
-    found = [c for c in found if c[3] or free(c[1], c[2])]
-    taken = {(s, e) for _, s, e, _ in found}
+    # what fails a base rule is no such thing, but may be a number of another kind
+    found = [c for c in found if c[3]]
     for kind, pattern in (("address", _ADDRESS), ("number", _NUMBER)):
         for m in pattern.finditer(text):
-            if (m.start(), m.end()) not in taken and free(m.start(), m.end()) and (
+            if free(m.start(), m.end()) and (
                     kind == "address" or len(_digits(m.group())) >= 7):
                 found.append((kind, m.start(), m.end(), False))
     return found

@@ -14,8 +14,11 @@ one pass over all whole texts.
 Defined results: null and empty texts have no features and score the intercept;
 every input row gives one output row (repeated rows too); labels that are null
 or neither 0 nor 1 are ignored, several labels of a doc_id are averaged (0.5 or
-more is 1); without any usable label every score is 0.5; other columns are not
-read, so clashing names do not matter.
+more is 1), and of several rows with one labelled doc_id one text is learned from;
+a row without doc_id is not held out; ties of the sample's hash go by doc_id; texts
+of any length are read whole; an empty table gives an empty result; without any
+usable label every score is 0.5; other columns are not read, so clashing names do
+not matter.
 """
 
 from __future__ import annotations
@@ -24,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import textops as T
@@ -135,8 +138,10 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS)
     order = (F.xxhash64("doc_id"), F.col("doc_id"))
     parts = [usable.where(F.col("label") == c).orderBy(*order).limit(per_class) for c in (0, 1)]
     chosen = F.broadcast(parts[0].unionByName(parts[1]))  # at most 2 * per_class rows
-    # a doc_id that several rows carry gives several examples; keep the bound by whole rows
-    texts = docs.select("doc_id", "text").join(chosen, "doc_id").select("doc_id", "text", "label")
+    # a doc_id that several rows carry gives one example, so the bound holds
+    one = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text")
+    texts = (docs.select("doc_id", "text").join(chosen, "doc_id").withColumn("nth", F.row_number().over(one))
+             .where("nth <= 1").select("doc_id", "text", "label"))
     got = (texts.mapInArrow(_vectors, "doc_id long, label int, index binary, value binary")
            .repartition(1).mapInArrow(_fit, "weights binary, ones long, total long").collect())
     if not got or not got[0]["total"]:
@@ -171,7 +176,7 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     out: their labels are never learned from."""
     weights = train(docs, labels.where(crc_mod("doc_id", 3) != 1))
     return score(docs, weights).select(
-        "doc_id", (crc_mod("doc_id", 3) == 1).alias("held_out"), "score",
+        "doc_id", F.coalesce(crc_mod("doc_id", 3) == 1, F.lit(False)).alias("held_out"), "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 

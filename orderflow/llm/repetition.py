@@ -7,7 +7,8 @@ pass over the rows in numpy, no shuffle.
 
 Defined results: null and empty texts have no words, so ``base_failed`` (fewer
 than ``min_words``); every input row gives one output row, so repeated rows and
-equal doc_ids are kept as they are; an empty table gives an empty result; other
+equal doc_ids are kept as they are; texts of any length are read whole, one at a
+time; nothing is ranked, so ties do not arise; an empty table gives an empty result; other
 columns are not read, so clashing names do not matter.
 """
 

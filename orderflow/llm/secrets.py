@@ -10,7 +10,8 @@ functions; places are running sums of their lengths in code points, taken over
 rows of matches, so a text with very many matches needs no long fold.
 
 Defined results: null text is the empty blob; every version row gives one
-result row (repeated rows too); rows of one path may carry several texts; an
+result row (repeated rows too); rows of one path may carry several texts; texts of
+any length are scanned whole; spans that start together go by kind as listed; an
 empty table gives an empty result; other columns are not read.
 """
 

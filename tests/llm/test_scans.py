@@ -132,3 +132,38 @@ def test_em_finds_reliable_labelers():
     p, table = personal.estimate(pat, n.astype(float))
     right = table[:, 1, 2]
     assert right[0] > right[1] > right[2] and ((p[inv.ravel()] > 0.5) == truth).mean() > 0.93
+
+
+def test_added_spans_on_planted_rows(spark):
+    """Precision and recall of spans beyond the base kinds: obfuscated addresses and
+    bare numbers against order numbers, dates, prices and book numbers."""
+    import random
+    rng = random.Random(5)
+    words = lambda n: " ".join("".join(rng.choice("bcdfglmnprst") + rng.choice("aeiou")
+                                       for _ in range(rng.randint(1, 4))) for _ in range(n))
+    digits = lambda n: "".join(rng.choice("123456789") for _ in range(n))
+    makers = [
+        (True, ["mail", "write", "contact", "email"], lambda: f"{words(1)}.{words(1)} {rng.choice(['(at)', '[at]'])} "
+         f"{words(1)} {rng.choice(['(dot)', '[dot]'])} {rng.choice(['com', 'org', 'net', 'de'])}"),
+        (True, ["call", "phone", "tel", "mobile"], lambda: f"0{digits(2)} {digits(4)} {digits(4)}"),
+        (True, ["phone", "call", "fax"], lambda: f"({digits(3)}) {digits(3)}-{digits(4)}"),
+        (True, ["ssn", "account", "passport"], lambda: f"{digits(3)}-{digits(2)}-{digits(4)}"),
+        (False, ["order", "item", "total", "version"], lambda: digits(7)),
+        (False, ["page", "figure", "section"], lambda: f"{rng.randint(1900, 2030)}-{rng.randint(10, 12)}-{rng.randint(10, 28)}"),
+        (False, ["price", "total", "version"], lambda: f"{digits(1)}.{digits(3)}.{digits(4)}"),
+        (False, ["isbn", "item"], lambda: f"978-{digits(1)}-{digits(4)}-{digits(4)}-{digits(1)}")]
+    rows, planted = [], []
+    for i in range(900):
+        t = words(8)
+        for _ in range(rng.randint(1, 3)):
+            private, near, make = rng.choice(makers)
+            t += f" {rng.choice(near)} "
+            x = make()
+            planted.append((i, private, len(t), len(t) + len(x)))
+            t += f"{x} {words(rng.randint(3, 9))}"
+        rows.append((i, t))
+    got = {r.doc_id: [tuple(map(int, x.split(":")[1:])) for x in r.spans.split(",") if x] for r in
+           personal.personal_data(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    found = [(private, any(s < b and a < e for s, e in got[i])) for i, private, a, b in planted]
+    right, caught = sum(p and f for p, f in found), sum(f for _, f in found)
+    assert right >= 0.95 * sum(p for p, _ in found) and right >= 0.9 * caught
