@@ -40,3 +40,47 @@ def test_an_unpublished_build_is_not_read(spark, tmp_path):
     assert store.published(spark, str(tmp_path)) is None
     spark.range(1).selectExpr("cast(id as string) v").write.text(str(tmp_path / "run-b" / "_published"))
     assert store.published(spark, str(tmp_path)).endswith("run-b")
+
+
+def test_joins_on_the_order_need_no_shuffle(spark, book, capsys):
+    """Fact tables are bucketed by order: the view, shipments and their check join in place."""
+    from orderflow.operators import checks, constraints, delivery
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    was = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        x = checks.Inputs(book, DEFAULT, {"over_shipped"})
+        keys = ["order_id", "line_no"]
+        for df in (delivery.otif(book), delivery.line_shipments(book), checks._shipped(x)[0],
+                   constraints.with_parents(book, book.dispatches.select(*keys), [(["order_id"], "orders", ["order_id"]),
+                                                                                 (keys, "order_lines", keys)])):
+            capsys.readouterr()
+            df.explain()
+            plan = capsys.readouterr().out
+            assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
+            assert "hashpartitioning(order_id" not in plan and "hashpartitioning(_fk" not in plan, plan
+    finally:
+        spark.conf.set(key, was)
+
+
+def test_bucket_count_follows_the_lines(spark, sf_dir, monkeypatch):
+    assert store.bucket_count(spark, sf_dir) == store.LEAST_BUCKETS
+    monkeypatch.setattr(store, "BUCKET_BYTES", 1000)
+    n = store.bucket_count(spark, sf_dir)
+    size = os.path.getsize(f"{sf_dir}/lineitem.parquet")
+    assert n & (n - 1) == 0 and n * 1000 >= size > n * 500
+
+
+def test_a_published_build_is_read_with_its_buckets(spark, sf_dir, tmp_path, monkeypatch):
+    """Another application finds the files and makes their buckets known again."""
+    monkeypatch.setattr(store, "shared_dir", lambda s: str(tmp_path))
+    monkeypatch.setattr(store, "_BUILT", {})
+    first = store.build(spark, sf_dir)
+    lines = first.order_lines.count()
+    for t in [t.name for t in spark.catalog.listTables() if t.name.startswith("orderbook_")]:
+        if str(tmp_path) in spark.table(t).inputFiles()[0]:
+            spark.sql(f"DROP TABLE {t}")
+    monkeypatch.setattr(store, "_BUILT", {})
+    again = store.build(spark, sf_dir)
+    assert again is not first and again.order_lines.count() == lines
+    assert f"{tmp_path}/orderbook" in again.order_lines.inputFiles()[0]
