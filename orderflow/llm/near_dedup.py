@@ -274,7 +274,8 @@ def keep_one(docs: DataFrame) -> DataFrame:
     kept = text.groupBy(F.coalesce("root", "key").alias("root")).agg(
         F.min(F.struct("doc_id", "key")).alias("s")).select(
         F.col("s.doc_id").alias("__id"), F.col("s.key").alias("__key"))
-    found = docs.withColumn("__text_key", text_key()).join(
-        kept.hint("shuffle_hash"), F.col("__text_key") == F.col("__key"))
-    return (found.where(F.col("doc_id").eqNullSafe(F.col("__id"))).dropDuplicates(["__text_key"])
-            .select(*docs.columns))
+    # the row stays whole in one column, whatever its columns are called
+    found = docs.select(F.struct(*docs.columns).alias("doc"), F.col("doc_id").alias("id"), text_key().alias("key")).join(
+        kept.hint("shuffle_hash"), F.col("key") == F.col("__key"))
+    return (found.where(F.col("id").eqNullSafe(F.col("__id"))).dropDuplicates(["key"])
+            .select("doc.*"))

@@ -3,6 +3,7 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline as P
 from orderflow.llm import quality
@@ -54,3 +55,22 @@ def test_each_stage_takes_awkward_rows(spark, sf_dir, awkward, k):
     if k < 4:
         assert out.columns == awkward.columns
     assert out.count() > 0
+
+
+def test_run_packs_what_the_stages_keep(spark, sf_dir, documents):
+    """All stages in one go: sequences without gaps, of documents that the table holds."""
+    pieces = P.run(spark, sf_dir).collect()
+    assert {r.doc_id for r in pieces} <= {r.doc_id for r in documents.select("doc_id").collect()}
+    ends = {}
+    for r in sorted(pieces, key=lambda r: (r.sequence_id, r.offset)):
+        assert r.offset == ends.get(r.sequence_id, 0) and r.length > 0
+        ends[r.sequence_id] = r.offset + r.length
+    assert ends and max(ends.values()) <= 4096
+
+
+def test_near_dedup_carries_columns_of_any_name(spark):
+    rows = [(1, "a b c d e f", "k", "x"), (2, "a b c d e f", "k", "y"), (3, "other words", "k", "z"), (None, None, "k", "n")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, __text_key string, key string").withColumn("id", F.lit(7))
+    out = P.minhash_near_dedup(spark, docs, "")
+    assert out.columns == docs.columns
+    assert sorted((r.doc_id or 0, r["__text_key"], r.key) for r in out.collect()) == [(0, "k", "n"), (1, "k", "x"), (3, "k", "z")]
