@@ -76,14 +76,15 @@ def quantiles(df: DataFrame, group: list[str], value: str, qs=QUANTILES) -> Data
 
 def f2_lead_time_quantiles(clean: DataFrame) -> DataFrame:
     """Quantiles per product line of four measures: days from quote to PO, days
-    from PO to the promised date, order values and item quantities; two reads of
-    the register in all."""
+    from PO to the promised date, order values and item quantities. The register is
+    read once; its measures are written as (product_line, measure, value)."""
     measures = [("quote_to_po_days", F.datediff("po_date", "quote_date")),
                 ("po_to_dp_days", F.datediff("dp_date", "po_date")),
                 ("order_value_inr", F.when(F.col("became_order"), F.col("value_inr"))),
                 ("item_qty", F.col("item_qty"))]
-    long = clean.select("product_line", F.inline(F.array(*[
+    long = staged(clean.select("product_line", F.inline(F.array(*[
         F.struct(F.lit(name).alias("measure"), value.cast("double").alias("value")) for name, value in measures])))
+        .where("value is not null"), "measures")
     r = quantiles(long, ["measure", "product_line"], "value")
     return r.select("measure", "product_line", F.col("n").cast("long").alias("n"),
                     *[f"p{q}" for q in QUANTILES], "max", F.col("negatives").cast("long").alias("negatives"))
