@@ -198,3 +198,18 @@ register("v1_due_orders", lambda p: with_tables(OQ.v_slim_sql("v1", p), p))(
 register("v2_line_shipments", lambda p: with_tables(OQ.v_slim_sql("v2", p), p))(
     lambda spark, sf_dir: as_reported(
         D.line_shipments(_tables(spark, sf_dir), DEFAULT).drop("item_id")))
+
+
+# --------------------------------------------------- sources and sinks, round trips
+from ..sources import register_io as IO  # noqa: E402
+
+register("s3_register_csv", lambda p: with_tables(
+    "SELECT " + ", ".join(f"nullif({c}, '') AS {c}" for c in R.RAW_COLUMNS) + " FROM ob_raw_register", p))(
+    lambda spark, sf_dir: IO.reloaded_register(_tables(spark, sf_dir).raw_quote_register))
+register("s5_cleaning_log", lambda p: with_tables(OR.cleaning_log_sql(p), p))(
+    lambda spark, sf_dir: (lambda t: IO.reloaded_log(L.cleaning_log(
+        t.raw_quote_register, t.customers, t.orders, DEFAULT)))(_tables(spark, sf_dir)))
+register("s5_check_log", lambda p: with_tables(OC.checks_sql(p), p))(
+    lambda spark, sf_dir: IO.reloaded_log(C.run_checks(_tables(spark, sf_dir), DEFAULT)))
+register("s6_otif_by_line", lambda p: with_tables(OQ.otif_by_line_sql(p), p))(
+    lambda spark, sf_dir: IO.otif_by_line(spark, _tables(spark, sf_dir), DEFAULT))

@@ -18,6 +18,7 @@ from ..functions.text import literal_table
 from ..operators.delivery import otif
 from ..operators.register import RAW_COLUMNS, clean_register
 from ..params import DEFAULT, Params
+from .staged import staged_path
 
 # FIXED VALUES: the register's column headers as typed, in order
 DISPLAY_HEADERS = ["SL No", "Party", "Project", "Incoterms", "Quote From", "Quote No.",
@@ -32,7 +33,8 @@ RAW_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in DISPLAY_HEA
 def write_register_csv(raw: DataFrame, path: str) -> None:
     """The register as CSV with the as-typed headers, fixed column order."""
     (raw.select(*RAW_COLUMNS).toDF(*DISPLAY_HEADERS)
-     .write.mode("overwrite").option("header", True).csv(path))
+     .write.mode("overwrite").option("header", True).option("ignoreLeadingWhiteSpace", False)
+     .option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
 def read_register_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -82,10 +84,39 @@ def read_params_json(spark: SparkSession, path: str) -> Params:
 
 
 def write_log(log: DataFrame, path: str, fmt: str = "json") -> None:
-    """The cleaning log, rebuilt on every run (overwrite, never appended)."""
+    """The cleaning log or the checks' results, rebuilt on every run
+    (overwrite, never appended)."""
     log.coalesce(1).write.mode("overwrite").format(fmt).save(path)
 
 
+def read_log(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "json") -> DataFrame:
+    """A written log with the columns it was written with."""
+    return spark.read.schema(schema).format(fmt).load(path)
+
+
+def reloaded_register(raw: DataFrame) -> DataFrame:
+    """S2 + S3: the register written as CSV and read back."""
+    path = staged_path(raw.sparkSession, "register-csv")
+    write_register_csv(raw, path)
+    return read_register_csv(raw.sparkSession, path)
+
+
+def reloaded_log(log: DataFrame) -> DataFrame:
+    """S4 + S5: a log written twice to one place and read back."""
+    path = staged_path(log.sparkSession, "log")
+    for _ in range(2):
+        write_log(log, path)
+    return read_log(log.sparkSession, path, log.schema)
+
+
+def otif_by_line(spark: SparkSession, tables, params: Params = DEFAULT) -> DataFrame:
+    """Orders due and on time in full per product line, asked of the views in SQL."""
+    register_views(spark, tables, params)
+    return spark.sql("""
+        SELECT product_line, COUNT(*) AS due, SUM(otif) AS otif, MAX(days_late) AS most_days_late
+        FROM v_otif JOIN orders USING (order_id) GROUP BY product_line""")
+
+
 def register_views(spark: SparkSession, tables, params: Params = DEFAULT) -> list[str]:
     """Every table plus the cleaned register and the OTIF view as temp views,
     so the questions can also be asked in Spark SQL."""
