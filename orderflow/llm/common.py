@@ -46,12 +46,12 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(32 << 20))
 
 
-def written(df: DataFrame, what: str) -> DataFrame:
+def written(df: DataFrame, what: str, compression: str | None = None) -> DataFrame:
     """Cut the lineage: write to the shared folder of ``spark.checkpoint.dir``
     and read back, so that a lost executor costs no recomputation."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/llm/{what}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df.write.option("compression", compression) if compression else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
