@@ -31,9 +31,9 @@ def register(name: str, oracle: Callable[[Params], str] | None = None):
 
 
 def _tables(spark: SparkSession, sf_dir: str, params: Params = DEFAULT):
-    """The order book for ``sf_dir``: derived once per session and sources,
-    written as Parquet to the shared checkpoint folder, then read back."""
-    return store.build(spark, sf_dir, params)
+    """The order book for ``sf_dir``: each stage that is asked for is derived once per
+    session and sources, written as Parquet to the shared checkpoint folder, then read back."""
+    return store.opened(spark, sf_dir, params)
 
 
 def _oq(name: str):
