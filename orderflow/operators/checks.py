@@ -10,6 +10,7 @@ off that row. Thresholds are ``Params`` because they are facts about the dataset
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -40,7 +41,6 @@ CHECK_NAMES = [
 
 def check_key(name: str) -> str:
     """'06a quote <= PO (modelled tables)' -> 'c06a_quote_po_modelled_tables'."""
-    import re
     return "c" + re.sub(r"[^a-z0-9]+", "_", name.lower()).strip("_")
 
 
@@ -57,14 +57,19 @@ class Inputs:
 _SOURCES = []
 
 
-def _source(fn):
-    """A function Inputs -> (base, {metric: aggregate}); the base may look at which
-    metrics are asked for. Metrics are numbers, or texts where the name ends in _txt."""
-    _SOURCES.append(fn)
-    return fn
+def _source(*names: str, more=dict):
+    """A function Inputs -> (base, {metric: aggregate}) for the metrics named (those of
+    ``more`` are known once a session runs). The base may look at which are asked for,
+    and is not built, nor its tables asked for, where none is. Metrics are numbers, or
+    texts where the name ends in _txt."""
+    def deco(fn):
+        _SOURCES.append((fn, lambda: {*names, *more()}))
+        return fn
+    return deco
 
 
-@_source
+@_source("rows_register", "quote_after_po", "unmapped",
+         "rows_line_*", "rows_other_line", "forbidden_0", "forbidden_1", "forbidden_ld", more=register_metrics)
 def _register(x: Inputs):
     """The cleaned register: faults, wordings, and the cleaning log's counts."""
     c, cells = F.col, x.t.raw_quote_register
@@ -85,7 +90,8 @@ def _register(x: Inputs):
         "forbidden_ld": F.count_if(c("_ld_forbidden"))}
 
 
-@_source
+@_source("rows_orders", "no_quote", "quoted", "orphan_customer", "orphan_quote", "orphan_terms",
+         "cancelled_shipped", more=order_metrics)
 def _orders(x: Inputs):
     c = F.col
     fks = [(["customer_id"], "customers", ["customer_id"]), (["quote_id"], "quotations", ["quote_id"]),
@@ -105,7 +111,7 @@ def _orders(x: Inputs):
     return base, out
 
 
-@_source
+@_source("orphan_line_order", "orphan_line_item")
 def _order_lines(x: Inputs):
     fks = [(["order_id"], "orders", ["order_id"]), (["item_id"], "items", ["item_id"])]
     return (with_parents(x.t, x.t.order_lines.select("order_id", "item_id"), fks),
@@ -113,7 +119,7 @@ def _order_lines(x: Inputs):
              "orphan_line_item": F.count_if(orphaned(["item_id"], 1))})
 
 
-@_source
+@_source("rows_dispatches", "dispatched_nonpos", "orphan_dispatch")
 def _dispatches(x: Inputs):
     base, out = x.t.dispatches, {"rows_dispatches": F.count(F.lit(1)),
                                  "dispatched_nonpos": F.count_if(F.col("dispatched_qty") <= 0)}
@@ -124,7 +130,7 @@ def _dispatches(x: Inputs):
     return base, out
 
 
-@_source
+@_source("rows_invoices", "wrong_fx", "orphan_invoice")
 def _invoices(x: Inputs):
     c, (lo, hi) = F.col, x.p.fx_usd_range
     base, out = x.t.invoices, {
@@ -137,7 +143,7 @@ def _invoices(x: Inputs):
     return base, out
 
 
-@_source
+@_source("rows_payments", "orphan_payment")
 def _payments(x: Inputs):
     base, out = x.t.payments, {"rows_payments": F.count(F.lit(1))}
     if x.wants("orphan_payment"):
@@ -146,34 +152,34 @@ def _payments(x: Inputs):
     return base, out
 
 
-@_source
+@_source("orphan_quotation_line")
 def _quotation_lines(x: Inputs):
     return (with_parents(x.t, x.t.quotation_lines.select("quote_id"), [(["quote_id"], "quotations", ["quote_id"])]),
             {"orphan_quotation_line": F.count_if(orphaned(["quote_id"], 0))})
 
 
-@_source
+@_source("rows_quotations")
 def _counts(x: Inputs):
     return x.t.quotations, {"rows_quotations": F.count(F.lit(1))}
 
 
-@_source
+@_source("rows_customers")
 def _customer_counts(x: Inputs):
     return x.t.customers, {"rows_customers": F.count(F.lit(1))}
 
 
-@_source
+@_source("rows_items")
 def _item_counts(x: Inputs):
     return x.t["items"], {"rows_items": F.count(F.lit(1))}
 
 
-@_source
+@_source("dispatched_before_po")
 def _dispatch_order(x: Inputs):
     both = x.t.dispatches.select("order_id", "dispatch_date").join(x.t.orders.select("order_id", "po_date"), "order_id")
     return both, {"dispatched_before_po": F.count_if(F.col("dispatch_date") < F.col("po_date"))}
 
 
-@_source
+@_source("invoice_other_day", "invoice_off")
 def _invoice_dispatch(x: Inputs):
     c = F.col
     base = (x.t.invoices.select("dispatch_id", "invoice_date", "taxable_value", "fx_rate_to_inr")
@@ -187,14 +193,14 @@ def _invoice_dispatch(x: Inputs):
     return base, out
 
 
-@_source
+@_source("po_before_quote")
 def _order_quotation(x: Inputs):
     both = (x.t.orders.select("quote_id", "po_date").where("quote_id is not null")
             .join(x.t.quotations.select("quote_id", "quote_date"), "quote_id"))
     return both, {"po_before_quote": F.count_if(F.col("po_date") < F.col("quote_date"))}
 
 
-@_source
+@_source("gst_txt", "gst_bad")
 def _gst(x: Inputs):
     """One row per market and currency (a few), then one text of them."""
     c, rate = F.col, x.p.gst_rate_pct
@@ -212,7 +218,7 @@ def _gst(x: Inputs):
                                                         lambda s: s["txt"]), ", "), "gst_bad": F.sum("bad")}
 
 
-@_source
+@_source("jobs", "jobs_distinct", "job_bands", "jobs_band1")
 def _jobs(x: Inputs):
     """One row per job number."""
     band = idiv(F.col("job_no"), x.p.job_band_width)
@@ -223,7 +229,7 @@ def _jobs(x: Inputs):
                  "jobs_band1": F.coalesce(F.sum(F.when(F.col("band") == 1, F.col("n"))), F.lit(0))}
 
 
-@_source
+@_source("overpaid")
 def _paid(x: Inputs):
     c = F.col
     paid = x.t.payments.groupBy("invoice_id").agg(F.sum("amount").alias("paid"))
@@ -231,7 +237,7 @@ def _paid(x: Inputs):
             {"overpaid": F.count_if(c("paid") > c("taxable_value") + c("gst_amount") + x.p.settle_tolerance)})
 
 
-@_source
+@_source("paid_early")
 def _payment_invoice(x: Inputs):
     c = F.col
     both = (x.t.payments.select("invoice_id", "payment_date", "payment_type")
@@ -239,7 +245,7 @@ def _payment_invoice(x: Inputs):
     return both, {"paid_early": F.count_if((c("payment_date") < c("invoice_date")) & (c("payment_type") != "Advance"))}
 
 
-@_source
+@_source("over_shipped")
 def _shipped(x: Inputs):
     keys = ["order_id", "line_no"]
     shipped = x.t.dispatches.groupBy(*keys).agg(F.sum("dispatched_qty").alias("shipped"))
@@ -248,13 +254,13 @@ def _shipped(x: Inputs):
                                         * F.lit(x.p.overship_factor).cast("decimal(6,3)"))})
 
 
-@_source
+@_source("due", "otif", "on_time", "in_full")
 def _otif(x: Inputs):
     return otif(x.t, x.p), {"due": F.count(F.lit(1)), "otif": F.sum("otif"), "on_time": F.sum("on_time"),
                             "in_full": F.sum("in_full")}
 
 
-@_source
+@_source("outside_allowlist")
 def _identities(x: Inputs):
     """Distinct values outside the allowlists; cells inside them are dropped at the scan."""
     def outside(df, **allowed):
@@ -391,7 +397,9 @@ def checks(p: Params) -> dict[str, Check]:
 def _metric_row(tables, params: Params, asked: set[str]) -> DataFrame:
     """All asked metrics as one written row; each source is run once."""
     x, parts, kinds = Inputs(tables, params, asked), [], {}
-    for source in _SOURCES:
+    for source, names in _SOURCES:
+        if not names() & {re.sub(r"^rows_line_[0-9]+$", "rows_line_*", k) for k in asked}:
+            continue
         base, metrics = source(x)
         named = {k: v for k, v in metrics.items() if k in asked}
         if not named:
