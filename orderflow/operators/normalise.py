@@ -291,13 +291,19 @@ def register_totals(raw: DataFrame, links: DataFrame, order_lines: DataFrame,
     q = quotation_lines.groupBy("quote_id").agg(
         F.sum(F.col("qty") * F.col("unit_price")).alias("_qv"), F.sum("qty").alias("_qq"))
     rows = _rows(raw).select(F.col("_sl").alias("sl_no"), "po_quote_value", "item_qty")
-    j = (rows.join(links, "sl_no", "left").join(o, "order_id", "left").join(q, "quote_id", "left"))
-    is_order = F.col("order_id").isNotNull()
-    value = F.round(F.when(is_order, F.col("_ov")).otherwise(F.col("_qv")), 2).cast("double")
-    qty = F.when(is_order, F.col("_oq")).otherwise(F.col("_qq")).cast("double")
-    return j.select("sl_no", value.alias("value_inr"), qty.alias("qty"),
-                    F.when(F.col("po_quote_value").isNotNull(), value).alias("value_cell"),
-                    F.when(F.col("item_qty").isNotNull(), qty).alias("qty_cell"))
+    # links without an order or quotation are not joined: they would all meet in one task
+    number = lambda v, n: (F.round(F.col(v), 2).cast("double").alias("_value"),
+                           F.col(n).cast("double").alias("_qty"))
+    none = [F.lit(None).cast("double").alias(c) for c in ("_value", "_qty")]
+    totals = (links.where("order_id is not null").join(o, "order_id", "left").select("sl_no", *number("_ov", "_oq"))
+              .unionByName(links.where("order_id is null and quote_id is not null").join(q, "quote_id", "left")
+                           .select("sl_no", *number("_qv", "_qq")))
+              .unionByName(links.where("order_id is null and quote_id is null").select("sl_no", *none)))
+    value, qty = F.col("_value"), F.col("_qty")
+    return rows.join(totals, "sl_no", "left").select(
+        "sl_no", value.alias("value_inr"), qty.alias("qty"),
+        F.when(F.col("po_quote_value").isNotNull(), value).alias("value_cell"),
+        F.when(F.col("item_qty").isNotNull(), qty).alias("qty_cell"))
 
 
 def link_summary(orders_df: DataFrame) -> DataFrame:
