@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import textops as T
-from .common import bounded_batches, crc_mod
+from .common import SMALL_BATCH, bounded_batches, crc_mod
 
 DIM = 1 << 18
 SAMPLE_PER_CLASS = 3000
@@ -79,7 +79,7 @@ def features(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sparse vectors of labelled rows: coordinates ascending, values float32."""
     for batch in batches:
-        for rows, data, off in T.pieces(batch, "text"):
+        for rows, data, off in T.pieces(batch, "text", T.SMALL_PIECE):
             index, doc, value = features(data, off)
             key, where = np.unique(doc.astype(np.int64) * DIM + index, return_inverse=True)
             total = np.bincount(where, value, len(key)).astype(np.float32)
@@ -105,6 +105,7 @@ def ftrl(examples: list[tuple[np.ndarray, np.ndarray, int]], dim: int = DIM) ->
     for _ in range(EPOCHS):
         for k in order.permutation(len(examples)):
             i, x, y = examples[k]
+            x = x.astype(float)
             w = weights(i)
             p = 1.0 / (1.0 + np.exp(-np.clip(w @ x, -35, 35)))
             g = (p - y) * x
@@ -117,19 +118,21 @@ def ftrl(examples: list[tuple[np.ndarray, np.ndarray, int]], dim: int = DIM) ->
 def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     rows = [r for b in batches for r in b.to_pylist()]
     rows.sort(key=lambda r: (r["doc_id"], r["index"]))  # the same order on every run
-    examples = [(np.append(np.frombuffer(r["index"], np.int32), DIM),
-                 np.append(np.frombuffer(r["value"], np.float32).astype(float), 1.0), r["label"])
-                for r in rows]
+    ones, total, examples = sum(r["label"] for r in rows), len(rows), []
+    for k, r in enumerate(rows):
+        rows[k] = None  # a row's bytes go as its arrays come
+        examples.append((np.append(np.frombuffer(r["index"], np.int32), np.int32(DIM)),
+                         np.append(np.frombuffer(r["value"], np.float32), np.float32(1.0)), r["label"]))
     w = ftrl(examples).astype(np.float32)
     yield pa.RecordBatch.from_arrays(
         [pa.array([w.tobytes()], pa.binary()),
-         pa.array([sum(r["label"] for r in rows)], pa.int64()), pa.array([len(rows)], pa.int64())],
+         pa.array([ones], pa.int64()), pa.array([total], pa.int64())],
         ["weights", "ones", "total"])
 
 
 def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> np.ndarray:
     """Weights from labelled rows (doc_id, quality) joined to their whole texts."""
-    bounded_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession, SMALL_BATCH)
     usable = (labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull())
               .groupBy("doc_id").agg((F.avg("quality") >= 0.5).cast("int").alias("label")))
     count = {r["label"]: r["n"] for r in usable.groupBy("label").agg(F.count("*").alias("n")).collect()}
@@ -155,13 +158,13 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS)
 
 def score(docs: DataFrame, weights: np.ndarray) -> DataFrame:
     """doc_id and score (0 to 1) of every row."""
-    bounded_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession, SMALL_BATCH)
     model = docs.sparkSession.sparkContext.broadcast(weights)  # DIM + 1 floats
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = model.value
         for batch in batches:
-            for rows, data, off in T.pieces(batch, "text"):
+            for rows, data, off in T.pieces(batch, "text", T.SMALL_PIECE):
                 index, doc, value = features(data, off)
                 dot = np.bincount(doc, w[index] * value, len(off) - 1) + w[DIM]
                 p = 1.0 / (1.0 + np.exp(-np.clip(dot, -35, 35)))
@@ -189,7 +192,7 @@ def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = model.value
         for batch in batches:
-            for rows, data, off in T.pieces(batch, batch.schema.names[at]):
+            for rows, data, off in T.pieces(batch, batch.schema.names[at], T.SMALL_PIECE):
                 index, doc, value = features(data, off)
                 dot = np.bincount(doc, w[index] * value, len(off) - 1) + w[DIM]
                 good = rows.filter(pa.array(dot >= 0))

@@ -5,7 +5,7 @@ import tracemalloc
 import numpy as np
 import pyarrow as pa
 
-from orderflow.llm import passages
+from orderflow.llm import near_dedup, passages, quality
 from orderflow.llm import textops as T
 
 
@@ -49,6 +49,15 @@ def test_short_texts_beside_a_long_leader():
     assert peak < 32 << 20  # 55 MB: the leader's shingles once for every text of 2 MB
 
 
+def test_similar_pairs_with_long_sides():
+    rng = np.random.default_rng(2)
+    long, short = words(rng, 6000), words(rng, 60)
+    rows = [{"a": b"%d" % k, "b": b"z", "ta": short if k % 2 else long, "tb": long} for k in range(120)]
+    got, peak = near_dedup._similar(Rows(pa.RecordBatch.from_pylist(rows)))
+    assert [r["a"] for r in got] == [b"%d" % k for k in range(0, 120, 2)]
+    assert peak < 32 << 20
+
+
 def test_members_of_a_group_go_out_in_parts(monkeypatch):
     rng = np.random.default_rng(3)
     keys = rng.integers(0, 2**63, (6, 2), dtype=np.uint64)
@@ -68,3 +77,14 @@ def test_members_of_a_group_go_out_in_parts(monkeypatch):
     texts = {s: {k for q, k, _ in rows if q == s} for s, _, _ in rows}
     want = sorted(r for r in rows if len(texts[r[0]]) > 1 or r[0] == 7 and 7 in table[0][0])
     assert sorted((r["sig"], r["key"], r["place"]) for b in out for r in b.to_pylist()) == want
+
+
+def test_features_of_a_full_batch():
+    rng = np.random.default_rng(4)
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(400)), "label": [1] * 400,
+                                        "text": [words(rng, 400) for _ in range(400)]})
+    tracemalloc.start()
+    n = sum(b.num_rows for b in quality._vectors(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == 400 and peak < 32 << 20
