@@ -54,6 +54,8 @@ class Inputs:
         return bool(self.asked & set(metrics))
 
 
+#: In the order they run in: those that shuffle most come first, while few stages of the
+#: order book are on disk beside their shuffle files.
 _SOURCES = []
 
 
@@ -68,6 +70,59 @@ def _source(*names: str, more=dict):
     return deco
 
 
+@_source("invoice_other_day", "invoice_off")
+def _invoice_dispatch(x: Inputs):
+    c = F.col
+    shipped, billed = ["dispatch_id", "dispatch_date"], ["dispatch_id", "invoice_date"]
+    sent = x.t.dispatches.select("dispatch_id", "dispatch_date", "order_id", "line_no", "dispatched_qty")
+    out = {"invoice_other_day": F.count_if(c("invoice_date") != c("dispatch_date"))}
+    if x.wants("invoice_off"):
+        # the price first, where lines and dispatches lie side by side: each is dealt by dispatch once
+        sent = sent.join(x.t.order_lines.select("order_id", "line_no", "unit_price"), ["order_id", "line_no"], "left")
+        off = F.abs(c("taxable_value") * c("fx_rate_to_inr") - c("dispatched_qty") * c("unit_price"))
+        out["invoice_off"] = F.count_if(off > x.p.invoice_tolerance_inr)
+        shipped, billed = [*shipped, "dispatched_qty", "unit_price"], [*billed, "taxable_value", "fx_rate_to_inr"]
+    return x.t.invoices.select(*billed).join(sent.select(*shipped), "dispatch_id"), out
+
+
+@_source("rows_invoices", "wrong_fx", "orphan_invoice")
+def _invoices(x: Inputs):
+    c, (lo, hi) = F.col, x.p.fx_usd_range
+    base, out = x.t.invoices, {
+        "rows_invoices": F.count(F.lit(1)),
+        "wrong_fx": F.count_if(((c("currency") == "INR") & (c("fx_rate_to_inr") != 1))
+                               | ((c("currency") == "USD") & ~c("fx_rate_to_inr").between(lo, hi)))}
+    if x.wants("orphan_invoice"):
+        base = with_parents(x.t, base, [(["dispatch_id"], "dispatches", ["dispatch_id"])])
+        out["orphan_invoice"] = F.count_if(orphaned(["dispatch_id"], 0))
+    return base, out
+
+
+@_source("overpaid")
+def _paid(x: Inputs):
+    c = F.col
+    paid = x.t.payments.groupBy("invoice_id").agg(F.sum("amount").alias("paid"))
+    return (paid.join(x.t.invoices.select("invoice_id", "taxable_value", "gst_amount"), "invoice_id"),
+            {"overpaid": F.count_if(c("paid") > c("taxable_value") + c("gst_amount") + x.p.settle_tolerance)})
+
+
+@_source("rows_payments", "orphan_payment")
+def _payments(x: Inputs):
+    base, out = x.t.payments, {"rows_payments": F.count(F.lit(1))}
+    if x.wants("orphan_payment"):
+        base = with_parents(x.t, base, [(["invoice_id"], "invoices", ["invoice_id"])])
+        out["orphan_payment"] = F.count_if(orphaned(["invoice_id"], 0))
+    return base, out
+
+
+@_source("paid_early")
+def _payment_invoice(x: Inputs):
+    c = F.col
+    both = (x.t.payments.select("invoice_id", "payment_date", "payment_type")
+            .join(x.t.invoices.select("invoice_id", "invoice_date"), "invoice_id"))
+    return both, {"paid_early": F.count_if((c("payment_date") < c("invoice_date")) & (c("payment_type") != "Advance"))}
+
+
 @_source("rows_register", "quote_after_po", "unmapped",
          "rows_line_*", "rows_other_line", "forbidden_0", "forbidden_1", "forbidden_ld", more=register_metrics)
 def _register(x: Inputs):
@@ -130,28 +185,6 @@ def _dispatches(x: Inputs):
     return base, out
 
 
-@_source("rows_invoices", "wrong_fx", "orphan_invoice")
-def _invoices(x: Inputs):
-    c, (lo, hi) = F.col, x.p.fx_usd_range
-    base, out = x.t.invoices, {
-        "rows_invoices": F.count(F.lit(1)),
-        "wrong_fx": F.count_if(((c("currency") == "INR") & (c("fx_rate_to_inr") != 1))
-                               | ((c("currency") == "USD") & ~c("fx_rate_to_inr").between(lo, hi)))}
-    if x.wants("orphan_invoice"):
-        base = with_parents(x.t, base, [(["dispatch_id"], "dispatches", ["dispatch_id"])])
-        out["orphan_invoice"] = F.count_if(orphaned(["dispatch_id"], 0))
-    return base, out
-
-
-@_source("rows_payments", "orphan_payment")
-def _payments(x: Inputs):
-    base, out = x.t.payments, {"rows_payments": F.count(F.lit(1))}
-    if x.wants("orphan_payment"):
-        base = with_parents(x.t, base, [(["invoice_id"], "invoices", ["invoice_id"])])
-        out["orphan_payment"] = F.count_if(orphaned(["invoice_id"], 0))
-    return base, out
-
-
 @_source("orphan_quotation_line")
 def _quotation_lines(x: Inputs):
     return (with_parents(x.t, x.t.quotation_lines.select("quote_id"), [(["quote_id"], "quotations", ["quote_id"])]),
@@ -179,20 +212,6 @@ def _dispatch_order(x: Inputs):
     return both, {"dispatched_before_po": F.count_if(F.col("dispatch_date") < F.col("po_date"))}
 
 
-@_source("invoice_other_day", "invoice_off")
-def _invoice_dispatch(x: Inputs):
-    c = F.col
-    base = (x.t.invoices.select("dispatch_id", "invoice_date", "taxable_value", "fx_rate_to_inr")
-            .join(x.t.dispatches.select("dispatch_id", "dispatch_date", "order_id", "line_no", "dispatched_qty"),
-                  "dispatch_id"))
-    out = {"invoice_other_day": F.count_if(c("invoice_date") != c("dispatch_date"))}
-    if x.wants("invoice_off"):
-        base = base.join(x.t.order_lines.select("order_id", "line_no", "unit_price"), ["order_id", "line_no"], "left")
-        off = F.abs(c("taxable_value") * c("fx_rate_to_inr") - c("dispatched_qty") * c("unit_price"))
-        out["invoice_off"] = F.count_if(off > x.p.invoice_tolerance_inr)
-    return base, out
-
-
 @_source("po_before_quote")
 def _order_quotation(x: Inputs):
     both = (x.t.orders.select("quote_id", "po_date").where("quote_id is not null")
@@ -229,22 +248,6 @@ def _jobs(x: Inputs):
                  "jobs_band1": F.coalesce(F.sum(F.when(F.col("band") == 1, F.col("n"))), F.lit(0))}
 
 
-@_source("overpaid")
-def _paid(x: Inputs):
-    c = F.col
-    paid = x.t.payments.groupBy("invoice_id").agg(F.sum("amount").alias("paid"))
-    return (paid.join(x.t.invoices.select("invoice_id", "taxable_value", "gst_amount"), "invoice_id"),
-            {"overpaid": F.count_if(c("paid") > c("taxable_value") + c("gst_amount") + x.p.settle_tolerance)})
-
-
-@_source("paid_early")
-def _payment_invoice(x: Inputs):
-    c = F.col
-    both = (x.t.payments.select("invoice_id", "payment_date", "payment_type")
-            .join(x.t.invoices.select("invoice_id", "invoice_date"), "invoice_id"))
-    return both, {"paid_early": F.count_if((c("payment_date") < c("invoice_date")) & (c("payment_type") != "Advance"))}
-
-
 @_source("over_shipped")
 def _shipped(x: Inputs):
     keys = ["order_id", "line_no"]
@@ -405,9 +408,11 @@ def _metric_row(tables, params: Params, asked: set[str]) -> DataFrame:
         if not named:
             continue
         one = base.agg(*[v.alias(k) for k, v in named.items()])
-        parts.append(one.select(F.inline(F.array(*[F.struct(
+        # run and written one by one, so that the shuffle files of one source alone are on disk
+        parts.append(staged(one.select(F.inline(F.array(*[F.struct(
             F.lit(k).alias("k"), (F.lit(None) if k.endswith("_txt") else F.col(k)).cast("long").alias("n"),
-            (F.col(k) if k.endswith("_txt") else F.lit(None)).cast("string").alias("t")) for k in named]))))
+            (F.col(k) if k.endswith("_txt") else F.lit(None)).cast("string").alias("t")) for k in named]))),
+            "check-source"))
         kinds.update({k: "t" if k.endswith("_txt") else "n" for k in named})
     both = reduce(DataFrame.unionByName, parts)
     return staged(both.agg(*[F.max(F.when(F.col("k") == k, F.col(v))).alias(k) for k, v in kinds.items()]),

@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import shared_dir
+from ..session import shared_dir, shuffles_freed
 
 
 def staged_path(spark: SparkSession, name: str) -> str:
@@ -17,7 +17,9 @@ def staged_path(spark: SparkSession, name: str) -> str:
 def staged(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once as Parquet and read back: its plan is run once however
     often it is used, values that depend on the run (partition numbers) stay as they
-    were, and a lost executor costs no recomputation."""
+    were, and a lost executor costs no recomputation. The shuffle files it took do not
+    stay on disk through the later steps."""
     path = staged_path(df.sparkSession, name)
-    df.write.parquet(path)
+    with shuffles_freed(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
